@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash
+from . import chunks, decontaminate, lines, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": simhash.op3_simhash,
+    "op4_pack": packing.op4_pack,
+    "op7_chunks": chunks.op7_chunks,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_lines": lines.op10_lines,
 }
 
 ORACLES: dict[str, str] = {
     "op9_decontaminate": decontaminate.ORACLE_SQL,
+    "op10_lines": lines.ORACLE_SQL,
 }
