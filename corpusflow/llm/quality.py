@@ -1,6 +1,7 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-A text is a unit vector of hashed features (words, punctuation runs, words in capitals; the square roots of their shares).
+A text is a unit vector of hashed features (words, their beginnings, punctuation
+runs, words in capitals, words said twice running; the square roots of their shares).
 One weight vector is shared by all grades and ordered thresholds cut its score: P(grade > k) = sigmoid(w.x - t_k).
 That gives the expected grade and the chance of the top grade, by which documents are selected.
 
@@ -27,11 +28,15 @@ from .common import ALNUM, LOWER, SPACED, Block, blocks, runs, span_hashes, tabl
 TRAIN_ROWS = 8192
 BITS = 18
 GRADES = 3
-EPOCHS, BATCH, RATE, DECAY = 12, 128, 0.5, 1e-6
+#: Passes over the sample: at least EPOCHS, and as many as make STEPS steps.
+EPOCHS, STEPS, BATCH, RATE, DECAY = 30, 2000, 64, 0.5, 1e-6
 #: A document stays if its chance of the top grade is at least this.
-KEEP = 0.5
+KEEP = 0.6
 SEED = 5
 
+#: Bytes of a word's beginning that make a feature.
+PREFIX = 5
+_LOUD, _AGAIN = np.uint64(0xC0FFEE << 8), np.uint64(0xFACADE << 8)
 _CAPITAL = np.zeros(256, bool)
 _CAPITAL[65:91] = True
 
@@ -45,8 +50,11 @@ def features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mark = span_hashes(block.buf, ps, np.minimum(pe, ps + 4), lower=False) & ~np.uint64(1)
     capitals = np.concatenate(([0], np.cumsum(_CAPITAL[block.buf])))
     loud = (capitals[e] - capitals[s] == e - s) & (e - s > 1)
-    at = np.concatenate((s, ps, s[loud]))
-    hashed = np.concatenate((word, mark, np.full(int(loud.sum()), 0xC0FFEE << 8, np.uint64)))
+    again = np.concatenate(([False], word[1:] == word[:-1]))[: len(word)]
+    long = e - s > PREFIX  # inflected and compound words share their beginning
+    prefix = span_hashes(block.buf, s[long], s[long] + PREFIX) ^ np.uint64(0x5DEECE66D << 16)
+    at = np.concatenate((s, ps, s[long], s[loud], s[again]))
+    hashed = np.concatenate((word, mark, prefix, np.full(int(loud.sum()), _LOUD), np.full(int(again.sum()), _AGAIN)))
     doc = np.searchsorted(block.starts, at, side="right") - 1
     index = (hashed >> np.uint64(7)).astype(np.int64) & ((1 << BITS) - 1)
     key, n = np.unique((doc << BITS) | index, return_counts=True)
@@ -81,7 +89,7 @@ class Model:
         share = np.cumsum(grade_of[::-1])[::-1][1:] / grade_of.sum()
         self.thresholds = -np.log(share / (1 - share))
         t_sum, w_sum = np.ones(GRADES - 1), np.full(1 << BITS, 1e-3)
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS // max(1, -(-len(grades) // BATCH))))):
             order = rng.permutation(len(grades))
             for at in range(0, len(order), BATCH):
                 own = order[at : at + BATCH]
@@ -139,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Model
         model = Model().fit(part["grade"].to_numpy(np.int64), indexes, values)
         return pd.DataFrame({"weights": [model.weights.astype(np.float32).tobytes()], "thresholds": [model.thresholds.tobytes()]})
 
-    got = training_rows(docs, labels, limit).groupBy(F.lit(0)).applyInPandas(fit, "weights binary, thresholds binary").collect()
+    got = training_rows(docs, labels, limit).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "weights binary, thresholds binary").collect()
     if not got:
         return None
     return Model(np.frombuffer(got[0]["weights"], np.float32).astype(np.float64), np.frombuffer(got[0]["thresholds"], np.float64))
@@ -164,7 +172,7 @@ def scored(spark: SparkSession, model: Model | None):
         join = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0))
         return pa.StructArray.from_arrays([join(grade), join(top)], ["expected_grade", "top_chance"])
 
-    # the annotations are strings here, so the kind of function is named
+    # arrow_udf reads the kind of function from types, and annotations in this module are strings
     score.__annotations__ = {"text": pa.Array, "return": pa.Array}
     return F.arrow_udf(score, "expected_grade double, top_chance double")
 

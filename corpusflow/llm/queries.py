@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, decontaminate, lines, packing, simhash
+from . import chunks, collisions, decontaminate, lines, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_collisions": collisions.op1_collisions,
     "op3_simhash": simhash.op3_simhash,
     "op4_pack": packing.op4_pack,
+    "op6_quality": quality.op6_quality,
     "op7_chunks": chunks.op7_chunks,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_lines": lines.op10_lines,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_collisions": collisions.ORACLE_SQL,
     "op9_decontaminate": decontaminate.ORACLE_SQL,
     "op10_lines": lines.ORACLE_SQL,
 }
