@@ -177,9 +177,9 @@ def scored(spark: SparkSession, model: Model | None):
     return F.arrow_udf(score, "expected_grade double, top_chance double")
 
 
-def select(docs: DataFrame, labels: DataFrame, keep: float = KEEP, limit: int = TRAIN_ROWS) -> DataFrame:
-    """docs whose chance of the top grade is at least `keep`; all columns."""
-    score = scored(docs.sparkSession, train(docs, labels, limit))
+def select(docs: DataFrame, labels: DataFrame, train_on: DataFrame | None = None, keep: float = KEEP, limit: int = TRAIN_ROWS) -> DataFrame:
+    """docs whose chance of the top grade is at least `keep`; all columns. The model is fitted on train_on, else on docs."""
+    score = scored(docs.sparkSession, train(docs if train_on is None else train_on, labels, limit))
     return docs.where(score(F.col("text"))["top_chance"] >= keep)
 
 
