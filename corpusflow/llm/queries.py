@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, lines, packing, quality, simhash
+from . import chunks, collisions, decontaminate, lines, packing, quality, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
+    "op2_suffixes": suffixes.op2_suffixes,
     "op3_simhash": simhash.op3_simhash,
     "op4_pack": packing.op4_pack,
     "op6_quality": quality.op6_quality,
