@@ -78,7 +78,7 @@ def blocks(
             j = min(j, len(ids))
             buf = np.frombuffer(sep.join([data[a:b] for a, b in zip(offs[i:j], offs[i + 1 : j + 1])]), np.uint8)
             lens = offs[i + 1 : j + 1] - offs[i:j]
-            starts = offs[i:j] - offs[i] + np.arange(j - i)
+            starts = offs[i:j] - offs[i] + np.arange(j - i) * len(sep)
             yield Block(ids[i:j], buf, starts, starts + lens)
             i = j
 

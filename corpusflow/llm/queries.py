@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, lines, packing, quality, simhash, suffixes
+from . import chunks, collisions, decontaminate, lines, mixing, packing, quality, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pack": packing.op4_pack,
     "op6_quality": quality.op6_quality,
     "op7_chunks": chunks.op7_chunks,
+    "op8_mixing": mixing.op8_mixing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_lines": lines.op10_lines,
 }
