@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 << 20
 
 
+#: Rows of an Arrow batch: texts may be long, and a batch is held by the JVM and by Python.
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -112,13 +117,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bytes that span_hashes() takes at once.
+PIECE = 1 << 20
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hashes of buf[start:end], by prefix sums of a polynomial over random byte values."""
-    n = len(buf)
-    pre = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER_VALUES if lower else _VALUES)[buf] * _table_of_powers(_BASE, n), out=pre[1:])
-    h = (pre[ends] - pre[starts]) * _table_of_powers(_BASE_INV, n + 1)[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    """64-bit hashes of buf[start:end], by prefix sums of a polynomial over random byte values; starts in order."""
+    values = _LOWER_VALUES if lower else _VALUES
+    h, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = int(np.searchsorted(starts, lo + PIECE))
+        j = max(j, i + 1)
+        s, e = starts[i:j] - lo, ends[i:j] - lo
+        n = int(e.max())
+        pre = np.zeros(n + 1, np.uint64)
+        np.cumsum(values[buf[lo : lo + n]] * _table_of_powers(_BASE, n), out=pre[1:])
+        h[i:j] = (pre[e] - pre[s]) * _table_of_powers(_BASE_INV, n + 1)[s] + (e - s).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+        i = j
+    return mix(h)
 
 
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
