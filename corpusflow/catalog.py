@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans import queries
+
+QUERIES = dict(queries.QUERIES)
+ORACLES = dict(queries.ORACLES)
