@@ -30,8 +30,9 @@ from .common import blocks, materialise, table
 
 CAPACITY = 4096
 END = 1
-OPEN_BINS = 1024
-CACHE = 200_000
+OPEN_BINS = 16384
+CACHE = 1_200_000
+SEPARATOR, MARKS = "7", ".,"
 #: A packer's share: tokens, and pieces.
 SHARE_TOKENS, SHARE_PIECES = 16 << 20, 500_000
 
@@ -48,22 +49,99 @@ def _tokenizer(path: str):
 
         _tokenizers.clear()
         _cache.clear()
-        _tokenizers[path] = Tokenizer.from_file(path)
+        whole = Tokenizer.from_file(path)
+        _tokenizers[path] = whole, _bare(whole)
     return _tokenizers[path]
 
 
+def _lowered(text: str) -> str:
+    """The tokenizer lowers all letters; where that is the same before its normal form (Latin-1, no special token) it comes first."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: visible ones for themselves, the others from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _bare(tokenizer):
+    """The tokenizer's model alone, over words that its normal form and its splitting would leave as they are."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    return bare
+
+
+def _encoded(parts: list[str], tokenizer, letters: dict[int, str] | None = None) -> list[str]:
+    """Put the ids of the parts into the cache, many at a time with a digit between them: each digit is a token of its own,
+    so the ids fall apart at it. Gives back the parts for which that failed."""
+    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    (cut,) = encode([SEPARATOR], add_special_tokens=False)[0].ids
+    lots, failed = [parts[i : i + 1024] for i in range(0, len(parts), 1024)], []
+    for i in range(0, len(lots), 16):
+        some = lots[i : i + 16]
+        joined = [f" {SEPARATOR} ".join(lot) for lot in some]
+        if letters is not None:
+            joined = [t if t.isascii() else " ".join(w.encode().decode("latin-1").translate(letters) for w in t.split(" ")) for t in joined]
+        for lot, e in zip(some, encode(joined, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            at = np.flatnonzero(ids == cut)
+            if len(at) != len(lot) - 1:
+                failed += lot
+                continue
+            raw = ids.tobytes()
+            _cache.update(zip(lot, [raw[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(raw)])]))
+    return failed
+
+
+def _learn(parts: list[str], tokenizer, bare) -> None:
+    """Put the ids of new parts into the cache.
+
+    Most parts are letters with a full stop or comma at most, which the tokenizer parts from them; of those only the letters
+    are encoded, by its model alone if they are Latin-1 in lower case. All others go through the whole tokenizer.
+    """
+    words, tailed, others = set(), [], []
+    for p in parts:
+        if p.isalpha():
+            words.add(p)
+        elif p[:-1].isalpha() and p[-1] in MARKS:
+            tailed.append(p)
+            words.add(p[:-1])
+        else:
+            others.append(p)
+    plain, odd = [], []
+    for w in words.difference(_cache):
+        (plain if w.isascii() or max(w) <= "\xff" else odd).append(w)
+    if any(w != w.lower() for w in plain):
+        odd += [w for w in plain if w != w.lower()]
+        plain = [w for w in plain if w == w.lower()]
+    others += _encoded(plain, bare, _LETTERS) + odd
+    alone = [p for p in others if SEPARATOR in p]
+    alone += _encoded([p for p in others if SEPARATOR not in p], tokenizer)
+    alone += [m for m in MARKS if m not in _cache]
+    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    for i in range(0, len(alone), 4096):
+        _cache.update(zip(alone[i : i + 4096], [np.array(e.ids, "<u4").tobytes() for e in encode(alone[i : i + 4096], add_special_tokens=False)]))
+    _cache.update([(p, _cache[p[:-1]] + _cache[p[-1]]) for p in tailed])
+
+
 def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
     """The ids of each text, little-endian and unsigned, 32 bits each."""
-    tokenizer = _tokenizer(path)
-    parts = [t.replace("\n", " ").split(" ") for t in texts]
+    tokenizer, bare = _tokenizer(path)
+    parts = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
     if len(_cache) > CACHE:
         _cache.clear()
-    new = list({p: None for ps in parts for p in ps if p not in _cache})
-    encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    for i in range(0, len(new), 4096):
-        some = new[i : i + 4096]
-        for p, e in zip(some, encode(some, add_special_tokens=False)):
-            _cache[p] = np.array(e.ids, "<u4").tobytes()
+    _learn(list(set().union(*parts).difference(_cache)), tokenizer, bare)
     for ps in parts:
         yield b"".join(map(_cache.__getitem__, ps))
 
