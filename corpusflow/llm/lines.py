@@ -23,28 +23,32 @@ MIN_CONTEXTS = 20
 LG_K = 11
 #: Estimates within this share of a threshold are counted exactly; over ten standard errors.
 NEAR = 0.2
-BLANK = r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$"
+BLANK = " \t\n\x0b\x0c\r"
 
 
 def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, BLANK, "")
+    return F.btrim(line, F.lit(BLANK))
+
+
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(line, site, context): hashes, a row for each line that is not blank."""
-    lines = docs.select(
-        F.coalesce(F.xxhash64(F.struct("source")), F.lit(0)).alias("site"),
-        F.transform(F.split("text", "\n"), trimmed).alias("lines"),
-    ).where("lines is not null")
-    hashed = lines.select("site", F.transform("lines", lambda x: F.when(x != "", F.xxhash64(x))).alias("h"))
-    near = F.transform("h", lambda x, i: F.when(x.isNotNull(), F.struct(x.alias("line"), F.xxhash64(F.get("h", i - 1), F.get("h", i + 1)).alias("context"))))
-    each = hashed.select("site", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x"))
-    return each.select("x.line", "site", "x.context")
-
-
-def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_contexts: int = MIN_CONTEXTS, lg_k: int = LG_K) -> DataFrame:
-    """(line, n_sites, n_contexts, n): the hashes of boilerplate lines; counts are exact near a threshold, else estimates."""
-    each = occurrences(docs)
+    """(row, line, site, context): hashes, a row for each line that is not blank. A written table: texts are split and hashed once."""
+    lines = docs.where("text is not null").select(
+        row_key().alias("row"),
+        F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\x01"))).alias("site"),
+        F.transform(F.split("text", "\n"), lambda x: F.xxhash64(F.nullif(trimmed(x), F.lit("")))).alias("h"),
+    )
+    blank = F.xxhash64(F.lit(None).cast("string"))
+    each = lines.select("row", "site", F.posexplode("h").alias("i", "line"), "h").where(F.col("line") != blank)
+    context = F.xxhash64(F.get("h", F.col("i") - 1), F.get("h", F.col("i") + 1))
+    return materialise(each.select("row", "line", "site", context.alias("context")))
+
+
+def boilerplate(each: DataFrame, min_sites: int = MIN_SITES, min_contexts: int = MIN_CONTEXTS, lg_k: int = LG_K) -> DataFrame:
+    """(line, n_sites, n_contexts) of the boilerplate among the lines of occurrences(); counts are exact near a threshold, else estimates."""
     # rarer lines can't be spread that far: most lines go before any sketch is made
     often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("s0"), F.max("site").alias("s1"))
     often = materialise(often.where((F.col("n") >= max(min_sites, min_contexts)) & (F.col("s0") < F.col("s1"))).select(F.col("line").alias("l"), "n"))
@@ -69,31 +73,35 @@ def _distinct(pairs: DataFrame, what: str, name: str) -> DataFrame:
     return pairs.select("line", what).distinct().groupBy("line").agg(F.count("*").alias(name))
 
 
-def remove_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with text cut and the column __removed (lines cut); lines: (line)."""
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    found = keyed.select("__row", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.xxhash64(trimmed(x))))).alias("__line"))
+def remove_lines(docs: DataFrame, each: DataFrame, lines: DataFrame) -> DataFrame:
+    """docs with text cut and the column __removed (lines cut); each: occurrences(docs); lines: (line)."""
     bad = lines.select(F.col("line").alias("__l")).distinct()
-    hits = found.join(bad, found["__line"] == bad["__l"]).groupBy(F.col("__row").alias("__r")).agg(F.collect_set("__line").alias("__bad"))
-    joined = keyed.join(hits, keyed["__row"] == hits["__r"], "left")
+    hits = each.select("row", "line").join(bad, F.col("line") == F.col("__l")).groupBy(F.col("row").alias("__r")).agg(F.collect_set("line").alias("__bad"))
+    keyed = docs.withColumn("__row", row_key())
+    joined = keyed.join(hits, F.col("__row") == F.col("__r"), "left")
     split = F.split("text", "\n")
-    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(trimmed(x))))
-    hit = F.col("__bad").isNotNull() & F.col("text").isNotNull()
+    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(F.nullif(trimmed(x), F.lit("")))))
+    hit = F.col("__bad").isNotNull()
     out = joined.withColumn("__kept", F.when(hit, kept))
     text = F.when(hit, F.array_join("__kept", "\n")).otherwise(F.col("text"))
     removed = F.when(hit, F.size(split) - F.size("__kept")).otherwise(0).cast("long")
     return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.alias("__removed"))
 
 
+def _cut(docs: DataFrame, **parameters) -> DataFrame:
+    each = occurrences(docs)
+    return remove_lines(docs, each, boilerplate(each, **parameters))
+
+
 def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
     """docs without their boilerplate lines; all rows and columns stay."""
-    return remove_lines(docs, boilerplate(docs, **parameters)).drop("__removed")
+    return _cut(docs, **parameters).drop("__removed")
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = remove_lines(docs, boilerplate(docs))
-    return out.select("doc_id", F.col("__removed").alias("n_removed"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    out = _cut(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", F.col("__removed").alias("n_removed"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("kept_sha256"))
 
 
 ORACLE_SQL = rf"""
