@@ -246,13 +246,13 @@ def unseen_ids(spark, d):
 
 # --- intervals -------------------------------------------------------------------------------
 
-_CLIPS = "select u source_id, c.i * 1000 + u clip, c.i * 600.0 clip_start, c.i * 600.0 + 400.0 clip_end from (select distinct user_id u from events), (select unnest(range(0, 9)) i) c"
+_CLIPS = "select u source_id, c.i * 1000 + u clip, c.i * 600.0 clip_start, c.i * 600.0 + 437.0 clip_end from (select distinct user_id u from events), (select unnest(range(0, 9)) i) c"
 
 
 def _clips(spark, d):
     users = table(spark, d, "events").select(F.col("user_id").alias("source_id")).distinct()
     c = users.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(8))))
-    return c.select("source_id", (F.col("i") * 1000 + F.col("source_id")).alias("clip"), (F.col("i") * 600.0).alias("clip_start"), (F.col("i") * 600.0 + 400.0).alias("clip_end"))
+    return c.select("source_id", (F.col("i") * 1000 + F.col("source_id")).alias("clip"), (F.col("i") * 600.0).alias("clip_start"), (F.col("i") * 600.0 + 437.0).alias("clip_end"))
 
 
 @query(f"""
@@ -260,7 +260,7 @@ with g as ({SEGMENTS_SQL}), c as ({_CLIPS}), o as (
   select c.*, greatest(clip_start, seg_start) s, least(clip_end, seg_end) e, speaker from c join g using (source_id) where greatest(clip_start, seg_start) < least(clip_end, seg_end)
 ), r as (select *, max(e) over (partition by clip order by s, e rows between unbounded preceding and 1 preceding) b from o
 ), m as (select clip, sum(greatest(s - coalesce(b, clip_start), 0)) + any_value(clip_end) - max(e) gaps, greatest(max(greatest(s - coalesce(b, clip_start), 0)), any_value(clip_end) - max(e)) gap, count(distinct speaker) n from r group by clip)
-select c.clip, round_even(coalesce(gaps / 400.0 * 100, 100), 2) silence_percent, round_even(coalesce(gap, 400.0), 2) max_silence_duration, coalesce(n, 0)::bigint n_speakers from c left join m on m.clip = c.clip
+select c.clip, round_even(coalesce(gaps / 437.0 * 100, 100), 2) silence_percent, round_even(coalesce(gap, 437.0), 2) max_silence_duration, coalesce(n, 0)::bigint n_speakers from c left join m on m.clip = c.clip
 """)
 def speech_union_metrics(spark, d):
     return intervals.clip_metrics(_clips(spark, d), segments(spark, d), "source_id", "clip")
