@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, lines, mixing, packing, quality, simhash, suffixes
+from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, quality, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
     "op2_suffixes": suffixes.op2_suffixes,
     "op3_simhash": simhash.op3_simhash,
     "op4_pack": packing.op4_pack,
+    "op5_licenses": licenses.op5_licenses,
     "op6_quality": quality.op6_quality,
     "op7_chunks": chunks.op7_chunks,
     "op8_mixing": mixing.op8_mixing,
