@@ -1,6 +1,6 @@
 """Exact substring dedup by merging Burrows-Wheeler transforms of shards.
 
-Every 50-byte string of a text belongs to the fragment around its minimizer (the 24 bytes with the smallest hash
+Every 50-byte string of a text belongs to the fragment around its minimizer (the 16 bytes with the smallest hash
 in it); equal strings have equal minimizers, so fragments dealt by minimizer bring all equal strings together, in
 buckets that are independent of each other. In a bucket the fragments that can share a string with another document
 are kept by the shard that they come from; each shard sorts its own suffixes and has its transform. The transforms
@@ -33,9 +33,9 @@ from .spans import remove
 
 LENGTH = 50
 #: Bytes of a minimizer; a multiple of 8.
-MINIMIZER = 24
+MINIMIZER = 16
 #: Text of a task that settles its own repeats; text of a bucket; shards whose transforms are merged in a bucket.
-WINDOW_BYTES, BUCKET_BYTES, SHARDS = 48 << 20, 12 << 20, 16
+WINDOW_BYTES, BUCKET_BYTES, SHARDS = 20 << 20, 6 << 20, 16
 
 SENT = "bucket int, kind int, shard int, blob binary"
 SPANS = "doc_id long, s int, e int"
@@ -177,7 +177,7 @@ def _send(buckets: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() if TaskContext.get() else 0
         window, size = [], 0
-        for block in blocks(batches):
+        for block in blocks(batches, 1 << 20):
             window.append((block, fragments(block, length)))
             size += len(block.buf)
             if size >= WINDOW_BYTES:
@@ -305,7 +305,7 @@ def bucket_spans(parts: list[dict[str, np.ndarray]], shard_of: list[int], length
     group = np.repeat(np.arange(len(first)), sizes)
     chosen = head[np.concatenate(([True], group[head][1:] != group[head][:-1]))]
     reps = order[chosen]
-    # a string of 50 bytes has 13 bytes before or after its minimizer
+    # a string has half of what is not its minimizer before or after it
     side = (length - MINIMIZER + 1) // 2
     sa, sm, ss = at[reps], mark[reps], size[reps]
     keep = np.zeros(len(reps), bool)
