@@ -171,7 +171,10 @@ def _join_runs(runs: DataFrame, source: str, gap: float, limited: bool) -> DataF
 def median_filter(frames: DataFrame, source: str, width: int) -> DataFrame:
     """p as the median of `width` frames around each."""
     w = Window.partitionBy(source, "speaker").orderBy("frame").rowsBetween(-(width // 2), width // 2)
-    return frames.withColumn("p", F.median("p").over(w))
+    near = frames.withColumn("__near", F.array_sort(F.collect_list("p").over(w)))  # median() takes no moving frame
+    n = F.size("__near")
+    middle = (F.get("__near", F.floor((n - 1) / 2).cast("int")) + F.get("__near", F.floor(n / 2).cast("int"))) / 2
+    return near.withColumn("p", middle).drop("__near")
 
 
 def word_times(chars: DataFrame, clip: str, tokens: str, times: str) -> DataFrame:

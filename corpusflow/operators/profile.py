@@ -98,15 +98,19 @@ def quantile_grid(df: DataFrame, metrics: Sequence[str], steps: int = 10, digits
 
 def correlations(df: DataFrame, metrics: Sequence[str], digits: int = 6) -> DataFrame:
     """(metric_a, metric_b, corr) of pairwise complete rows, for metrics with more than one value; one aggregation."""
-    from .filters import finite  # noqa: F401
-
     good = {m: F.when(~F.isnan(F.col(m).cast("double")) & (F.abs(F.col(m).cast("double")) < float("inf")), F.col(m).cast("double")) for m in metrics}
     pairs = [(a, b) for i, a in enumerate(metrics) for b in metrics[i:]]
-    one = df.select(*[v.alias(m) for m, v in good.items()]).agg(*[(F.max(m) > F.min(m)).alias(f"v_{m}") for m in metrics], *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.select(*[v.alias(m) for m, v in good.items()]).agg(*[(F.max(m) > F.min(m)).alias(f"v_{m}") for m in metrics], *[_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     rows = F.array(*[F.struct(F.lit(x).alias("metric_a"), F.lit(y).alias("metric_b"), (F.col(f"v_{a}") & F.col(f"v_{b}")).alias("ok"), F.col(f"`{a}|{b}`").alias("c")) for a, b in pairs for x, y in dict.fromkeys([(a, b), (b, a)])])
     return one.select(F.explode(rows).alias("x")).where("x.ok").select("x.metric_a", "x.metric_b", F.round("x.c", digits).alias("corr"))
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson's correlation; null for a constant (corr() divides by zero there)."""
+    both = F.stddev_samp(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_samp(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.covar_samp(a, b) / F.nullif(both, F.lit(0.0))
+
+
 def categories(df: DataFrame, columns: Sequence[str], top: int = 50) -> DataFrame:
     """(column, value, n, percent) of each column's most common values; null is <NA>.
 

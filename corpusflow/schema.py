@@ -28,22 +28,27 @@ MANIFEST = T.StructType(
         T.StructField("denoised", T.BooleanType()),
     ]
 )
-AUDIT = T.StructType.fromDDL(
-    "timestamp string, stage string, files_in long, files_out long, hours_in double, hours_out double, hours_removed double, params string"
-)
-STATUS = T.StructType.fromDDL("stage string, finished_at string, total long, errors long, error_details array<map<string,string>>")
-SIDECAR = T.StructType.fromDDL("filepath string, kind string, text string")
-CANDIDATE = T.StructType.fromDDL("filepath string, model string, text string")
-SEGMENT = T.StructType.fromDDL("source_id string, pos int, seg_start double, seg_end double, speaker int, prediction int")
-TRACK = T.StructType.fromDDL(
-    "audio_id string, track_id string, album_id string, title string, artists array<string>, duration_ms long, short_description string, "
-    "source_type string, source_id string, source_title string, source_url string, album struct<id:string,title:string,url:string>, track_url string, parsed_at string"
-)
-RESOURCE_SAMPLE = T.StructType.fromDDL(
-    "timestamp_utc string, process_count long, cpu_percent_raw double, cpu_util_percent double, cpu_cores_used double, rss_bytes long, rss_gb double, "
-    "system_cpu_percent double, system_ram_used_gb double, system_ram_percent double, "
-    "gpus array<struct<index:int,gpu_util_percent:double,memory_used_mb:double,memory_total_mb:double>>"
-)
+
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
+
+_S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+
+AUDIT = _struct(timestamp=_S, stage=_S, files_in=_L, files_out=_L, hours_in=_D, hours_out=_D, hours_removed=_D, params=_S)
+STATUS = _struct(stage=_S, finished_at=_S, total=_L, errors=_L, error_details=T.ArrayType(T.MapType(_S, _S)))
+SIDECAR = _struct(filepath=_S, kind=_S, text=_S)
+CANDIDATE = _struct(filepath=_S, model=_S, text=_S)
+SEGMENT = _struct(source_id=_S, pos=_I, seg_start=_D, seg_end=_D, speaker=_I, prediction=_I)
+TRACK = _struct(
+    audio_id=_S, track_id=_S, album_id=_S, title=_S, artists=T.ArrayType(_S), duration_ms=_L, short_description=_S, source_type=_S, source_id=_S,
+    source_title=_S, source_url=_S, album=_struct(id=_S, title=_S, url=_S), track_url=_S, parsed_at=_S,
+)
+RESOURCE_SAMPLE = _struct(
+    timestamp_utc=_S, process_count=_L, cpu_percent_raw=_D, cpu_util_percent=_D, cpu_cores_used=_D, rss_bytes=_L, rss_gb=_D, system_cpu_percent=_D,
+    system_ram_used_gb=_D, system_ram_percent=_D, gpus=T.ArrayType(_struct(index=_I, gpu_util_percent=_D, memory_used_mb=_D, memory_total_mb=_D)),
+)
 
 
 def ordered(df: DataFrame) -> DataFrame:
