@@ -23,7 +23,7 @@ def test_entry(spark):
 
 def rows(frame):
     def plain(v):
-        if v is None or v != v or str(v) == "<NA>":
+        if v is None or str(v) in ("<NA>", "nan", "NaT"):
             return "~"
         if isinstance(v, bool) or type(v).__name__ == "bool_":
             return str(bool(v))
