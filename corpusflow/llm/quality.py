@@ -28,10 +28,12 @@ from .common import ALNUM, LOWER, SPACED, Block, blocks, runs, span_hashes, tabl
 TRAIN_ROWS = 8192
 BITS = 18
 GRADES = 3
+#: Documents of the sample that must have a feature for it to count.
+SEEN = 4
 #: Passes over the sample: at least EPOCHS, and as many as make STEPS steps.
-EPOCHS, STEPS, BATCH, RATE, DECAY = 30, 2000, 64, 0.5, 1e-6
+EPOCHS, STEPS, BATCH, RATE, DECAY = 30, 2000, 64, 0.5, 1e-4
 #: A document stays if its chance of the top grade is at least this.
-KEEP = 0.6
+KEEP = 0.7
 SEED = 5
 
 #: Bytes of a word's beginning that make a feature.
@@ -85,6 +87,8 @@ class Model:
     def fit(self, grades: np.ndarray, indexes: list[np.ndarray], values: list[np.ndarray]) -> Model:
         """AdaGrad on the likelihood of each grade; thresholds stay ordered."""
         rng = np.random.Generator(np.random.PCG64(SEED))
+        seen = np.bincount(np.concatenate(indexes), minlength=1 << BITS) >= SEEN  # rarer features only tell rows apart
+        indexes, values = [i[seen[i]] for i in indexes], [v[seen[i]] for i, v in zip(indexes, values)]
         grade_of = np.bincount(grades, minlength=GRADES) + 1
         share = np.cumsum(grade_of[::-1])[::-1][1:] / grade_of.sum()
         self.thresholds = -np.log(share / (1 - share))
