@@ -31,9 +31,11 @@ GRADES = 3
 #: Documents of the sample that must have a feature for it to count.
 SEEN = 4
 #: Passes over the sample: at least EPOCHS, and as many as make STEPS steps.
-EPOCHS, STEPS, BATCH, RATE, DECAY = 30, 2000, 64, 0.5, 1e-4
+EPOCHS, STEPS, BATCH, RATE = 30, 2000, 64, 0.5
+#: Inverse variance of the weights' prior: shared by the rows of the sample, so it counts less the more there are.
+PRIOR = 0.25
 #: A document stays if its chance of the top grade is at least this.
-KEEP = 0.7
+KEEP = 0.6
 SEED = 5
 
 #: Bytes of a word's beginning that make a feature.
@@ -108,7 +110,7 @@ class Model:
                 d_hi, d_lo = hi * (1 - hi) / chance, lo * (1 - lo) / chance
                 step = (d_hi - d_lo)[rows] * value / len(own)
                 used, back = np.unique(index, return_inverse=True)
-                grad = np.bincount(back, step) - DECAY * self.weights[used]
+                grad = np.bincount(back, step) - PRIOR / len(grades) * self.weights[used]
                 w_sum[used] += grad**2
                 self.weights[used] += RATE * grad / np.sqrt(w_sum[used])
                 t_grad = np.zeros(GRADES + 1)
