@@ -128,3 +128,17 @@ def trim_percentiles(df: DataFrame, column: str, low: float = 0.01, high: float
     own = finite(df, column)
     edges = own.agg(F.percentile(column, F.array(F.lit(low), F.lit(high))).alias("__q")).select(F.get("__q", F.lit(0)).alias("__lo"), F.get("__q", F.lit(1)).alias("__hi"))
     return own.crossJoin(F.broadcast(edges)).where(F.col(column).between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
+
+
+def resolve_threshold(given: float | None = None, configured: float | None = None, manual: bool = False) -> float:
+    """The threshold of a run: the one given, else, unless a manual run is asked for, the configured one. Nothing is prompted for."""
+    if given is not None:
+        return given
+    if configured is not None and not manual:
+        return configured
+    raise ValueError("a manual run needs a threshold" if manual else "no threshold is given or configured")
+
+
+def class_of(probability: Column, threshold: float = 0.4) -> Column:
+    """1 above the threshold."""
+    return (probability > threshold).cast("int")

@@ -134,14 +134,26 @@ def quantile_buckets(df: DataFrame, rate: str, buckets: int, values: Sequence[st
 
 
 def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., value, n, y) of each distinct value: the share of rows at or below it.
+    """(by..., value, n, y_first, y) of each distinct value: the places of its first and last row, spaced evenly from 0 to 1.
 
     Values are counted first, so the running sum goes over distinct values; without `by` all of them meet in one task.
     """
     n = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*by, value).agg(F.count("*").alias("n"))
     w = Window.partitionBy(*by)
     run = F.sum("n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    return n.withColumn("y", F.round(run / F.sum("n").over(w), 6))
+    last = F.greatest(F.sum("n").over(w) - 1, F.lit(1))
+    return n.withColumns({"y_first": F.round((run - F.col("n")) / last, 6), "y": F.round((run - 1) / last, 6)})
+
+
+def rollup(df: DataFrame, by: Sequence[str], columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """avg, max and min of each column; nulls don't count, and of nothing all three are null."""
+    return df.groupBy(*by).agg(*[a for c in columns for a in (F.round(F.avg(c), digits).alias(f"{c}_avg"), F.max(c).alias(f"{c}_max"), F.min(c).alias(f"{c}_min"))])
+
+
+def per_device(samples: DataFrame, devices: str, columns: Sequence[str]) -> DataFrame:
+    """The same for each device of a nested list."""
+    each = samples.select(F.explode(devices).alias("x")).select("x.*")
+    return rollup(each, ["index"], columns)
 
 
 def overview(df: DataFrame, duration: str, text: str) -> DataFrame:

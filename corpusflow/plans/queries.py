@@ -534,7 +534,8 @@ def speech_rate(spark, d):
 
 
 @query("""
-select event_type, round("value", 6) "value", n, round(sum(n) over (partition by event_type order by "value" rows unbounded preceding) / sum(n) over (partition by event_type), 6) y from (select event_type, "value", count(*) n from events group by 1, 2)
+select event_type, "value", n, round((c - n) / greatest(t - 1, 1), 6) y_first, round((c - 1) / greatest(t - 1, 1), 6) y
+from (select event_type, "value", n, sum(n) over (partition by event_type order by "value" rows unbounded preceding) c, sum(n) over (partition by event_type) t from (select event_type, "value", count(*) n from events group by 1, 2))
 """)
 def ecdf(spark, d):
     return profile.ecdf(table(spark, d, "events"), "value", ["event_type"])
@@ -552,7 +553,7 @@ select user_id % 10 grp, round(avg(value), 6) value_avg, max(value) value_max, m
 """)
 def resource_rollup(spark, d):
     e = table(spark, d, "events").select((F.col("user_id") % 10).alias("grp"), "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
-    return e.groupBy("grp").agg(*[x for c in ("value", "k") for x in (F.round(F.avg(c), 6).alias(f"{c}_avg"), F.max(c).alias(f"{c}_max"), F.min(c).alias(f"{c}_min"))])
+    return profile.rollup(e, ["grp"], ["value", "k"])
 
 
 # --- scalars ---------------------------------------------------------------------------------
@@ -676,3 +677,160 @@ select sum(l_quantity) / 3600 "hours", count(distinct l_orderkey)::bigint tasks
 """)
 def totals(spark, d):
     return table(spark, d, "lineitem").agg((F.sum("l_quantity") / 3600).alias("hours"), F.count_distinct("l_orderkey").alias("tasks"))
+
+
+# --- the other scalars and operators ---------------------------------------------------------
+
+
+@query("""
+select user_id % 4 "index", round(avg(value), 6) value_avg, max(value) value_max, min(value) value_min from events group by 1
+""")
+def per_device_rollup(spark, d):
+    e = table(spark, d, "events").groupBy(F.floor(F.col("event_id") / 8).alias("s")).agg(F.collect_list(F.struct((F.col("user_id") % 4).alias("index"), "value")).alias("gpus"))
+    return profile.per_device(e, "gpus", ["value"])
+
+
+@query("""
+select page_id, regexp_extract(url, '([^/]*)$', 1) file_name, regexp_replace(regexp_extract(url, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1') stem, lower(regexp_extract(regexp_extract(url, '([^/]*)$', 1), '.\\.([^.]*)$', 1)) suffix,
+  regexp_extract(url, '^(.*)/[^/]*$', 1) parent, replace(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1'), '.', '_') shard_key,
+  regexp_extract(url, '^(.*)/[^/]*$', 1) || '/' || regexp_replace(regexp_extract(url, '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1') || '_rover.txt' sidecar from pages
+""")
+def path_parts(spark, d):
+    u = F.col("url")
+    parts = {"file_name": paths.file_name(u), "stem": paths.stem(u), "suffix": paths.suffix(u), "parent": paths.parent(u), "shard_key": paths.shard_key(u), "sidecar": paths.sidecar(u, "rover")}
+    return table(spark, d, "pages").select("page_id", *[c.alias(n) for n, c in parts.items()])
+
+
+@query("""
+select event_id, printf('%.2f_%.2f_%s_%s.%s', value, value + 1, event_type, cast(user_id as varchar), case when event_type in ('view') then 'flac' else 'ogg' end) "name" from events
+""")
+def chunk_names(spark, d):
+    ext = paths.container(F.when(F.col("event_type") == "view", ".xyz").otherwise(".OGG"))
+    e = table(spark, d, "events")
+    return e.select("event_id", paths.chunk_name(F.col("value"), F.col("value") + 1, F.col("event_type"), F.col("user_id").cast("string"), ext).alias("name"))
+
+
+@query("""
+select page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\p{Z}]+', ' ', 'g')) title from pages
+""")
+def page_titles(spark, d):
+    return table(spark, d, "pages").select("page_id", text.page_title(F.col("html")).alias("title"))
+
+
+@query("""
+select event_id, lower(trim(props)) in ('1', 'true', 'yes', 'y', 'on') or event_type = 'view' yes, try_cast(json_extract_string(props, '$.k') as double) > 0 positive, bar bucket, case when value > 50 then 1 else 0 end cls
+from (select *, case when value <= 0 then 0 when value <= 100 then least(floor(value / 7.0), 14) else 15 end::int bar from events)
+""")
+def scalar_rules(spark, d):
+    e = table(spark, d, "events")
+    yes = text.truthy(F.when(F.col("event_type") == "view", " YES ").otherwise(F.col("props")))
+    pos = numeric.positive(F.get_json_object("props", "$.k"))
+    return e.select("event_id", yes.alias("yes"), F.coalesce(pos.isNotNull(), F.lit(False)).alias("positive"), numeric.bucket_index(F.col("value"), 7.0, 100.0).alias("bucket"), filters.class_of(F.col("value"), 50.0).alias("cls"))
+
+
+@query("""
+select vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (embedding[i]::double + embedding[65 - i]::double) / 2 * i)), 4) mono, round(list_sum(list_transform(embedding[45:64], lambda x: x::double)), 5) tail, len(embedding)::int + 16 padded,
+  list_sum(list_transform(embedding, lambda x: round_even(x::double / list_max(list_transform(embedding, lambda y: abs(y::double))) * 32767, 0)))::bigint ints from embeddings
+""")
+def signal_arrays(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double"))
+    mono = F.transform(numeric.mono(F.array(e, F.reverse(e))), lambda x, i: x * (i + 1))
+    ints = F.aggregate(numeric.peak_int16(F.col("embedding")), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+    return table(spark, d, "embeddings").select("vec_id", F.round(total(mono), 4).alias("mono"), F.round(total(numeric.keep_last(e, 20)), 5).alias("tail"), F.size(numeric.keep_last(e, 80)).alias("padded"), ints.alias("ints"))
+
+
+@query(f"""
+with g as ({SEGMENTS_SQL}), c as ({_CLIPS}), o as (
+  select clip, greatest(clip_start, seg_start) s, least(clip_end, seg_end) e, speaker from c join g using (source_id) where greatest(clip_start, seg_start) < least(clip_end, seg_end)
+), f as (select clip, arg_min(speaker, (s, e, speaker)) sp, count(distinct speaker) n from o group by clip)
+select c.clip, coalesce(sp, -1)::int speaker_id, coalesce(n, 0) = 1 is_single_speaker from c left join f on f.clip = c.clip
+""")
+def clip_metadata(spark, d):
+    return intervals.clip_rows(_clips(spark, d), segments(spark, d), "source_id", "clip").select("clip", "speaker_id", "is_single_speaker")
+
+
+@query("""
+select doc_id, w::int "window", w * 900.0::double "offset", least(w * 900.0 + 900, n_chars)::double window_end from (select doc_id, n_chars, unnest(range(0, greatest(ceil(n_chars / 900.0), 1)::bigint)) w from documents)
+""")
+def diarization_windows(spark, d):
+    x = table(spark, d, "documents").select("doc_id", F.col("n_chars").cast("double").alias("dur"))
+    return intervals.windows(x, "doc_id", "dur").select("doc_id", "window", "offset", "window_end")
+
+
+@query(f"""
+with g as ({SEGMENTS_SQL}) select source_id, pos, round(least(seg_end, 3000), 6) e from g where least(seg_end, 3000) - seg_start > 0.5
+""")
+def clamp_to_source(spark, d):
+    g = segments(spark, d).withColumnsRenamed({"seg_start": "clip_start", "seg_end": "clip_end"}).withColumn("dur", F.lit(3000.0))
+    return intervals.clamp(g, "dur").select("source_id", "pos", F.round("clip_end", 6).alias("e"))
+
+
+@query("""
+with f as (select vec_id source, unnest(range(0, 64)) frame, unnest(embedding)::double p from embeddings)
+select source, frame::int frame, round(median(p) over (partition by source order by frame rows between 2 preceding and 2 following), 6) p from f
+""")
+def median_frames(spark, d):
+    f = table(spark, d, "embeddings").select(F.col("vec_id").alias("source"), F.posexplode(F.col("embedding").cast("array<double>")).alias("frame", "p"), F.lit(0).alias("speaker"))
+    return intervals.median_filter(f, "source", 5).select("source", "frame", F.round("p", 6).alias("p"))
+
+
+@query(f"""
+with a as ({AUDIT_SQL}), l as (select * from (select *, row_number() over (partition by stage order by "timestamp" desc, sequence desc) r from a) where r = 1)
+select stage, printf('%.2fh (%dh %dm)', hours_in, cast(floor(round(hours_in * 60) / 60) as bigint), cast(round(hours_in * 60) as bigint) % 60) hours_in, '`a=1`, `seq=' || sequence || '`' params from l
+""")
+def report_texts(spark, d):
+    r = report.stage_report(audit_log(spark, d))
+    params = F.to_json(F.struct(F.col("sequence").cast("string").alias("seq"), F.lit(1).alias("a")))
+    return r.select("stage", report.hours_text(F.col("hours_in")).alias("hours_in"), report.params_text(params).alias("params"))
+
+
+@query("""
+select l_suppkey, arg_max(l_partkey, (l_quantity, l_partkey)) link from (select l_suppkey, l_partkey, max(l_quantity) l_quantity from lineitem group by 1, 2) group by 1
+""")
+def best_links(spark, d):
+    l = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max("l_quantity").alias("q")).withColumn("bitrate", F.struct("q", "l_partkey"))  # noqa: E741
+    from ..sources.catalogue import best_link
+
+    return best_link(l, "l_suppkey", "l_partkey", "bitrate")
+
+
+@query("""
+select distinct case when page_id % 3 = 0 then url else 'https://h/' || page_id % 20 end url from pages
+""")
+def source_links(spark, d):
+    from ..sources.catalogue import source_urls
+
+    p = table(spark, d, "pages").select(F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise("").alias("url"), (F.col("page_id") % 20).cast("string").alias("id"))
+    return source_urls(p, "https://h/")
+
+
+@query("""
+select conv_id, (r - 1)::int pos, item from (select conv_id, text item, row_number() over (partition by conv_id order by turn) r from conversations) where r <= 3
+""")
+def expand_sources(spark, d):
+    from ..sources.catalogue import expand
+
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("items"))
+    return expand(c, "conv_id", "items", 3)
+
+
+@query("""
+select doc_id, lang, n_chars from documents
+""")
+def text_columns_dropped(spark, d):
+    x = table(spark, d, "documents").withColumnsRenamed({"source": "own_transcript"}).withColumn("a_timestamps", F.lit("x")).withColumn("ROVER", F.lit("y"))
+    return collate.drop_text(x)
+
+
+@query("""
+select doc_id, item_id from documents join (select item_id, unnest([item_id, item_id + 500]) k from benchmark) on doc_id = k
+""")
+def group_lookup(spark, d):
+    from ..sources.manifest import recover
+
+    have, _ = recover(
+        table(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("playlist_id"), F.lit("e").alias("podcast_id")),
+        table(spark, d, "benchmark").select(F.col("item_id").alias("path"), F.explode(F.array(F.col("item_id").cast("string"), (F.col("item_id") + 500).cast("string"))).alias("playlist_id"), F.lit("e").alias("podcast_id")),
+    )
+    return have.select("doc_id", F.col("source_path").alias("item_id"))

@@ -196,7 +196,7 @@ def test_profile(spark):
     q = profile.quantile_buckets(spark.createDataFrame([(float(x),) for x in (1, 1, 1, 2, 3)], ["r"]), "r", 2, ["r"]).orderBy("bucket").collect()
     assert sum(r["size"] for r in q) == 5
     e = [(r.v, r.y) for r in profile.ecdf(spark.createDataFrame([(1.0,), (1.0,), (3.0,), (None,)], "v double"), "v").orderBy("v").collect()]
-    assert e == [(1.0, 0.666667), (3.0, 1.0)]
+    assert e == [(1.0, 0.5), (3.0, 1.0)]
 
 
 def test_shards(spark):
@@ -217,3 +217,12 @@ def test_empty_tables(spark):
     assert filters.distribution(m, "crest_factor").first()["count"] == 0
     assert intervals.timeline(spark.createDataFrame([], SEG), "source_id").count() == 0
     assert report.missing(m).count() == 4
+
+
+def test_thresholds():
+    assert filters.resolve_threshold(2.0, 1.0, manual=True) == 2.0
+    assert filters.resolve_threshold(None, 1.0) == 1.0
+    with pytest.raises(ValueError, match="manual"):
+        filters.resolve_threshold(None, 1.0, manual=True)
+    with pytest.raises(ValueError, match="no threshold"):
+        filters.resolve_threshold()
