@@ -2,39 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import bucket_index, bucket_label
 from ..functions.text import is_missing
+from ..sinks.scratch import materialise
 
 SHARD_SIZE = 10_000
 
 
-def fixed_shards(df: DataFrame, path: str, *order: str, size: int = SHARD_SIZE, limit: int | None = None, groups: int = 64) -> DataFrame:
-    """df with shard numbers of `size` rows in the given order; blank paths go.
+def numbered(df: DataFrame, by: list[str], order: list[str], ranges: int = 64) -> DataFrame:
+    """df with __row: the row's number from 0 in its group, in the given order.
 
-    Row numbers are made in two steps, so no task sees all rows: ranks inside ranges of the order, and each range's offset from
-    the counts of those before it.
+    No task sees a whole group: rows are dealt into ranges of (group, order), ranked inside their range, and each range's start is the sum of
+    the counts before it. Ranges come from a sample, so they are written once; a second evaluation could draw others.
     """
+    ranged = df.repartitionByRange(ranges, *by, *order).withColumn("__part", F.spark_partition_id())
+    ranged = materialise(ranged)
+    counts = ranged.groupBy("__part", *by).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col("__part").alias("__p"), *[F.col(c).alias(f"__by_{c}") for c in by], before.alias("__before"))
+    same = (F.col("__part") == F.col("__p")) & reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by], F.lit(True))
+    rank = F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)) - 1
+    placed = ranged.withColumn("__rank", rank).join(F.broadcast(offsets), same)  # a row a range and group: bounded
+    return placed.withColumn("__row", F.col("__rank") + F.col("__before")).drop("__part", "__p", "__before", "__rank", *[f"__by_{c}" for c in by])
+
+
+def fixed_shards(df: DataFrame, path: str, *order: str, size: int = SHARD_SIZE, limit: int | None = None) -> DataFrame:
+    """df with shard numbers of `size` rows in the given order; blank paths go."""
     own = df.where(~is_missing(F.col(path)))
     if limit is not None:
         own = own.orderBy(*order).limit(limit)
-    ranged = own.repartitionByRange(groups, *order).withColumn("__part", F.spark_partition_id())
-    counts = ranged.groupBy("__part").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(F.col("__part").alias("__p"), before.alias("__before"))
-    rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
-    placed = ranged.withColumn("__rank", rank).join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
-    return placed.withColumn("shard", F.floor((F.col("__rank") + F.col("__before")) / size)).drop("__part", "__p", "__before", "__rank")
+    return numbered(own, [], list(order)).withColumn("shard", F.floor(F.col("__row") / size)).drop("__row")
 
 
 def length_shards(df: DataFrame, duration: str, *order: str, width: float = 1.0, most: float = 15.0, size: int = SHARD_SIZE) -> DataFrame:
-    """df with bucket, label and shard: by length bucket, inside it by length, in slices of `size`."""
-    b = df.withColumn("bucket", bucket_index(F.col(duration), width, most))
-    w = Window.partitionBy("bucket").orderBy(duration, *order)
-    b = b.withColumn("shard", F.floor((F.row_number().over(w) - 1) / size))
-    return b.withColumn("label", bucket_label(F.col("bucket"), width, most))
+    """df with bucket, label and shard: by length bucket, inside it by length, in slices of `size`. A bucket may hold most rows."""
+    b = numbered(df.withColumn("bucket", bucket_index(F.col(duration), width, most)), ["bucket"], [duration, *order])
+    return b.withColumn("shard", F.floor(F.col("__row") / size)).drop("__row").withColumn("label", bucket_label(F.col("bucket"), width, most))
 
 
 def by_length(df: DataFrame, duration: str, partitions: int) -> DataFrame:

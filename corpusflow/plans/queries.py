@@ -275,10 +275,25 @@ def interval_overlap_join(spark, d):
     return o.select("clip", "pos", F.round("s", 6).alias("s"), F.round("e", 6).alias("e"))
 
 
-@query()
+@query(f"""
+with recursive g as (
+  select source_id, seg_start s, seg_end e, speaker k, row_number() over (partition by source_id order by seg_start, seg_end, pos) rn from ({SEGMENTS_SQL})
+), t(source_id, rn, a) as (
+  select source_id, rn, [{{'s': s, 'e': e, 'k': k}}] from g where rn = 1
+  union all
+  select source_id, rn, case
+    when l is null then a || [{{'s': s, 'e': e, 'k': k}}]
+    when l.k = k and s <= l.e then b || [{{'s': l.s, 'e': greatest(l.e, e), 'k': k}}]
+    when l.k <> k and s < l.e then b || case when m <= l.s then [] else [{{'s': l.s, 'e': m, 'k': l.k}}] end || case when e > m then [{{'s': m, 'e': e, 'k': k}}] else [] end
+    else a || [{{'s': s, 'e': e, 'k': k}}] end
+  from (select t.source_id, g.rn, t.a, t.a[len(t.a)] l, t.a[1:len(t.a) - 1] b, g.s, g.e, g.k, (g.s + t.a[len(t.a)].e) / 2 m from t join g on g.source_id = t.source_id and g.rn = t.rn + 1)
+), x as (select source_id, arg_max(a, rn) a from t group by source_id
+), u as (select source_id, unnest(range(0, len(a))) turn, unnest(a) y from x
+), p as (select source_id, turn, y, unnest(range(0, greatest(ceil((y.e - y.s) / 15), 1)::bigint)) piece from u)
+select source_id, turn::int turn, piece::int piece, y.s + piece * 15.0 "start", least(y.s + (piece + 1) * 15.0, y.e) "end", y.k speaker from p
+""")
 def single_speaker_timeline(spark, d):
-    t = intervals.timeline(segments(spark, d), "source_id")
-    return t.select("source_id", "turn", "piece", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "speaker")
+    return intervals.timeline(segments(spark, d), "source_id")
 
 
 @query(f"""
