@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_collisions": collisions.ORACLE_SQL,
+    "op2_suffixes": suffixes.ORACLE_SQL,
     "op9_decontaminate": decontaminate.ORACLE_SQL,
     "op10_lines": lines.ORACLE_SQL,
 }

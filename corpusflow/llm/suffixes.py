@@ -1,6 +1,6 @@
 """Exact substring dedup by merging Burrows-Wheeler transforms of shards.
 
-Every 50-byte string of a text belongs to the fragment around its minimizer (the 16 bytes with the smallest hash
+Every 50-byte string of a text belongs to the fragment around its minimizer (the 12 bytes with the smallest hash
 in it); equal strings have equal minimizers, so fragments dealt by minimizer bring all equal strings together, in
 buckets that are independent of each other. In a bucket the fragments that can share a string with another document
 are kept by the shard that they come from; each shard sorts its own suffixes and has its transform. The transforms
@@ -32,8 +32,8 @@ from .common import Block, blocks, mix, span_hashes, table
 from .spans import remove
 
 LENGTH = 50
-#: Bytes of a minimizer; a multiple of 8.
-MINIMIZER = 16
+#: Bytes of a minimizer, 8 at least: shorter ones make longer fragments that overlap less, but some become frequent.
+MINIMIZER = 12
 #: Text of a task that settles its own repeats; text of a bucket; shards whose transforms are merged in a bucket.
 WINDOW_BYTES, BUCKET_BYTES, SHARDS = 20 << 20, 6 << 20, 16
 
@@ -70,7 +70,7 @@ def fragments(block: Block, length: int) -> dict[str, np.ndarray]:
         return none
     u, m = _longs(buf), len(buf) - k + 1
     h = np.zeros(m, np.uint64)
-    for j in range(0, k, 8):
+    for j in [*range(0, k - 8, 8), k - 8]:
         h = mix(h + u[j : j + m])
     place = np.uint64((1 << 32) - 1)  # 32 bits of the hash decide, then the first place
     pos = (_least((h & ~place) | np.arange(m, dtype=np.uint64), length - k + 1) & place).astype(np.int64)
@@ -376,3 +376,20 @@ def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return remove(docs, repeats(docs))
+
+
+ORACLE_SQL = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) h, strlen(coalesce(text, '')) n from documents
+), g as (
+  select doc_id, i, substr(h, 2 * i + 1, 100) s from (select doc_id, h, unnest(range(0, n - 49)) i from d where n >= 50)
+), m as (select s, min(doc_id) least from g group by s
+), c as (select doc_id, i, case when i > lag(i) over (partition by doc_id order by i) + 50 then 1 else 0 end new from g join m using (s) where doc_id > least
+), r as (select doc_id, min(i) a, max(i) + 50 b from (select *, sum(new) over (partition by doc_id order by i) run from c) group by doc_id, run
+), k as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) s, a e from r
+  union all select d.doc_id, coalesce(max(b), 0), any_value(n) from d left join r using (doc_id) group by d.doc_id
+), t as (select k.doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' order by s) kept from k join d using (doc_id) group by k.doc_id)
+select d.doc_id, n::bigint n_bytes, (n - length(kept) // 2)::bigint n_removed, coalesce(x.spans, 0)::bigint n_spans, sha256(unhex(kept)) kept_sha256
+from d join t using (doc_id) left join (select doc_id, count(*) spans from r group by doc_id) x using (doc_id)
+"""
