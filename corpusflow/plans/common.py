@@ -12,13 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def micros() -> Column:
     """Microseconds of events.ts since 2024 began."""
-    return F.expr("unix_micros(cast(ts as timestamp)) - 1704067200000000")
+    return F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)")  # whatever the session's zone is
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as segments: a user is a source, 30 days are folded 500 times, the value is the length, the type names speaker and prediction."""
     e = table(spark, sf_dir, "events")
-    start = F.expr("(unix_micros(cast(ts as timestamp)) - 1704067200000000) div 500") / 1e6
+    start = F.floor(micros() / 500) / 1e6
     return e.select(
         F.col("user_id").alias("source_id"), F.col("event_id").cast("int").alias("pos"), start.alias("seg_start"), (start + F.col("value")).alias("seg_end"),
         F.when(F.col("event_type").isin("view", "click"), 0).when(F.col("event_type") == "error", 1).otherwise(2).alias("speaker"),

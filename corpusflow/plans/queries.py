@@ -364,9 +364,10 @@ s as (select *, sum(n) over (partition by user_id order by ts rows unbounded pre
 select user_id, epoch_us(min(ts)) first_us, epoch_us(max(ts)) last_us, count(*)::bigint n from s group by user_id, i
 """)
 def session_islands(spark, d):
-    e = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    e = table(spark, d, "events").select("user_id", "ts")
     s = e.groupBy("user_id", F.session_window("ts", "6 hours")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n"))
-    return s.select("user_id", F.unix_micros("a").alias("first_us"), F.unix_micros("b").alias("last_us"), "n")
+    since = lambda c: F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {c})")
+    return s.select("user_id", since("a").alias("first_us"), since("b").alias("last_us"), "n")
 
 
 # --- transcripts -----------------------------------------------------------------------------
