@@ -108,6 +108,22 @@ def collisions(proj: np.ndarray, half: float) -> np.ndarray:
 ROWS = "grid int, cell long, node long, n long, cells binary, v binary"
 
 
+def _unit(raw: np.ndarray) -> np.ndarray:
+    raw = raw / np.abs(raw).max(axis=1, keepdims=True)  # no overflow, no underflow
+    return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
+
+
+def _unpacked(vectors: list[bytes]) -> np.ndarray:
+    """Unit vectors in double precision."""
+    kinds = {x[:1] for x in vectors}
+    if len(kinds) == 1:
+        kind = np.float32 if kinds == {b"4"} else np.float64
+        raw = np.frombuffer(b"".join([x[1:] for x in vectors]), kind).reshape(len(vectors), -1)
+    else:
+        raw = np.stack([np.frombuffer(x, np.float32 if x[:1] == b"4" else np.float64, -1, 1) for x in vectors])
+    return _unit(raw.astype(np.float64))
+
+
 def _rows(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,12 +136,13 @@ def _rows(plan: Plan):
                 first = np.cumsum(sizes) - sizes
                 for dim in np.unique(sizes):
                     own = np.flatnonzero(sizes == dim)
-                    unit = values[first[own][:, None] + np.arange(dim)]
-                    unit /= np.abs(unit).max(axis=1, keepdims=True)  # no overflow, no underflow
-                    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-                    cells = plan.cells(unit)
+                    raw = values[first[own][:, None] + np.arange(dim)]
+                    cells = plan.cells(_unit(raw))
                     packed = [c.tobytes() for c in cells.astype(np.int32)]
-                    vectors = [u.tobytes() for u in unit]
+                    with np.errstate(over="ignore"):
+                        half = raw.astype(np.float32)
+                    # vectors of single precision travel as such: nothing is lost, and half is moved
+                    vectors = [b"4" + x.tobytes() for x in half] if np.array_equal(half.astype(np.float64), raw) else [b"8" + x.tobytes() for x in raw]
                     for g in range(plan.grids):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(own), g, np.int32)), pa.array(cells[:, g]), pa.array(node[own]), pa.array(n[own]), pa.array(packed, pa.binary()), pa.array(vectors, pa.binary())],
@@ -139,7 +156,7 @@ def _count(plan: Plan):
     """(a, b, linked): b more links of node a, or, if linked, a link between a and b that joins two groups."""
 
     def group(g: int, chunk: np.ndarray, ij: tuple, node: np.ndarray, n: np.ndarray, cells: list, v: list) -> Iterator[tuple]:
-        unit = np.frombuffer(b"".join(v), np.float64).reshape(len(v), -1)
+        unit = _unpacked(v)
         ok = np.triu(collisions(unit @ plan.matrices(unit.shape[1])[0], plan.half) >= plan.count, 1)
         if ij[0] != ij[1]:  # two chunks: their cross pairs only
             ok &= chunk[:, None] != chunk[None, :]
