@@ -165,10 +165,10 @@ def train(lines: list[str], seed: int = SEED) -> Model:
         at[at == len(known)] = 0
         np.add.at(x[i], at[known[at] == f], 1 / np.sqrt(n_words[i]))
     held = rng.random(len(y)) < 0.2
-    w, b = np.zeros((len(known), len(FAMILIES))), np.zeros(len(FAMILIES))
+    w, b = np.zeros((len(known), len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32)
     share = 1 / np.bincount(y[~held], minlength=len(FAMILIES))[y]  # families count alike
-    share = np.where(held, 0, share / share[~held].sum() * 1.0)
-    target = np.eye(len(FAMILIES))[y]
+    share = np.where(held, 0, share / share[~held].sum()).astype(np.float32)
+    target = np.eye(len(FAMILIES), dtype=np.float32)[y]
     sums_w, sums_b = np.full_like(w, 1e-8), np.full_like(b, 1e-8)
     for _ in range(STEPS):
         z = x @ w + b
