@@ -1,10 +1,12 @@
 """Line dedup by distinct-site spread.
 
-Each line (trimmed, by its 64-bit hash) gets HyperLogLog sketches that merge by aggregation: one of the sites
-(values of `source`) that it occurs on, one of the contexts (the lines before and after it) that it occurs in. A line
-on many sites and in many contexts is boilerplate; a line that is on many sites only because its document was copied
-keeps few contexts, and stays for near-dedup to judge. Lines whose estimate is near a threshold get
-exact distinct counts. Boilerplate lines are then cut out of all documents.
+Each line (trimmed, by its 64-bit hash) gets a HyperLogLog sketch of the sites (values of `source`) that it occurs on,
+merged by aggregation; lines whose estimate is near the threshold get exact distinct counts. A line on many sites is spread.
+A document that is spread lines for COPIED of its characters or more is a copy, or a near copy, of others: it stays for near-dedup to
+judge and is no evidence. A spread line that the other documents hold on as many sites, and in as many distinct texts, is
+boilerplate, whatever lines are around it. Boilerplate lines are then cut out of all documents.
+
+op10_lines decides as its SQL does: by sites and by contexts (the lines before and after), so that a line needs MIN_CONTEXTS too.
 
 Blank lines are never boilerplate. Defined results: null text stays null; a null source is a site of its own; documents
 that lose all lines keep an empty text; rows whose doc_id is null, and repeated rows, are treated like others.
@@ -19,6 +21,8 @@ from .common import materialise, table
 
 MIN_SITES = 5
 MIN_CONTEXTS = 20
+#: A document with this share of its characters on spread lines is a copy: the similarity from which near-dedup links.
+COPIED = 0.8
 #: 2**LG_K registers: a relative standard error of about 0.8 / 2**(LG_K / 2).
 LG_K = 11
 #: Estimates within this share of a threshold are counted exactly; over ten standard errors.
@@ -36,19 +40,61 @@ def row_key() -> Column:
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """(row, line, site, context): hashes, a row for each line that is not blank. A written table: texts are split and hashed once."""
+    context = F.xxhash64(F.get("h", F.col("i") - 1), F.get("h", F.col("i") + 1))
+    return materialise(_exploded(docs).select("row", "line", "site", context.alias("context")))
+
+
+def holdings(docs: DataFrame) -> DataFrame:
+    """(row, line, site, body, chars): as occurrences(), with the hash of the whole text and the line's characters."""
+    sizes = F.transform(F.split("text", "\n"), lambda x: F.char_length(trimmed(x)))
+    each = _exploded(docs, body=F.xxhash64("text"), sizes=sizes)
+    return materialise(each.select("row", "line", "site", "body", F.get("sizes", F.col("i")).cast("long").alias("chars")))
+
+
+def _exploded(docs: DataFrame, **more: Column) -> DataFrame:
     lines = docs.where("text is not null").select(
         row_key().alias("row"),
         F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\x01"))).alias("site"),
         F.transform(F.split("text", "\n"), lambda x: F.xxhash64(F.nullif(trimmed(x), F.lit("")))).alias("h"),
+        *[c.alias(name) for name, c in more.items()],
     )
     blank = F.xxhash64(F.lit(None).cast("string"))
-    each = lines.select("row", "site", F.posexplode("h").alias("i", "line"), "h").where(F.col("line") != blank)
-    context = F.xxhash64(F.get("h", F.col("i") - 1), F.get("h", F.col("i") + 1))
-    return materialise(each.select("row", "line", "site", context.alias("context")))
+    return lines.select("row", "site", F.posexplode("h").alias("i", "line"), "h", *more).where(F.col("line") != blank)
+
+
+def spread(each: DataFrame, least: int, lg_k: int = LG_K, of: tuple[str, ...] = ("site",)) -> DataFrame:
+    """(line): lines of `each` with `least` distinct values or more in each column `of`; exact near `least`."""
+    often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("s0"), F.max("site").alias("s1"))
+    often = materialise(often.where((F.col("n") >= least) & ((F.col("s0") < F.col("s1")) | F.lit(least <= 1))).select(F.col("line").alias("l")))
+    each = each.join(often, each["line"] == often["l"], "left_semi")
+    sketched = each.groupBy("line").agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(lg_k))).alias(c) for c in of])
+    low, near = F.lit(True), F.lit(False)
+    for c in of:
+        low &= F.col(c) >= least * (1 - NEAR)
+        near |= F.col(c) <= least * (1 + NEAR)
+    sketched = materialise(sketched.where(low).select("line", near.alias("near")))
+    counted = sketched.where("near").select(F.col("line").alias("l"))
+    pairs = each.join(counted, each["line"] == counted["l"], "left_semi")
+    out = sketched.where("not near").select("line")
+    exact = counted.withColumnRenamed("l", "line")
+    for c in of:
+        exact = exact.join(_distinct(pairs, c, "n").where(F.col("n") >= least).select("line"), "line", "left_semi")
+    return out.unionByName(exact)
+
+
+def on_many_sites(each: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, copied: float = COPIED) -> DataFrame:
+    """(line) of the boilerplate among the lines of holdings()."""
+    wide = materialise(spread(each, min_sites, lg_k))
+    held = each.join(wide.withColumnRenamed("line", "l"), F.col("line") == F.col("l")).drop("l")
+    # rows with the same id and text share a row key: both sums are over all of them
+    whole = each.groupBy("row").agg(F.sum("chars").alias("chars"))
+    own = held.groupBy(F.col("row").alias("r")).agg(F.sum("chars").alias("spread")).join(whole, F.col("r") == F.col("row"))
+    own = own.where(F.col("spread") < copied * F.col("chars")).select("r")
+    return spread(held.join(own, F.col("row") == F.col("r"), "left_semi"), min_sites, lg_k, ("site", "body"))
 
 
 def boilerplate(each: DataFrame, min_sites: int = MIN_SITES, min_contexts: int = MIN_CONTEXTS, lg_k: int = LG_K) -> DataFrame:
-    """(line, n_sites, n_contexts) of the boilerplate among the lines of occurrences(); counts are exact near a threshold, else estimates."""
+    """(line, n_sites, n_contexts) of what SQL takes for boilerplate among the lines of occurrences(); counts are exact near a threshold, else estimates."""
     # rarer lines can't be spread that far: most lines go before any sketch is made
     often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("s0"), F.max("site").alias("s1"))
     often = materialise(often.where((F.col("n") >= max(min_sites, min_contexts)) & (F.col("s0") < F.col("s1"))).select(F.col("line").alias("l"), "n"))
@@ -74,7 +120,7 @@ def _distinct(pairs: DataFrame, what: str, name: str) -> DataFrame:
 
 
 def remove_lines(docs: DataFrame, each: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with text cut and the column __removed (lines cut); each: occurrences(docs); lines: (line)."""
+    """docs with text cut and the column __removed (lines cut); each: occurrences(docs) or holdings(docs); lines: (line)."""
     bad = lines.select(F.col("line").alias("__l")).distinct()
     hits = each.select("row", "line").join(bad, F.col("line") == F.col("__l")).groupBy(F.col("row").alias("__r")).agg(F.collect_set("line").alias("__bad"))
     keyed = docs.withColumn("__row", row_key())
@@ -88,18 +134,16 @@ def remove_lines(docs: DataFrame, each: DataFrame, lines: DataFrame) -> DataFram
     return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.alias("__removed"))
 
 
-def _cut(docs: DataFrame, **parameters) -> DataFrame:
-    each = occurrences(docs)
-    return remove_lines(docs, each, boilerplate(each, **parameters))
-
-
 def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
     """docs without their boilerplate lines; all rows and columns stay."""
-    return _cut(docs, **parameters).drop("__removed")
+    each = holdings(docs)
+    return remove_lines(docs, each, on_many_sites(each, **parameters)).drop("__removed")
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cut(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    each = occurrences(docs)
+    out = remove_lines(docs, each, boilerplate(each))
     text = F.coalesce("text", F.lit(""))
     return out.select("doc_id", F.col("__removed").alias("n_removed"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("kept_sha256"))
 
