@@ -6,6 +6,10 @@ on sentences that only sound like licences, and on a bounded sample of the corpu
 fitted on held-out variants calibrates it; what is not likely enough of one family is unknown. A prediction counts only if the
 paragraph holds enough of the 3-grams of one of the family's templates.
 
+A notice may be wrapped over lines or lie inside a long one. So windows of WINDOWS words, each a quarter of its size after
+the one before, are scored too, over all lines between blank ones. What a window confirms counts once, at the line where the window begins,
+unless a line that it touches is confirmed for that family already; lines that it touches are not unconfirmed for that family any more.
+
 Scanning reads every whole text where it lies, without a shuffle; the model is a few thousand weights.
 
 Defined results: null and empty texts have no paragraphs; blank lines are none; repeated rows and null ids are kept.
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Block, blocks, mix, span_hashes, table, words
+from .common import ALNUM, SPACED, Block, blocks, mix, span_hashes, table, words
 
 # Short notices of licence families.
 TEMPLATES = {
@@ -77,6 +81,8 @@ SAMPLE_DOCS, SAMPLE_LINES = 256, 2000
 VARIANTS, STEPS, RATE, L1 = 30, 200, 1.0, 2e-4
 #: A family must be this likely, and a template's 3-grams this far contained.
 LIKELY, CONTAINED = 0.6, 0.6
+#: Words of the windows: a template of up to three quarters of a window's words lies whole in one of them.
+WINDOWS = (8, 16, 32, 64)
 SEED = 13
 
 
@@ -226,13 +232,76 @@ def scan_block(block: Block, model: Model) -> Iterator[tuple]:
         return
     p = model.scores(row, place[hit], n_words[some])
     best = p.argmax(axis=1)
+    lines = []
     for i in np.flatnonzero((best > 0) & (p.max(axis=1) >= LIKELY)):
         k = distinct[some[i]]
         a = breaks[k - 1] + 1 if k else 0
         b = breaks[k] if k < len(breaks) else len(block.buf)
         text = block.buf[a:b].tobytes().decode(errors="replace")
         d = int(owner[some[i]])
-        yield d, int(k - first_para[d]), FAMILIES[best[i]], float(p[i, best[i]]), float(model.contained(FAMILIES[best[i]], text))
+        lines.append((d, int(k - first_para[d]), FAMILIES[best[i]], float(p[i, best[i]]), float(model.contained(FAMILIES[best[i]], text))))
+    sure = {x[:3] for x in lines if x[4] >= CONTAINED}
+    touched: set[tuple] = set()
+    found = []
+    for a, b, family, likely, contained in _windows(block, model, s, e, para, doc):
+        d = int(doc[a])
+        own = [(d, int(k - first_para[d]), family) for k in range(para[a], para[b] + 1)]
+        if not sure.intersection(own):
+            found.append((*own[0], likely, contained))
+        touched.update(own)
+    yield from (x for x in lines if x[4] >= CONTAINED or x[:3] not in touched)
+    yield from found
+
+
+def _windows(block: Block, model: Model, s: np.ndarray, e: np.ndarray, para: np.ndarray, doc: np.ndarray) -> Iterator[tuple]:
+    """(first word, last word, family, probability, contained) of confirmed windows; of those at one place, the one that holds most."""
+    ends = np.append(np.flatnonzero(block.buf == 10), len(block.buf))
+    starts = np.append(0, ends[:-1] + 1)
+    ink = np.concatenate(([0], np.cumsum(SPACED[block.buf])))
+    blanks = np.cumsum(ink[ends] == ink[starts])
+    same = np.append((blanks[para[1:]] == blanks[para[:-1]]) & (doc[1:] == doc[:-1]), False)  # the next word is in the same paragraph
+    first = np.flatnonzero(np.append(True, ~same[:-1]))
+    size = np.diff(np.append(first, len(s)))
+    group = np.repeat(np.arange(len(first)), size)
+    f, at = ngrams(span_hashes(block.buf, s, e), same)
+    long = np.concatenate((np.ones(len(s), np.int64), np.full(len(f) - len(s), 2)))
+    place = np.searchsorted(model.features, f)
+    place[place == len(model.features)] = 0
+    hit = np.flatnonzero(model.features[place] == f)
+    at, long, place = at[hit], long[hit], place[hit]
+    offset = at - first[group[at]]
+    best: dict[int, list[tuple]] = {}
+    for words_ in WINDOWS:
+        step = words_ // 4
+        base = np.cumsum(-(-size // step)) - -(-size // step)
+        last = offset // step
+        window, which = [], []
+        for j in range(4):
+            k = last - j
+            ok = np.flatnonzero((k >= 0) & (offset + long <= k * step + words_))
+            window.append(base[group[at[ok]]] + k[ok])
+            which.append(place[ok])
+        some, row = np.unique(np.concatenate(window), return_inverse=True)
+        if not len(some):
+            continue
+        g = np.searchsorted(base, some, side="right") - 1
+        a = first[g] + (some - base[g]) * step
+        b = np.minimum(a + words_, first[g] + size[g]) - 1
+        p = model.scores(row, np.concatenate(which), b - a + 1)
+        top = p.argmax(axis=1)
+        for i in np.flatnonzero((top > 0) & (p.max(axis=1) >= LIKELY)):
+            family = FAMILIES[top[i]]
+            contained = model.contained(family, block.buf[s[a[i]] : e[b[i]]].tobytes().decode(errors="replace"))
+            if contained >= CONTAINED:
+                best.setdefault(int(g[i]), []).append((int(a[i]), int(b[i]), family, float(p[i, top[i]]), float(contained)))
+    for own in best.values():
+        kept: list[tuple] = []
+        for x in sorted(own, key=lambda x: (-x[4], x[1] - x[0], x[0])):
+            # a part of one family's notice can look like another's: what overlaps by more than half is the same place
+            common = [(min(x[1], y[1]) - max(x[0], y[0]) + 1, min(x[1] - x[0], y[1] - y[0]) + 1, y[2]) for y in kept]
+            if all(n <= 0 if family == x[2] else 2 * n <= least for n, least, family in common):
+                kept.append(x)
+        yield from kept
 
 
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:

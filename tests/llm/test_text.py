@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -197,6 +198,18 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_licenses_wrapped_and_in_long_lines(spark):
+    model = licenses.train([words(i, 12) for i in range(200)])
+    mit, gpl, apache = licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["GPL-3.0"][1], licenses.TEMPLATES["Apache-2.0"][1]
+    texts = {
+        1: f"{words(1, 300)} Released under the MIT License. {words(2, 300)}", 2: "\n".join(textwrap.wrap(mit, 40)), 3: "# " + "\n# ".join(textwrap.wrap(gpl, 40)),
+        4: f"{words(3, 200)}\n\n" + "\n".join(textwrap.wrap(apache, 40)), 5: "Released under\n\nthe MIT License", 6: words(4, 600),
+    }
+    got = {r.doc_id: (r.families, r.n_confirmed) for r in licenses.scan(frame(spark, texts.items()), model).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: "MIT", 2: "MIT", 3: "GPL-3.0", 4: "Apache-2.0", 5: "", 6: ""}
+    assert got[1][1] == 1
+
+
 def test_licenses_held_out():
     model = licenses.train([words(i, 12) for i in range(300)], seed=1)
     assert (model.weights != 0).mean() < 0.5
