@@ -127,19 +127,6 @@ def test_lines(spark, docs, awkward, none):
     assert lines.deduplicate(none).count() == 0
 
 
-def test_lines_by_sites_alone(spark):
-    block = ["We use cookies", "Accept all", "Read our policy", "Close"]
-    rows = [(i, f"{words(i, 9)}\nsix sites\n{words(50 + i, 9)}", "en", f"s{i}", 1) for i in range(6)]  # 6 contexts
-    rows += [(100 + i, f"{words(100 + i, 40)}\n\nset off by blanks\n\n{words(200 + i, 40)}", "en", f"s{i}", 1) for i in range(30)]
-    rows += [(200 + i, "\n".join([*block, words(300 + i, 40)]), "en", f"s{i % 8}", 1) for i in range(30)]
-    base = [words(400 + k, 30) for k in range(12)]
-    near = [(300 + i, "\n".join([*base[:i], words(500 + i, 30), *base[i + 1 :]]), "en", f"s{i}", 1) for i in range(12)]
-    out = {r.doc_id: r.text for r in lines.deduplicate(spark.createDataFrame(rows + near, DOCS)).collect()}
-    gone = {"six sites", "set off by blanks", *block}
-    want = {k: "\n".join(x for x in t.split("\n") if x not in gone) for k, t, *_ in rows}
-    assert out == want | {k: t for k, t, *_ in near}  # near copies keep their lines
-
-
 # --- quality ---------------------------------------------------------------------------------
 
 
