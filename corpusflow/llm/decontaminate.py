@@ -2,13 +2,14 @@
 
 Every block of documents (a shard) gets a suffix array of its words; every suffix of every test item is
 binary-searched in it. That gives the longest verbatim match and its place, and all places where a
-window of `window` words occurs. Documents are never shuffled. The test items are sent to the executors
-in groups of bounded size, so a large benchmark means more passes, not a larger broadcast.
+window of `window` words occurs. Texts are never shuffled. The test items are sent to the executors
+in groups of bounded size, one at a time, so a large benchmark means more passes, not a larger broadcast; results don't depend on the groups.
 
 Words are compared by 64-bit hashes of their bytes (A-Z in lower case).
 
 Defined results: null or empty text has no words and is clean; an item of fewer than `window` words is one
-window, an item of none is ignored; repeated rows are judged one by one; rows whose id is null keep it.
+window, an item of none is ignored; items that share an item_id are one; rows of items without an id are left out; rows of documents are
+judged one by one, those that share a doc_id and those whose id is null too; of two longest matches as long the group's and then the shard's first counts.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Block, blocks, materialise, span_hashes, table, words
+from .common import ALNUM, Block, blocks, discard, materialise, span_hashes, table, words
 
 WINDOW = 10
 #: Test items are broadcast in groups of at most this many bytes of text.
@@ -160,65 +161,84 @@ def scan_block(block: Block, items: Items, window: int) -> Iterator[tuple]:
         length, item_at, token = best.get(d, (0, None, None))
         item = None if item_at is None else int(items.item[item_at])
         yield (
-            doc_id, size, int(own.sum()), sorted(items.ids[i] for i in of_doc.get(d, ())), length,
+            doc_id, size, int(own.sum()), sorted({items.ids[i] for i in of_doc.get(d, ())}), length,
             None if item is None else items.ids[item], None if item is None else int(item_at - items.first[item]),
             None if token is None else int(token - first_token[d]), np.packbits(own).tobytes() if own.any() else b"",
         )
 
 
-def _scan(broadcast, window: int):
+def _scan(broadcast, window: int, key: str):
+    """A row of MATCHES for each row, with its key column in place of doc_id."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = broadcast.value
         names = [x.split()[0] for x in MATCHES.split(", ")]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-        for block in blocks(batches):
+        for block in blocks(batches, key=key):
             rows = list(zip(*scan_block(block, items, window)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], [key, *names[1:]])
 
     return run
 
 
 def _groups(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str | None]]]:
-    """Test items in groups of bounded size, streamed partition by partition."""
-    group, size = [], 0
+    """Test items in groups of bounded size, streamed partition by partition; one empty group if there are none."""
+    group, size, any_ = [], 0, False
     for r in benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null").toLocalIterator():
         n = len((r[1] or "").encode())
         if group and size + n > limit:
             yield group
-            group, size = [], 0
+            group, size, any_ = [], 0, True
         group.append((r[0], r[1]))
         size += n
-    if group:
-        yield group
+    if group or not any_:
+        yield group or [("", "")]
+
+
+def _one_by_one(groups: Iterator[list]) -> Iterator[tuple[list, bool]]:
+    """Each group, and whether it is the last."""
+    group = next(groups)
+    for following in groups:
+        yield group, False
+        group = following
+    yield group, True
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, items_bytes: int = ITEMS_BYTES) -> DataFrame:
-    """Per document: its words, the words inside occurring windows (`hits`, a bit each), the items they
-    are from, and the longest verbatim match that a test suffix has in this document's shard, with its places."""
+    """Per row of docs: its words, the words inside occurring windows (`hits`, a bit each), the distinct items they
+    are from, and the longest verbatim match that a test suffix has in this document's shard, with its places.
+
+    With one group of items this is one pass. More groups are passed over a written table in which each row has a number, so
+    rows are merged by number and never by doc_id; a group's broadcast is destroyed before the next is sent.
+    """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    parts = []
-    for group in _groups(benchmark, items_bytes):
-        parts.append(docs.mapInArrow(_scan(spark.sparkContext.broadcast(Items(group, window)), window), MATCHES))
-    if not parts:
-        parts = [docs.mapInArrow(_scan(spark.sparkContext.broadcast(Items([("", "")], window)), window), MATCHES)]
-    if len(parts) == 1:
-        return parts[0]
-    return _merge([materialise(p) for p in parts])
+    docs, parts, keyed = docs.select("doc_id", "text"), [], None
+    for group, last in _one_by_one(_groups(benchmark, items_bytes)):
+        sent = spark.sparkContext.broadcast(Items(group, window))
+        if last and keyed is None:
+            return docs.mapInArrow(_scan(sent, window, "doc_id"), MATCHES)
+        if keyed is None:
+            keyed = materialise(docs.withColumn("row", F.monotonically_increasing_id()))
+        found = keyed.select("row", "text").mapInArrow(_scan(sent, window, "row"), MATCHES.replace("doc_id", "row", 1))
+        parts.append(materialise(found if not parts else found.where("n_hit > 0 or longest > 0")))
+        sent.destroy()
+    ids = materialise(keyed.select("row", "doc_id"))
+    discard(keyed)
+    return ids.join(_merge(parts), "row").drop("row")
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
-    """One row per document from the passes over groups of items."""
+    """One row per row number from the passes over groups of items."""
     both = parts[0]
     for p in parts[1:]:
         both = both.union(p)
-    merged = both.groupBy("doc_id").agg(
+    merged = both.groupBy("row").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
         F.max(F.struct("longest", "longest_item", "longest_item_word", "longest_doc_word")).alias("x"),
         F.collect_list("hits").alias("h"),
     )
-    return merged.withColumn("u", F.pandas_udf(_united, "n long, hits binary")("h")).select("doc_id", "n_words", F.col("u.n").alias("n_hit"), "item_ids", "x.*", "u.hits")
+    return merged.withColumn("u", F.pandas_udf(_united, "n long, hits binary")("h")).select("row", "n_words", F.col("u.n").alias("n_hit"), "item_ids", "x.*", "u.hits")
 
 
 def _united(lists: pd.Series) -> pd.DataFrame:
@@ -232,10 +252,26 @@ def _united(lists: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["n", "hits"])
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs without the documents that hold a window of a test item; all columns kept, rows with a null id too."""
-    bad = matches(docs, benchmark, window).where("n_hit > 0").select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["__bad_id"], "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, items_bytes: int = ITEMS_BYTES) -> DataFrame:
+    """docs without the rows that hold a window of a test item, judged in the scan and row by row, whatever their doc_id; all columns kept."""
+
+    def kept(broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = broadcast.value
+            for batch in batches:
+                rows = pa.RecordBatch.from_arrays([pa.array(range(len(batch)), pa.int64()), batch.column("text")], ["doc_id", "text"])
+                ok = [r[2] == 0 for block in blocks([rows]) for r in scan_block(block, items, window)]
+                yield batch.filter(pa.array(ok, pa.bool_()))
+
+        return run
+
+    for group, last in _one_by_one(_groups(benchmark, items_bytes)):
+        sent = docs.sparkSession.sparkContext.broadcast(Items(group, window))
+        docs = docs.mapInArrow(kept(sent), docs.schema)
+        if not last:
+            docs = materialise(docs)
+            sent.destroy()
+    return docs
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,6 +109,28 @@ def test_decontamination(spark, docs, awkward, none):
     assert decontaminate.clean(docs, bench.limit(0)).count() == len(awkward)
 
 
+def test_decontamination_whatever_the_groups(spark):
+    text = words(5, 60)
+    other = words(6, 60)
+    rows = [(1, text), (1, other), (None, text), (None, words(7, 40)), (3, text + " " + other), (4, None), (4, "")]
+    df = spark.createDataFrame([(k, t, "own") for k, t in rows], "doc_id long, text string, item_id string")
+    items = [(7, " ".join(text.split()[5:20])), (7, " ".join(other.split()[30:50])), (7, " ".join(text.split()[10:30])), (8, " ".join(other.split()[2:12])), (9, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = [(7, t) for k, t in items if k == 7]
+    want = Counter()
+    for k, t in rows:
+        n, hit, _, _ = brute_contamination(t, items)
+        ids = sorted({str(i) for i in (7, 8) if brute_contamination(t, [x for x in items if x[0] == i])[1]})
+        want[k, n, hit, ",".join(ids)] += 1
+    assert len(one) == 3
+    for size in (8 << 20, 20):
+        got = Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r.item_ids)) for r in decontaminate.matches(df, bench, items_bytes=size).collect())
+        assert got == want
+        kept = decontaminate.clean(df, bench, items_bytes=size)
+        assert kept.columns == df.columns
+        assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((k, t) for k, t in rows if not brute_contamination(t, items)[1])
+
+
 # --- lines -----------------------------------------------------------------------------------
 
 
