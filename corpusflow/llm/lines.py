@@ -1,10 +1,13 @@
 """Line dedup by distinct-site spread.
 
-Each line (trimmed, by its 64-bit hash) gets HyperLogLog sketches that merge by aggregation: one of the sites
-(values of `source`) that it occurs on, one of the contexts (the lines before and after it) that it occurs in. A line
-on many sites and in many contexts is boilerplate; a line that is on many sites only because its document was copied
-keeps few contexts, and stays for near-dedup to judge. Lines whose estimate is near a threshold get
-exact distinct counts. Boilerplate lines are then cut out of all documents.
+Each line (trimmed, by its 64-bit hash) gets a HyperLogLog sketch of the sites (values of `source`) that it occurs on, merged by
+aggregation; lines whose estimate is near the bar get exact distinct counts. A line on MIN_SITES sites or more is spread.
+
+A document that was copied to many sites spreads all its lines. So a second count takes sites only from witnesses: documents of
+whose text spread lines make up at most half. Copies, near copies too, are no witnesses for one another, and their lines stay for
+near-dedup to judge; a banner or footer of any number of lines has a witness in every page that has text of its own. Lines
+that witnesses alone spread over MIN_SITES are boilerplate and are cut out of all documents; a line of over LONG bytes, a paragraph
+rather than a banner, must be on LONG_SITES then, for passages are quoted too.
 
 Blank lines are never boilerplate. Defined results: null text stays null; a null source is a site of its own; documents
 that lose all lines keep an empty text; rows whose doc_id is null, and repeated rows, are treated like others.
@@ -15,13 +18,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import discard, materialise, table
 
 MIN_SITES = 5
-MIN_CONTEXTS = 20
+#: Bytes of a paragraph, and the sites that it must be on.
+LONG, LONG_SITES = 150, 20
+#: A witness has at most this share of its bytes in spread lines.
+SHARE = 0.5
 #: 2**LG_K registers: a relative standard error of about 0.8 / 2**(LG_K / 2).
 LG_K = 11
-#: Estimates within this share of a threshold are counted exactly; over ten standard errors.
+#: Estimates within this share of the bar are counted exactly; over ten standard errors.
 NEAR = 0.2
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -35,52 +41,55 @@ def row_key() -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(row, line, site, context): hashes, a row for each line that is not blank. A written table: texts are split and hashed once."""
+    """(row, line, site, size): hashes and bytes, a row for each line that is not blank. A written table: texts are split and hashed once."""
     lines = docs.where("text is not null").select(
         row_key().alias("row"),
         F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\x01"))).alias("site"),
-        F.transform(F.split("text", "\n"), lambda x: F.xxhash64(F.nullif(trimmed(x), F.lit("")))).alias("h"),
+        F.explode(F.transform(F.split("text", "\n"), trimmed)).alias("x"),
     )
-    blank = F.xxhash64(F.lit(None).cast("string"))
-    each = lines.select("row", "site", F.posexplode("h").alias("i", "line"), "h").where(F.col("line") != blank)
-    context = F.xxhash64(F.get("h", F.col("i") - 1), F.get("h", F.col("i") + 1))
-    return materialise(each.select("row", "line", "site", context.alias("context")))
+    return materialise(lines.where("x <> ''").select("row", F.xxhash64("x").alias("line"), "site", F.octet_length("x").alias("size")))
 
 
-def boilerplate(each: DataFrame, min_sites: int = MIN_SITES, min_contexts: int = MIN_CONTEXTS, lg_k: int = LG_K) -> DataFrame:
-    """(line, n_sites, n_contexts) of the boilerplate among the lines of occurrences(); counts are exact near a threshold, else estimates."""
+def spread(each: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES, lg_k: int = LG_K) -> DataFrame:
+    """(line, n_sites) of the lines on enough sites; counts are exact near the bar, else estimates. A written table."""
     # rarer lines can't be spread that far: most lines go before any sketch is made
     often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("s0"), F.max("site").alias("s1"))
-    often = materialise(often.where((F.col("n") >= max(min_sites, min_contexts)) & (F.col("s0") < F.col("s1"))).select(F.col("line").alias("l"), "n"))
-    each = each.join(often, each["line"] == often["l"]).select("line", "n", "site", "context")
-    sketched = each.groupBy("line").agg(
-        F.max("n").alias("n"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("context", F.lit(lg_k))).alias("contexts"),
+    often = materialise(often.where((F.col("n") >= min_sites) & (F.col("s0") < F.col("s1"))).select(F.col("line").alias("l")))
+    each = each.join(often, each["line"] == often["l"], "left_semi")
+    bar = F.when(F.col("size") > LONG, long_sites).otherwise(min_sites)
+    sketched = each.groupBy("line").agg(F.max("size").alias("size"), F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("n_sites"))
+    sketched = materialise(sketched.withColumn("bar", bar).where(F.col("n_sites") >= F.col("bar") * (1 - NEAR)))
+    near = F.col("n_sites") <= F.col("bar") * (1 + NEAR)
+    counted = sketched.where(near).select(F.col("line").alias("l"), "bar")
+    pairs = each.join(counted, each["line"] == counted["l"]).select("line", "bar", "site").distinct()
+    exact = pairs.groupBy("line", "bar").agg(F.count("*").alias("n_sites")).where("n_sites >= bar").select("line", "n_sites")
+    out = materialise(sketched.where(~near).select("line", "n_sites").unionByName(exact))
+    discard(often)
+    discard(sketched)
+    return out
+
+
+def spread_by_row(each: DataFrame, lines: DataFrame) -> DataFrame:
+    """(row, witness, spread array<struct<line, site, size>>) of the rows with spread lines. A written table."""
+    of = lines.select(F.col("line").alias("l"))
+    hit = F.col("l").isNotNull()
+    rows = each.join(of, each["line"] == of["l"], "left").groupBy("row").agg(
+        F.sum(F.when(hit, F.col("size")).otherwise(0)).alias("own"),
+        F.sum("size").alias("all"),
+        F.collect_set(F.when(hit, F.struct("line", "site", "size"))).alias("spread"),
     )
-    low = (F.col("sites") >= min_sites * (1 - NEAR)) & (F.col("contexts") >= min_contexts * (1 - NEAR))
-    near = (F.col("sites") <= min_sites * (1 + NEAR)) | (F.col("contexts") <= min_contexts * (1 + NEAR))
-    sketched = materialise(sketched.where(low).withColumn("near", near))
-    counted = sketched.where("near").select(F.col("line").alias("l"))
-    pairs = each.join(counted, each["line"] == counted["l"], "left_semi")
-    exact = _distinct(pairs, "site", "n_sites").join(_distinct(pairs, "context", "n_contexts"), "line")
-    exact = exact.where((F.col("n_sites") >= min_sites) & (F.col("n_contexts") >= min_contexts))
-    far = sketched.where("not near").select("line", F.col("sites").alias("n_sites"), F.col("contexts").alias("n_contexts"))
-    return exact.unionByName(far)
-
-
-def _distinct(pairs: DataFrame, what: str, name: str) -> DataFrame:
-    return pairs.select("line", what).distinct().groupBy("line").agg(F.count("*").alias(name))
+    return materialise(rows.where("own > 0").select("row", (F.col("own") <= SHARE * F.col("all")).alias("witness"), "spread"))
 
 
-def remove_lines(docs: DataFrame, each: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with text cut and the column __removed (lines cut); each: occurrences(docs); lines: (line)."""
+def remove_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """docs with text cut and the column __removed (lines cut); rows: spread_by_row() of docs; lines: (line)."""
     bad = lines.select(F.col("line").alias("__l")).distinct()
-    hits = each.select("row", "line").join(bad, F.col("line") == F.col("__l")).groupBy(F.col("row").alias("__r")).agg(F.collect_set("line").alias("__bad"))
+    has = rows.select(F.col("row").alias("__r"), F.explode("spread.line").alias("line"))
+    hits = has.join(bad, F.col("line") == F.col("__l")).groupBy("__r").agg(F.collect_set("line").alias("__bad"))
     keyed = docs.withColumn("__row", row_key())
     joined = keyed.join(hits, F.col("__row") == F.col("__r"), "left")
     split = F.split("text", "\n")
-    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(F.nullif(trimmed(x), F.lit("")))))
+    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(trimmed(x))))
     hit = F.col("__bad").isNotNull()
     out = joined.withColumn("__kept", F.when(hit, kept))
     text = F.when(hit, F.array_join("__kept", "\n")).otherwise(F.col("text"))
@@ -88,14 +97,16 @@ def remove_lines(docs: DataFrame, each: DataFrame, lines: DataFrame) -> DataFram
     return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.alias("__removed"))
 
 
-def _cut(docs: DataFrame, **parameters) -> DataFrame:
+def _cut(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES, lg_k: int = LG_K) -> DataFrame:
     each = occurrences(docs)
-    return remove_lines(docs, each, boilerplate(each, **parameters))
+    rows = spread_by_row(each, spread(each, min_sites, min_sites, lg_k))
+    discard(each)
+    return remove_lines(docs, rows, spread(rows.where("witness").select(F.explode("spread").alias("x")).select("x.*"), min_sites, long_sites, lg_k))
 
 
-def deduplicate(docs: DataFrame, **parameters) -> DataFrame:
+def deduplicate(docs: DataFrame, **bars) -> DataFrame:
     """docs without their boilerplate lines; all rows and columns stay."""
-    return _cut(docs, **parameters).drop("__removed")
+    return _cut(docs, **bars).drop("__removed")
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,10 +121,14 @@ with d as (
 ), t as (
   select doc_id, source, raw, list_transform(raw, lambda x: regexp_replace(x, '^[\t\n\v\f\r ]+|[\t\n\v\f\r ]+$', '', 'g')) l from d
 ), o as (
-  select doc_id, source, i, l[i] line, coalesce(nullif(l[i - 1], ''), chr(1)) || chr(10) || coalesce(nullif(l[i + 1], ''), chr(1)) context
-  from (select doc_id, source, l, unnest(range(1, len(l) + 1)) i from t) where l[i] <> ''
+  select doc_id, coalesce(source, chr(1)) site, line, strlen(line) size from (select doc_id, source, unnest(l) line from t) where line <> ''
+), c as (
+  select line from o group by line having count(distinct site) >= {MIN_SITES}
+), w as (
+  select doc_id from o left join c using (line) group by doc_id having sum(case when c.line is null then 0 else size end) <= {SHARE} * sum(size)
 ), b as (
-  select line from o group by line having count(distinct coalesce(source, chr(1))) >= {MIN_SITES} and count(distinct context) >= {MIN_CONTEXTS}
+  select line from o join w using (doc_id) where line in (select line from c)
+  group by line having count(distinct site) >= case when max(size) > {LONG} then {LONG_SITES} else {MIN_SITES} end
 ), k as (
   select doc_id, string_agg(raw[i], chr(10) order by i) kept, count(*) n
   from (select doc_id, raw, l, unnest(range(1, len(l) + 1)) i from t) where l[i] not in (select line from b) group by doc_id
