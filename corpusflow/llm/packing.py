@@ -1,13 +1,14 @@
 """Best-fit packing of tokenised documents into sequences of fixed length.
 
-Documents are tokenised where they are read; only a small row per piece is shuffled. Packers then take pieces
-as they come (bounded-space online best fit): a fixed number of open bins is kept in a bitset keyed by free space;
-a piece goes into the bin that it fills best, and if too many bins are open the fullest closes first.
+Documents are tokenised where they are read; only a small row per piece is shuffled. Packers then take pieces in the
+order of the corpus, each once (bounded-space online best fit): a fixed number of open bins is kept in a bitset keyed by free
+space; a piece goes into the bin that it fills best, and if too many bins are open the fullest closes first.
 Packers work on slices of the corpus of bounded size, dealt by hash, so that the few bins that each leaves
 half full do not count.
 
-The tokenizer drops white space, so the ids of a text are those of its parts between spaces and newlines;
-the ids of parts seen before are kept in a bounded cache.
+If the tokenizer's normal form and splitting drop white space and part words (its parts are compared with the known ones), the
+ids of a text are those of its parts between spaces and newlines, and the ids of parts seen before are kept in a
+bounded cache. The texts of any other tokenizer are encoded whole.
 
 Defined results: null or empty text is the end token alone; rows whose doc_id is null are packed like others;
 repeated rows are packed as often as they come.
@@ -15,6 +16,7 @@ repeated rows are packed as often as they come.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,12 +32,18 @@ from .common import blocks, materialise, table
 
 CAPACITY = 4096
 END = 1
-OPEN_BINS = 16384
+#: Bins that a packer keeps open, at most; a packer fills some four thousand.
+OPEN_BINS = 256
 CACHE = 1_200_000
 SEPARATOR, MARKS = "7", ".,"
 #: A packer's share: tokens, and pieces.
 SHARE_TOKENS, SHARE_PIECES = 16 << 20, 500_000
 
+# The normal form and the splitting for which parts may be encoded alone, and the splitting's pattern.
+NORMAL = ["NFC", "Replace", "Lowercase"]
+SPLIT = ["Split", "ByteLevel"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _cache: dict[str, bytes] = {}
 _tokenizers: dict = {}
 
@@ -50,7 +58,7 @@ def _tokenizer(path: str):
         _tokenizers.clear()
         _cache.clear()
         whole = Tokenizer.from_file(path)
-        _tokenizers[path] = whole, _bare(whole)
+        _tokenizers[path] = whole, _bare(whole) if _parts_alone(whole) else None
     return _tokenizers[path]
 
 
@@ -73,6 +81,25 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+def _parts_alone(tokenizer) -> bool:
+    """Whether the ids of a text are those of its parts between white space, one after another."""
+    t = json.loads(tokenizer.to_str())
+    normal, split = t["normalizer"] or {}, t["pre_tokenizer"] or {}
+    rules, cuts = normal.get("normalizers", []), split.get("pretokenizers", [])
+    if [r["type"] for r in rules] != NORMAL or [c["type"] for c in cuts] != SPLIT or t["post_processor"] or t["truncation"] or t["padding"]:
+        return False
+    bytes_ = {k: cuts[1][k] for k in ("add_prefix_space", "use_regex")}
+    pattern = {k: cuts[0][k] for k in ("pattern", "behavior", "invert")}
+    spaces = {k: rules[1][k] for k in ("pattern", "content")}
+    return (
+        spaces == {"pattern": {"Regex": r"\s+"}, "content": " "}
+        and pattern == {"pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True}
+        and bytes_ == {"add_prefix_space": False, "use_regex": False}
+        and t["model"]["type"] == "BPE"
+        and all(" " not in a["content"] for a in t["added_tokens"])
+    )
+
+
 def _bare(tokenizer):
     """The tokenizer's model alone, over words that its normal form and its splitting would leave as they are."""
     from tokenizers import Tokenizer, pre_tokenizers
@@ -138,6 +165,12 @@ def _learn(parts: list[str], tokenizer, bare) -> None:
 def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
     """The ids of each text, little-endian and unsigned, 32 bits each."""
     tokenizer, bare = _tokenizer(path)
+    if bare is None:
+        encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        for i in range(0, len(texts), 64):
+            for e in encode(texts[i : i + 64], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+        return
     parts = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
     if len(_cache) > CACHE:
         _cache.clear()
@@ -207,7 +240,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS)
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         bins = Bins(capacity, open_bins)
-        part = part.sort_values(["length", "spread"], ascending=[False, True], ignore_index=True)  # small pieces come last and fill the gaps
+        part = part.sort_values("spread", ignore_index=True)  # as they came
         at = [bins.put(n) for n in part["length"].tolist()]
         part["sequence_id"] = [b * packers + int(key[0]) for b, _ in at]
         part["offset"] = [o for _, o in at]
