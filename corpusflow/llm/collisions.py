@@ -6,13 +6,15 @@ projections is verified by its cosine in double precision.
 
 One projection alone keeps a fixed share of all pairs, so groups are cells of random grids over a few further
 projections: the number of projections in a grid grows with the logarithm of the number of vectors, and the
-number of grids follows from the recall asked for at the threshold itself (pairs above it do better). A pair is
-counted in the first grid only whose cell it shares, so links are counted, and joined to groups, inside the
-tasks and pairs never leave them. A cell of very many vectors is split into pairs of chunks.
+number of grids follows from the recall asked for at the threshold itself (pairs above it do better). A copy of a vector carries
+nothing but the vector. A pair is counted in the first grid only whose cell it shares (cells are computed again for the vectors of
+verified pairs), so links are counted, and joined to groups, inside the tasks and pairs never leave them. A cell of very
+many vectors is split into pairs of chunks.
 
 Equal vectors are one node with a count. Defined results: vectors that are null, empty or zero or hold null or
 non-finite components link with nothing and are their own component; vectors of different lengths don't link;
-rows whose vec_id is null are left out; repeated rows count once.
+rows whose vec_id is null are left out; repeated rows count once; vectors that share a vec_id
+are one node, a row each with the links of all.
 """
 
 from __future__ import annotations
@@ -54,15 +56,15 @@ class Plan:
             rng = np.random.Generator(np.random.PCG64([SEED, dim]))
             self._made[dim] = (
                 rng.standard_normal((dim, PROJECTIONS)),
-                rng.standard_normal((dim, self.grids * self.depth)),
+                np.rint(rng.standard_normal((dim, self.grids * self.depth)) * 2**16),
                 rng.random(self.grids * self.depth) * WIDTH,
             )
         return self._made[dim]
 
     def cells(self, unit: np.ndarray) -> np.ndarray:
-        """A 64-bit cell id for each vector and grid."""
+        """A 64-bit cell id for each vector and grid; sums of whole numbers, so it doesn't depend on the vectors beside it."""
         _, directions, shifts = self.matrices(unit.shape[1])
-        at = np.floor((unit @ directions + shifts) / WIDTH).astype(np.int64).reshape(len(unit), self.grids, self.depth)
+        at = np.floor((np.rint(unit * 2**16) @ directions / 2.0**32 + shifts) / WIDTH).astype(np.int64).reshape(len(unit), self.grids, self.depth)
         h = np.full(at.shape[:2], unit.shape[1], np.uint64)
         for k in range(self.depth):
             h = (h ^ at[:, :, k].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -87,25 +89,47 @@ def _quantile(m: int, p: float, tail: float) -> int:
     return m
 
 
-def collisions(proj: np.ndarray, half: float) -> np.ndarray:
-    """For each query and vector of a group, the number of projections whose query-centred window holds the vector."""
+def candidates(proj: np.ndarray, half: float, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs a < b of a group that collide on at least `count` projections.
+
+    Each projection is sorted, and what lies in the window around a query is a range of places in that order. Half of the
+    projections are counted for all places; a pair that the other half can't bring to `count` any more is dropped, the
+    others are counted on.
+    """
     n, m = proj.shape
-    counts = np.zeros((n, n), np.uint8)
+    ranks, lows, sizes = (np.empty((m, n), np.int32) for _ in range(3))
     for j in range(m):
         x = proj[:, j]
         order = np.argsort(x)
         sorted_ = x[order]
-        rank = np.empty(n, np.int32)
-        rank[order] = np.arange(n)
-        lo = np.searchsorted(sorted_, x - half).astype(np.int32)
-        size = np.searchsorted(sorted_, x + half, side="right").astype(np.int32) - lo
-        counts += (rank[None, :] - lo[:, None]).view(np.uint32) < size[:, None].view(np.uint32)
-    return counts
+        ranks[j, order] = np.arange(n)
+        lows[j] = np.searchsorted(sorted_, x - half)
+        sizes[j] = np.searchsorted(sorted_, x + half, side="right") - lows[j]
+    first, found = m // 2, []
+    rows = max(1, (1 << 20) // n)
+    for at in range(0, n, rows):  # a slice of queries at a time
+        q = slice(at, at + rows)
+        counts = np.zeros((len(lows[0, q]), n), np.uint8)
+        for j in range(first):
+            counts += (ranks[j][None, :] - lows[j, q, None]).view(np.uint32) < sizes[j, q, None].view(np.uint32)
+        a, b = np.nonzero(counts >= count - (m - first))
+        own = counts[a, b]
+        a += at
+        up = a < b
+        a, b, own = a[up], b[up], own[up]
+        for j in range(first, m):
+            own += (ranks[j][b] - lows[j][a]).view(np.uint32) < sizes[j][a].view(np.uint32)
+            alive = own >= count - (m - 1 - j)
+            a, b, own = a[alive], b[alive], own[alive]
+        found.append((a, b))
+    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
 
 
 # --- tasks -----------------------------------------------------------------------------------
 
-ROWS = "grid int, cell long, node long, n long, cells binary, v binary"
+ROWS = "grid int, cell long, node long, n long, v binary"
+#: Components of vectors that are multiplied at once.
+SLICE = 1 << 22
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
@@ -138,14 +162,13 @@ def _rows(plan: Plan):
                     own = np.flatnonzero(sizes == dim)
                     raw = values[first[own][:, None] + np.arange(dim)]
                     cells = plan.cells(_unit(raw))
-                    packed = [c.tobytes() for c in cells.astype(np.int32)]
                     with np.errstate(over="ignore"):
                         half = raw.astype(np.float32)
                     # vectors of single precision travel as such: nothing is lost, and half is moved
                     vectors = [b"4" + x.tobytes() for x in half] if np.array_equal(half.astype(np.float64), raw) else [b"8" + x.tobytes() for x in raw]
                     for g in range(plan.grids):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(own), g, np.int32)), pa.array(cells[:, g]), pa.array(node[own]), pa.array(n[own]), pa.array(packed, pa.binary()), pa.array(vectors, pa.binary())],
+                            [pa.array(np.full(len(own), g, np.int32)), pa.array(cells[:, g]), pa.array(node[own]), pa.array(n[own]), pa.array(vectors, pa.binary())],
                             [x.split()[0] for x in ROWS.split(", ")],
                         )
 
@@ -155,22 +178,22 @@ def _rows(plan: Plan):
 def _count(plan: Plan):
     """(a, b, linked): b more links of node a, or, if linked, a link between a and b that joins two groups."""
 
-    def group(g: int, chunk: np.ndarray, ij: tuple, node: np.ndarray, n: np.ndarray, cells: list, v: list) -> Iterator[tuple]:
+    def group(g: int, chunk: np.ndarray, ij: tuple, node: np.ndarray, n: np.ndarray, v: list) -> Iterator[tuple]:
         unit = _unpacked(v)
-        ok = np.triu(collisions(unit @ plan.matrices(unit.shape[1])[0], plan.half) >= plan.count, 1)
+        a, b = candidates(unit @ plan.matrices(unit.shape[1])[0], plan.half, plan.count)
         if ij[0] != ij[1]:  # two chunks: their cross pairs only
-            ok &= chunk[:, None] != chunk[None, :]
-        a, b = np.nonzero(ok)
-        if not len(a):
-            return
-        sure = (unit @ unit.T)[a, b] >= plan.threshold
-        a, b = a[sure], b[sure]
+            across = chunk[a] != chunk[b]
+            a, b = a[across], b[across]
+        step = max(1, SLICE // unit.shape[1])
+        sure = [np.einsum("ij,ij->i", unit[a[i : i + step]], unit[b[i : i + step]]) >= plan.threshold for i in range(0, len(a), step)]
+        if sure:
+            sure = np.concatenate(sure)
+            a, b = a[sure], b[sure]
         if g and len(a):  # the first grid whose cell they share counts a pair
-            ids = np.frombuffer(b"".join(cells), np.int32).reshape(len(cells), -1)[:, :g]
-            for at in range(0, len(a), 100_000):
-                j = slice(at, at + 100_000)
-                sure[: len(a)][j] = ~(ids[a[j]] == ids[b[j]]).any(axis=1)
-            new = sure[: len(a)].copy()
+            some = np.unique(np.concatenate((a, b)))
+            ids = plan.cells(unit[some])[:, :g]
+            new = [~(ids[np.searchsorted(some, a[i : i + step])] == ids[np.searchsorted(some, b[i : i + step])]).any(axis=1) for i in range(0, len(a), step)]
+            new = np.concatenate(new)
             a, b = a[new], b[new]
         if not len(a):
             return
@@ -192,7 +215,7 @@ def _count(plan: Plan):
                 return
             t = pa.Table.from_batches(held).combine_chunks()
             c = {x: t.column(x).to_numpy() for x in ("grid", "chunk", "i", "j", "node", "n")}
-            for out in group(int(c["grid"][0]), c["chunk"], (c["i"][0], c["j"][0]), c["node"], c["n"], t.column("cells").to_pylist(), t.column("v").to_pylist()):
+            for out in group(int(c["grid"][0]), c["chunk"], (c["i"][0], c["j"][0]), c["node"], c["n"], t.column("v").to_pylist()):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["a", "b", "linked"])
 
         for batch in batches:
