@@ -7,12 +7,18 @@ at the home anchor of either. With b bands and threshold t in each, all pairs wi
 Fingerprints are compared anchor by anchor; only links that join two groups leave a task, never all pairs.
 An anchor with very many fingerprints is split into pairs of chunks.
 
-Equal fingerprints are one node, so copies cost one row. Defined results: null or empty text has fingerprint
-zero, which links like any other; rows whose doc_id is null are left out; repeated rows are kept.
+near_duplicates() finds texts whose sets of five-word shingles have a similarity of 0.8 or more: fingerprints of 256 bits give
+candidates, and each link that joins two groups counts only if the shingles of its two texts confirm it. The bands grow wider with the
+logarithm of the number of texts and there are more of them, so comparisons grow with about the 1.3th power of the texts.
+
+Equal fingerprints (there: equal sets of shingles) are one node, so copies cost one row. Defined results: null or empty text has
+fingerprint zero, which links like any other, and no shingles, as all such texts have; rows whose doc_id is null are left out; repeated
+rows are kept; rows that share a doc_id are one node, of which the set with the smallest digest is compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,39 +40,50 @@ SLICE = 1 << 21
 # --- fingerprints ----------------------------------------------------------------------------
 
 
-def fingerprint(text: bytes, shingle: int, lanes: int = 1) -> list[int]:
-    """A fingerprint of 64 bits a lane: lane k hashes with seed 42 + k."""
+def shingles(text: bytes, n: int) -> list[bytes]:
+    """The n-word shingles of a text, repeats included; of fewer words, all of them; of none, nothing."""
     words = text.translate(_LOWER).split()  # exactly [^\x20\x09-\x0D]+
-    if not words:
-        return [0] * lanes
-    if len(words) <= shingle:
-        shingles = [b" ".join(words)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate(([0], ends[:-1]))[: len(words) - shingle + 1]
-        shingles = [joined[a:b] for a, b in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist())]
-    out = []
+    if len(words) <= n:
+        return [b" ".join(words)] if words else []
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-1]))[: len(words) - n + 1]
+    return [joined[a:b] for a, b in zip(starts.tolist(), (ends[n - 1 :] - 1).tolist())]
+
+
+def _hashes(own: list[bytes], seed: int) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(s, seed) for s in own], np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int, lanes: int = 1) -> list[int]:
+    """A fingerprint of 64 bits a lane (lane k hashes with seed 42 + k), and a digest of the set of shingles."""
+    own = shingles(text, shingle)
+    if not own:
+        return [0] * (lanes + 1)
+    out, digest = [], 0
     for lane in range(lanes):
-        digest = xxhash.xxh64_intdigest
-        h = np.array([digest(s, 42 + lane) for s in shingles], np.uint64)
+        h = _hashes(own, 42 + lane)
+        if lane == 0:
+            digest = xxhash.xxh64_intdigest(np.unique(h).tobytes())
         ones = np.zeros(64, np.int64)
         for i in range(0, len(h), 1 << 16):
             ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         out.append(int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0]))
-    return out
+    return [*out, digest]
 
 
 def fingerprints(docs: DataFrame, shingle: int, lanes: int = 1) -> DataFrame:
-    """(doc_id, f0, f1, ...): one long a lane."""
+    """(doc_id, f0, f1, ..., digest): one long a lane."""
+    columns = [*names(lanes), "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             rows = [fingerprint(block.raw(k), shingle, lanes) for k in range(len(block.ids))]
-            cols = [np.array([r[k] for r in rows], np.uint64).view(np.int64) for k in range(lanes)]
-            yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), *map(pa.array, cols)], ["doc_id", *names(lanes)])
+            cols = [np.array(c, np.uint64).view(np.int64) for c in zip(*rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), *map(pa.array, cols)], ["doc_id", *columns])
 
-    schema = "doc_id long, " + ", ".join(f"{f} long" for f in names(lanes))
+    schema = "doc_id long, " + ", ".join(f"{f} long" for f in columns)
     return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(run, schema)
 
 
@@ -106,18 +123,49 @@ class Code:
         return s
 
 
+#: A band's width where there are few texts, and log2 of the texts for each bit that it is wider.
+WIDTH, TEXTS = 16, 18
+#: Recall at the similarity asked for, of the bands and of the distance.
+RECALL, DEVIATIONS = 0.98, 2.8
+
+
+def differing(similarity: float) -> float:
+    """Share of fingerprint bits that differ between two sets as large of this similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def plan(n: int, similarity: float, bits: int, threshold: int = 1) -> tuple[int, int, int]:
+    """(bands, width, distance) for n texts: a band is a bit wider each time that texts double, and bands make up for it."""
+    width = min(40, max(WIDTH, WIDTH + math.ceil(math.log2(max(n, 1))) - TEXTS))
+    far = differing(similarity)
+    meet = sum(math.comb(width, k) * far**k * (1 - far) ** (width - k) for k in range(threshold + 1))
+    bands = max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - meet)))
+    return bands, width, int(bits * far + DEVIATIONS * math.sqrt(bits * far * (1 - far)))
+
+
+def band_bits(bands: int, width: int, bits: int) -> list[np.ndarray]:
+    """The bits of each band: bands side by side while there are bits, then over shuffled bits."""
+    rng, out, order = np.random.Generator(np.random.PCG64(7)), [], np.arange(bits)
+    while len(out) < bands:
+        out += [order[k * width : (k + 1) * width] for k in range(bits // width)]
+        order = rng.permutation(bits)
+    return out[:bands]
+
+
 def _replicas(lanes: int, bands: int, width: int, threshold: int):
     code = Code(width, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = band_bits(bands, width, 64 * lanes)
         for batch in batches:
             for i in range(0, len(batch), 8192):
                 part = batch.slice(i, 8192)
                 fs = [part.column(1 + k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(lanes)]
                 node = part.column(0).to_numpy(zero_copy_only=False)
                 for band in range(bands):
-                    lane, shift = divmod(band * width, 64)
-                    word = (fs[lane].view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << width) - 1)
+                    word = np.zeros(len(node), np.int64)
+                    for place, bit in enumerate(chosen[band].tolist()):
+                        word |= ((fs[bit // 64].view(np.uint64) >> np.uint64(bit % 64)).astype(np.int64) & 1) << place
                     s = code.syndrome(word)
                     diff = code.patterns[s]
                     row, col = np.nonzero(diff >= 0)
@@ -135,8 +183,13 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int):
 # --- comparison at the anchors ---------------------------------------------------------------
 
 
-def _compare(lanes: int, distance: int):
-    """Links (a, b) that join groups, from batches sorted by anchor; a group may go on in the next batch."""
+def _compare(lanes: int, levels: list[int]):
+    """Links (a, b) that join groups, from batches sorted by anchor; a group may go on in the next batch.
+
+    Levels are distances in rising order. A link is sent if it joins two groups of its own level, so near links are sent
+    whatever farther ones came before, and the links up to each level give that level's groups.
+    """
+    distance = levels[-1]
 
     def links(cols: dict[str, np.ndarray], forest: dict) -> None:
         key, home = cols["group"], cols["home"]
@@ -154,17 +207,21 @@ def _compare(lanes: int, distance: int):
             own, m = h[at:to], n[at:to]
             left = np.repeat(own, m)
             right = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[group[own]], m)
-            d = np.zeros(len(left), np.uint8)
+            d = np.zeros(len(left), np.uint16)
             ok = left != right
             for f in names(lanes):
                 d += np.bitwise_count(cols[f][left] ^ cols[f][right])
             ok &= d <= distance
-            for x, y in zip(cols["node"][left[ok]].tolist(), cols["node"][right[ok]].tolist()):
-                _join(forest, x, y)
+            level = np.searchsorted(levels, d[ok])
+            for x, y, k in zip(cols["node"][left[ok]].tolist(), cols["node"][right[ok]].tolist(), level.tolist()):
+                if x != y and _join(forest["parent"][k], x, y):
+                    forest["links"].append((x, y))
+                    for above in forest["parent"][k + 1 :]:
+                        _join(above, x, y)
             at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, forest = None, {"parent": {}, "links": []}
+        rest, forest = None, {"parent": [{} for _ in levels], "links": []}
         for batch in batches:
             cols = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
             cols = {c: v.view(np.uint64) if c in names(lanes) else v for c, v in cols.items()}
@@ -176,7 +233,7 @@ def _compare(lanes: int, distance: int):
             cut = int(np.searchsorted(cols["group"], cols["group"][-1])) if len(cols["group"]) else 0
             links({c: v[:cut] for c, v in cols.items()}, forest)
             rest = {c: v[cut:] for c, v in cols.items()}
-            if len(forest["parent"]) > 200_000:  # bounded memory; fewer links are left out, none is lost
+            if len(forest["parent"][-1]) > 200_000:  # bounded memory; fewer links are left out, none is lost
                 yield from _flush(forest)
         if rest is not None:
             links(rest, forest)
@@ -192,8 +249,8 @@ def _group_numbers(cols: dict[str, np.ndarray]) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _join(forest: dict, x: int, y: int) -> None:
-    p = forest["parent"]
+def _join(p: dict, x: int, y: int) -> bool:
+    """Union of the groups of x and y; whether they were two."""
     rx, ry = x, y
     while (up := p.setdefault(rx, rx)) != rx:
         p[rx] = p[up]
@@ -203,17 +260,17 @@ def _join(forest: dict, x: int, y: int) -> None:
         ry = up
     if rx != ry:
         p[max(rx, ry)] = min(rx, ry)
-        forest["links"].append((x, y))
+    return rx != ry
 
 
 def _flush(forest: dict) -> Iterator[pa.RecordBatch]:
     a, b = zip(*forest["links"]) if forest["links"] else ((), ())
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-    forest["parent"], forest["links"] = {}, []
+    forest["parent"], forest["links"] = [{} for _ in forest["parent"]], []
 
 
-def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int, distance: int) -> DataFrame:
-    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups."""
+def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int, distance: int, levels: tuple[int, ...] = ()) -> DataFrame:
+    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups at `distance` and at each of the smaller levels."""
     rows = nodes.select("node", *names(lanes)).mapInArrow(
         _replicas(lanes, bands, width, threshold),
         "key long, home boolean, node long, " + ", ".join(f"{f} long" for f in names(lanes)),
@@ -231,16 +288,11 @@ def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int,
         others = all_.where("not home or c > 1").withColumn("home", F.lit(False)).withColumn("j", chunk).withColumn("i", F.explode(every))
         split = homes.unionByName(others).drop("c")
     sorted_ = split.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(_compare(lanes, distance), "a long, b long")
-
+    return sorted_.mapInArrow(_compare(lanes, [*levels, distance]), "a long, b long")
 
-def groups(docs: DataFrame, shingle: int = 5, lanes: int = 4, bands: int = 10, width: int = 16, threshold: int = 1, distance: int = 46) -> DataFrame:
-    """(doc_id, f0, ..., component_id): component_id is the smallest doc_id reachable by links of at most `distance` bits.
 
-    The defaults find texts whose five-word shingles have a similarity of 0.8 or more: with 256 bits such texts
-    differ in 39 bits on average (6 is the standard deviation), unrelated ones in 128, and ten bands of 16 bits with one
-    differing bit meet for 0.96 of the pairs at 0.8 exactly and for 0.999 of those at 0.9.
-    """
+def groups(docs: DataFrame, shingle: int, lanes: int, bands: int, width: int, threshold: int, distance: int) -> DataFrame:
+    """(doc_id, f0, ..., component_id): component_id is the smallest doc_id reachable by links of at most `distance` bits."""
     fs = names(lanes)
     each = materialise(fingerprints(docs, shingle, lanes))
     nodes = each.groupBy(*fs).agg(F.min("doc_id").alias("node"))
@@ -249,9 +301,59 @@ def groups(docs: DataFrame, shingle: int = 5, lanes: int = 4, bands: int = 10, w
     return each.join(of, fs).select("doc_id", *fs, "component_id")
 
 
+# --- near duplicates -------------------------------------------------------------------------
+
+SHINGLE, SIMILARITY, LANES = 5, 0.8, 4
+
+
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, digest, shingles): the sorted hashes of each text's shingles, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            own = [np.unique(_hashes(shingles(block.raw(k), shingle), 42)).tobytes() for k in range(len(block.ids))]
+            digest = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in own], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(digest), pa.array(own, pa.large_binary()).cast(pa.binary())], ["doc_id", "digest", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest long, shingles binary")
+
+
+def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            both = len(np.intersect1d(s, t, assume_unique=True))
+            out.append(both / max(1, len(s) + len(t) - both))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
+    """(doc_id, component_id): component_id is the smallest doc_id reachable by links between texts of this similarity or more.
+
+    Links are searched by fingerprints at five levels of distance, and all that would join two groups are confirmed by their shingles.
+    """
+    fs = names(lanes)
+    each = materialise(fingerprints(docs, shingle, lanes))
+    nodes = materialise(each.groupBy(*fs, "digest").agg(F.min("doc_id").alias("node")))
+    bands, width, distance = plan(nodes.count(), similarity, 64 * lanes)
+    mean = int(64 * lanes * differing(similarity))
+    found = materialise(links(nodes, lanes, bands, width, 1, distance, (mean // 3, 2 * mean // 3, mean - 4, mean + 4)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
+    sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
+    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
+    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
+    pairs = found.join(first, "a").join(second, "b").select("a", "b", "s", "t")
+    sure = pairs.mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= similarity)
+    component = connected_components(sure.select("a", "b"))
+    of = nodes.join(component, "node", "left").select(*fs, "digest", F.coalesce("component", "node").alias("component_id"))
+    return each.join(of, [*fs, "digest"]).select("doc_id", "component_id")
+
+
 def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     """docs without the near duplicates of a document with a smaller doc_id; of rows that share an id, all stay."""
-    gone = groups(docs, **parameters).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
+    gone = near_duplicates(docs, **parameters).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")
 
 
