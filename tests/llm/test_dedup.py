@@ -69,6 +69,58 @@ def test_keep_one(spark, docs, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def jaccard(a, b, n=5):
+    s, t = (set(simhash.shingles(x.encode(), n)) for x in (a, b))
+    return len(s & t) / max(1, len(s | t))
+
+
+def test_near_duplicates_recall_at_the_bar(spark):
+    """Pairs just above 0.8 are found, at 0.7 none is linked, nor texts that share a passage said often."""
+    rows, want, far = [], [], []
+    rng = np.random.default_rng(2)
+    for i in range(300):
+        w = words(7000 + i, 300).split()
+        v = list(w)
+        for at in rng.choice(58, 6 if i < 200 else 10, replace=False):
+            v[5 * int(at) + 3] = f"new{at}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+        (want if i < 200 else far).append((2 * i, 2 * i + 1))
+    said = " ".join([words(1, 12)] * 40)
+    rows += [(1000 + i, said + " " + words(9000 + i, 200)) for i in range(5)]
+    text = dict(rows)
+    assert all(0.8 <= jaccard(text[a], text[b]) < 0.83 for a, b in want)
+    assert all(jaccard(text[a], text[b]) < 0.75 for a, b in far)
+    assert jaccard(text[1000], text[1001]) < 0.1
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert np.mean([got[b] == a for a, b in want]) >= 0.95
+    assert all(got[b] == b for _, b in far)
+    assert all(got[1000 + i] == 1000 + i for i in range(5))
+
+
+def test_near_duplicates_comparisons_grow_less_than_quadratically(spark):
+    """Comparisons a text, with unrelated ones, in all bands: they grow with less than the 0.4th power of the texts."""
+    rng = np.random.default_rng(4)
+    each = []
+    for lg in (20, 22, 30):
+        bands, width, _ = simhash.plan(1 << lg, 0.8, 256)
+        checks = (width + 1).bit_length() - 1
+        anchors, replicas = 2 ** (width - checks), np.mean([(row >= 0).sum() for row in simhash.Code(width, 1).patterns])
+        each.append(bands * replicas * 2**lg / anchors)
+    assert each[1] < 4**0.4 * each[0]
+    assert each[2] < 1024**0.4 * each[0]
+    bands, width, _ = simhash.plan(1 << 26, 0.8, 256)
+    chosen = simhash.band_bits(bands, width, 256)
+    assert len(chosen) == bands and all(len(set(b.tolist())) == width for b in chosen)
+    f = rng.integers(-(2**63), 2**63, (200, 4))
+    near = f.copy()
+    for i in range(200):
+        for bit in rng.choice(256, 30, replace=False):
+            near[i, bit // 64] ^= np.int64(np.uint64(1) << np.uint64(bit % 64))
+    nodes = spark.createDataFrame([(i, *map(int, x)) for i, x in enumerate(np.concatenate((f, near)))], "node long, f0 long, f1 long, f2 long, f3 long")
+    links = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash.links(nodes, 4, bands, width, 1, 54, (20, 40)).collect()}
+    assert len(links & {(i, 200 + i) for i in range(200)}) >= 196 and len(links) == len(links & {(i, 200 + i) for i in range(200)})
+
+
 # --- substrings ------------------------------------------------------------------------------
 
 
@@ -182,6 +234,30 @@ def test_collisions(spark, monkeypatch):
     assert collisions.links(df.limit(0)).count() == 0
 
 
+def test_candidates_are_the_pairs_that_collide_often_enough():
+    x = np.random.default_rng(3).standard_normal((300, 24))
+    counts = (np.abs(x[:, None, :] - x[None, :, :]) <= 1.1).sum(axis=2)
+    for need in (0, 12, 17, 21):
+        a, b = collisions.candidates(x, 1.1, need)
+        assert set(zip(a.tolist(), b.tolist())) == {(i, j) for i in range(300) for j in range(i + 1, 300) if counts[i, j] >= need}
+
+
+def test_collisions_copies_carry_one_vector(spark):
+    small, large = collisions.Plan(10**4, 0.9), collisions.Plan(10**8, 0.9)
+    assert large.grids > small.grids
+    df = spark.createDataFrame([(1, 1, [float(i % 7) for i in range(64)])], "node long, n long, e array<double>")
+    for plan in (small, large):
+        assert {len(r.v) for r in df.mapInArrow(collisions._rows(plan), collisions.ROWS).collect()} == {1 + 4 * 64}
+    unit = collisions._unit(np.random.default_rng(0).standard_normal((50, 64)))
+    assert (small.cells(unit)[7:9] == small.cells(unit[7:9])).all()
+
+
+def test_vectors_that_share_an_id_and_extra_columns(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, [5.0, 0.1])]
+    df = spark.createDataFrame([(i, v, 9, 9) for i, v in rows], "vec_id long, embedding array<double>, node long, n long")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in collisions.links(df).collect()) == [(1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1)]  # one node with the links of both
+
+
 def test_count_is_calibrated():
     p = collisions.Plan(10**6, 0.9)
     rng = np.random.default_rng(0)

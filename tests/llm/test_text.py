@@ -76,6 +76,29 @@ def test_bins_close_the_fullest():
     assert b.put(10) == (4, 0)
 
 
+def test_packing_closes_bins_as_pieces_come(spark):
+    rng = np.random.default_rng(0)
+    sizes = rng.integers(1, 700, 3000).tolist()
+    rows = spark.createDataFrame([(i, 0, 0, n, 0, i) for i, n in enumerate(sizes)], packing.PIECES)
+    bins = packing.Bins(1000, 16)
+    at = [bins.put(n) for n in sizes]
+    assert bins.n == 16
+    got = sorted((r.doc_id, r.sequence_id, r.offset) for r in packing.pack(rows.repartition(4), 1000, 16).collect())
+    assert got == [(i, b, o) for i, (b, o) in enumerate(at)]
+    assert bins.made <= 1.03 * sum(sizes) / 1000  # bins that close are all but full
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Two  spaces\n and  more", "", "naïve 😀 text, with. marks"]
+    whole = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.token_ids(texts, path)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # --- decontamination -------------------------------------------------------------------------
 
 
@@ -149,6 +172,20 @@ def test_lines(spark, docs, awkward, none):
     assert lines.deduplicate(none).count() == 0
 
 
+def test_blocks_of_lines_go_and_near_copies_stay(spark):
+    footer = "All about us\nWrite to us\nCookies and you\nTerms of use"
+    pages = [(i, f"{words(i, 60)}\n{words(2000 + i, 60)}\n\n{footer}", "en", f"site{i}", 1) for i in range(60)]
+    few = [(100 + i, f"{words(100 + i, 40)}\nSeen on six sites", "en", f"site{i}", 1) for i in range(6)]
+    body = [words(3000 + j, 30) for j in range(12)]
+    near = [(200 + i, "\n".join(b if j != i % 12 else words(4000 + i, 30) for j, b in enumerate(body)), "en", f"site{i}", 1) for i in range(40)]
+    quoted = [(300 + i, f"{words(300 + i, 90)}\n{words(5000, 40)}", "en", f"site{i}", 1) for i in range(8)]
+    df = spark.createDataFrame(pages + few + near + quoted, DOCS)
+    out = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
+    assert all(out[i] == t.removesuffix("\n" + footer) for i, t, *_ in pages)  # the blank line before the footer stays
+    assert all(out[i] == t.removesuffix("\nSeen on six sites") for i, t, *_ in few)
+    assert all(out[i] == t for i, t, *_ in [*near, *quoted])
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
