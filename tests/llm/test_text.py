@@ -293,19 +293,76 @@ def test_mixing(spark, docs, awkward, none):
     assert mixing.score(none).count() == 0
 
 
+HELD = [i for i in range(100_000, 130_000) if zlib.crc32(str(i).encode()) % 5 == 1]
+TRAIN = [i for i in range(100_000, 100_200) if zlib.crc32(str(i).encode()) % 5 != 1]
+
+
+def told_of(rows):
+    """A model fitted on all of some rows and what the counts say of them, without Spark."""
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["doc_id", "text"])
+    (one,) = mixing._shards()([batch])
+    row = one.to_pylist()[0]
+    shard = mixing.Shard(row["ids"], row["ends"], row["text"])
+    tables, code = mixing.Tables(), mixing.Code(row["bytes"])
+    tables.learn(shard, code)
+    model = mixing.Model(code, tables.stretch(code), tables.n[mixing.LEAVES][0])
+    told = mixing.Told(shard, [shard.counts(k) for k in range(3)], model.leaves)
+    return model, told
+
+
+def test_mixing_tells_the_counts_of_the_other_documents(awkward):
+    rows = [(k, t) for k, t, *_ in awkward if k is not None] + [(i, words(n % 9, 40)) for n, i in enumerate([*TRAIN[:30], *HELD[:10]])]
+    _, told = told_of(rows)
+    texts = [[*re.findall(rb"[^\x20\x09-\x0D]+", lower((t or "").encode())), None] for _, t in rows]
+    held = [zlib.crc32(str(k).encode()) % 5 == 1 for k, _ in rows]
+
+    def grams(w, n):  # the n words to each place; the start is one more token
+        return Counter(tuple((["start", *w])[max(0, j - n + 2) : j + 2]) for j in range(len(w)))
+
+    all_ = [sum((grams(w, n) for w, h in zip(texts, held) if not h), Counter()) for n in (1, 2, 3)]
+    at = 0
+    for w, h in zip(texts, held):
+        own = [Counter() if h else grams(w, n) for n in (1, 2, 3)]
+        left = lambda n, g: all_[n - 1][g] - own[n - 1][g]  # noqa: E731, B023
+        for j, x in enumerate(w):
+            line = ["start", *w]
+            assert told.known[at] == (left(1, (x,)) > 0)
+            two = left(1, (w[j - 1],)) if j else 0
+            three = left(2, tuple(line[j - 1 : j + 1])) if j else 0
+            assert told.asked["two"][at] == (two > 0) and told.asked["three"][at] == (three > 0)
+            if two:
+                assert math.isclose(told.foretold["two"][at], left(2, (w[j - 1], x)) / two)
+            if three:
+                assert math.isclose(told.foretold["three"][at], left(3, tuple(line[j - 1 : j + 2])) / three)
+            assert math.isclose(told.foretold["again"][at], w[:j].count(x) / max(j, 1))
+            at += 1
+    assert at == len(told.known)
+
+
 def test_mixing_is_a_distribution():
-    code = mixing.Code([1] * 256)
-    mixer = mixing.Mixer()
-    rng = np.random.default_rng(0)
-    mixer.hits += rng.integers(0, 50, mixer.hits.shape)
-    mixer.settle()
-    stretch = [rng.normal(0, 2, 1 << s).astype(np.float16) for s in mixing.SLOTS]
-    text = b"\n\n".join(bytes([b]) for b in range(256) if b not in (9, 10, 11, 12, 13, 32) and not 65 <= b <= 90) + b"\n\n"
-    ends = np.array([len(text) - 2])
-    import zstandard
-
-    shard = mixing.Shard(np.array([1]).tobytes(), ends.tobytes(), zstandard.compress(text))
-    # the first byte of all words that begin differently, and of the end mark
-    shard.size = np.ones_like(shard.size)
-    total = sum(10 ** mixer.costs(mixing.Bits(shard, code, np.arange(len(shard.size))), stretch))
-    assert 0.5 < total <= 1 + 1e-6
+    train = [(i, words(n % 6, 30)) for n, i in enumerate(TRAIN[:40])]
+    vocabulary = sorted({w for _, t in train for w in t.split()})
+    for start in (words(2, 30).split()[:5], words(99, 4).split(), [vocabulary[0]] * 9):
+        ends = [*vocabulary, None, *(a + b for a in "qxzw" for b in ["", "j", "qq"]), *(v[:2] for v in vocabulary if v[:2] not in vocabulary and len(v) > 2)]
+        ends = list(dict.fromkeys(ends))
+        asked = [(HELD[k], " ".join([*start, x] if x else start)) for k, x in enumerate(ends)]
+        model, told = told_of(train + asked)
+        model.fit(told)
+        cost = model.score(told)
+        first = told.shard.bounds[len(train) : -1] + len(start)
+        total = float((10 ** cost[first]).sum())
+        assert 0.4 < total <= 1 + 1e-6
+
+
+def test_scores_depend_on_training_documents_alone(spark):
+    rows = [(i, words(n % 12, 80)) for n, i in enumerate([*TRAIN[:40], *HELD[:10]])]
+    changed = [(k, "other Ωmega Words" * 9) if k == HELD[3] else (k, t) for k, t in rows]
+    one, two, three = (
+        {r.doc_id: (r.score, r.base_score) for r in mixing.score(df).collect()}
+        for df in (frame(spark, rows).coalesce(1), frame(spark, changed).coalesce(1), frame(spark, reversed(rows)).repartition(3))
+    )
+    for k, _ in rows:
+        assert k == HELD[3] or np.allclose(one[k], two[k], rtol=1e-9)
+        assert np.allclose(one[k], three[k], rtol=1e-9)
+    copies = [k for k, t in rows if k in HELD]
+    assert all(one[k][0] > 0.5 * one[k][1] for k in copies)  # what training documents say too costs little
