@@ -1,23 +1,24 @@
 """License scan by a trained paragraph classifier.
 
-Paragraphs (lines) are classified into licence families by multinomial logistic regression over hashed word 1- and 2-grams with an
-L1 penalty, so that few weights remain and most paragraphs touch none. It is trained here on variants of notice templates,
-on sentences that only sound like licences, and on a bounded sample of the corpus's lines as the unknown class. A temperature
-fitted on held-out variants calibrates it; what is not likely enough of one family is unknown. A prediction counts only if the
-paragraph holds enough of the 3-grams of one of the family's templates.
+A paragraph is what lies between blank lines; a notice wrapped over lines is one, and comment signs are no words. Most paragraphs
+have none of the model's features (hashed word 2- and 3-grams, few of them by an L1 penalty) and cost nothing more. Where
+features lie close together, the stretch of words that they span is classified by multinomial logistic regression: the whole
+stretch, its lines, and overlapping windows of it, so neither the length of a paragraph nor how it is wrapped changes the verdict.
 
-A notice may be wrapped over lines or lie inside a long one. So windows of WINDOWS words, each a quarter of its size after
-the one before, are scored too, over all lines between blank ones. What a window confirms counts once, at the line where the window begins,
-unless a line that it touches is confirmed for that family already; lines that it touches are not unconfirmed for that family any more.
+The model is trained here on variants of notice templates, on sentences that only sound like licences, and on a bounded sample of
+the corpus's lines as the unknown class. A temperature calibrates it, fitted with whole templates held out; what is
+not likely enough of one family is unknown. A prediction counts only if the words hold enough of the 3-grams of one of the family's
+templates, or are an excerpt of one. Of confirmed stretches that overlap the one that holds most counts. "All rights reserved" alone
+confirms nothing unless it is the whole paragraph, and nothing beside another family in the document.
 
 Scanning reads every whole text where it lies, without a shuffle; the model is a few thousand weights.
 
-Defined results: null and empty texts have no paragraphs; blank lines are none; repeated rows and null ids are kept.
+Defined results: null and empty texts have no paragraphs; blank lines are none (n_paragraphs counts the others, since each may be a
+paragraph, and a notice's place is the line where it begins); repeated rows and null ids are kept.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,79 +35,99 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0",
     ],
     "MIT": [
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
     ],
-    "LGPL": ["This library is licensed under the GNU Lesser General Public License, version 2.1.", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: AGPL-3.0"],
+    "LGPL": ["This library is licensed under the GNU Lesser General Public License, version 2.1.", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES",
     ],
-    "ISC": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "SPDX-License-Identifier: ISC"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "ISC": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "SPDX-License-Identifier: ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "SPDX-License-Identifier: CC-BY-4.0"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "SPDX-License-Identifier: CC-BY-SA-4.0"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "SPDX-License-Identifier: CC0-1.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
     "Proprietary": ["All rights reserved.", "Copyright, all rights reserved. No part of this work may be reproduced without permission.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
 # Sentences that sound like licences and name no family.
 GENERIC = [
     "See the license file for details.", "This product requires a license.", "The license of this work is unknown.", "Licensed to the customer under a separate agreement.", "The driver needs a license, version of the year.",
     "Released under the terms below.", "This work is free.", "The public may use the work of the foundation.", "Copyright belongs to the authors.", "The library is open to the general public.", "Version 2.0 was released under the bridge.",
-    "A copy of the file may be obtained from the author.", "Permission to enter was granted.", "Commons and public works department, international attribution.", "The software comes without warranty of any kind.",
+    "A copy of the file may be obtained from the author.", "Permission to enter was granted.", "Copyright (c) 2019 The Authors. All rights reserved.", "Copyright 2021 by the library and its members, all rights reserved.", "Commons and public works department, international attribution.", "The software comes without warranty of any kind.",
 ]
 FAMILIES = ["unknown", *TEMPLATES]
 BITS = 20
 #: Lines of the corpus that train the unknown class, at most, from the documents with the smallest hashes of doc_id.
 SAMPLE_DOCS, SAMPLE_LINES = 256, 2000
-VARIANTS, STEPS, RATE, L1 = 30, 200, 1.0, 2e-4
-#: A family must be this likely, and a template's 3-grams this far contained.
-LIKELY, CONTAINED = 0.6, 0.6
-#: Words of the windows: a template of up to three quarters of a window's words lies whole in one of them.
-WINDOWS = (8, 16, 32, 64)
+VARIANTS, STEPS, RATE, L1 = 16, 150, 1.0, 1e-4
+#: A family must be this likely, and a template's 3-grams this far contained; or this share of the words' 3-grams, and so many of them, be a template's.
+LIKELY, CONTAINED, EXCERPT, LEAST = 0.6, 0.6, 0.8, 8
+#: Words without a feature that end a stretch; words of the windows.
+GAP, WINDOWS = 8, (8, 16, 32, 64)
 SEED = 13
 
 
 def ngrams(hashes: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of word 1- and 2-grams and the word each starts at; same: the next word is in the same paragraph."""
+    """Hashes of the word 2- and 3-grams that begin at each word; zero if the words are not of one paragraph. same: the next word is."""
+    two, three = np.zeros(len(hashes), np.uint64), np.zeros(len(hashes), np.uint64)
     at = np.flatnonzero(same)
-    two = mix(hashes[at] * np.uint64(3) + hashes[at + 1])
-    return np.concatenate((hashes, two)) >> np.uint64(64 - BITS), np.concatenate((np.arange(len(hashes)), at))
+    two[at] = mix(hashes[at] * np.uint64(3) + hashes[at + 1]) | np.uint64(1)
+    at = at[:-1][same[at[:-1] + 1]] if len(at) else at
+    three[at] = mix(two[at] * np.uint64(5) + hashes[at + 2]) & ~np.uint64(1)
+    return two, three
 
 
-def _features(texts: list[str]) -> list[np.ndarray]:
-    out = []
-    for block in blocks([pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate(texts)])], 1 << 40):
-        s, e, bounds = words(block, ALNUM)
-        h = span_hashes(block.buf, s, e)
-        for a, b in zip(bounds, bounds[1:]):
-            f, _ = ngrams(h[a:b], np.arange(b - a) < b - a - 1)
-            out.append(f)
-    return out
+def _block(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The 2- and 3-grams of each text, and its word hashes."""
+    block = next(blocks([pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate(texts)])], 1 << 40))
+    s, e, bounds = words(block, ALNUM)
+    h = span_hashes(block.buf, s, e)
+    grams, hashes = [], []
+    for a, b in zip(bounds, bounds[1:]):
+        two, three = ngrams(h[a:b], np.arange(b - a) < b - a - 1)
+        both = np.concatenate((two, three))
+        grams.append(both[both > 0])
+        hashes.append(h[a:b])
+    return grams, hashes
 
 
-def _grams(text: str) -> set[str]:
-    w = re.findall(r"[a-z0-9]+", text.lower())
-    return {" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+def _threes(hashes: np.ndarray) -> frozenset[int]:
+    """The 3-grams of some words; of fewer words, all of them."""
+    if len(hashes) < 3:
+        return frozenset([int(mix(hashes.sum(keepdims=True))[0])]) if len(hashes) else frozenset()
+    _, three = ngrams(hashes, np.arange(len(hashes)) < len(hashes) - 1)
+    return frozenset(three[three > 0].tolist())
 
 
 class Model:
@@ -114,28 +135,43 @@ class Model:
 
     def __init__(self, features: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float):
         self.features, self.weights, self.bias, self.temperature = features, weights, bias, temperature
-        self.grams = {f: [_grams(t) for t in ts] for f, ts in TEMPLATES.items()}
-
-    def scores(self, paragraph: np.ndarray, feature: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-        """Probabilities of the families for paragraphs 0..len(n_words)-1; feature: places in self.features."""
-        z = np.tile(self.bias, (len(n_words), 1))
-        value = 1 / np.sqrt(np.maximum(n_words, 1))[paragraph]
-        np.add.at(z, paragraph, self.weights[feature] * value[:, None])
-        z = z / self.temperature
+        self.maybe = np.zeros(1 << BITS, bool)  # the top bits of features: few words get past it
+        self.maybe[features >> np.uint64(64 - BITS)] = True
+        self.grams = {f: [_threes(h) for h in _block(ts)[1]] for f, ts in TEMPLATES.items()}
+
+    def places(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some n-grams are features, and their places."""
+        at = np.flatnonzero(self.maybe[grams >> np.uint64(64 - BITS)])
+        place = np.searchsorted(self.features, grams[at])
+        place[place == len(self.features)] = 0
+        ok = self.features[place] == grams[at] if len(self.features) else np.zeros(len(at), bool)
+        return at[ok], place[ok]
+
+    def chances(self, sums: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        """Probabilities of the families from the summed weights of some words."""
+        z = (sums / np.sqrt(np.maximum(n_words, 1))[:, None] + self.bias) / self.temperature
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
         return p / p.sum(axis=1, keepdims=True)
 
-    def contained(self, family: str, text: str) -> float:
-        own = _grams(text)
-        return max(len(own & g) / len(g) for g in self.grams[family])
+    def contained(self, family: str, own: frozenset[int], whole: bool) -> float:
+        """How much of one of the family's templates some words' 3-grams hold, or, of an excerpt, how much of them it holds. whole: they are a whole paragraph."""
+        best = 0.0
+        for g in self.grams[family]:
+            both = len(own & g)
+            if len(g) == 1 and not (whole and len(own) == 1):
+                continue
+            best = max(best, both / len(g), both / len(own) * CONTAINED / EXCERPT if both >= LEAST else 0.0)
+        return best
 
 
-def variants(rng: np.random.Generator, fillers: list[str]) -> tuple[list[str], list[int]]:
+def variants(rng: np.random.Generator, fillers: list[str], left_out: frozenset[str] = frozenset()) -> tuple[list[str], list[int]]:
     """Templates cut, with lost words and with other words around, and the class of each."""
     texts, classes = [], []
     for k, family in enumerate(FAMILIES):
         for t in TEMPLATES.get(family, GENERIC):
+            if t in left_out:
+                continue
             w = t.split()
             for v in range(VARIANTS):
                 own = list(w)
@@ -153,27 +189,21 @@ def variants(rng: np.random.Generator, fillers: list[str]) -> tuple[list[str], l
     return texts, classes
 
 
-def train(lines: list[str], seed: int = SEED) -> Model:
-    """The model from templates and the corpus's lines; lines that hold a template don't train the unknown class."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    all_grams = [g for ts in TEMPLATES.values() for g in map(_grams, ts)]
-    lines = [x for x in lines if not any(len(_grams(x) & g) >= CONTAINED * len(g) for g in all_grams)]
-    texts, classes = variants(rng, lines)
-    texts += lines
-    classes += [0] * len(lines)
-    own = _features(texts)
-    y = np.array(classes)
-    known = np.unique(np.concatenate(_features([t for ts in [*TEMPLATES.values(), GENERIC] for t in ts])))
-    n_words = np.array([max(1, len(re.findall(r"\w+", t))) for t in texts])
+def _matrix(texts: list[str], known: np.ndarray) -> np.ndarray:
+    grams, hashes = _block(texts)
     x = np.zeros((len(texts), len(known)), np.float32)
-    for i, f in enumerate(own):
+    for i, (f, h) in enumerate(zip(grams, hashes)):
         at = np.searchsorted(known, f)
         at[at == len(known)] = 0
-        np.add.at(x[i], at[known[at] == f], 1 / np.sqrt(n_words[i]))
-    held = rng.random(len(y)) < 0.2
-    w, b = np.zeros((len(known), len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32)
-    share = 1 / np.bincount(y[~held], minlength=len(FAMILIES))[y]  # families count alike
-    share = np.where(held, 0, share / share[~held].sum()).astype(np.float32)
+        np.add.at(x[i], at[known[at] == f], 1 / np.sqrt(max(1, len(h))))
+    return x
+
+
+def _fitted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias by AdaGrad with the L1 penalty's proximal step; families count alike."""
+    w, b = np.zeros((x.shape[1], len(FAMILIES)), np.float32), np.zeros(len(FAMILIES), np.float32)
+    share = 1 / np.bincount(y, minlength=len(FAMILIES))[y]
+    share = (share / share.sum()).astype(np.float32)
     target = np.eye(len(FAMILIES), dtype=np.float32)[y]
     sums_w, sums_b = np.full_like(w, 1e-8), np.full_like(b, 1e-8)
     for _ in range(STEPS):
@@ -187,13 +217,38 @@ def train(lines: list[str], seed: int = SEED) -> Model:
         sums_b += gb**2
         step = RATE / np.sqrt(sums_w)
         w -= step * gw
-        w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)  # the L1 penalty's proximal step
+        w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
         b -= RATE / np.sqrt(sums_b) * gb
-    z, best = x[held] @ w + b, (np.inf, 1.0)
+    return w, b
+
+
+def held_out_templates() -> frozenset[str]:
+    """The second template of each family that has three or more, and every fourth sentence that only sounds alike."""
+    return frozenset([ts[1] for ts in TEMPLATES.values() if len(ts) > 2] + GENERIC[::4])
+
+
+def train(lines: list[str], seed: int = SEED) -> Model:
+    """The model from templates and the corpus's lines; lines that hold a template don't train the unknown class.
+
+    The temperature comes from a first fit without some whole templates and a fifth of the lines, by what it says of them.
+    """
+    rng = np.random.Generator(np.random.PCG64(seed))
+    all_grams = [g for ts in TEMPLATES.values() for g in map(_threes, _block(ts)[1])]
+    lines = [x for x, h in zip(lines, _block(lines)[1] if lines else []) if not any(len(own & g) >= CONTAINED * len(g) for own in [_threes(h)] for g in all_grams)]
+    known = np.unique(np.concatenate(_block([t for ts in [*TEMPLATES.values(), GENERIC] for t in ts])[0]))
+    held, sample, rest = held_out_templates(), lines[::5], [x for i, x in enumerate(lines) if i % 5]
+
+    def rows(left_out: frozenset[str], unknown: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts, classes = variants(rng, lines, left_out)
+        return _matrix(texts + unknown, known), np.array(classes + [0] * len(unknown))
+
+    w, b = _fitted(*rows(held, rest))
+    x, y = rows(frozenset(t for ts in [*TEMPLATES.values(), GENERIC] for t in ts) - held, sample)
+    z, best = x @ w + b, (np.inf, 1.0)
     for t in np.geomspace(0.25, 8, 41):
         q = z / t - (z / t).max(axis=1, keepdims=True)
-        loss = float(np.mean(np.log(np.exp(q).sum(axis=1)) - q[np.arange(len(q)), y[held]])) if held.any() else 0.0
-        best = min(best, (loss, float(t)))
+        best = min(best, (float(np.mean(np.log(np.exp(q).sum(axis=1)) - q[np.arange(len(q)), y])), float(t)))
+    w, b = _fitted(*rows(frozenset(), lines))
     used = np.flatnonzero(np.abs(w).sum(axis=1) > 0)
     return Model(known[used], w[used].astype(np.float32), b.astype(np.float32), best[1])
 
@@ -210,98 +265,80 @@ FOUND = "doc_id long, n_paragraphs long, paragraph int, family string, probabili
 
 
 def scan_block(block: Block, model: Model) -> Iterator[tuple]:
-    """(doc, number of paragraphs) of each document, and (doc, paragraph, family, probability, contained) of what isn't unknown."""
+    """First the number of lines that aren't blank of each document; then (doc, line, family, probability, contained) of what isn't unknown."""
     s, e, bounds = words(block, ALNUM)
     doc = np.repeat(np.arange(len(block.ids)), np.diff(bounds))
     breaks = np.flatnonzero(block.buf == 10)
-    para = np.searchsorted(breaks, s)  # of the block; documents are apart by a newline too
-    first_para = np.searchsorted(breaks, block.starts)
-    distinct, of = np.unique(para, return_inverse=True)
-    n_words = np.bincount(of, minlength=len(distinct))
-    owner = np.zeros(len(distinct), np.int64)
-    owner[of] = doc
-    yield np.bincount(owner, minlength=len(block.ids))
-    if not len(s) or not len(model.features):
+    line = np.searchsorted(breaks, s)  # of the block; documents are apart by a newline too
+    new_line = np.append(line[1:] != line[:-1], True) if len(s) else np.zeros(0, bool)
+    yield np.bincount(doc[new_line], minlength=len(block.ids))
+    if len(s) < 2 or not len(model.features):
         return
-    f, at = ngrams(span_hashes(block.buf, s, e), np.append(para[1:] == para[:-1], False))
-    place = np.searchsorted(model.features, f)
-    place[place == len(model.features)] = 0
-    hit = np.flatnonzero(model.features[place] == f)
-    some, row = np.unique(of[at[hit]], return_inverse=True)
-    if not len(some):
+    first_line = np.searchsorted(breaks, block.starts)
+    ends = np.append(breaks, len(block.buf))
+    ink = np.concatenate(([0], np.cumsum(SPACED[block.buf])))
+    blank = np.cumsum(ink[ends] == ink[np.append(0, breaks + 1)])
+    same = np.append((blank[line[1:]] == blank[line[:-1]]) & (doc[1:] == doc[:-1]), False)  # the next word is of the same paragraph
+    paragraph = np.cumsum(np.append(True, ~same[:-1]))
+    hashes = span_hashes(block.buf, s, e)
+    two, three = ngrams(hashes, same)
+    at, place = model.places(two)
+    at3, place3 = model.places(three)
+    if not len(at):
         return
-    p = model.scores(row, place[hit], n_words[some])
-    best = p.argmax(axis=1)
-    lines = []
-    for i in np.flatnonzero((best > 0) & (p.max(axis=1) >= LIKELY)):
-        k = distinct[some[i]]
-        a = breaks[k - 1] + 1 if k else 0
-        b = breaks[k] if k < len(breaks) else len(block.buf)
-        text = block.buf[a:b].tobytes().decode(errors="replace")
-        d = int(owner[some[i]])
-        lines.append((d, int(k - first_para[d]), FAMILIES[best[i]], float(p[i, best[i]]), float(model.contained(FAMILIES[best[i]], text))))
-    sure = {x[:3] for x in lines if x[4] >= CONTAINED}
-    touched: set[tuple] = set()
-    found = []
-    for a, b, family, likely, contained in _windows(block, model, s, e, para, doc):
+    hit = np.unique(np.concatenate((at, at3)))
+    # stretches of features with fewer than GAP words between, within a paragraph
+    apart = np.flatnonzero((np.diff(hit) > GAP) | (paragraph[hit[1:]] != paragraph[hit[:-1]])) + 1
+    for own in np.split(hit, apart):
+        a, b = int(own[0]), int(own[-1]) + 2
+        while b < len(s) and b < int(own[-1]) + 3 and paragraph[b] == paragraph[a]:
+            b += 1  # a 3-gram's last word
+        sums = np.zeros((b - a + 1, len(FAMILIES)))
+        for x, p in ((at, place), (at3, place3)):
+            i, j = np.searchsorted(x, a), np.searchsorted(x, b)
+            np.add.at(sums, x[i:j] - a + 1, model.weights[p[i:j]])
+        whole = (a == 0 or paragraph[a - 1] != paragraph[a]) and (b == len(s) or paragraph[b] != paragraph[a])
         d = int(doc[a])
-        own = [(d, int(k - first_para[d]), family) for k in range(para[a], para[b] + 1)]
-        if not sure.intersection(own):
-            found.append((*own[0], likely, contained))
-        touched.update(own)
-    yield from (x for x in lines if x[4] >= CONTAINED or x[:3] not in touched)
-    yield from found
-
-
-def _windows(block: Block, model: Model, s: np.ndarray, e: np.ndarray, para: np.ndarray, doc: np.ndarray) -> Iterator[tuple]:
-    """(first word, last word, family, probability, contained) of confirmed windows; of those at one place, the one that holds most."""
-    ends = np.append(np.flatnonzero(block.buf == 10), len(block.buf))
-    starts = np.append(0, ends[:-1] + 1)
-    ink = np.concatenate(([0], np.cumsum(SPACED[block.buf])))
-    blanks = np.cumsum(ink[ends] == ink[starts])
-    same = np.append((blanks[para[1:]] == blanks[para[:-1]]) & (doc[1:] == doc[:-1]), False)  # the next word is in the same paragraph
-    first = np.flatnonzero(np.append(True, ~same[:-1]))
-    size = np.diff(np.append(first, len(s)))
-    group = np.repeat(np.arange(len(first)), size)
-    f, at = ngrams(span_hashes(block.buf, s, e), same)
-    long = np.concatenate((np.ones(len(s), np.int64), np.full(len(f) - len(s), 2)))
-    place = np.searchsorted(model.features, f)
-    place[place == len(model.features)] = 0
-    hit = np.flatnonzero(model.features[place] == f)
-    at, long, place = at[hit], long[hit], place[hit]
-    offset = at - first[group[at]]
-    best: dict[int, list[tuple]] = {}
-    for words_ in WINDOWS:
-        step = words_ // 4
-        base = np.cumsum(-(-size // step)) - -(-size // step)
-        last = offset // step
-        window, which = [], []
-        for j in range(4):
-            k = last - j
-            ok = np.flatnonzero((k >= 0) & (offset + long <= k * step + words_))
-            window.append(base[group[at[ok]]] + k[ok])
-            which.append(place[ok])
-        some, row = np.unique(np.concatenate(window), return_inverse=True)
-        if not len(some):
-            continue
-        g = np.searchsorted(base, some, side="right") - 1
-        a = first[g] + (some - base[g]) * step
-        b = np.minimum(a + words_, first[g] + size[g]) - 1
-        p = model.scores(row, np.concatenate(which), b - a + 1)
-        top = p.argmax(axis=1)
-        for i in np.flatnonzero((top > 0) & (p.max(axis=1) >= LIKELY)):
-            family = FAMILIES[top[i]]
-            contained = model.contained(family, block.buf[s[a[i]] : e[b[i]]].tobytes().decode(errors="replace"))
-            if contained >= CONTAINED:
-                best.setdefault(int(g[i]), []).append((int(a[i]), int(b[i]), family, float(p[i, top[i]]), float(contained)))
-    for own in best.values():
-        kept: list[tuple] = []
-        for x in sorted(own, key=lambda x: (-x[4], x[1] - x[0], x[0])):
-            # a part of one family's notice can look like another's: what overlaps by more than half is the same place
-            common = [(min(x[1], y[1]) - max(x[0], y[0]) + 1, min(x[1] - x[0], y[1] - y[0]) + 1, y[2]) for y in kept]
-            if all(n <= 0 if family == x[2] else 2 * n <= least for n, least, family in common):
-                kept.append(x)
-        yield from kept
+        for i, j, family, p, contained in _verdicts(model, np.cumsum(sums, axis=0), line[a:b], hashes[a:b], whole):
+            yield d, int(line[a + i] - first_line[d]), family, p, contained
+
+
+def _verdicts(model: Model, sums: np.ndarray, line: np.ndarray, hashes: np.ndarray, whole: bool) -> list[tuple]:
+    """(first word, end, family, probability, contained) of a stretch: of its confirmed parts, or of all of it if none is."""
+    n = len(line)
+    cuts = [0, *(np.flatnonzero(np.diff(line)) + 1).tolist(), n]
+    parts = [(0, n), *zip(cuts, cuts[1:])]
+    for w in WINDOWS:
+        parts += [(i, min(i + w, n)) for i in range(0, n - w // 2, w // 2)] if w < n else []
+    parts = list(dict.fromkeys(parts))
+    ij = np.array(parts)
+    # a feature counts where it begins, so one over the end of a part is counted with it
+    chances = model.chances(sums[ij[:, 1]] - sums[ij[:, 0]], ij[:, 1] - ij[:, 0])
+    top = chances.argmax(axis=1)
+    likely = np.flatnonzero((top > 0) & (chances.max(axis=1) >= LIKELY))
+    sure, unsure = [], []
+    for k in likely.tolist():
+        i, j = parts[k]
+        family, p = FAMILIES[top[k]], float(chances[k, top[k]])
+        contained = float(model.contained(family, _threes(hashes[i:j]), whole and (i, j) == (0, n)))
+        (sure if contained >= CONTAINED else unsure).append((i, j, family, p, contained))
+    kept: list[tuple] = []
+    near: dict[int, list[tuple]] = {}  # what is kept, by the places that it covers
+    for x in sorted(sure, key=lambda x: (-x[4], -x[3], x[1] - x[0], x[0])):
+        places = range(x[0] // 64, (x[1] - 1) // 64 + 1)
+        # a part of one family's notice can look like another's: what overlaps by more than half is the same place
+        common = [(min(x[1], y[1]) - max(x[0], y[0]), min(x[1] - x[0], y[1] - y[0]), y[2]) for k in places for y in near.get(k, ())]
+        if all(m <= 0 if x[2] == family else 2 * m <= least for m, least, family in common):
+            kept.append(x)
+            for k in places:
+                near.setdefault(k, []).append(x)
+    return kept or sorted(unsure, key=lambda x: -x[3])[:1]
+
+
+def _open_only(found: list[tuple]) -> list[tuple]:
+    """Without the bare phrase of reserved rights in documents that name another family."""
+    others = {d for d, _, family, _, contained in found if contained >= CONTAINED and family != "Proprietary"}
+    return [x for x in found if not (x[2] == "Proprietary" and x[0] in others)]
 
 
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
@@ -313,7 +350,7 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
             found = scan_block(block, sent.value)
             counts = next(found)
             rows = [(block.ids[d], int(n), None, None, None, None) for d, n in enumerate(counts)]
-            rows += [(block.ids[d], None, *rest) for d, *rest in found]
+            rows += [(block.ids[d], None, *rest) for d, *rest in _open_only(list(found))]
             types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [x.split()[0] for x in FOUND.split(", ")])
 
@@ -330,7 +367,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
             counts = next(found)
             sure: list[list[str]] = [[] for _ in block.ids]
             unsure = [0] * len(block.ids)
-            for d, _, family, _, contained in found:
+            for d, _, family, _, contained in _open_only(list(found)):
                 if contained >= CONTAINED:
                     sure[d].append(family)
                 else:

@@ -256,6 +256,97 @@ def test_licenses_wrapped_and_in_long_lines(spark):
     assert got[1][1] == 1
 
 
+MIT_NOTICE = '''MIT License
+
+Copyright (c) 2020 Some One. All rights reserved.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+'''
+GPL_NOTICE = '''# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+'''
+BSD_NOTICE = '''Copyright (c) 2011, The Project
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+* Redistributions of source code must retain the above copyright notice, this
+  list of conditions and the following disclaimer.
+* Neither the name of the copyright holder nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+'''
+APACHE_NOTICE = '''Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+'''
+
+
+def test_notices_as_they_are_found(spark):
+    """Wrapped headers, with comment signs or without, joined to one line, inside a long line, or wrapped anew: the same families."""
+    model = licenses.train([words(i, 12) for i in range(200)])
+    want = {"MIT": MIT_NOTICE, "GPL-3.0": GPL_NOTICE, "BSD-3-Clause": BSD_NOTICE, "Apache-2.0": APACHE_NOTICE, "GPL-2.0": GPL_NOTICE.replace("version 3", "version 2").replace("software:", "software;")}
+    texts, families = {}, {}
+    for family, t in want.items():
+        for form in (t, " ".join(t.split()), words(7, 400) + " " + " ".join(t.split()) + " " + words(8, 400), "\n\n".join("\n".join(textwrap.wrap(x, 30)) for x in t.split("\n\n")), t.upper()):
+            families[len(texts)] = family
+            texts[len(texts)] = form
+    for plain in ("Copyright (c) 2020 Some One. All rights reserved.", "Copyright 2011 Foo Inc, all rights reserved.\n" + words(3, 50), "We use the software of the library for any purpose, and the public may see the work.\n" * 3):
+        families[len(texts)] = ""
+        texts[len(texts)] = plain
+    got = {r.doc_id: r.families for r in licenses.scan(frame(spark, texts.items()), model).collect()}
+    assert got == families
+
+
+def test_verdicts_of_held_out_templates():
+    """Whole templates that the first fit doesn't see are mostly given to their family or left unknown, rarely to another."""
+    held = licenses.held_out_templates()
+    assert len(held) > 15
+    texts = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if t in held]
+    known = np.unique(np.concatenate(licenses._block([t for ts in [*licenses.TEMPLATES.values(), licenses.GENERIC] for t in ts])[0]))
+    seen, classes = licenses.variants(np.random.default_rng(0), [words(i, 9) for i in range(50)], held)
+    w, b = licenses._fitted(licenses._matrix(seen + [words(i, 9) for i in range(100)], known), np.array(classes + [0] * 100))
+    x = licenses._matrix([t for _, t in texts], known)
+    used = np.flatnonzero(np.abs(w).sum(axis=1))
+    assert len(used) < len(known)
+    p = licenses.Model(known[used], w[used], b, 1.0).chances((x[:, used] @ w[used]) * np.sqrt(10), np.full(len(x), 10))
+    said = [licenses.FAMILIES[k] if p[i, k] >= licenses.LIKELY else "unknown" for i, k in enumerate(p.argmax(axis=1))]
+    wrong = [(f, g) for (f, _), g in zip(texts, said) if g not in (f, "unknown")]
+    assert len(wrong) <= 0.25 * len(texts)
+
+
+def test_a_long_stretch_of_notices_is_scanned_quickly():
+    model = licenses.train([])
+    text = (GPL_NOTICE + APACHE_NOTICE) * 100
+    block = next(licenses.blocks([pa.RecordBatch.from_pylist([{"doc_id": 1, "text": text}])], 1 << 30))
+    found = licenses.scan_block(block, model)
+    assert next(found).tolist() == [1500]
+    families = {x[2] for x in found if x[4] >= licenses.CONTAINED}
+    assert {"GPL-3.0", "Apache-2.0"} <= families
+
+
 def test_licenses_held_out():
     model = licenses.train([words(i, 12) for i in range(300)], seed=1)
     assert (model.weights != 0).mean() < 0.5
