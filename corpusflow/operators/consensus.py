@@ -5,8 +5,9 @@ candidates: (filepath, model, text).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,26 +54,94 @@ def agreement_of(candidates: DataFrame, key: str = "filepath") -> DataFrame:
 Slots = list[list[str | None]]
 
 
+class _Band:
+    """Least edits of slots against words along a band of diagonals: rows of costs, a few of which are kept, so memory
+    grows with the band times the root of the words. cost(i, j) is exact where it is no more than the band's reach."""
+
+    def __init__(self, slots: np.ndarray, words: np.ndarray, low: int, high: int):
+        self.slots, self.low, self.width = slots, low, high - low + 1
+        self.m, self.gone = len(words), np.where((slots == NONE).any(axis=1), 0, 1) if len(slots) else np.zeros(0, np.int64)
+        self.words = np.concatenate((np.full(self.width + len(slots) + 1, OUT), words, np.full(self.width + len(slots) + 1, OUT)))
+        self.pad = self.width + len(slots) + 1
+        self.step = max(1, int(len(slots) ** 0.5))
+        self.at = np.arange(self.width)
+        self.kept = {0: self._inserted(np.where(self.at + low == 0, 0, FAR), 0)}
+        row = self.kept[0]
+        for i in range(1, len(slots) + 1):
+            row = self._next(row, i)[0]
+            if i % self.step == 0 or i == len(slots):
+                self.kept[i] = row
+        self.total = int(row[self.m - len(slots) - low]) if 0 <= self.m - len(slots) - low < self.width else FAR
+
+    def _inserted(self, base: np.ndarray, i: int) -> np.ndarray:
+        row = np.minimum.accumulate(base - self.at) + self.at
+        j = self.at + i + self.low
+        return np.where((j < 0) | (j > self.m), FAR, row)
+
+    def _next(self, row: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row i of the costs from the one before, and the costs by way of a word in the slot and of none."""
+        w = self.words[self.pad + i + self.low - 1 :][: self.width]
+        miss = np.ones(self.width, np.int64)
+        for s in self.slots[i - 1]:
+            miss &= w != s
+        over = row + miss
+        over[w == OUT] = FAR
+        up = np.append(row[1:], FAR) + self.gone[i - 1]
+        return self._inserted(np.minimum(over, up), i), over, up
+
+    def path(self) -> Iterator[str]:
+        """The edits from the end: a word of the slot before none, none before a word of its own."""
+        i, o = len(self.slots), self.m - len(self.slots) - self.low
+        block: dict[int, np.ndarray] = {}
+        while i or o + i + self.low:
+            if i not in block:  # the rows since the last one kept
+                block, at = {}, ((i - 1) // self.step) * self.step if i else 0
+                row = self.kept[at]
+                if i == 0:
+                    block[0] = np.full(self.width, INSERT, np.int8)
+                for k in range(at + 1, i + 1):
+                    row, over, up = self._next(row, k)
+                    block[k] = np.where(row == over, MATCH, np.where(row == up, SKIP, INSERT)).astype(np.int8)
+            move = block[i][o]
+            yield move
+            if move == MATCH:
+                i -= 1
+            elif move == SKIP:
+                i, o = i - 1, o + 1
+            else:
+                o -= 1
+
+
+NONE, OUT, FAR = -1, -2, 1 << 40
+MATCH, SKIP, INSERT = 0, 1, 2
+
+
 def align(slots: Slots, words: list[str], seen: int) -> Slots:
-    """Slots of `seen` transcripts with one more, by least edits; None is a missing word."""
+    """Slots of `seen` transcripts with one more, by least edits; None is a missing word.
+
+    Only a band of diagonals is computed, four times as wide until the edits fit into it, so nearly equal texts
+    of any length cost little.
+    """
+    tail: Slots = []
     n, m = len(slots), len(words)
-    cost = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if i and j:
-                fit = cost[i - 1][j - 1] + (words[j - 1] not in slots[i - 1])
-                cost[i][j] = min(fit, cost[i - 1][j] + (None not in slots[i - 1]), cost[i][j - 1] + 1)
-            elif i:
-                cost[i][j] = cost[i - 1][j] + (None not in slots[i - 1])
-            else:
-                cost[i][j] = j
-    out: Slots = []
-    i, j = n, m
-    while i or j:
-        if i and j and cost[i][j] == cost[i - 1][j - 1] + (words[j - 1] not in slots[i - 1]):
+    while n and m and None not in slots[n - 1] and words[m - 1] in slots[n - 1]:  # an equal end is matched by any least edits
+        tail.append([*slots[n - 1], words[m - 1]])
+        n, m = n - 1, m - 1
+    number: dict[str | None, int] = {None: NONE}
+    ids = np.array([[number.setdefault(w, len(number)) for w in s] for s in slots[:n]], np.int64).reshape(n, seen)
+    own = np.array([number.setdefault(w, len(number)) for w in words[:m]], np.int64)
+    reach = 16
+    while True:
+        band = _Band(ids, own, -(reach + max(n - m, 0)), max(reach, m - n))
+        if band.total <= reach or reach >= n + m:
+            break
+        reach *= 4
+    out, i, j = tail, n, m
+    for move in band.path():
+        if move == MATCH:
             out.append([*slots[i - 1], words[j - 1]])
             i, j = i - 1, j - 1
-        elif i and cost[i][j] == cost[i - 1][j] + (None not in slots[i - 1]):
+        elif move == SKIP:
             out.append([*slots[i - 1], None])
             i -= 1
         else:

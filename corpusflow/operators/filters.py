@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_even
 from ..functions.text import truthy
+from .partitioning import beside, percentiles
 
 ABOVE, BELOW = "above", "below"
 # The percentiles of a distribution report.
@@ -83,10 +84,8 @@ def baseline_audit(scored: DataFrame, deleted: DataFrame, key: str = "filepath",
 def distribution(df: DataFrame, score: str, *by: str, digits: int = 6) -> DataFrame:
     """Count, extremes, mean, sample deviation and linearly interpolated percentiles of the scores that are there."""
     own = df.where(F.col(score).isNotNull())
-    q = own.groupBy(*by).agg(
-        F.count(score).alias("count"), F.min(score).alias("min"), F.max(score).alias("max"), F.avg(score).alias("mean"), F.stddev_samp(score).alias("std"),
-        F.percentile(score, F.array(*[F.lit(p) for p in PERCENTILES])).alias("q"),
-    )
+    q = own.groupBy(*by).agg(F.count(score).alias("count"), F.min(score).alias("min"), F.max(score).alias("max"), F.avg(score).alias("mean"), F.stddev_samp(score).alias("std"))
+    q = beside(q, percentiles(own, list(by), score, list(PERCENTILES)), list(by))
     stats = [F.round(c, digits).alias(c) for c in ("min", "max", "mean", "std")]
     return q.select(*by, "count", *stats, *[F.round(F.get("q", F.lit(i)), digits).alias(f"p{round(p * 100):02d}") for i, p in enumerate(PERCENTILES)])
 
@@ -126,7 +125,7 @@ def finite(df: DataFrame, column: str) -> DataFrame:
 def trim_percentiles(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Finite values between two percentiles; all of them if none would be left."""
     own = finite(df, column)
-    edges = own.agg(F.percentile(column, F.array(F.lit(low), F.lit(high))).alias("__q")).select(F.get("__q", F.lit(0)).alias("__lo"), F.get("__q", F.lit(1)).alias("__hi"))
+    edges = percentiles(own, [], column, [low, high]).select(F.col("q").alias("__q")).select(F.get("__q", F.lit(0)).alias("__lo"), F.get("__q", F.lit(1)).alias("__hi"))
     return own.crossJoin(F.broadcast(edges)).where(F.col(column).between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
 
 

@@ -1,7 +1,7 @@
 """Speaker segments: windows, single-speaker timelines, turn ends, clip metrics, frames and words.
 
-Sources are partitions. Most operators are windows over a source's segments, which spill; the timeline, an order-dependent fold, is a
-higher-order function over the source's own array.
+Sources are partitions. Operators are windows over a source's segments, which spill; the timeline, an order-dependent fold, is a
+higher-order function over the segments that overlap one another in a row.
 """
 
 from __future__ import annotations
@@ -47,7 +47,12 @@ def timeline(segments: DataFrame, source: str, most: float = 15.0) -> DataFrame:
     overlaps takes over half way, and a turn that half way leaves nothing of is dropped. Turns longer than `most` are cut
     into pieces of it (most <= 0: not).
     """
-    arrays = segments.groupBy(source).agg(F.array_sort(F.collect_list(F.struct(F.col("seg_start").alias("s"), F.col("seg_end").alias("e"), "pos", F.col("speaker").alias("spk")))).alias("a"))
+    # what starts after all before it has ended opens an island; turns never go over its edge, so islands are folded by themselves
+    w = Window.partitionBy(source).orderBy("seg_start", "seg_end", "pos")
+    ended = F.max("seg_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    apart = segments.withColumn("__new", F.coalesce(F.col("seg_start") > ended, F.lit(True)).cast("int"))
+    apart = apart.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    arrays = apart.groupBy(source, "__island").agg(F.array_sort(F.collect_list(F.struct(F.col("seg_start").alias("s"), F.col("seg_end").alias("e"), "pos", F.col("speaker").alias("spk")))).alias("a"))
     arrays = arrays.withColumn("a", F.col("a").cast(SEGMENTS))
 
     def step(turns: Column, x: Column) -> Column:
@@ -63,8 +68,9 @@ def timeline(segments: DataFrame, source: str, most: float = 15.0) -> DataFrame:
         added = F.when(x["e"] > middle, F.concat(kept, F.array(late))).otherwise(kept)
         return F.when(n == 0, F.array(x)).when(same, F.concat(before, F.array(grown))).when(over, added).otherwise(F.concat(turns, F.array(x)))
 
-    folded = arrays.select(source, F.aggregate("a", F.array().cast(SEGMENTS), lambda t, x: step(t, x).cast(SEGMENTS)).alias("t"))
-    turns = folded.select(source, F.posexplode("t").alias("turn", "x"))
+    folded = arrays.select(source, "__island", F.aggregate("a", F.array().cast(SEGMENTS), lambda t, x: step(t, x).cast(SEGMENTS)).alias("t"))
+    turns = folded.select(source, "__island", F.posexplode("t").alias("__at", "x"))
+    turns = turns.withColumn("turn", F.row_number().over(Window.partitionBy(source).orderBy("__island", "__at")) - 1)
     length = F.col("x.e") - F.col("x.s")
     n = F.greatest(F.ceil(length / most), F.lit(1)).cast("int") if most > 0 else F.lit(1)
     pieces = turns.withColumn("piece", F.explode(F.sequence(F.lit(0), n - 1)))

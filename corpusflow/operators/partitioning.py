@@ -14,23 +14,63 @@ from ..sinks.scratch import materialise
 SHARD_SIZE = 10_000
 
 
-def numbered(df: DataFrame, by: list[str], order: list[str], ranges: int = 64) -> DataFrame:
-    """df with __row: the row's number from 0 in its group, in the given order.
+#: Rows of a range, about.
+RANGE_ROWS = 250_000
 
-    No task sees a whole group: rows are dealt into ranges of (group, order), ranked inside their range, and each range's start is the sum of
+
+def numbered(df: DataFrame, by: list[str], order: list[str], ranges: int | None = None, weight: str | None = None) -> DataFrame:
+    """df with __row: the row's number from 0 in its group, in the given order; with a weight, the sum of the weights before it.
+
+    There are as many ranges as the rows ask for. No task sees a whole group: rows are dealt into ranges of (group, order), ranked inside their range, and each range's start is the sum of
     the counts before it. Ranges come from a sample, so they are written once; a second evaluation could draw others.
     """
+    n = F.lit(1) if weight is None else F.col(weight)
+    ranges = ranges or max(8, -(-df.count() // RANGE_ROWS))
     ranged = df.repartitionByRange(ranges, *by, *order).withColumn("__part", F.spark_partition_id())
     ranged = materialise(ranged)
-    counts = ranged.groupBy("__part", *by).agg(F.count("*").alias("__n"))
+    counts = ranged.groupBy("__part", *by).agg(F.sum(n).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select(F.col("__part").alias("__p"), *[F.col(c).alias(f"__by_{c}") for c in by], before.alias("__before"))
     same = (F.col("__part") == F.col("__p")) & reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by], F.lit(True))
-    rank = F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)) - 1
+    inside = Window.partitionBy("__part", *by).orderBy(*order)
+    rank = F.row_number().over(inside) - 1 if weight is None else F.sum(n).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - n
     placed = ranged.withColumn("__rank", rank).join(F.broadcast(offsets), same)  # a row a range and group: bounded
     return placed.withColumn("__row", F.col("__rank") + F.col("__before")).drop("__part", "__p", "__before", "__rank", *[f"__by_{c}" for c in by])
 
 
+#: Rows up to which percentiles are taken in one task a group.
+PERCENTILE_ROWS = 5_000_000
+
+
+def percentiles(df: DataFrame, by: list[str], value: str, points: list[float], most: int = PERCENTILE_ROWS) -> DataFrame:
+    """(by..., q array<double>): exact percentiles of a number that is not null, interpolated linearly between the two rows around each.
+
+    Up to `most` rows Spark's own aggregate does it, which holds a group's distinct values in one task. Beyond, equal values are counted and
+    the counts summed in ranges, so the rows at each rank are found without any task that sees a whole group. Both give the same.
+    """
+    own = df.select(*by, F.col(value).cast("double").alias("__v")).where("__v is not null")
+    if own.count() <= most:
+        return own.groupBy(*by).agg(F.percentile("__v", F.array(*[F.lit(float(p)) for p in points])).alias("q"))
+    counted = numbered(own.groupBy(*by, "__v").agg(F.count("*").alias("__n")), by, ["__v"], weight="__n")
+    total = counted.groupBy(*by).agg(F.sum("__n").alias("__total"))
+    wanted = total.select(*[F.col(c).alias(f"__of_{c}") for c in by], "__total", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(points)])).alias("__x"))
+    at = F.col("__x.p") * (F.col("__total") - 1)
+    wanted = wanted.select(*[f"__of_{c}" for c in by], "__x.i", (at - F.floor(at)).alias("__part"), F.explode(F.array(F.struct(F.floor(at).alias("k"), F.lit(False).alias("up")), F.struct(F.ceil(at).alias("k"), F.lit(True).alias("up")))).alias("__r"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in by], (F.col("__r.k") >= F.col("__row")) & (F.col("__r.k") < F.col("__row") + F.col("__n")))
+    hit = counted.join(F.broadcast(wanted), same)  # a few rows a group
+    one = hit.groupBy(*by, "i").agg(F.max(F.when(~F.col("__r.up"), F.col("__v"))).alias("a"), F.max(F.when(F.col("__r.up"), F.col("__v"))).alias("b"), F.first("__part").alias("f"))
+    pairs = one.select(*by, "i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("v"))
+    return pairs.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("q"))
+
+
+def beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """a and b, a row a group each, side by side; groups may be null."""
+    if not by:
+        return a.crossJoin(F.broadcast(b))  # one row each
+    b = b.withColumnsRenamed({c: f"__of_{c}" for c in by})
+    return a.join(b, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in by])).drop(*[f"__of_{c}" for c in by])
+
+
 def fixed_shards(df: DataFrame, path: str, *order: str, size: int = SHARD_SIZE, limit: int | None = None) -> DataFrame:
     """df with shard numbers of `size` rows in the given order; blank paths go."""
     own = df.where(~is_missing(F.col(path)))
@@ -54,6 +94,27 @@ def round_robin(df: DataFrame, workers: int) -> DataFrame:
     return df.repartition(workers)
 
 
+def strided(df: DataFrame, path: str, workers: int) -> DataFrame:
+    """df with worker: row k in the order of the path goes to worker k mod `workers`."""
+    return numbered(df, [], [path]).withColumn("worker", F.pmod("__row", F.lit(workers))).drop("__row")
+
+
+def contiguous(df: DataFrame, path: str, workers: int) -> DataFrame:
+    """df with worker: runs in the order of the path, as even as can be, the longer ones first."""
+    own = numbered(df, [], [path])
+    n = own.agg(F.count("*").alias("__n"))
+    size, more = F.floor(F.col("__n") / workers), F.pmod("__n", F.lit(workers))
+    worker = F.when(F.col("__row") < more * (size + 1), F.floor(F.col("__row") / (size + 1))).otherwise(more + F.floor((F.col("__row") - more * (size + 1)) / F.greatest(size, F.lit(1))))
+    return own.crossJoin(F.broadcast(n)).withColumn("worker", worker).drop("__row", "__n")
+
+
+def padded(df: DataFrame, key: str, samples: str, size: int) -> DataFrame:
+    """df with batch, and samples padded with zeros to the longest of their batch: batches of `size` rows in the order of the key; null samples go."""
+    own = numbered(df.where(F.col(samples).isNotNull()), [], [key]).withColumn("batch", F.floor(F.col("__row") / size)).drop("__row")
+    longest = F.max(F.size(samples)).over(Window.partitionBy("batch"))
+    return own.withColumn(samples, F.concat(F.col(samples).cast("array<double>"), F.array_repeat(F.lit(0.0), longest - F.size(samples))))
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows by the hash of key and seed: the same for any partitioning."""
     return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent, ratio
+from .partitioning import beside, numbered, percentiles
 
 # Metrics of a profile in their order, percentiles of its summaries.
 CORE_METRICS = (
@@ -68,8 +69,9 @@ def describe(df: DataFrame, metrics: Sequence[str], digits: int = 6) -> DataFram
     m = long_metrics(df, metrics).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
     out = m.groupBy("metric").agg(
         F.count("*").alias("rows"), F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.percentile("value", F.array(*[F.lit(q) for q in DESCRIBE])).alias("q"),
+        F.max("value").alias("max"),
     )
+    out = out.join(percentiles(m, ["metric"], "value", list(DESCRIBE)), "metric", "left")
     gone = F.col("rows") - F.col("count")
     return out.select(
         "metric", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "max")], *[F.round(F.get("q", F.lit(i)), digits).alias(f"p{round(q * 100):02d}") for i, q in enumerate(DESCRIBE)],
@@ -82,8 +84,8 @@ def core_summary(df: DataFrame, metrics: Sequence[str], digits: int = 6) -> Data
     m = long_metrics(df, metrics).where("value is not null and not isnan(value) and abs(value) < double('infinity')")
     out = m.groupBy("metric").agg(
         F.count("*").alias("n"), F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.percentile("value", F.array(*[F.lit(q) for q in DESCRIBE])).alias("q"),
     )
+    out = out.join(percentiles(m, ["metric"], "value", list(DESCRIBE)), "metric")
     q = [F.get("q", F.lit(i)) for i in range(len(DESCRIBE))]
     return out.select("metric", "n", F.round("sum", 2).alias("sum"), *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "max")], *[F.round(x, digits).alias(f"p{round(p * 100):02d}") for x, p in zip(q, DESCRIBE)], F.round(q[5] - q[3], digits).alias("iqr"))
 
@@ -92,7 +94,7 @@ def quantile_grid(df: DataFrame, metrics: Sequence[str], steps: int = 10, digits
     """(metric, q, value) for q from 0 to 1."""
     grid = [i / steps for i in range(steps + 1)]
     m = long_metrics(df, metrics).where("value is not null and not isnan(value) and abs(value) < double('infinity')")
-    p = m.groupBy("metric").agg(F.percentile("value", F.array(*[F.lit(g) for g in grid])).alias("v"))
+    p = percentiles(m, ["metric"], "value", grid).withColumnRenamed("q", "v")
     return p.select("metric", F.posexplode("v").alias("i", "v")).select("metric", F.round(F.col("i") / steps, 6).alias("q"), F.round("v", digits).alias("value"))
 
 
@@ -125,24 +127,31 @@ def categories(df: DataFrame, columns: Sequence[str], top: int = 50) -> DataFram
 
 def quantile_buckets(df: DataFrame, rate: str, buckets: int, values: Sequence[str], digits: int = 6) -> DataFrame:
     """Size, mean and median of values in buckets of equal share: right-closed, the lowest edge included, equal edges one."""
-    edges = df.where(F.col(rate).isNotNull()).agg(F.array_distinct(F.percentile(rate, F.array(*[F.lit(i / buckets) for i in range(buckets + 1)]))).alias("e"))
+    edges = percentiles(df, [], rate, [i / buckets for i in range(buckets + 1)]).select(F.array_distinct("q").alias("e"))
     placed = df.where(F.col(rate).isNotNull()).crossJoin(F.broadcast(edges))
     placed = placed.withColumn("bucket", F.greatest(F.size(F.filter("e", lambda x: x < F.col(rate))), F.lit(1)))
-    aggs = [a for v in values for a in (F.round(F.avg(v), digits).alias(f"{v}_mean"), F.round(F.median(v), digits).alias(f"{v}_median"))]
-    out = placed.groupBy("bucket").agg(F.first("e").alias("e"), F.count("*").alias("size"), *aggs)
+    out = placed.groupBy("bucket").agg(F.first("e").alias("e"), F.count("*").alias("size"), *[F.round(F.avg(v), digits).alias(f"{v}_mean") for v in values])
+    for v in values:
+        middle = percentiles(placed, ["bucket"], v, [0.5]).select("bucket", F.round(F.get("q", F.lit(0)), digits).alias(f"{v}_median"))
+        out = out.join(middle, "bucket", "left")
     return out.select("bucket", F.round(F.get("e", F.col("bucket") - 1), digits).alias("low"), F.round(F.get("e", F.col("bucket")), digits).alias("high"), "size", *[f"{v}_{s}" for v in values for s in ("mean", "median")])
 
 
 def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """(by..., value, n, y_first, y) of each distinct value: the places of its first and last row, spaced evenly from 0 to 1.
 
-    Values are counted first, so the running sum goes over distinct values; without `by` all of them meet in one task.
+    Values are counted first, so the running sum goes over distinct values; in ranges, so no task sees a whole group.
     """
     n = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*by, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*by)
-    run = F.sum("n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    last = F.greatest(F.sum("n").over(w) - 1, F.lit(1))
-    return n.withColumns({"y_first": F.round((run - F.col("n")) / last, 6), "y": F.round((run - 1) / last, 6)})
+    placed = numbered(n, list(by), [value], weight="n")
+    placed = beside(placed, n.groupBy(*by).agg(F.sum("n").alias("__total")), list(by))
+    last = F.greatest(F.col("__total") - 1, F.lit(1))
+    return placed.withColumns({"y_first": F.round(F.col("__row") / last, 6), "y": F.round((F.col("__row") + F.col("n") - 1) / last, 6)}).drop("__row", "__total")
+
+
+def real_time(df: DataFrame, wall: str, audio: str) -> DataFrame:
+    """df with rtf, wall time over audio time, and x_realtime, its inverse; null on zero."""
+    return df.withColumns({"rtf": ratio(F.col(wall), F.col(audio)), "x_realtime": ratio(F.col(audio), F.col(wall))})
 
 
 def rollup(df: DataFrame, by: Sequence[str], columns: Sequence[str], digits: int = 6) -> DataFrame:

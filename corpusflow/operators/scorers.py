@@ -56,29 +56,28 @@ class FunctionScorer:
 
 
 def scored(df: DataFrame, scorer: Scorer, key: str, item: str, batch: int = 64) -> DataFrame:
-    """(key, error, scores...): a batch that fails is scored item by item, an item that fails gives its error."""
+    """(key, error, scores...): a batch that fails is halved until it works, an item that fails gives its error."""
     kind = dict(df.dtypes)[key]
     fields = T.StructType.fromDDL(scorer.schema).fields
     schema = f"{key} {kind}, error string, {scorer.schema}"
-    arrow = {"double": pa.float64(), "float": pa.float32(), "integer": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    arrow = {"binary": pa.binary(), "double": pa.float64(), "float": pa.float32(), "integer": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
     types = [arrow[f.dataType.typeName()] for f in fields]
 
+    def attempt(items: list) -> list[tuple]:
+        try:
+            return [(None, *r) for r in scorer.score(items)]
+        except Exception as e:  # noqa: BLE001
+            if len(items) == 1:
+                return [(f"{type(e).__name__}: {e}", *[None] * len(types))]
+        return attempt(items[: len(items) // 2]) + attempt(items[len(items) // 2 :])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer.load()
-        empty = (None,) * len(types)
         for b in batches:
             keys, items = b.column(0), b.column(1).to_pylist()
             rows: list[tuple] = []
             for i in range(0, len(items), batch):
-                some = items[i : i + batch]
-                try:
-                    rows += [(None, *r) for r in scorer.score(some)]
-                except Exception:  # noqa: BLE001
-                    for x in some:
-                        try:
-                            rows.append((None, *scorer.score([x])[0]))
-                        except Exception as e:  # noqa: BLE001
-                            rows.append((f"{type(e).__name__}: {e}", *empty))
+                rows += attempt(items[i : i + batch])
             cols = list(zip(*rows)) if rows else [()] * (1 + len(types))
             yield pa.RecordBatch.from_arrays([keys, pa.array(cols[0], pa.string()), *[pa.array(c, t) for c, t in zip(cols[1:], types)]], [key, "error", *[f.name for f in fields]])
 

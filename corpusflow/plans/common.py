@@ -37,7 +37,7 @@ SEGMENTS_SQL = """
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three models' transcripts of each document: its text, the text in lower case with wide spaces, and a text that loses its first word in two of three."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filepath"), F.substring("text", 1, 120).alias("t"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filepath"), F.col("text").alias("t"))
     lost = F.when(F.col("filepath") % 3 == 0, F.col("t")).otherwise(F.regexp_replace("t", r"^[^ ]* ", ""))
     return d.select("filepath", F.explode(F.array(
         F.struct(F.lit("a").alias("model"), F.col("t").alias("text")), F.struct(F.lit("b").alias("model"), F.lower(F.replace("t", F.lit(" "), F.lit("  "))).alias("text")), F.struct(F.lit("c").alias("model"), lost.alias("text")),
@@ -47,7 +47,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: candidates() in SQL.
 CANDIDATES_SQL = """
   select filepath, unnest(['a', 'b', 'c']) model, unnest([t, lower(replace(t, ' ', '  ')), case when filepath % 3 = 0 then t else regexp_replace(t, '^[^ ]* ', '') end]) text
-  from (select doc_id filepath, substring(text, 1, 120) t from documents)
+  from (select doc_id filepath, text t from documents)
 """
 
 

@@ -136,32 +136,33 @@ def finite_trim(spark, d):
 
 def _labels(spark, d):
     l = table(spark, d, "labels")  # noqa: E741
-    return l.select(F.col("doc_id").alias("filepath"), F.when(F.col("quality") == 1, F.lit("xx")).alias("lang"), F.col("toxic").alias("toxic"))
+    # seven further on, so that keys are new on both sides
+    return l.select((F.col("doc_id") + 7).alias("filepath"), F.when(F.col("quality") == 1, F.lit("xx")).alias("lang"), F.col("toxic").alias("toxic"))
 
 
-_MAIN = "(select doc_id filepath, n_chars::double total_duration, lang, source from documents where doc_id % 4 <> 1)"
-_IN = "(select doc_id filepath, case when quality = 1 then 'xx' end lang, toxic from labels)"
+_MAIN = "(select doc_id filepath, n_chars::double total_duration, lang, source from documents)"
+_IN = "(select doc_id + 7 filepath, case when quality = 1 then 'xx' end lang, toxic from labels)"
 
 
 @query(f"""
 select coalesce(m.filepath, i.filepath) filepath, total_duration, coalesce(i.lang, m.lang) lang, source, toxic from {_MAIN} m full join {_IN} i on m.filepath = i.filepath
 """)
 def upsert_preserve(spark, d):
-    return manifest.upsert(clips(spark, d).where("filepath % 4 <> 1"), _labels(spark, d))
+    return manifest.upsert(clips(spark, d), _labels(spark, d))
 
 
 @query(f"""
 select coalesce(m.filepath, i.filepath) filepath, total_duration, case when i.filepath is not null then i.lang else m.lang end lang, source, toxic from {_MAIN} m full join {_IN} i on m.filepath = i.filepath
 """)
 def upsert_overwrite(spark, d):
-    return manifest.upsert(clips(spark, d).where("filepath % 4 <> 1"), _labels(spark, d), preserve=False)
+    return manifest.upsert(clips(spark, d), _labels(spark, d), preserve=False)
 
 
 @query(f"""
 select coalesce(m.filepath, i.filepath) filepath, total_duration, source, i.lang lang, toxic from {_MAIN} m full join {_IN} i on m.filepath = i.filepath
 """)
 def replace_merge(spark, d):
-    return manifest.replace_merge(clips(spark, d).where("filepath % 4 <> 1"), _labels(spark, d))
+    return manifest.replace_merge(clips(spark, d), _labels(spark, d))
 
 
 @query("""
@@ -335,14 +336,14 @@ def hysteresis_frames(spark, d):
 
 
 @query("""
-with c as (select conv_id * 100 + turn clip, text from conversations where length(text) > 0 and turn < 2), e as (
+with c as (select conv_id * 100 + turn clip, text from conversations where length(text) > 0), e as (
   select clip, length(text) n, unnest(range(1, length(text) + 1)) i, unnest(string_split(text, '')) ch from c
 ), w as (select *, trim(ch) = '' b, sum(case when trim(ch) = '' then 1 else 0 end) over (partition by clip order by i) - case when trim(ch) = '' then 1 else 0 end word from e
 ), g as (select clip, word, min(i) filter (where not b) a, max(i) filter (where b) z, any_value(n) n, string_agg(ch, '' order by i) filter (where not b) t from w group by clip, word)
 select clip, a - 1 i, round(a / 10, 3) "start", round(coalesce(z, n) / 10, 3) "end", t word from g where a is not null
 """)
 def word_timestamps(spark, d):
-    c = table(spark, d, "conversations").where("char_length(text) > 0 and turn < 2").select((F.col("conv_id") * 100 + F.col("turn")).alias("clip"), F.split("text", "").alias("tokens"))
+    c = table(spark, d, "conversations").where("char_length(text) > 0").select((F.col("conv_id") * 100 + F.col("turn")).alias("clip"), F.split("text", "").alias("tokens"))
     c = c.withColumn("times", F.transform("tokens", lambda _, i: (i + 1) / 10))
     w = intervals.word_times(c, "clip", "tokens", "times")
     return w.select("clip", F.col("i").cast("long").alias("i"), F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "word")
@@ -398,42 +399,44 @@ def asr_agreement_long(spark, d):
     return consensus.agreement_of(candidates(spark, d))
 
 
-@query()
+@query(f"""
+select filepath, trim(regexp_replace(lower(coalesce(text, '')), '[\\s\\p{{Z}}]+', ' ', 'g')) text, cast(null as varchar) error from ({CANDIDATES_SQL}) where model = 'a'
+""")
 def rover_vote(spark, d):
+    """Two of the three transcripts are equal word by word, so their words win."""
     return consensus.rover(candidates(spark, d))
 
 
 @query("""
-select conv_id, coalesce(max(text) filter (where role = 'user'), '') "user", coalesce(max(text) filter (where role = 'assistant'), '') assistant, coalesce(max(text) filter (where role = 'system'), '') "system" from conversations where turn < 3 group by conv_id
+select conv_id, coalesce(max(text) filter (where role = 'user'), '') "user", coalesce(max(text) filter (where role = 'assistant'), '') assistant, coalesce(max(text) filter (where role = 'system'), '') "system" from conversations group by conv_id
 """)
 def collate_pivot(spark, d):
-    c = table(spark, d, "conversations").where("turn < 3")
-    p = collate.pivot(c, ["user", "assistant", "system"], "conv_id", "role")
+    p = collate.pivot(table(spark, d, "conversations"), ["user", "assistant", "system"], "conv_id", "role")
     return p.select("conv_id", *[F.coalesce(k, F.lit("")).alias(k) for k in ("user", "assistant", "system")])
 
 
 @query(f"""
-with c as ({CANDIDATES_SQL}), w as (select filepath, max(text) filter (where model = 'a') tone, max(text) filter (where model = 'b') canary, max(text) filter (where model = 'c') rover from c where filepath % 5 <> 2 group by filepath),
+with c as ({CANDIDATES_SQL}), w as (select filepath, max(text) filter (where model = 'a') tone, max(text) filter (where model = 'b') canary, max(text) filter (where model = 'c') rover from (select filepath + 3 filepath, model, text from c) group by filepath),
 k as (select d.doc_id filepath, lang, coalesce(tone, '') tone, coalesce(canary, '') canary, coalesce(rover, '') rover, trim(regexp_replace(lower(coalesce(tone, '')), '[\\s\\p{{Z}}]+', ' ', 'g')) x, trim(regexp_replace(lower(coalesce(canary, '')), '[\\s\\p{{Z}}]+', ' ', 'g')) y
   from documents d left join w on w.filepath = d.doc_id)
 select filepath, lang, tone, canary, rover, '' punct, case when x = '' or y = '' then null when x = y then 100.0 else 0.0 end::double asr_consistency_percent from k
 """)
 def collate_left_join(spark, d):
     names = F.create_map(F.lit("a"), F.lit("tone"), F.lit("b"), F.lit("canary"), F.lit("c"), F.lit("rover"))
-    side = candidates(spark, d).where("filepath % 5 <> 2").select("filepath", F.element_at(names, F.col("model")).alias("kind"), "text")
+    side = candidates(spark, d).select((F.col("filepath") + 3).alias("filepath"), F.element_at(names, F.col("model")).alias("kind"), "text")
     main = clips(spark, d).select("filepath", "lang", F.lit("old").alias("transcript"))
     return collate.collate(main, side, ["tone", "canary"]).select("filepath", "lang", "tone", "canary", "rover", "punct", "asr_consistency_percent")
 
 
 @query("""
 with w as (select doc_id, i, word, ['O', 'PERIOD', 'COMMA', 'QUESTION', 'TIRE', 'VOSKL', 'QUESTIONVOSKL', 'NONE'][i % 8 + 1] mark, ['LOWER', 'UPPER', 'UPPER_TOTAL'][doc_id % 3 + 1] cs
-  from (select doc_id, unnest(range(0, 8)) i, unnest(string_split(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g'), ' ')[1:8]) word from documents where len(string_split(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g'), ' ')) >= 8)),
+  from (select doc_id, unnest(range(0, len(w))) i, unnest(w) word from (select doc_id, string_split(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g'), ' ') w from documents))),
 m as (select unnest(['O', 'PERIOD', 'COMMA', 'QUESTION', 'TIRE', 'VOSKL', 'QUESTIONVOSKL']) mark, unnest(['', '.', ',', '?', '—', '!', '?!']) s)
 select doc_id, i::int i, case cs when 'LOWER' then word when 'UPPER' then upper(replace(word[1], 'ß', 'SS')) || lower(word[2:]) else upper(replace(word, 'ß', 'SS')) end || case when w.mark = 'TIRE' and cs <> 'LOWER' then ' ' else '' end || s decoded from w left join m on m.mark = w.mark
 """)
 def punct_label_decode(spark, d):
     words = F.split(F.regexp_replace(F.lower("text"), r"[\s\p{Z}]+", " "), " ")
-    x = table(spark, d, "documents").select("doc_id", words.alias("w")).where(F.size("w") >= 8).select("doc_id", F.posexplode(F.slice("w", 1, 8)).alias("i", "word"))
+    x = table(spark, d, "documents").select("doc_id", words.alias("w")).select("doc_id", F.posexplode("w").alias("i", "word"))
     mark = F.element_at(F.array(*[F.lit(m) for m in ("O", "PERIOD", "COMMA", "QUESTION", "TIRE", "VOSKL", "QUESTIONVOSKL", "NONE")]), (F.col("i") % 8 + 1).cast("int"))
     case = F.element_at(F.array(*[F.lit(c) for c in text.PUNCT_CASES]), (F.col("doc_id") % 3 + 1).cast("int"))
     return x.select("doc_id", "i", text.punct_decode(F.col("word"), F.concat(case, F.lit("_"), mark)).alias("decoded"))
@@ -680,10 +683,10 @@ def seeded_sample(spark, d):
 
 
 @query("""
-select l_suppkey, count(distinct l_partkey)::bigint n, string_agg(distinct cast(l_partkey as varchar), ',' order by cast(l_partkey as varchar)) ids from lineitem where l_partkey < 300 group by l_suppkey
+select l_suppkey, count(distinct l_partkey)::bigint n, string_agg(distinct cast(l_partkey as varchar), ',' order by cast(l_partkey as varchar)) ids from lineitem group by l_suppkey
 """)
 def episodes_by_podcast(spark, d):
-    l = table(spark, d, "lineitem").where("l_partkey < 300").select("l_suppkey", F.col("l_partkey").cast("string").alias("p"))  # noqa: E741
+    l = table(spark, d, "lineitem").select("l_suppkey", F.col("l_partkey").cast("string").alias("p"))  # noqa: E741
     g = l.groupBy("l_suppkey").agg(F.array_sort(F.collect_set("p")).alias("x"))
     return g.select("l_suppkey", F.size("x").cast("long").alias("n"), F.array_join("x", ",").alias("ids"))
 

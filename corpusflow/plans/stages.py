@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Any
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ..sinks.records import write_status
 
 DEFAULT_RANGE = ("11", "14")
@@ -53,6 +56,12 @@ def in_range(stage: str, start: str, stop: str) -> bool:
     return Decimal(start) <= Decimal(stage) <= Decimal(stop)
 
 
+def stages_between(df: DataFrame, stage: str, start: str, stop: str) -> DataFrame:
+    """Rows whose stage lies between two others, both included, as exact decimals."""
+    exact = "decimal(20,6)"
+    return df.where(F.col(stage).cast(exact).between(F.lit(start).cast(exact), F.lit(stop).cast(exact)))
+
+
 def run(stages: Sequence[Stage], settings: Settings, status_dir: str, start: str = DEFAULT_RANGE[0], stop: str = DEFAULT_RANGE[1], strict: bool = False) -> list[dict]:
     """Run the stages of a range in order and write each one's status, failures too; strict: stop at the first with errors."""
     out = []

@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import materialise
+
 SHARD_BYTES, SHARD_SAMPLES = 512 << 20, 10_000
 
 
@@ -113,11 +115,72 @@ def write_binaries(files: DataFrame, root: str, name: str, content: str) -> Data
 
 
 def delete_flagged(spark: SparkSession, manifest: DataFrame, confirmed: bool = False) -> int:
-    """Delete the files of rows flagged `deleted`; only when confirmed. Returns how many were there."""
+    """Delete the files of rows flagged `deleted`; only when confirmed. Tasks delete them; returns how many were there."""
     if not confirmed:
         raise ValueError("deleting files must be confirmed")
-    n = 0
-    for row in manifest.where("deleted").select("filepath").toLocalIterator():
-        path = spark._jvm.org.apache.hadoop.fs.Path(row["filepath"])
-        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False))
-    return n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            n = 0
+            for path in batch.column(0).to_pylist():
+                store, where = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                if store.get_file_info(where).type == fs.FileType.File:
+                    store.delete_file(where)
+                    n += 1
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    gone = manifest.where("deleted and filepath is not null").select("filepath").distinct()
+    # written before it is counted: a second evaluation would find the files gone
+    return materialise(gone.mapInArrow(run, "n long")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def as_wav(_, arrays: list, rate: int = 16_000) -> list[tuple]:
+    """Arrays between -1 and 1 as WAV files of one channel."""
+    return [(encode_wav(np.asarray(x, np.float64)[None, :], rate),) for x in arrays]
+
+
+def write_tars(samples: DataFrame, root: str, most_bytes: int = SHARD_BYTES, most_samples: int = SHARD_SAMPLES) -> DataFrame:
+    """(path, samples, bytes) of tar archives of samples (key, ext, content, meta), streamed by the tasks to files below root.
+
+    A task holds one sample at a time. An archive is renamed when it is whole, so a task that is repeated leaves no half ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, where = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        store.create_dir(where, recursive=True)
+        part = TaskContext.get().partitionId() if TaskContext.get() else 0
+        shard, open_ = 0, None
+
+        def close() -> pa.RecordBatch:
+            tar, out, name, n, size = open_
+            tar.close()
+            out.close()
+            store.move(name + ".tmp", name)
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())], ["path", "samples", "bytes"])
+
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                data = row["content"] or b""
+                if open_ and (open_[3] >= most_samples or open_[4] + len(data) > most_bytes):
+                    yield close()
+                    open_, shard = None, shard + 1
+                if not open_:
+                    name = f"{where}/shard-{part:05d}-{shard:05d}.tar"
+                    out = store.open_output_stream(name + ".tmp")
+                    open_ = [tarfile.open(fileobj=out, mode="w|"), out, name, 0, 0]  # noqa: SIM115
+                key = row["key"].replace(".", "_")
+                for member, raw in ((f"{key}.{row['ext']}", data), (f"{key}.json", json.dumps(clean(dict(row["meta"] or {})), ensure_ascii=False, allow_nan=False).encode())):
+                    info = tarfile.TarInfo(member)
+                    info.size = len(raw)
+                    open_[0].addfile(info, io.BytesIO(raw))
+                    open_[4] += len(raw)
+                open_[3] += 1
+        if open_:
+            yield close()
+
+    return samples.select("key", "ext", "content", "meta").mapInArrow(run, "path string, samples long, bytes long")

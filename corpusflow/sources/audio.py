@@ -85,10 +85,53 @@ def decoded(files: DataFrame, work: Callable[[np.ndarray, int], tuple], schema:
     return files.select("path", "content").mapInArrow(run, f"path string, error string, {schema}")
 
 
+#: Bytes of a file's beginning in which its header is looked for.
+HEADER = 1 << 16
+
+
+def wav_seconds(head: bytes, size: int) -> float:
+    """Seconds of a WAV file of `size` bytes from its beginning."""
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
+        raise ValueError("no WAV header")
+    at, rate = 12, 0
+    while at + 8 <= len(head):
+        name, n = head[at : at + 4], int.from_bytes(head[at + 4 : at + 8], "little")
+        if name == b"fmt ":
+            rate = int.from_bytes(head[at + 16 : at + 20], "little")  # bytes a second
+        if name == b"data":
+            return min(n, size - at - 8) / rate if rate else 0.0
+        at += 8 + n + n % 2
+    raise ValueError("no data in the header")
+
+
 def probe_durations(files: DataFrame) -> DataFrame:
-    """(path, error, duration): seconds from the header; 0 where it can't be read."""
-    out = decoded(files, lambda x, rate: (x.shape[1] / rate if rate else 0.0,), "duration double")
-    return out.withColumn("duration", F.coalesce("duration", F.lit(0.0)))
+    """(path, error, duration) of files (path): seconds from the header; 0 where it can't be read.
+
+    Tasks open each file and read its first bytes; a format without a header reader is decoded.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                error, seconds = None, 0.0
+                try:
+                    store, where = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                    ext = path.rsplit(".", 1)[-1].lower()
+                    with store.open_input_file(where) as f:
+                        if ext == "wav":
+                            seconds = wav_seconds(f.read(HEADER), f.size())
+                        else:
+                            x, rate = DECODERS[ext](f.read())
+                            seconds = x.shape[1] / rate if rate else 0.0
+                except Exception as e:  # noqa: BLE001
+                    error = f"{type(e).__name__}: {e}"
+                rows.append((path, error, float(seconds)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.float64()))] if rows else [pa.array([], t) for t in (pa.string(), pa.string(), pa.float64())], ["path", "error", "duration"])
+
+    return files.select("path").mapInArrow(run, "path string, error string, duration double")
 
 
 def discover(spark: SparkSession, root: str, manifest: DataFrame | None = None, source: str | None = "auto") -> DataFrame:
