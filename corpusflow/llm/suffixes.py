@@ -8,8 +8,10 @@ are merged by iterative interleave refinement (Holt and McMillan, 2014): the int
 over the transforms sorts it by one more byte, without sorting suffixes again. Boundaries that a pass sets give the
 common prefixes; what is undivided after 50 passes are the repeated intervals, whose smallest document keeps its bytes.
 
-No key is hot: a window of a task settles its own repeats and sends each distinct fragment once. Fragments are compared by
-128 bits of hashes, strings by their bytes.
+A window of a task settles its own repeats and sends each distinct fragment once, so equal fragments make no key hot. A minimizer
+around which very many different fragments stand (known from a bounded sample of the texts, which decides routes and no
+result) is split: each of its strings has at least HALF bytes more on the left of the minimizer or on the right, and is dealt by these too.
+Fragments are compared by 128 bits of hashes, strings by their bytes.
 
 Defined results: null or empty text has no bytes; rows whose doc_id is null are left out; rows that share a doc_id are one
 document (they share their spans, and their strings don't remove each other).
@@ -37,6 +39,10 @@ MINIMIZER = 12
 #: Text of a task that settles its own repeats; text of a bucket; shards whose transforms are merged in a bucket.
 WINDOW_BYTES, BUCKET_BYTES, SHARDS = 20 << 20, 6 << 20, 16
 
+#: Bytes beside a minimizer that split it; text of the sample that finds minimizers to split, and how many of them there are at most.
+HALF = (LENGTH - MINIMIZER) // 2
+SAMPLE_BYTES, SPLIT = 32 << 20, 1_000_000
+
 SENT = "bucket int, kind int, shard int, blob binary"
 SPANS = "doc_id long, s int, e int"
 
@@ -123,7 +129,26 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     return {"doc": np.cumsum(ids)[np.cumsum(index)], "count": count, "places": np.cumsum(places, dtype=np.int64), "size": size.astype(np.int64), "mark": mark.astype(np.int64), "data": np.frombuffer(raw, np.uint8, -1, at)}
 
 
-def _send(buckets: int, length: int):
+def _parts(hash_: np.ndarray, size: np.ndarray, mark: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is dealt of some fragments: (fragment, offset, size, mark, side), side being 0 whole, 1 with HALF bytes left of the minimizer, 2 right of it."""
+    at = np.searchsorted(split, hash_)
+    at[at == len(split)] = 0
+    hot = split[at] == hash_ if len(split) else np.zeros(len(hash_), bool)
+    every = np.arange(len(hash_))
+    whole, left = every[~hot], every[hot & (mark >= HALF)]
+    skip = np.maximum(mark - (HALF - 1), 0)
+    right = every[hot & (size - skip >= length)]
+    zero = np.zeros(len(whole), np.int64)
+    part = np.concatenate((whole, left, right))
+    offset = np.concatenate((zero, np.zeros(len(left), np.int64), skip[right]))
+    # the left part ends with the last string that has HALF bytes before the minimizer
+    end = np.concatenate((size[whole], np.minimum(mark[left] - HALF + length, size[left]), size[right]))
+    side = np.concatenate((zero, np.full(len(left), 1), np.full(len(right), 2)))
+    ok = end - offset >= length
+    return part[ok], offset[ok], (end - offset)[ok], (mark[part] - offset)[ok], side[ok]
+
+
+def _send(buckets: int, length: int, split: np.ndarray):
     names = [x.split()[0] for x in SENT.split(", ")]
 
     def settle(window: list, shard: int) -> Iterator[pa.RecordBatch]:
@@ -163,15 +188,21 @@ def _send(buckets: int, length: int):
         head[1:] = group[1:] != group[:-1]
         heads = np.flatnonzero(head)
         count = np.diff(np.append(heads, len(kept)))
-        bucket = (mix(col["hash"][kept[heads]] ^ np.uint64(0xB5297A4D3F84D5B5)) % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((kept[heads], bucket))
+        part, offset, size, mark, side = _parts(col["hash"][kept[heads]], col["size"][kept[heads]], col["mark"][kept[heads]], split, length)
+        own = kept[heads[part]]
+        key = col["hash"][own] ^ np.uint64(0xB5297A4D3F84D5B5)
+        for which, shift in ((1, -HALF), (2, MINIMIZER)):
+            j = np.flatnonzero(side == which)
+            key[j] = mix(key[j] + _hash_at(buf, at[own[j]] + col["mark"][own[j]] + shift, HALF) + np.uint64(which))
+        bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((own, bucket))
         cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
         for a, b in zip(cuts, np.append(cuts[1:], len(by))):
             g = by[a:b]
-            f = kept[heads[g]]
-            n = count[g]
-            members = kept[np.arange(int(n.sum())) + np.repeat(heads[g] - (np.cumsum(n) - n), n)]
-            blob = _pack(doc[f], n, place[members], col["size"][f], col["mark"][f], _gather(buf, at[f], col["size"][f]))
+            f, h = own[g], part[g]
+            n = count[h]
+            members = kept[np.arange(int(n.sum())) + np.repeat(heads[h] - (np.cumsum(n) - n), n)]
+            blob = _pack(doc[f], n, place[members] + np.repeat(offset[g], n), size[g], mark[g], _gather(buf, at[f] + offset[g], size[g]))
             yield pa.RecordBatch.from_arrays([pa.array([bucket[g[0]]], pa.int32()), pa.array([0], pa.int32()), pa.array([shard], pa.int32()), pa.array([blob], pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,12 +389,38 @@ def _reduce(length: int):
     return run
 
 
+def _minimizers(length: int):
+    """(hash, bytes) of a sample's minimizers: the bytes of the distinct fragments around each, of those with any number of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            f = fragments(block, length)
+            order, first = _groups(f["digest"], f["hash"])
+            head = order[first]
+            hash_, of = np.unique(f["hash"][head], return_inverse=True)
+            n = np.bincount(of, f["size"][head], len(hash_)).astype(np.int64)
+            some = n > 2 * length
+            yield pa.RecordBatch.from_arrays([pa.array(hash_[some].view(np.int64)), pa.array(n[some])], ["hash", "bytes"])
+
+    return run
+
+
+def minimizers_to_split(own: DataFrame, total: int, length: int) -> np.ndarray:
+    """Hashes, in order, of the minimizers that would fill a good part of a bucket; at most SPLIT, the most frequent."""
+    share = min(1.0, SAMPLE_BYTES / max(total, 1))
+    some = own if share == 1 else own.sample(share, seed=1)
+    n = some.mapInArrow(_minimizers(length), "hash long, bytes long").groupBy("hash").agg(F.sum("bytes").alias("bytes"))
+    hot = n.where(F.col("bytes") > share * BUCKET_BYTES / 8).orderBy(F.desc("bytes"), "hash").limit(SPLIT)
+    return np.sort(np.array([r[0] for r in hot.select("hash").collect()], np.int64).view(np.uint64))
+
+
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, spans) of the bytes covered by strings of `length` bytes that also start in a document with a smaller doc_id."""
     own = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
-    sent = own.mapInArrow(_send(buckets, length), SENT)
+    split = minimizers_to_split(own, total, length) if length == LENGTH else np.zeros(0, np.uint64)
+    sent = own.mapInArrow(_send(buckets, length, split), SENT)
     spans = sent.groupBy("bucket").applyInPandas(_reduce(length), SPANS)
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 

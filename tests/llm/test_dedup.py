@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from made_up import words
 from pyspark.sql import functions as F
@@ -165,6 +166,40 @@ def test_suffixes_over_windows(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in own} == want
 
 
+def test_a_frequent_minimizer_is_split(spark, monkeypatch):
+    """One string in very many contexts: its fragments are dealt over many buckets, and nothing is lost."""
+    monkeypatch.setattr(suffixes, "WINDOW_BYTES", 30_000)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 20_000)
+    stop = "\x01\x02\x03\x04\x05\x06\x07\x08\x0e\x0f\x10\x11"
+
+    def rank(w):  # the hash by which minimizers are chosen
+        u = suffixes._longs(np.frombuffer(w.encode(), np.uint8))
+        return common.mix(common.mix(u[:1]) + u[4:5])[0]
+
+    often = next(w for w in (words(5000 + i, 9)[:12] for i in range(10_000)) if len(w.encode()) == 12 and rank(w) < 2**56)
+    rows = []
+    for i in range(120):
+        w = words(100 + i % 90, 60).split()
+        rows.append((i, "".join(f"{a} {often} " if k % 2 else f"{a} " for k, a in enumerate(w)) + (stop if i % 3 else ""), "en", "a", 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    total = sum(len(r[1].encode()) for r in rows)
+    hot = suffixes.minimizers_to_split(df.select("doc_id", "text"), total, 50)
+    assert rank(often) in hot
+    batch = pa.RecordBatch.from_pylist([{"doc_id": r[0], "text": r[1]} for r in rows])
+    largest = {}
+    for split in (np.zeros(0, np.uint64), hot):
+        sizes = {}
+        for b in suffixes._send(200, 50, split)([batch]):
+            for bucket, kind, blob in zip(*(b.column(k).to_pylist() for k in (0, 1, 3))):
+                if kind == 0:
+                    sizes[bucket] = sizes.get(bucket, 0) + len(suffixes._unpack(blob)["data"])
+        largest[len(split)] = max(sizes.values())
+    assert largest[len(hot)] < 0.3 * largest[0]
+    want = brute_repeats({r[0]: r[1].encode() for r in rows})
+    own = suffixes.remove(df, suffixes.repeats(df)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in own} == want
+
+
 def test_merge_is_the_sorted_order():
     rng = np.random.default_rng(0)
     parts = [np.concatenate([np.append(rng.integers(97, 100, 90), 0) for _ in range(4)]).astype(np.uint8) for _ in range(3)]
