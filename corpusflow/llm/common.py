@@ -31,16 +31,22 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return "file:///tmp/corpusflow-shared"
 
 
+#: Tables that materialise() has written and nothing has discarded, in order.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,6 +58,21 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written() -> int:
+    """A mark for discard_since()."""
+    return len(_written)
+
+
+def discard_since(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Delete all tables written since a mark but the one that `keep` reads, which must be a written table itself."""
+    own = {p.rsplit("/", 1)[0].rsplit("/", 1)[-1] for p in keep.inputFiles()}
+    for name in _written[mark:]:
+        if name.rsplit("/", 1)[-1] not in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _written[mark:] = [n for n in _written[mark:] if n.rsplit("/", 1)[-1] in own]
+
+
 # --- byte blocks -----------------------------------------------------------------------------
 
 
@@ -191,8 +212,9 @@ class Forest:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b long), component being the smallest node reachable.
 
-    Large-star and small-star steps (Kiveris et al., 2014) as joins and partial minimums, so a node with
-    very many neighbours is neither collected nor bound to one task. Each round is a written table.
+    Large-star and small-star steps (Kiveris et al., 2014) as joins and partial minimums: no node's neighbours are collected. The
+    joins' other side has one row a node, so the rows of a node with very many neighbours may be split over tasks (adaptive execution
+    does). Each round is a written table.
     """
     spark = edges.sparkSession
     e = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())

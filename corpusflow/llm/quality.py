@@ -9,7 +9,7 @@ Grades: 0 toxic, 1 poor, 2 good. The model is fitted in one task on a bounded sa
 (TRAIN_ROWS, the smallest hashes of doc_id); scoring reads every whole text where it lies, without a shuffle.
 
 Defined results: null and empty texts have no features and are rejected (expected grade 0, chance 0); without any labels
-every other text gets the top grade; labels that are null, and rows without a doc_id, don't train.
+every other text gets the top grade; labels that are null, and rows without a doc_id, don't train; of rows that share a doc_id one trains.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def features(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mark = span_hashes(block.buf, ps, np.minimum(pe, ps + 4), lower=False) & ~np.uint64(1)
     capitals = np.concatenate(([0], np.cumsum(_CAPITAL[block.buf])))
     loud = (capitals[e] - capitals[s] == e - s) & (e - s > 1)
-    again = np.concatenate(([False], word[1:] == word[:-1]))[: len(word)]
+    owner = np.searchsorted(block.starts, s, side="right")
+    again = np.concatenate(([False], (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])))[: len(word)]
     long = e - s > PREFIX  # inflected and compound words share their beginning
     prefix = span_hashes(block.buf, s[long], s[long] + PREFIX) ^ np.uint64(0x5DEECE66D << 16)
     at = np.concatenate((s, ps, s[long], s[loud], s[again]))
@@ -123,7 +124,7 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """(grade, indexes, values) of at most `limit` labelled documents."""
+    """(grade, indexes, values) of at most `limit` labelled documents; of rows that share a doc_id one, whatever their order."""
     grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") <= 0, 1).otherwise(2)
     rated = labels.where("doc_id is not null and quality is not null and toxic is not null").select(F.col("doc_id").alias("rated_id"), grade.alias("grade"))
     rated = rated.groupBy("rated_id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("rated_id"), "rated_id").limit(limit)
@@ -135,13 +136,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
                 doc, index, value = features(block)
                 cut = np.searchsorted(doc, np.arange(len(block.ids) + 1))
                 rows = [(index[a:b].astype(np.int32).tobytes(), value[a:b].astype(np.float32).tobytes()) for a, b in zip(cut, cut[1:])]
-                grades = batch.column(2).slice(at, len(rows))
+                ids, grades = (batch.column(k).slice(at, len(rows)) for k in (0, 2))
                 at += len(rows)
-                yield pa.RecordBatch.from_arrays([grades, pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["grade", "indexes", "values"])
+                yield pa.RecordBatch.from_arrays([ids, grades, pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["doc_id", "grade", "indexes", "values"])
 
     # the sample has a fixed bound, so it may be broadcast: texts are not shuffled
-    joined = docs.join(F.broadcast(rated), docs["doc_id"] == rated["rated_id"]).select("rated_id", "text", F.col("grade").cast("int").alias("grade"))
-    return joined.withColumnRenamed("rated_id", "doc_id").mapInArrow(run, "grade int, indexes binary, values binary")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    joined = own.join(F.broadcast(rated), own["doc_id"] == rated["rated_id"]).select("doc_id", "text", F.col("grade").cast("int").alias("grade"))
+    rows = joined.mapInArrow(run, "doc_id long, grade int, indexes binary, values binary")
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct("grade", "indexes", "values"), F.xxhash64("indexes", "values")).alias("x"))
+    return one.orderBy("doc_id").select("x.grade", "x.indexes", "x.values")
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Model | None:

@@ -226,6 +226,45 @@ def test_quality_edges(spark, docs, none):
     assert quality.select(none, no).count() == 0
 
 
+def test_quality_scores_by_hand(spark, awkward):
+    """Features counted one by one give the same score as the blocks of documents do."""
+    rows, labels = graded(300, 3)
+    df = spark.createDataFrame(rows, DOCS)
+    model = quality.train(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    hashed = lambda x, low=True: int(quality.span_hashes(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)]), lower=low)[0])
+    one = spark.createDataFrame(awkward + rows[:20], DOCS)
+    got = {r.text: (r.s.expected_grade, r.s.top_chance) for r in one.select("text", quality.scored(spark, model)("text").alias("s")).collect()}
+    mask = (1 << quality.BITS) - 1
+    for t in {r[1] for r in awkward + rows[:20]}:
+        raw = (t or "").encode()
+        found, last = Counter(), None
+        for w in re.finditer(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", raw):
+            h = hashed(w[0]) | 1
+            own = [h]
+            if len(w[0]) > quality.PREFIX:
+                own.append(hashed(w[0][: quality.PREFIX]) ^ (0x5DEECE66D << 16))
+            if len(w[0]) > 1 and re.fullmatch(rb"[A-Z]+", w[0]):
+                own.append(int(quality._LOUD))
+            if h == last:
+                own.append(int(quality._AGAIN))
+            last = h
+            found.update((x >> 7) & mask for x in own)
+        for m in re.finditer(rb"[\x00-\x08\x0E-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", raw):
+            found[((hashed(m[0][:4], False) & ~1) >> 7) & mask] += 1
+        n = sum(found.values())
+        score = sum(model.weights[i] * math.sqrt(c / n) for i, c in found.items())
+        above = [1 / (1 + math.exp(-(score - t_))) for t_ in model.thresholds] if n else [0.0, 0.0]
+        assert np.allclose(got[t], (sum(above), above[-1]), atol=1e-6)
+
+
+def test_quality_takes_clashing_columns_and_repeated_ids(spark):
+    rows, labels = graded(120, 4)
+    df = spark.createDataFrame(rows + rows[:50], DOCS).withColumns({"grade": F.lit("own"), "rated_id": F.lit(1), "indexes": F.lit(2)})
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert quality.training_rows(df, lab, 60).count() == 60
+    assert quality.select(df, lab).columns == df.columns
+
+
 # --- licences --------------------------------------------------------------------------------
 
 
