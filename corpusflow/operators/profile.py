@@ -127,14 +127,17 @@ def categories(df: DataFrame, columns: Sequence[str], top: int = 50) -> DataFram
 
 def quantile_buckets(df: DataFrame, rate: str, buckets: int, values: Sequence[str], digits: int = 6) -> DataFrame:
     """Size, mean and median of values in buckets of equal share: right-closed, the lowest edge included, equal edges one."""
-    edges = percentiles(df, [], rate, [i / buckets for i in range(buckets + 1)]).select(F.array_distinct("q").alias("e"))
-    placed = df.where(F.col(rate).isNotNull()).crossJoin(F.broadcast(edges))
-    placed = placed.withColumn("bucket", F.greatest(F.size(F.filter("e", lambda x: x < F.col(rate))), F.lit(1)))
-    out = placed.groupBy("bucket").agg(F.first("e").alias("e"), F.count("*").alias("size"), *[F.round(F.avg(v), digits).alias(f"{v}_mean") for v in values])
+    # a few edges are taken as literals, so no row is joined to them
+    row = percentiles(df, [], rate, [i / buckets for i in range(buckets + 1)]).first()
+    edges = sorted(set(row["q"])) if row and row["q"] else [0.0]
+    high = lambda i: F.get(F.array(*[F.lit(float(e)) for e in edges]), i)
+    bucket = F.greatest(sum((F.lit(float(e)) < F.col(rate)).cast("int") for e in edges), F.lit(1))
+    placed = df.where(F.col(rate).isNotNull()).withColumn("bucket", bucket)
+    out = placed.groupBy("bucket").agg(F.count("*").alias("size"), *[F.round(F.avg(v), digits).alias(f"{v}_mean") for v in values])
     for v in values:
         middle = percentiles(placed, ["bucket"], v, [0.5]).select("bucket", F.round(F.get("q", F.lit(0)), digits).alias(f"{v}_median"))
         out = out.join(middle, "bucket", "left")
-    return out.select("bucket", F.round(F.get("e", F.col("bucket") - 1), digits).alias("low"), F.round(F.get("e", F.col("bucket")), digits).alias("high"), "size", *[f"{v}_{s}" for v in values for s in ("mean", "median")])
+    return out.select("bucket", F.round(high(F.col("bucket") - 1), digits).alias("low"), F.round(high(F.col("bucket")), digits).alias("high"), "size", *[f"{v}_{s}" for v in values for s in ("mean", "median")])
 
 
 def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

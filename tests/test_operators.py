@@ -226,3 +226,79 @@ def test_thresholds():
         filters.resolve_threshold(None, 1.0, manual=True)
     with pytest.raises(ValueError, match="no threshold"):
         filters.resolve_threshold()
+
+
+def naive_align(slots, words, seen):
+    """The whole table of costs, cell by cell."""
+    n, m = len(slots), len(words)
+    cost = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            ways = []
+            if i and j:
+                ways.append(cost[i - 1][j - 1] + (words[j - 1] not in slots[i - 1]))
+            if i:
+                ways.append(cost[i - 1][j] + (None not in slots[i - 1]))
+            if j:
+                ways.append(cost[i][j - 1] + 1)
+            cost[i][j] = min(ways, default=0)
+    out, i, j = [], n, m
+    while i or j:
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + (words[j - 1] not in slots[i - 1]):
+            i, j = i - 1, j - 1
+            out.append([*slots[i], words[j]])
+        elif i and cost[i][j] == cost[i - 1][j] + (None not in slots[i - 1]):
+            i -= 1
+            out.append([*slots[i], None])
+        else:
+            j -= 1
+            out.append([*[None] * seen, words[j]])
+    return out[::-1]
+
+
+def test_alignment_in_a_band_is_the_whole_tables():
+    import random
+
+    from corpusflow.operators import consensus
+
+    rng = random.Random(3)
+    for _ in range(400):
+        texts = [[rng.choice("abcde") for _ in range(rng.randint(0, 40))] for _ in range(2)]
+        texts += [[w for w in texts[0] if rng.random() > 0.2], texts[1][: rng.randint(0, 40)]]
+        rng.shuffle(texts)
+        slots = [[w] for w in texts[0]]
+        for seen, words in enumerate(texts[1:], 1):
+            want = naive_align(slots, words, seen)
+            assert consensus.align(slots, words, seen) == want
+            slots = want
+
+
+def test_alignment_of_long_texts():
+    from corpusflow.operators import consensus
+
+    a = [f"w{i % 977}" for i in range(20_000)]
+    b = [w for i, w in enumerate(a) if i % 500 != 7]
+    assert consensus.vote([" ".join(a), " ".join(b), " ".join(a)], str.split, " ".join).split() == a
+
+
+def test_percentiles_by_rank_are_the_aggregates(spark):
+    from corpusflow.operators import partitioning
+
+    rows = [(None if i % 7 == 0 else i % 3, None if i % 11 == 0 else float((i * 37) % 50)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    points = [0.0, 0.01, 0.33, 0.5, 0.99, 1.0]
+    for by in ([], ["k"]):
+        one, two = ({r[: len(by)]: [round(x, 9) for x in r["q"]] for r in partitioning.percentiles(df, by, "v", points, most=most).collect()} for most in (10**6, 0))
+        assert one == two
+    assert partitioning.percentiles(df.where("v < 0"), ["k"], "v", points, most=0).count() == 0
+
+
+def test_deletions_are_made_by_tasks(spark, tmp_path):
+    from corpusflow.sinks import files
+
+    names = [tmp_path / f"{i}.wav" for i in range(6)]
+    for n in names[:5]:
+        n.write_bytes(b"x")
+    df = spark.createDataFrame([(str(n), i % 2 == 0) for i, n in enumerate(names)] + [(None, True), (str(names[5]), True)], "filepath string, deleted boolean")
+    assert files.delete_flagged(spark, df, confirmed=True) == 3
+    assert [n.exists() for n in names] == [False, True, False, True, False, False]
