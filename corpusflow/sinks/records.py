@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.profile import real_time
 from ..operators.report import net_effect, report_lines, stage_report
 
 ERROR_DETAILS = 50
@@ -48,6 +49,22 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def benchmark_report(repeats: DataFrame, path: str) -> dict:
+    """The report of a benchmark's repeats (target, repeat, samples, wall_s, audio_s, error) as JSON: for each target its runs, failures, and avg, max
+    and min of the real-time factor and its inverse over the runs that worked. A row a target reaches the driver."""
+    own = real_time(repeats, "wall_s", "audio_s").withColumn("ok", F.col("error").isNull())
+    rows = own.groupBy("target").agg(
+        F.count("*").alias("repeats"), F.count_if(~F.col("ok")).alias("failed"), F.max("samples").alias("samples"),
+        *[f(F.when(F.col("ok"), F.col(c))).alias(f"{c}_{n}") for c in ("rtf", "x_realtime") for n, f in (("avg", F.avg), ("max", F.max), ("min", F.min))],
+    )
+    report = {"finished_at": now(), "targets": [r.asDict() for r in rows.orderBy("target").limit(1000).collect()]}
+    part = Path(path).with_suffix(".tmp")
+    part.parent.mkdir(parents=True, exist_ok=True)
+    part.write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
+    part.replace(path)
+    return report
+
+
 def markdown(audit: DataFrame, missing: DataFrame | None = None) -> str:
     """The reduction report as Markdown; only its few rows reach the driver."""
     r = stage_report(audit)

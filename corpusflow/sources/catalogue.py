@@ -8,13 +8,12 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import TRACK
 
 # Patterns of ids in pages.
 PAGE_PATTERNS = (r"/album/(\d+)", r"\\u002Falbum\\u002F(\d+)", r"\\/album\\/(\d+)")
-# Members of an object that hold further objects.
-NESTED = ("items", "albums", "results", "entities", "blocks", "data", "podcasts")
 
 
 def page_ids(pages: DataFrame, key: str, html: str, patterns: Sequence[str] = PAGE_PATTERNS, limit: int | None = None) -> DataFrame:
@@ -64,6 +63,16 @@ def tracks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRACK).option("multiLine", path.endswith(".json")).json(path)
 
 
+def json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records of JSON lines; blank lines are none. A line that doesn't parse is an error that names its file and number."""
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("__file"), F.posexplode(F.split("value", "\r?\n")).alias("__n", "__line")).where("trim(__line) <> ''")
+    wide = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
+    parsed = lines.withColumn("__x", F.from_json("__line", wide, {"columnNameOfCorruptRecord": "__bad"}))
+    message = F.concat(F.col("__file"), F.lit(": line "), (F.col("__n") + 1).cast("string"), F.lit(" is no JSON record"))
+    sound = F.when(F.col("__x.__bad").isNotNull() | F.col("__x").isNull(), F.raise_error(message)).otherwise(F.col("__x"))
+    return parsed.select(sound.alias("__x")).select(*[F.col(f"__x.{f.name}").alias(f.name) for f in schema.fields])
+
+
 def audio_id(track: Column, album: Column) -> Column:
     """track:album, or the track alone."""
     return F.concat_ws(":", track, F.nullif(album, F.lit("")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,3 +31,20 @@ def absorb(spark: SparkSession, partials: str, schema: T.StructType, root: str,
         reader = reader.option("maxFilesPerTrigger", files)
     out = reader.parquet(partials).writeStream.foreachBatch(lambda b, _: absorb_batch(b, root, key, preserve=preserve)).option("checkpointLocation", checkpoint)
     return (out.trigger(processingTime=f"{seconds} seconds") if seconds else out.trigger(availableNow=True)).start()
+
+
+def absorb_when(spark: SparkSession, partials: str, schema: T.StructType, root: str, checkpoint: str, rows: int, key: str = "filepath") -> bool:
+    """Absorb the partials once `rows` rows or more are waiting; whether it did. Rows count once a batch has taken them."""
+    taken = f"{checkpoint}/rows"
+    done = spark.read.parquet(taken).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if _exists(spark, taken) else 0
+    have = spark.read.schema(schema).parquet(partials).count() if _exists(spark, partials) else 0
+    if have - done < rows:
+        return False
+    absorb(spark, partials, schema, root, f"{checkpoint}/stream", key=key).awaitTermination()
+    spark.createDataFrame([(have - done,)], "n long").write.mode("append").parquet(taken)
+    return True
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -206,3 +206,44 @@ def test_catalogue(spark, tmp_path):
     s = spark.createDataFrame([("/x", "p", "e")], ["path", "playlist_id", "podcast_id"])
     have, miss = manifest.recover(c, s)
     assert (have.count(), miss.count()) == (1, 0)
+
+
+def test_json_records_name_the_broken_line(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from corpusflow.sources import catalogue
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    (tmp_path / "good.jsonl").write_text('{"a": 1, "b": "x"}\n\n{"a": 2}\n')
+    assert [(r.a, r.b) for r in catalogue.json_records(spark, str(tmp_path / "good.jsonl"), schema).orderBy("a").collect()] == [(1, "x"), (2, None)]
+    (tmp_path / "bad.jsonl").write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception, match=r"bad\.jsonl: line 2 is no JSON record"):
+        catalogue.json_records(spark, str(tmp_path / "bad.jsonl"), schema).collect()
+
+
+def test_benchmark_report(spark, tmp_path):
+    import json
+
+    from corpusflow.sinks import records
+
+    rows = [("a", 0, 8, 2.0, 8.0, None), ("a", 1, 8, 4.0, 8.0, None), ("a", 2, 8, 9.0, 8.0, "failed"), ("b", 0, 8, 1.0, 0.0, None)]
+    records.benchmark_report(spark.createDataFrame(rows, "target string, repeat int, samples long, wall_s double, audio_s double, error string"), str(tmp_path / "report.json"))
+    a, b = json.loads((tmp_path / "report.json").read_text())["targets"]
+    assert (a["repeats"], a["failed"], a["rtf_avg"], a["rtf_max"], a["x_realtime_min"]) == (3, 1, 0.375, 0.5, 2.0)
+    assert b["rtf_avg"] is None and b["x_realtime_avg"] == 0.0
+
+
+def test_absorbs_once_enough_rows_wait(spark, tmp_path):
+    from corpusflow.sources import manifest as stored
+    from corpusflow.streaming.absorb import absorb_when
+
+    root, parts = f"file://{tmp_path}/m", f"file://{tmp_path}/p"
+    part = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 1)], "filepath string, crest_factor double, sequence int")
+    args = (spark, parts, part.schema, root, f"file://{tmp_path}/c", 3)
+    assert not absorb_when(*args)
+    part.write.mode("append").parquet(parts)
+    assert not absorb_when(*args)
+    part.replace({"a": "c"}).write.mode("append").parquet(parts)
+    assert absorb_when(*args)
+    assert not absorb_when(*args)
+    assert stored.load(spark, root).count() == 3
