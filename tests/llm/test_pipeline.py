@@ -66,3 +66,25 @@ def test_stages_take_awkward_rows(spark, docs, none, tmp_path):
         assert (own.count() > 0) == (start is docs)
     assert re.match(r"\d", str(quality.KEEP))
     assert lines.MIN_SITES > 1
+
+
+def test_each_stage_on_awkward_rows(spark, docs, awkward, none, tmp_path):
+    """What every stage does with nulls, empty texts, repeated rows and rows without an id; no labels: all but empty texts are good."""
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    ids = sorted(r[0] or -1 for r in awkward)
+
+    def kept(name):
+        out = stages[name](spark, docs, str(tmp_path))
+        assert name == "packing" or out.columns == docs.columns
+        return sorted(r.doc_id or -1 for r in out.select("doc_id").collect())
+
+    assert kept("quality") == [i for i in ids if i not in (5, 6, 7)]
+    assert kept("line_dedup") == ids
+    assert kept("near_duplicates") == sorted([5, 8, 8, 10, 12, 14, 15, 16, 17, 18, -1])  # 9, 11 and 13 are near 8, 10 and 12
+    assert kept("decontamination") == [i for i in ids if i not in (8, 9)]
+    assert set(kept("packing")) == set(ids)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
