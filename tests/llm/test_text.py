@@ -484,6 +484,16 @@ def test_mixing_is_a_distribution():
         assert 0.4 < total <= 1 + 1e-6
 
 
+def test_counts_summed_in_groups_of_shards_are_the_same(spark, monkeypatch):
+    rows = [(i, words(n % 12, 80)) for n, i in enumerate([*TRAIN[:40], *HELD[:10]])]
+    df = frame(spark, rows).repartition(5)
+    monkeypatch.setattr(mixing, "SHARD_BYTES", 4000)
+    one = {r.doc_id: (r.score, r.base_score, r.n_known) for r in mixing.score(df).collect()}
+    monkeypatch.setattr(mixing, "GROUP", 2)
+    two = {r.doc_id: (r.score, r.base_score, r.n_known) for r in mixing.score(df).collect()}
+    assert all(np.allclose(one[k], two[k], rtol=1e-9) for k, _ in rows)
+
+
 def test_scores_depend_on_training_documents_alone(spark):
     rows = [(i, words(n % 12, 80)) for n, i in enumerate([*TRAIN[:40], *HELD[:10]])]
     changed = [(k, "other Ωmega Words" * 9) if k == HELD[3] else (k, t) for k, t in rows]
