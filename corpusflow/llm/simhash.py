@@ -212,8 +212,10 @@ def _compare(lanes: int, levels: list[int]):
             for f in names(lanes):
                 d += np.bitwise_count(cols[f][left] ^ cols[f][right])
             ok &= d <= distance
-            level = np.searchsorted(levels, d[ok])
-            for x, y, k in zip(cols["node"][left[ok]].tolist(), cols["node"][right[ok]].tolist(), level.tolist()):
+            own_ = np.flatnonzero(ok)
+            own_ = own_[np.argsort(d[own_], kind="stable")]  # near links first
+            level = np.searchsorted(levels, d[own_])
+            for x, y, k in zip(cols["node"][left[own_]].tolist(), cols["node"][right[own_]].tolist(), level.tolist()):
                 if x != y and _join(forest["parent"][k], x, y):
                     forest["links"].append((x, y))
                     for above in forest["parent"][k + 1 :]:
@@ -311,8 +313,9 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            own = [np.unique(_hashes(shingles(block.raw(k), shingle), 42)).tobytes() for k in range(len(block.ids))]
-            digest = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in own], np.uint64).view(np.int64)
+            whole = [np.unique(_hashes(shingles(block.raw(k), shingle), 42)) for k in range(len(block.ids))]
+            digest = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in whole], np.uint64).view(np.int64)
+            own = [np.unique(x.astype(np.uint32)).tobytes() for x in whole]
             yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(digest), pa.array(own, pa.large_binary()).cast(pa.binary())], ["doc_id", "digest", "shingles"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest long, shingles binary")
@@ -322,7 +325,7 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for x, y in zip(batch.column(2), batch.column(3)):
-            s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            s, t = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
             both = len(np.intersect1d(s, t, assume_unique=True))
             out.append(both / max(1, len(s) + len(t) - both))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
@@ -331,14 +334,15 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
     """(doc_id, component_id): component_id is the smallest doc_id reachable by links between texts of this similarity or more.
 
-    Links are searched by fingerprints at five levels of distance, and all that would join two groups are confirmed by their shingles.
+    Links are searched by fingerprints at two levels of distance, near ones first, and all that would join two groups are confirmed by
+    their shingles, compared as 32-bit hashes: a chance match moves a similarity by less than 0.001.
     """
     fs = names(lanes)
     each = materialise(fingerprints(docs, shingle, lanes))
     nodes = materialise(each.groupBy(*fs, "digest").agg(F.min("doc_id").alias("node")))
     bands, width, distance = plan(nodes.count(), similarity, 64 * lanes)
     mean = int(64 * lanes * differing(similarity))
-    found = materialise(links(nodes, lanes, bands, width, 1, distance, (mean // 3, 2 * mean // 3, mean - 4, mean + 4)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    found = materialise(links(nodes, lanes, bands, width, 1, distance, (mean + 4,)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
     sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
