@@ -42,20 +42,21 @@ WINDOW_BYTES, BUCKET_BYTES, SHARDS = 20 << 20, 6 << 20, 16
 #: Bytes beside a minimizer that split it; text of the sample that finds minimizers to split, and how many of them there are at most.
 HALF = (LENGTH - MINIMIZER) // 2
 SAMPLE_BYTES, SPLIT = 32 << 20, 1_000_000
+#: Buckets whose fragments are brought together at once; widths of the ranges by which fragments are pruned.
+TOGETHER, ROUNDS = 16, (20, 10, 5)
 
 SENT = "bucket int, kind int, shard int, blob binary"
 SPANS = "doc_id long, s int, e int"
+#: What a blob holds: documents, whether a fragment is of the next one, its number of places, steps between places, bytes, bytes before its minimizer.
+PACKED = (np.int64, np.uint8, np.int32, np.int32, np.int16, np.uint8)
 
 
 # --- fragments -------------------------------------------------------------------------------
 
 
 def _longs(buf: np.ndarray) -> np.ndarray:
-    """The 8 bytes from each position as a number."""
-    u = np.zeros(max(0, len(buf) - 7), np.uint64)
-    for j in range(8):
-        u |= buf[j : len(u) + j].astype(np.uint64) << np.uint64(8 * j)
-    return u
+    """The 8 bytes from each position as a number: a view, one byte from each to the next."""
+    return np.ndarray((max(0, len(buf) - 7),), "<u8", np.ascontiguousarray(buf), strides=(1,))
 
 
 def _least(key: np.ndarray, width: int) -> np.ndarray:
@@ -74,7 +75,7 @@ def fragments(block: Block, length: int) -> dict[str, np.ndarray]:
     none = {x: np.zeros(0, np.int64) for x in ("at", "size", "mark", "doc")} | {"hash": np.zeros(0, np.uint64), "digest": np.zeros(0, np.uint64)}
     if len(buf) < length:
         return none
-    u, m = _longs(buf), len(buf) - k + 1
+    u, m = _longs(buf).copy(), len(buf) - k + 1
     h = np.zeros(m, np.uint64)
     for j in [*range(0, k - 8, 8), k - 8]:
         h = mix(h + u[j : j + m])
@@ -113,20 +114,27 @@ def _groups(digest: np.ndarray, hash_: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _pack(doc: np.ndarray, count: np.ndarray, places: np.ndarray, size: np.ndarray, mark: np.ndarray, data: np.ndarray) -> bytes:
-    ids, index = np.unique(doc, return_inverse=True)
-    parts = [np.diff(ids, prepend=0).tobytes(), np.diff(index, prepend=0).astype(np.int32).tobytes(), count.astype(np.int32).tobytes(), np.diff(places, prepend=0).astype(np.int32).tobytes(), size.astype(np.int16).tobytes(), mark.astype(np.uint8).tobytes(), data.tobytes()]
-    return zstandard.compress(struct.pack("<qqq", len(ids), len(doc), len(places)) + b"".join(parts), 3)
+    new = np.empty(len(doc), np.int32)  # a document's fragments stand side by side
+    new[0], new[1:] = 0, doc[1:] != doc[:-1]
+    ids = np.concatenate((doc[:1], doc[1:][new[1:] > 0]))
+    steps = places.copy()
+    steps[1:] -= places[:-1]
+    ids[1:] -= ids[:-1].copy()
+    # numbers byte by byte and apart from the bytes of the text: both compress better so
+    planes = [x.astype(t).view(np.uint8).reshape(len(x), -1).T.tobytes() for x, t in zip((ids, new, count, steps, size, mark), PACKED)]
+    numbers = zstandard.compress(b"".join(planes), 3)
+    return struct.pack("<qqqq", len(ids), len(doc), len(places), len(numbers)) + numbers + zstandard.compress(data.tobytes(), 3)
 
 
 def _unpack(blob: bytes) -> dict[str, np.ndarray]:
-    raw = zstandard.decompress(blob)
-    n_ids, n, n_places = struct.unpack_from("<qqq", raw)
-    at, out = 24, []
-    for kind, size in ((np.int64, n_ids), (np.int32, n), (np.int32, n), (np.int32, n_places), (np.int16, n), (np.uint8, n)):
-        out.append(np.frombuffer(raw, kind, size, at))
-        at += out[-1].nbytes
+    n_ids, n, n_places, end = struct.unpack_from("<qqqq", blob)
+    raw, at, out = zstandard.decompress(blob[32 : 32 + end]), 0, []
+    for kind, size in zip(PACKED, (n_ids, n, n, n_places, n, n)):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, width * size, at).reshape(width, size).T).reshape(-1).view(kind))
+        at += width * size
     ids, index, count, places, size, mark = out
-    return {"doc": np.cumsum(ids)[np.cumsum(index)], "count": count, "places": np.cumsum(places, dtype=np.int64), "size": size.astype(np.int64), "mark": mark.astype(np.int64), "data": np.frombuffer(raw, np.uint8, -1, at)}
+    return {"doc": np.cumsum(ids)[np.cumsum(index, dtype=np.int64)], "count": count, "places": np.cumsum(places, dtype=np.int64), "size": size.astype(np.int64), "mark": mark.astype(np.int64), "data": np.frombuffer(zstandard.decompress(blob[32 + end :]), np.uint8)}
 
 
 def _parts(hash_: np.ndarray, size: np.ndarray, mark: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,6 +143,9 @@ def _parts(hash_: np.ndarray, size: np.ndarray, mark: np.ndarray, split: np.ndar
     at[at == len(split)] = 0
     hot = split[at] == hash_ if len(split) else np.zeros(len(hash_), bool)
     every = np.arange(len(hash_))
+    if not hot.any():
+        zero = np.zeros(len(hash_), np.int64)
+        return every, zero, size, mark, zero
     whole, left = every[~hot], every[hot & (mark >= HALF)]
     skip = np.maximum(mark - (HALF - 1), 0)
     right = every[hot & (size - skip >= length)]
@@ -162,6 +173,7 @@ def _send(buckets: int, length: int, split: np.ndarray):
         ids = np.concatenate([np.array(b.ids, np.int64) for b, _ in window])
         starts = np.concatenate([b.starts + o for (b, _), o in zip(window, base)])
         row = np.concatenate([f["doc"] + o for (_, f), o in zip(window, np.cumsum([0] + [len(b.ids) for b, _ in window]))])
+        window.clear()  # all of it has been copied
         if not len(at):
             return
         doc, place = ids[row], at - starts[row]
@@ -181,6 +193,7 @@ def _send(buckets: int, length: int, split: np.ndarray):
             for i in range(0, spans.shape[1], 100_000):
                 blob = zstandard.compress(spans[:, i : i + 100_000].tobytes(), 3)
                 yield pa.RecordBatch.from_arrays([pa.array([(shard + i) % buckets], pa.int32()), pa.array([1], pa.int32()), pa.array([shard], pa.int32()), pa.array([blob], pa.binary())], names)
+        del row, starts, s
         # the others by bucket, in the order of the text
         kept = order[~settled[order]]
         group = np.repeat(np.arange(len(first)), sizes)[~settled[order]]
@@ -188,6 +201,7 @@ def _send(buckets: int, length: int, split: np.ndarray):
         head[1:] = group[1:] != group[:-1]
         heads = np.flatnonzero(head)
         count = np.diff(np.append(heads, len(kept)))
+        del order, settled, group, head, least, sizes, first
         part, offset, size, mark, side = _parts(col["hash"][kept[heads]], col["size"][kept[heads]], col["mark"][kept[heads]], split, length)
         own = kept[heads[part]]
         key = col["hash"][own] ^ np.uint64(0xB5297A4D3F84D5B5)
@@ -196,14 +210,24 @@ def _send(buckets: int, length: int, split: np.ndarray):
             key[j] = mix(key[j] + _hash_at(buf, at[own[j]] + col["mark"][own[j]] + shift, HALF) + np.uint64(which))
         bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((own, bucket))
-        cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
-        for a, b in zip(cuts, np.append(cuts[1:], len(by))):
-            g = by[a:b]
+        bucket = bucket[by]
+        del key, side, col["digest"], col["hash"], col["size"], col["mark"]
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(by))
+        for i in range(0, len(cuts) - 1, TOGETHER):  # columns of many buckets at once, then a slice of them for each
+            edge = cuts[i : i + TOGETHER + 1] - cuts[i]
+            g = by[cuts[i] : cuts[i] + edge[-1]]
             f, h = own[g], part[g]
-            n = count[h]
-            members = kept[np.arange(int(n.sum())) + np.repeat(heads[h] - (np.cumsum(n) - n), n)]
-            blob = _pack(doc[f], n, place[members] + np.repeat(offset[g], n), size[g], mark[g], _gather(buf, at[f] + offset[g], size[g]))
-            yield pa.RecordBatch.from_arrays([pa.array([bucket[g[0]]], pa.int32()), pa.array([0], pa.int32()), pa.array([shard], pa.int32()), pa.array([blob], pa.binary())], names)
+            n, length_, mark_, doc_ = count[h], size[g], mark[g], doc[f]
+            many = np.concatenate(([0], np.cumsum(n)))
+            members = kept[np.arange(many[-1]) + np.repeat(heads[h] - many[:-1], n)]
+            places, data = place[members] + np.repeat(offset[g], n), _gather(buf, at[f] + offset[g], length_)
+            bytes_ = np.concatenate(([0], np.cumsum(length_)))
+            blobs = []
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                blobs.append(_pack(doc_[a:b], n[a:b], places[many[a] : many[b]], length_[a:b], mark_[a:b], data[bytes_[a] : bytes_[b]]))
+            zero = np.zeros(len(blobs), np.int32)
+            cols = [bucket[cuts[i] + edge[:-1]].astype(np.int32), zero, zero + np.int32(shard), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() if TaskContext.get() else 0
@@ -213,7 +237,7 @@ def _send(buckets: int, length: int, split: np.ndarray):
             size += len(block.buf)
             if size >= WINDOW_BYTES:
                 yield from settle(window, shard)
-                window, size = [], 0
+                size = 0
         yield from settle(window, shard)
 
     return run
@@ -301,15 +325,36 @@ def _shared(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def _hash_at(data: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n bytes from each place."""
-    h = np.zeros(len(at), np.uint64)
-    for i in range(0, len(at), 50_000):
-        x = np.zeros((len(at[i : i + 50_000]), -(-n // 8) * 8), np.uint8)
-        x[:, :n] = data[at[i : i + 50_000, None] + np.arange(n)]
-        for part in x.view(np.uint64).T:
-            h[i : i + 50_000] = mix(h[i : i + 50_000] + part)
+    h, u = np.zeros(len(at), np.uint64), _longs(data)
+    for j in [*range(0, n - 8, 8), n - 8]:  # the last eight bytes may overlap those before
+        h = mix(h + u[at + j])
     return h
 
 
+def _pruned(data: np.ndarray, at: np.ndarray, size: np.ndarray, mark: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(offset, size) of the stretch of each fragment that may hold strings of other documents; size 0 where none can be.
+
+    Strings with `low` to `high` bytes before their minimizer have the bytes from `low` before it on in common, length - (high - low) of
+    them. Equal strings lie alike around it, so where no other document has these bytes, none of the strings is repeated. Each round asks
+    this of what the one before left, with narrower ranges and so of more bytes.
+    """
+    low, high = np.maximum(mark + length - size, 0), np.minimum(mark, length - MINIMIZER)
+    left = np.flatnonzero(low <= high)
+    for step in ROUNDS:
+        least, most = np.full(len(left), length), np.full(len(left), -1)
+        for a in range(0, length - MINIMIZER + 1, step):
+            b = min(a + step - 1, length - MINIMIZER)
+            j = np.flatnonzero((low[left] <= b) & (high[left] >= a))
+            f = left[j]
+            j = j[_shared(_hash_at(data, at[f] + mark[f] - a, length - (b - a)), doc[f])] if len(f) else j
+            least[j], most[j] = np.minimum(least[j], a), b
+        low[left], high[left] = np.maximum(low[left], least), np.minimum(high[left], most)
+        left = left[most >= 0]
+    out, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    out[left], n[left] = mark[left] - high[left], length + high[left] - low[left]
+    return out, n
+
+
 def bucket_spans(parts: list[dict[str, np.ndarray]], shard_of: list[int], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(document, start, end) of what is removed, from all fragments of a bucket."""
     doc, size, mark, count, places = (np.concatenate([p[k] for p in parts]) for k in ("doc", "size", "mark", "count", "places"))
@@ -318,7 +363,7 @@ def bucket_spans(parts: list[dict[str, np.ndarray]], shard_of: list[int], length
     at = np.cumsum(size) - size
     first_place = np.cumsum(count) - count
     hash_ = _hash_at(data, at + mark, MINIMIZER)
-    digest = np.concatenate([span_hashes(p["data"], np.cumsum(p["size"]) - p["size"], np.cumsum(p["size"]), lower=False) for p in parts])
+    digest = span_hashes(data, at, at + size, lower=False)
     order, first = _groups(digest, hash_)
     sizes = np.diff(np.append(first, len(order)))
     least = np.repeat(np.minimum.reduceat(doc[order], first), sizes)
@@ -336,30 +381,23 @@ def bucket_spans(parts: list[dict[str, np.ndarray]], shard_of: list[int], length
     group = np.repeat(np.arange(len(first)), sizes)
     chosen = head[np.concatenate(([True], group[head][1:] != group[head][:-1]))]
     reps = order[chosen]
-    # a string has half of what is not its minimizer before or after it
-    side = (length - MINIMIZER + 1) // 2
-    sa, sm, ss = at[reps], mark[reps], size[reps]
-    keep = np.zeros(len(reps), bool)
-    left = np.flatnonzero(sm >= side)
-    keep[left] |= _shared(_hash_at(data, sa[left] + sm[left] - side, MINIMIZER + side), doc[reps[left]]) if len(left) else False
-    right = np.flatnonzero(ss - sm - MINIMIZER >= side)
-    keep[right] |= _shared(_hash_at(data, sa[right] + sm[right], MINIMIZER + side), doc[reps[right]]) if len(right) else False
-    some = np.flatnonzero(keep)
-    if not len(some):
-        return
-    text, frag, offset = [], [], []
+    begin, size_ = _pruned(data, at[reps], size[reps], mark[reps], doc[reps], length)
+    some, text, frag, offset = np.flatnonzero(size_), [], [], []
     for k in np.unique(shard[reps[some]] % SHARDS):
         f = some[shard[reps[some]] % SHARDS == k]
-        n = size[reps[f]]
+        n = size_[f]
         t = np.zeros(int((n + 1).sum()), np.uint8)
         o = np.arange(len(t)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1)
-        t[o < np.repeat(n, n + 1)] = _gather(data, at[reps[f]], n)
+        t[o < np.repeat(n, n + 1)] = _gather(data, at[reps[f]] + begin[f], n)
         text.append(t)
         frag.append(np.repeat(f, n + 1))
         offset.append(o)
-    f, o = repeated(text, frag, offset, doc[reps], size[reps], length)
+    if not text:
+        return
+    f, o = repeated(text, frag, offset, doc[reps], size_, length)
     if not len(f):
         return
+    o = o + begin[f]
     # runs of strings of one fragment are one span, in all its places
     by = np.lexsort((o, f))
     f, o = f[by], o[by]

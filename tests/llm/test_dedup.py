@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from made_up import words
 from pyspark.sql import functions as F
 
@@ -200,6 +201,41 @@ def test_a_frequent_minimizer_is_split(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in own} == want
 
 
+def test_what_is_merged_is_pruned_to_what_may_be_repeated():
+    """Fragments that share less than 45 bytes around their minimizer aren't merged, a repeated string always is."""
+    rng = np.random.default_rng(5)
+    middle = rng.integers(97, 123, 200).astype(np.uint8)
+    made = []
+    for n in (30, 34, 38, 42, 50, 58):  # bytes in common with the same number's other document
+        for _ in range(2):
+            b = rng.integers(97, 123, 88).astype(np.uint8)
+            b[38 - (n - 12) // 2 : 50 + (n - 12) // 2] = middle[100 - n // 2 : 100 + n // 2] ^ np.uint8(n)
+            made.append(b)
+    n = len(made)
+    at, size, mark, doc = np.arange(n) * 88, np.full(n, 88), np.full(n, 38), np.arange(n)
+    begin, left = suffixes._pruned(np.concatenate(made), at, size, mark, doc, 50)
+    assert not left[:8].any() and (left[8:] >= 50).all() and (left[8:] < 88).all()
+    for k in range(8, n, 2):
+        first = 38 - (len(made[0]) - 88) - ((50 if k < 10 else 58) - 12) // 2
+        assert (begin[k : k + 2] <= first).all() and (begin[k : k + 2] + left[k : k + 2] >= first + (50 if k < 10 else 58)).all()
+
+
+def test_many_buckets_cost_a_window_no_longer_loop(monkeypatch):
+    """Blobs of a window come together, and its numbers take less room beside the text than they do mixed with it."""
+    rows = [{"doc_id": i, "text": words(40_000 + i, 300)} for i in range(200)]
+    sent = list(suffixes._send(500, 50, np.zeros(0, np.uint64))([pa.RecordBatch.from_pylist(rows)]))
+    blobs = [b for batch in sent for b in batch.column(3).to_pylist()]
+    assert len(blobs) > 400 and len(sent) < len(blobs) / 20
+    got = [suffixes._unpack(b) for b in blobs]
+    mixed = sum(len(zstandard.compress(b"".join(p[k].tobytes() for k in ("doc", "count", "places", "size", "mark", "data")), 3)) for p in got)
+    assert sum(map(len, blobs)) < 0.9 * mixed
+    text = {r["doc_id"]: r["text"].encode() for r in rows}
+    for p in got[::50]:
+        ends, first = np.cumsum(p["size"]), np.cumsum(p["count"]) - p["count"]
+        for d, n, e, at in zip(p["doc"].tolist(), p["size"].tolist(), ends.tolist(), p["places"][first].tolist()):
+            assert text[d][at : at + n] == p["data"][e - n : e].tobytes()
+
+
 def test_merge_is_the_sorted_order():
     rng = np.random.default_rng(0)
     parts = [np.concatenate([np.append(rng.integers(97, 100, 90), 0) for _ in range(4)]).astype(np.uint8) for _ in range(3)]
