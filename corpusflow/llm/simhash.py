@@ -8,7 +8,7 @@ Fingerprints are compared anchor by anchor; only links that join two groups leav
 An anchor with very many fingerprints is split into pairs of chunks.
 
 near_duplicates() finds texts whose sets of five-word shingles have a similarity of 0.8 or more: fingerprints of 256 bits give
-candidates, and each link that joins two groups counts only if the shingles of its two texts confirm it. The bands grow wider with the
+candidates, and a link counts only if the shingles of its two texts confirm it; none stands for another until it is confirmed. The bands grow wider with the
 logarithm of the number of texts and there are more of them, so comparisons grow with about the 1.3th power of the texts.
 
 Equal fingerprints (there: equal sets of shingles) are one node, so copies cost one row. Defined results: null or empty text has
@@ -152,7 +152,7 @@ def band_bits(bands: int, width: int, bits: int) -> list[np.ndarray]:
     return out[:bands]
 
 
-def _replicas(lanes: int, bands: int, width: int, threshold: int):
+def _replicas(lanes: int, bands: int, width: int, threshold: int, grouped: bool = False):
     code = Code(width, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +162,7 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int):
                 part = batch.slice(i, 8192)
                 fs = [part.column(1 + k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(lanes)]
                 node = part.column(0).to_numpy(zero_copy_only=False)
+                of = [part.column("of").to_numpy(zero_copy_only=False)] if grouped else []
                 for band in range(bands):
                     word = np.zeros(len(node), np.int64)
                     for place, bit in enumerate(chosen[band].tolist()):
@@ -173,8 +174,8 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int):
                     key = (np.int64(band) << np.int64(56)) | (word[row] ^ diff)
                     at_home = diff == code.home[s[row]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(at_home), pa.array(node[row]), *(pa.array(f[row]) for f in fs)],
-                        ["key", "home", "node", *names(lanes)],
+                        [pa.array(key), pa.array(at_home), pa.array(node[row]), *(pa.array(f[row]) for f in [*fs, *of])],
+                        ["key", "home", "node", *names(lanes), *(["of"] if grouped else [])],
                     )
 
     return run
@@ -183,11 +184,12 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int):
 # --- comparison at the anchors ---------------------------------------------------------------
 
 
-def _compare(lanes: int, levels: list[int]):
+def _compare(lanes: int, levels: list[int], grouped: bool = False):
     """Links (a, b) that join groups, from batches sorted by anchor; a group may go on in the next batch.
 
     Levels are distances in rising order. A link is sent if it joins two groups of its own level, so near links are sent
-    whatever farther ones came before, and the links up to each level give that level's groups.
+    whatever farther ones came before, and the links up to each level give that level's groups. Where nodes are `grouped`, all links
+    between different groups are sent instead.
     """
     distance = levels[-1]
 
@@ -207,11 +209,19 @@ def _compare(lanes: int, levels: list[int]):
             own, m = h[at:to], n[at:to]
             left = np.repeat(own, m)
             right = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[group[own]], m)
+            at = to
+            if grouped:
+                other = cols["of"][left] != cols["of"][right]
+                left, right = left[other], right[other]
             d = np.zeros(len(left), np.uint16)
             ok = left != right
             for f in names(lanes):
                 d += np.bitwise_count(cols[f][left] ^ cols[f][right])
             ok &= d <= distance
+            if grouped:
+                x, y = cols["node"][left[ok]], cols["node"][right[ok]]
+                forest["pairs"].append(_distinct(np.stack((np.minimum(x, y), np.maximum(x, y)))))
+                continue
             own_ = np.flatnonzero(ok)
             own_ = own_[np.argsort(d[own_], kind="stable")]  # near links first
             level = np.searchsorted(levels, d[own_])
@@ -220,10 +230,9 @@ def _compare(lanes: int, levels: list[int]):
                     forest["links"].append((x, y))
                     for above in forest["parent"][k + 1 :]:
                         _join(above, x, y)
-            at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, forest = None, {"parent": [{} for _ in levels], "links": []}
+        rest, forest = None, {"parent": [{} for _ in levels], "links": [], "pairs": []}
         for batch in batches:
             cols = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
             cols = {c: v.view(np.uint64) if c in names(lanes) else v for c, v in cols.items()}
@@ -235,7 +244,7 @@ def _compare(lanes: int, levels: list[int]):
             cut = int(np.searchsorted(cols["group"], cols["group"][-1])) if len(cols["group"]) else 0
             links({c: v[:cut] for c, v in cols.items()}, forest)
             rest = {c: v[cut:] for c, v in cols.items()}
-            if len(forest["parent"][-1]) > 200_000:  # bounded memory; fewer links are left out, none is lost
+            if len(forest["parent"][-1]) > 200_000 or sum(p.shape[1] for p in forest["pairs"]) > 1_000_000:  # bounded memory; fewer links are left out, none is lost
                 yield from _flush(forest)
         if rest is not None:
             links(rest, forest)
@@ -265,17 +274,35 @@ def _join(p: dict, x: int, y: int) -> bool:
     return rx != ry
 
 
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    """Each pair (first row, second row) once."""
+    pairs = pairs[:, np.lexsort(pairs)]
+    new = np.ones(pairs.shape[1], bool)
+    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+    return pairs[:, new]
+
+
 def _flush(forest: dict) -> Iterator[pa.RecordBatch]:
+    if forest["pairs"]:
+        pairs = _distinct(np.concatenate(forest["pairs"], axis=1))
+        for i in range(0, pairs.shape[1], 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in pairs], ["a", "b"])
+        forest["pairs"] = []
     a, b = zip(*forest["links"]) if forest["links"] else ((), ())
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     forest["parent"], forest["links"] = [{} for _ in forest["parent"]], []
 
 
 def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int, distance: int, levels: tuple[int, ...] = ()) -> DataFrame:
-    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups at `distance` and at each of the smaller levels."""
-    rows = nodes.select("node", *names(lanes)).mapInArrow(
-        _replicas(lanes, bands, width, threshold),
-        "key long, home boolean, node long, " + ", ".join(f"{f} long" for f in names(lanes)),
+    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups at `distance` and at each of the smaller levels.
+
+    Of nodes with a group (`of`), all links between different groups.
+    """
+    grouped = "of" in nodes.columns
+    carried = [*names(lanes), *(["of"] if grouped else [])]
+    rows = nodes.select("node", *carried).mapInArrow(
+        _replicas(lanes, bands, width, threshold, grouped),
+        "key long, home boolean, node long, " + ", ".join(f"{f} long" for f in carried),
     )
     # an anchor of more than CHUNK rows is split: each pair of a home chunk i and a replica chunk j is a group
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
@@ -290,7 +317,7 @@ def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int,
         others = all_.where("not home or c > 1").withColumn("home", F.lit(False)).withColumn("j", chunk).withColumn("i", F.explode(every))
         split = homes.unionByName(others).drop("c")
     sorted_ = split.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(_compare(lanes, [*levels, distance]), "a long, b long")
+    return sorted_.mapInArrow(_compare(lanes, [*levels, distance], grouped), "a long, b long")
 
 
 def groups(docs: DataFrame, shingle: int, lanes: int, bands: int, width: int, threshold: int, distance: int) -> DataFrame:
@@ -331,11 +358,23 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
 
+def _confirmed(docs: DataFrame, found: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links (a, b) between texts of this similarity or more."""
+    linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
+    sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
+    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
+    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
+    pairs = found.join(first, "a").join(second, "b").select("a", "b", "s", "t")
+    return pairs.mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= similarity).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
     """(doc_id, component_id): component_id is the smallest doc_id reachable by links between texts of this similarity or more.
 
-    Links are searched by fingerprints at two levels of distance, near ones first, and all that would join two groups are confirmed by
-    their shingles, compared as 32-bit hashes: a chance match moves a similarity by less than 0.001.
+    Links are searched by fingerprints in two rounds: first those that would join two groups, at two levels of distance and near ones
+    first; then all between the groups that the first ones gave. Each is confirmed by the shingles, compared as 32-bit hashes: a
+    chance match moves a similarity by less than 0.001.
     """
     fs = names(lanes)
     each = materialise(fingerprints(docs, shingle, lanes))
@@ -343,14 +382,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     bands, width, distance = plan(nodes.count(), similarity, 64 * lanes)
     mean = int(64 * lanes * differing(similarity))
     found = materialise(links(nodes, lanes, bands, width, 1, distance, (mean + 4,)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
-    sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
-    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
-    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
-    pairs = found.join(first, "a").join(second, "b").select("a", "b", "s", "t")
-    sure = pairs.mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= similarity)
-    component = connected_components(sure.select("a", "b"))
+    sure = materialise(_confirmed(docs, found, shingle, similarity))
+    # a link that wasn't confirmed has stood for others between the same groups: all that are left between different texts are asked
+    each_of = nodes.join(connected_components(sure), "node", "left").select("node", *fs, F.coalesce("component", "node").alias("of"))
+    left = links(materialise(each_of), lanes, bands, width, 1, distance).distinct()
+    left = materialise(left.join(found, ["a", "b"], "left_anti"))
+    component = connected_components(sure.union(_confirmed(docs, left, shingle, similarity)))
     of = nodes.join(component, "node", "left").select(*fs, "digest", F.coalesce("component", "node").alias("component_id"))
     return each.join(of, [*fs, "digest"]).select("doc_id", "component_id")
 

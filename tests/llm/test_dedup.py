@@ -99,6 +99,30 @@ def test_near_duplicates_recall_at_the_bar(spark):
     assert all(got[1000 + i] == 1000 + i for i in range(5))
 
 
+def test_no_unconfirmed_link_stands_for_another(spark):
+    """Texts on both sides of the bar: of all candidates, each pair of 0.8 or more ends in one group, whatever lies between them."""
+    rows, rng = [], np.random.default_rng(6)
+    for base in range(25):
+        w = words(30_000 + base, 300).split()
+        for i in range(12):
+            v = list(w)
+            for at in rng.choice(20, 4, replace=False):
+                v[14 * int(at) + 5] = f"new{i}"
+            rows.append((12 * base + i, " ".join(v)))
+    f = np.array([simhash.fingerprint(t.encode(), 5, 4)[:4] for _, t in rows], np.uint64)
+    bit = (f[:, np.arange(256) // 64] >> (np.arange(256, dtype=np.uint64) % np.uint64(64))).astype(np.uint8) & 1
+    bands, width, distance = simhash.plan(len(rows), 0.8, 256)
+    want = []
+    for a, b in ((a, b) for a in range(len(rows)) for b in range(a + 1, a - a % 12 + 12)):
+        differ = bit[a] != bit[b]
+        if differ.sum() <= distance and any(differ[x].sum() <= 1 for x in simhash.band_bits(bands, width, 256)) and jaccard(rows[a][1], rows[b][1]) >= 0.8:
+            want.append((a, b))
+    assert len(want) > 100
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(a, b) for a, b in want if got[a] != got[b]] == []
+    assert len(set(got.values())) > 25
+
+
 def test_near_duplicates_comparisons_grow_less_than_quadratically(spark):
     """Comparisons a text, with unrelated ones, in all bands: they grow with less than the 0.4th power of the texts."""
     rng = np.random.default_rng(4)
