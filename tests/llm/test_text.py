@@ -484,6 +484,38 @@ def test_mixing_is_a_distribution():
         assert 0.4 < total <= 1 + 1e-6
 
 
+def test_mixing_learns_from_all_training_documents():
+    """Sums of two shards are those of both together, held-out texts add nothing, and the step makes the training texts cheaper."""
+    rows = [(i, words(n % 25, 60)) for n, i in enumerate(TRAIN[:80])]
+    model, told = told_of(rows)
+    for d in model.deciders.values():
+        d.settle()
+    sums = model.sums(told)
+    before = model.score(told).sum()
+    parts = []
+    for some in (rows[:30] + [(HELD[0], words(7, 50))], rows[30:]):
+        _, own = told_of(some)
+        totals = []
+        for kind in range(3):
+            n = dict(zip(told.shard.grams[kind][0].tolist(), told.shard.counts(kind).tolist()))
+            totals.append(np.array([n.get(g, 0) for g in own.shard.grams[kind][0].tolist()]))
+        parts.append(model.sums(mixing.Told(own.shard, totals, model.leaves)))
+    assert np.allclose(parts[0] + parts[1], sums, rtol=1e-9, atol=1e-9)
+    model.step(sums)
+    assert all(np.isclose(n.sum(), told.shard.train[told.asked[k]].sum()) for k, d in model.deciders.items() for n in d.n)
+    assert model.score(told).sum() > before
+
+
+def test_documents_beyond_the_first_sample_change_the_model(spark, monkeypatch):
+    """The step counts every training token, though the first model saw one document."""
+    monkeypatch.setattr(mixing, "FIT_DOCS", 1)
+    seen, real = [], mixing.Model.step
+    monkeypatch.setattr(mixing.Model, "step", lambda self, sums: (real(self, sums), seen.append(self.deciders["known"].n[0].sum()))[0])
+    rows = [(i, words(n % 12, 80)) for n, i in enumerate(TRAIN[:40])]
+    mixing.score(frame(spark, rows)).collect()
+    assert np.allclose(seen, [40 * 81])
+
+
 def test_counts_summed_in_groups_of_shards_are_the_same(spark, monkeypatch):
     rows = [(i, words(n % 12, 80)) for n, i in enumerate([*TRAIN[:40], *HELD[:10]])]
     df = frame(spark, rows).repartition(5)
