@@ -152,7 +152,7 @@ def band_bits(bands: int, width: int, bits: int) -> list[np.ndarray]:
     return out[:bands]
 
 
-def _replicas(lanes: int, bands: int, width: int, threshold: int, grouped: bool = False):
+def _replicas(lanes: int, bands: int, width: int, threshold: int):
     code = Code(width, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +162,6 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int, grouped: bool
                 part = batch.slice(i, 8192)
                 fs = [part.column(1 + k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(lanes)]
                 node = part.column(0).to_numpy(zero_copy_only=False)
-                of = [part.column("of").to_numpy(zero_copy_only=False)] if grouped else []
                 for band in range(bands):
                     word = np.zeros(len(node), np.int64)
                     for place, bit in enumerate(chosen[band].tolist()):
@@ -174,8 +173,8 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int, grouped: bool
                     key = (np.int64(band) << np.int64(56)) | (word[row] ^ diff)
                     at_home = diff == code.home[s[row]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array(at_home), pa.array(node[row]), *(pa.array(f[row]) for f in [*fs, *of])],
-                        ["key", "home", "node", *names(lanes), *(["of"] if grouped else [])],
+                        [pa.array(key), pa.array(at_home), pa.array(node[row]), *(pa.array(f[row]) for f in fs)],
+                        ["key", "home", "node", *names(lanes)],
                     )
 
     return run
@@ -184,12 +183,11 @@ def _replicas(lanes: int, bands: int, width: int, threshold: int, grouped: bool
 # --- comparison at the anchors ---------------------------------------------------------------
 
 
-def _compare(lanes: int, levels: list[int], grouped: bool = False):
+def _compare(lanes: int, levels: list[int]):
     """Links (a, b) that join groups, from batches sorted by anchor; a group may go on in the next batch.
 
     Levels are distances in rising order. A link is sent if it joins two groups of its own level, so near links are sent
-    whatever farther ones came before, and the links up to each level give that level's groups. Where nodes are `grouped`, all links
-    between different groups are sent instead.
+    whatever farther ones came before, and the links up to each level give that level's groups.
     """
     distance = levels[-1]
 
@@ -210,18 +208,11 @@ def _compare(lanes: int, levels: list[int], grouped: bool = False):
             left = np.repeat(own, m)
             right = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[group[own]], m)
             at = to
-            if grouped:
-                other = cols["of"][left] != cols["of"][right]
-                left, right = left[other], right[other]
             d = np.zeros(len(left), np.uint16)
             ok = left != right
             for f in names(lanes):
                 d += np.bitwise_count(cols[f][left] ^ cols[f][right])
             ok &= d <= distance
-            if grouped:
-                x, y = cols["node"][left[ok]], cols["node"][right[ok]]
-                forest["pairs"].append(_distinct(np.stack((np.minimum(x, y), np.maximum(x, y)))))
-                continue
             own_ = np.flatnonzero(ok)
             own_ = own_[np.argsort(d[own_], kind="stable")]  # near links first
             level = np.searchsorted(levels, d[own_])
@@ -232,7 +223,7 @@ def _compare(lanes: int, levels: list[int], grouped: bool = False):
                         _join(above, x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, forest = None, {"parent": [{} for _ in levels], "links": [], "pairs": []}
+        rest, forest = None, {"parent": [{} for _ in levels], "links": []}
         for batch in batches:
             cols = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names)}
             cols = {c: v.view(np.uint64) if c in names(lanes) else v for c, v in cols.items()}
@@ -244,7 +235,7 @@ def _compare(lanes: int, levels: list[int], grouped: bool = False):
             cut = int(np.searchsorted(cols["group"], cols["group"][-1])) if len(cols["group"]) else 0
             links({c: v[:cut] for c, v in cols.items()}, forest)
             rest = {c: v[cut:] for c, v in cols.items()}
-            if len(forest["parent"][-1]) > 200_000 or sum(p.shape[1] for p in forest["pairs"]) > 1_000_000:  # bounded memory; fewer links are left out, none is lost
+            if len(forest["parent"][-1]) > 200_000:  # bounded memory; fewer links are left out, none is lost
                 yield from _flush(forest)
         if rest is not None:
             links(rest, forest)
@@ -274,35 +265,17 @@ def _join(p: dict, x: int, y: int) -> bool:
     return rx != ry
 
 
-def _distinct(pairs: np.ndarray) -> np.ndarray:
-    """Each pair (first row, second row) once."""
-    pairs = pairs[:, np.lexsort(pairs)]
-    new = np.ones(pairs.shape[1], bool)
-    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
-    return pairs[:, new]
-
-
 def _flush(forest: dict) -> Iterator[pa.RecordBatch]:
-    if forest["pairs"]:
-        pairs = _distinct(np.concatenate(forest["pairs"], axis=1))
-        for i in range(0, pairs.shape[1], 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in pairs], ["a", "b"])
-        forest["pairs"] = []
     a, b = zip(*forest["links"]) if forest["links"] else ((), ())
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     forest["parent"], forest["links"] = [{} for _ in forest["parent"]], []
 
 
 def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int, distance: int, levels: tuple[int, ...] = ()) -> DataFrame:
-    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups at `distance` and at each of the smaller levels.
-
-    Of nodes with a group (`of`), all links between different groups.
-    """
-    grouped = "of" in nodes.columns
-    carried = [*names(lanes), *(["of"] if grouped else [])]
-    rows = nodes.select("node", *carried).mapInArrow(
-        _replicas(lanes, bands, width, threshold, grouped),
-        "key long, home boolean, node long, " + ", ".join(f"{f} long" for f in carried),
+    """Links (a, b) between the nodes (node, f0, ...), enough of them to give all groups at `distance` and at each of the smaller levels."""
+    rows = nodes.select("node", *names(lanes)).mapInArrow(
+        _replicas(lanes, bands, width, threshold),
+        "key long, home boolean, node long, " + ", ".join(f"{f} long" for f in names(lanes)),
     )
     # an anchor of more than CHUNK rows is split: each pair of a home chunk i and a replica chunk j is a group
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
@@ -317,7 +290,7 @@ def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int,
         others = all_.where("not home or c > 1").withColumn("home", F.lit(False)).withColumn("j", chunk).withColumn("i", F.explode(every))
         split = homes.unionByName(others).drop("c")
     sorted_ = split.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(_compare(lanes, [*levels, distance], grouped), "a long, b long")
+    return sorted_.mapInArrow(_compare(lanes, [*levels, distance]), "a long, b long")
 
 
 def groups(docs: DataFrame, shingle: int, lanes: int, bands: int, width: int, threshold: int, distance: int) -> DataFrame:
@@ -358,23 +331,86 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
 
-def _confirmed(docs: DataFrame, found: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def _confirmed(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The links (a, b) between texts of this similarity or more."""
-    linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
-    sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
     pairs = found.join(first, "a").join(second, "b").select("a", "b", "s", "t")
     return pairs.mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= similarity).select("a", "b")
 
 
+#: Texts of one cluster that may be compared in one task, whatever its size; a text counts once for each WEIGHED bytes of shingles.
+DEALT = 512
+WEIGHED = 4096
+
+
+def _dealt(nodes: DataFrame) -> DataFrame:
+    """(pair, second, node, of, f0, ...): the clusters (`around`) of more than one group (`of`), as pairs of chunks that may be compared apart.
+
+    A cluster of n has chunks of 16 sqrt(n) nodes (`weight` counts a long text as several), so a node is in about sqrt(n) / 16 pairs. A group
+    larger than a chunk has chunks of its own, and pairs of these are left out: nothing in them is open.
+    """
+    of = nodes.groupBy("around", "of").agg(F.sum("weight").alias("m"))
+    around = of.groupBy("around").agg(F.sum("m").alias("n"), F.count("*").alias("k")).where("k > 1")
+    full = F.greatest(F.lit(DEALT), F.ceil(F.sqrt(F.col("n") * DEALT / 2)))
+    sizes = of.join(around, "around").select("of", F.col("m"), F.col("n"), full.alias("full"))
+    own = F.col("m") > F.col("full")
+    number = F.when(own, F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / F.col("full")))).otherwise(F.pmod(F.xxhash64("of"), F.ceil(F.col("n") / F.col("full"))))
+    chunk = F.struct(own.alias("own"), F.when(own, F.col("of")).otherwise(F.col("around")).alias("owner"), number.alias("number"))
+    dealt = materialise(nodes.join(sizes, "of").withColumn("chunk", chunk).drop("m", "n", "full", "weight"))
+    chunks = dealt.select("around", "chunk").distinct()
+    pairs = chunks.withColumnRenamed("chunk", "i").join(chunks.withColumnRenamed("chunk", "j"), "around")
+    pairs = pairs.where("i <= j and not (i.own and j.own and i.owner = j.owner)").withColumn("pair", F.monotonically_increasing_id())
+    sides = materialise(pairs).select("pair", F.explode(F.array_distinct(F.array("i", "j"))).alias("chunk"), "i")
+    return dealt.join(sides, "chunk").withColumn("second", F.col("chunk") != F.col("i")).drop("around", "chunk", "i")
+
+
+def _joining(lanes: int, distance: int, similarity: float):
+    """The confirmed links (a, b) that join groups (`of`), from a pair of chunks: all its pairs of nodes of different groups are asked."""
+
+    def run(pair: pa.Table) -> pa.Table:
+        pair = pair.sort_by([("second", "ascending"), ("node", "ascending")])
+        node, of = pair["node"].to_pylist(), pair["of"].to_numpy()
+        f = np.stack([pair[c].to_numpy().view(np.uint64) for c in names(lanes)])
+        own = [np.frombuffer(v.as_buffer(), np.uint32) for v in pair["shingles"]]
+        size = np.array([len(x) for x in own], np.int64)
+        start = np.cumsum(size) - size
+        code = np.unique(np.concatenate(own), return_inverse=True)[1]
+        group = np.unique(of, return_inverse=True)[1]
+        marked = np.zeros(len(code) + 1, bool)
+        seconds = int(np.sum(pair["second"].to_numpy(zero_copy_only=False)))
+        firsts = len(node) - seconds
+        a, b = [], []
+        for x in range(firsts):
+            y = np.arange(firsts if seconds else x + 1, len(node))
+            y = y[group[y] != group[x]]
+            y = y[np.minimum(size[y], size[x]) / np.maximum(1, np.maximum(size[y], size[x])) >= similarity]
+            y = y[np.bitwise_count(f[:, y] ^ f[:, x, None]).sum(axis=0, dtype=np.int64) <= distance]
+            marked[code[start[x] : start[x] + size[x]]] = True
+            while len(y):  # about SLICE shingles at once
+                now, y = np.split(y, [max(1, int(np.searchsorted(np.cumsum(size[y]), SLICE)))])
+                first = np.cumsum(size[now]) - size[now]
+                at = np.arange(size[now].sum()) + np.repeat(start[now] - first, size[now])
+                both = np.add.reduceat(marked[code[at]], first, dtype=np.int64)
+                for z in now[both / (size[now] + size[x] - both) >= similarity].tolist():
+                    if group[z] != group[x]:
+                        a.append(node[x])
+                        b.append(node[z])
+                        group[group == group[z]] = group[x]
+                y = y[group[y] != group[x]]
+            marked[code[start[x] : start[x] + size[x]]] = False
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, lanes: int = LANES) -> DataFrame:
     """(doc_id, component_id): component_id is the smallest doc_id reachable by links between texts of this similarity or more.
 
-    Links are searched by fingerprints in two rounds: first those that would join two groups, at two levels of distance and near ones
-    first; then all between the groups that the first ones gave. Each is confirmed by the shingles, compared as 32-bit hashes: a
-    chance match moves a similarity by less than 0.001.
+    Links that would join two groups are searched by fingerprints, at two levels of distance and near ones first, and confirmed by the
+    shingles, compared as 32-bit hashes: a chance match moves a similarity by less than 0.001. All candidates lie inside the clusters
+    that the links made before they were confirmed; where a cluster has more than one group now, its texts are compared with each
+    other where they lie, and only confirmed links that join two groups leave a task.
     """
     fs = names(lanes)
     each = materialise(fingerprints(docs, shingle, lanes))
@@ -382,12 +418,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     bands, width, distance = plan(nodes.count(), similarity, 64 * lanes)
     mean = int(64 * lanes * differing(similarity))
     found = materialise(links(nodes, lanes, bands, width, 1, distance, (mean + 4,)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    sure = materialise(_confirmed(docs, found, shingle, similarity))
-    # a link that wasn't confirmed has stood for others between the same groups: all that are left between different texts are asked
-    each_of = nodes.join(connected_components(sure), "node", "left").select("node", *fs, F.coalesce("component", "node").alias("of"))
-    left = links(materialise(each_of), lanes, bands, width, 1, distance).distinct()
-    left = materialise(left.join(found, ["a", "b"], "left_anti"))
-    component = connected_components(sure.union(_confirmed(docs, left, shingle, similarity)))
+    linked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    own = docs.join(linked, docs["doc_id"] == linked["id"], "left_semi")
+    sets = materialise(_sets(own, shingle).groupBy("doc_id").agg(F.min_by("shingles", "digest").alias("shingles")))
+    sure = materialise(_confirmed(found, sets, similarity))
+    # a link that wasn't confirmed has stood for others of its cluster: all that are left between different groups are asked
+    around = connected_components(found).withColumnRenamed("component", "around")
+    weight = sets.select(F.col("doc_id").alias("node"), F.ceil((F.octet_length("shingles") + 1) / WEIGHED).alias("weight"))
+    clusters = nodes.join(around, "node").join(weight, "node").join(connected_components(sure), "node", "left")
+    clusters = materialise(clusters.select("node", *fs, "weight", "around", F.coalesce("component", "node").alias("of")))
+    pairs = _dealt(clusters).join(sets.withColumnRenamed("doc_id", "node"), "node")
+    left = pairs.groupBy("pair").applyInArrow(_joining(lanes, distance, similarity), "a long, b long")
+    component = connected_components(sure.union(left))
     of = nodes.join(component, "node", "left").select(*fs, "digest", F.coalesce("component", "node").alias("component_id"))
     return each.join(of, [*fs, "digest"]).select("doc_id", "component_id")
 

@@ -123,6 +123,43 @@ def test_no_unconfirmed_link_stands_for_another(spark):
     assert len(set(got.values())) > 25
 
 
+def test_no_table_of_pairs_in_a_cluster_at_the_bar(spark, monkeypatch):
+    """Texts on both sides of the bar, all candidates of each other: all links between them count, but no table has a row for each pair."""
+    rng = np.random.default_rng(8)
+    w = words(40_000, 300).split()
+    rows = []
+    for i in range(240):
+        v = list(w)
+        for at in rng.choice(24, 5, replace=False):
+            v[12 * int(at) + 5] = f"new{i}"
+        rows.append((i, " ".join(v)))
+    rows += [(240 + i, " ".join([*rows[0][1].split()[:-1], f"last{i}"])) for i in range(30)]  # a group larger than a chunk
+    texts = dict(rows)
+    sets = {k: set(simhash.shingles(t.encode(), 5)) for k, t in rows}
+    f = {k: np.array(simhash.fingerprint(t.encode(), 5, 4)[:4], np.uint64) for k, t in rows}
+    distance = simhash.plan(len(rows), 0.8, 256)[2]
+    pairs = [(a, b) for a in texts for b in texts if a < b and np.bitwise_count(f[a] ^ f[b]).sum() <= distance]
+    group = {k: k for k in texts}
+    for a, b in pairs:
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 and group[a] != group[b]:
+            low, high = sorted((group[a], group[b]))
+            group = {k: low if g == high else g for k, g in group.items()}
+    assert len(pairs) > 5000 and 20 < len(set(group.values())) < 200
+    written, materialise = [], simhash.materialise
+
+    def counted(df):
+        out = materialise(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "materialise", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "DEALT", 2, raising=False)  # the cluster is dealt
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert max(written) <= 4 * len(rows)
+    assert got == group
+
+
 def test_near_duplicates_comparisons_grow_less_than_quadratically(spark):
     """Comparisons a text, with unrelated ones, in all bands: they grow with less than the 0.4th power of the texts."""
     rng = np.random.default_rng(4)
