@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Block, blocks, table
+from .common import Block, blocks, give_back, lean, table
 from .spans import remove
 
 GEAR_SEED = 7
 #: The average chunk is about MIN + 2**BITS bytes; MIN is no less than the 32 bytes that the hash sees, so nothing before a document matters.
 BITS, MIN, MAX = 5, 32, 512
 #: Text of one task in which repeats are settled at once.
-WINDOW_BYTES = 64 << 20
+WINDOW_BYTES = 16 << 20
 
 _GEAR = np.random.Generator(np.random.PCG64(GEAR_SEED)).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -44,7 +44,7 @@ def gear(buf: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(block: Block, bits: int = BITS, least: int = MIN, most: int = MAX) -> Iterator[list[int]]:
+def cuts(block: Block, bits: int = BITS, least: int = MIN, most: int = MAX) -> Iterator[np.ndarray]:
     """The ends of each document's chunks, from its start."""
     # the mask is over the high bits, which depend on all 32 bytes
     candidates = np.flatnonzero(gear(block.buf) >> np.uint32(32 - bits) == 0) + 1
@@ -64,14 +64,14 @@ def cuts(block: Block, bits: int = BITS, least: int = MIN, most: int = MAX) -> I
             out.append(last - start)
         if end > last:
             out.append(end - start)
-        yield out
+        yield np.array(out, np.int32)
 
 
 def chunks(docs: DataFrame, bits: int = BITS, least: int = MIN, most: int = MAX) -> DataFrame:
     """(doc_id, s, e, hi, lo, settled): settled chunks repeat an earlier one of their task's window and have a key of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window: list[tuple[Block, list[list[int]]]] = []
+        window: list[tuple[Block, list[np.ndarray]]] = []
         size = 0
         for block in blocks(batches):
             window.append((block, list(cuts(block, bits, least, most))))
@@ -79,10 +79,11 @@ def chunks(docs: DataFrame, bits: int = BITS, least: int = MIN, most: int = MAX)
             if size >= WINDOW_BYTES:
                 yield from _settle(window)
                 window, size = [], 0
+                give_back()
         yield from _settle(window)
 
     own = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    return own.mapInArrow(run, "doc_id long, s int, e int, hi long, lo long, settled boolean")
+    return own.mapInArrow(lean(run), "doc_id long, s int, e int, hi long, lo long, settled boolean")
 
 
 def _settle(window: list) -> Iterator[pa.RecordBatch]:
@@ -91,21 +92,23 @@ def _settle(window: list) -> Iterator[pa.RecordBatch]:
 
 
 def _firsts(window: list) -> Iterator[dict[str, np.ndarray]]:
-    doc, s, e, digest = [], [], [], []
+    each = [own for _, ends in window for own in ends]
+    n = [len(own) for own in each]
+    if not sum(n):
+        return
+    end = np.concatenate(each)
+    start = np.concatenate(([0], end[:-1])).astype(np.int32)
+    start[np.cumsum([0, *n])[:-1][np.array(n) > 0]] = 0
+    d = np.repeat(np.array([i for block, _ in window for i in block.ids], np.int64), n)
+    digest, at = bytearray(16 * len(end)), 0
     for block, ends in window:
         view = memoryview(block.buf)
-        for k, own in enumerate(ends):
-            base, last = int(block.starts[k]), 0
-            for x in own:
-                digest.append(hashlib.blake2b(view[base + last : base + x], digest_size=16).digest())
-                s.append(last)
-                e.append(x)
-                last = x
-            doc.append(np.full(len(own), block.ids[k], np.int64))
-    if not digest:
-        return
-    d, start, end = np.concatenate(doc), np.array(s, np.int32), np.array(e, np.int32)
-    hi, lo = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2).T
+        for base, own in zip(block.starts.tolist(), ends):
+            last = base
+            for x in (own + base).tolist():
+                digest[at : at + 16] = hashlib.blake2b(view[last:x], digest_size=16).digest()
+                at, last = at + 16, x
+    hi, lo = np.frombuffer(digest, np.int64).reshape(-1, 2).T
     order = np.lexsort((start, d, lo, hi))
     h, l, dd, ss = hi[order], lo[order], d[order], start[order]
     new = np.concatenate(([True], (h[1:] != h[:-1]) | (l[1:] != l[:-1])))

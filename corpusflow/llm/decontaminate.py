@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Block, blocks, discard, materialise, span_hashes, table, words
+from .common import ALNUM, Block, blocks, discard, lean, materialise, span_hashes, table, words
 
 WINDOW = 10
 #: Test items are broadcast in groups of at most this many bytes of text.
@@ -216,10 +216,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, items_b
     for group, last in _one_by_one(_groups(benchmark, items_bytes)):
         sent = spark.sparkContext.broadcast(Items(group, window))
         if last and keyed is None:
-            return docs.mapInArrow(_scan(sent, window, "doc_id"), MATCHES)
+            return docs.mapInArrow(lean(_scan(sent, window, "doc_id")), MATCHES)
         if keyed is None:
             keyed = materialise(docs.withColumn("row", F.monotonically_increasing_id()))
-        found = keyed.select("row", "text").mapInArrow(_scan(sent, window, "row"), MATCHES.replace("doc_id", "row", 1))
+        found = keyed.select("row", "text").mapInArrow(lean(_scan(sent, window, "row")), MATCHES.replace("doc_id", "row", 1))
         parts.append(materialise(found if not parts else found.where("n_hit > 0 or longest > 0")))
         sent.destroy()
     ids = materialise(keyed.select("row", "doc_id"))
@@ -267,7 +267,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, items_byt
 
     for group, last in _one_by_one(_groups(benchmark, items_bytes)):
         sent = docs.sparkSession.sparkContext.broadcast(Items(group, window))
-        docs = docs.mapInArrow(kept(sent), docs.schema)
+        docs = docs.mapInArrow(lean(kept(sent)), docs.schema)
         if not last:
             docs = materialise(docs)
             sent.destroy()

@@ -28,13 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, materialise, table
+from .common import blocks, lean, materialise, table
 
 CAPACITY = 4096
 END = 1
 #: Bins that a packer keeps open, at most; a packer fills some four thousand.
 OPEN_BINS = 256
-CACHE = 1_200_000
+#: Parts whose ids a task keeps, about 270 bytes each; a block adds its own before the count is looked at.
+CACHE = 250_000
 SEPARATOR, MARKS = "7", ".,"
 #: A packer's share: tokens, and pieces.
 SHARE_TOKENS, SHARE_PIECES = 16 << 20, 500_000
@@ -198,7 +199,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, _cache), PIECES)
 
 
 class Bins:

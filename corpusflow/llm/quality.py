@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, SPACED, Block, blocks, runs, span_hashes, table
+from .common import ALNUM, LOWER, SPACED, Block, blocks, give_back, lean, runs, span_hashes, table
 
 #: Labelled documents that the model is fitted on, at most.
 TRAIN_ROWS = 8192
@@ -143,7 +143,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
     # the sample has a fixed bound, so it may be broadcast: texts are not shuffled
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     joined = own.join(F.broadcast(rated), own["doc_id"] == rated["rated_id"]).select("doc_id", "text", F.col("grade").cast("int").alias("grade"))
-    rows = joined.mapInArrow(run, "doc_id long, grade int, indexes binary, values binary")
+    rows = joined.mapInArrow(lean(run), "doc_id long, grade int, indexes binary, values binary")
     one = rows.groupBy("doc_id").agg(F.min_by(F.struct("grade", "indexes", "values"), F.xxhash64("indexes", "values")).alias("x"))
     return one.orderBy("doc_id").select("x.grade", "x.indexes", "x.values")
 
@@ -179,6 +179,7 @@ def scored(spark: SparkSession, model: Model | None):
                 above = own.above(value)
             grade.append(np.where(some, above.sum(axis=1), 0.0))
             top.append(np.where(some, above[:, -1], 0.0))
+        give_back()
         join = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0))
         return pa.StructArray.from_arrays([join(grade), join(top)], ["expected_grade", "top_chance"])
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, connected_components, materialise, table
+from .common import blocks, connected_components, lean, materialise, table
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Homes of one anchor that are compared in one task; more are split.
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int, lanes: int = 1) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), *map(pa.array, cols)], ["doc_id", *columns])
 
     schema = "doc_id long, " + ", ".join(f"{f} long" for f in columns)
-    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(lean(run), schema)
 
 
 def names(lanes: int) -> list[str]:
@@ -290,7 +290,7 @@ def links(nodes: DataFrame, lanes: int, bands: int, width: int, threshold: int,
         others = all_.where("not home or c > 1").withColumn("home", F.lit(False)).withColumn("j", chunk).withColumn("i", F.explode(every))
         split = homes.unionByName(others).drop("c")
     sorted_ = split.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(_compare(lanes, [*levels, distance]), "a long, b long")
+    return sorted_.mapInArrow(lean(_compare(lanes, [*levels, distance])), "a long, b long")
 
 
 def groups(docs: DataFrame, shingle: int, lanes: int, bands: int, width: int, threshold: int, distance: int) -> DataFrame:
@@ -318,7 +318,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
             own = [np.unique(x.astype(np.uint32)).tobytes() for x in whole]
             yield pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(digest), pa.array(own, pa.large_binary()).cast(pa.binary())], ["doc_id", "digest", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest long, shingles binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), "doc_id long, digest long, shingles binary")
 
 
 def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +336,7 @@ def _confirmed(found: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
     pairs = found.join(first, "a").join(second, "b").select("a", "b", "s", "t")
-    return pairs.mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= similarity).select("a", "b")
+    return pairs.mapInArrow(lean(_similarity), "a long, b long, similarity double").where(F.col("similarity") >= similarity).select("a", "b")
 
 
 #: Texts of one cluster that may be compared in one task, whatever its size; a text counts once for each WEIGHED bytes of shingles.

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, lean
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -56,7 +56,7 @@ def remove(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataFr
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [x.split()[0] for x in REMOVED.split(", ")])
 
-    own = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(_squeezed, "doc_id long, z binary")
+    own = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(lean(_squeezed), "doc_id long, z binary")
     joined = own.join(spans.select("doc_id", "spans"), "doc_id", "left").select("doc_id", "z", "spans")
-    out = joined.mapInArrow(run, REMOVED)
+    out = joined.mapInArrow(lean(run), REMOVED)
     return out if with_text else out.drop("kept")
