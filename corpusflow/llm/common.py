@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 << 20
 
 
-#: Rows of an Arrow batch: texts may be long, and a batch is held by the JVM and by Python.
-ARROW_ROWS = 1000
+#: Rows and bytes of an Arrow batch: texts may be long, and a batch is held by the JVM and by Python.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, quality, simhash, suffixes
+from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, phrases, quality, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_lines": lines.op10_lines,
+    "op12_phrases": phrases.op12_phrases,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op2_suffixes": suffixes.ORACLE_SQL,
     "op9_decontaminate": decontaminate.ORACLE_SQL,
     "op10_lines": lines.ORACLE_SQL,
+    "op12_phrases": phrases.ORACLE_SQL,
 }
