@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, phrases, quality, simhash, suffixes
+from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, phrases, quality, retrieval, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_lines": lines.op10_lines,
     "op12_phrases": phrases.op12_phrases,
+    "op13_search": retrieval.op13_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op9_decontaminate": decontaminate.ORACLE_SQL,
     "op10_lines": lines.ORACLE_SQL,
     "op12_phrases": phrases.ORACLE_SQL,
+    "op13_search": retrieval.ORACLE_SQL,
 }
