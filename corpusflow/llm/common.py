@@ -38,16 +38,30 @@ def give_back() -> None:
         pass
 
 
-def lean(run: Callable, *caches: dict) -> Callable:
-    """A task's function over an iterator that leaves nothing behind in its worker: caches are emptied, freed memory goes back."""
+#: Caches that a worker keeps from task to task, by the operator that they serve.
+_caches: dict[str, dict] = {}
+
+
+def keep_cache(owner: str, cache: dict) -> None:
+    _caches[owner] = cache
+
+
+def drop_caches(owner: str | None = None) -> None:
+    """Empty the caches that other operators have left in this worker."""
+    for name, cache in _caches.items():
+        if name != owner:
+            cache.clear()
+
+
+def lean(run: Callable, owner: str | None = None) -> Callable:
+    """A task's function over an iterator, in a worker that other operators' caches don't burden and that gives freed memory back when the task ends."""
 
     @functools.wraps(run)
     def bounded(batches):
+        drop_caches(owner)
         try:
             yield from run(batches)
         finally:
-            for cache in caches:
-                cache.clear()
             give_back()
 
     return bounded

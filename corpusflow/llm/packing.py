@@ -28,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, lean, materialise, table
+from .common import blocks, keep_cache, lean, materialise, table
 
 CAPACITY = 4096
 END = 1
 #: Bins that a packer keeps open, at most; a packer fills some four thousand.
 OPEN_BINS = 256
-#: Parts whose ids a task keeps, about 270 bytes each; a block adds its own before the count is looked at.
-CACHE = 250_000
+#: Parts whose ids a worker keeps, about 270 bytes each, or those of its last block if these are more.
+CACHE = 600_000
 SEPARATOR, MARKS = "7", ".,"
 #: A packer's share: tokens, and pieces.
 SHARE_TOKENS, SHARE_PIECES = 16 << 20, 500_000
@@ -173,9 +173,13 @@ def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
                 yield np.array(e.ids, "<u4").tobytes()
         return
     parts = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
-    if len(_cache) > CACHE:
+    keep_cache("packing", _cache)
+    own = set().union(*parts)
+    _learn(list(own.difference(_cache)), tokenizer, bare)
+    if len(_cache) > CACHE:  # what this block has stays: common parts are in every block
+        kept = {p: _cache[p] for p in own}
         _cache.clear()
-    _learn(list(set().union(*parts).difference(_cache)), tokenizer, bare)
+        _cache.update(kept)
     for ps in parts:
         yield b"".join(map(_cache.__getitem__, ps))
 
@@ -199,7 +203,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, _cache), PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, "packing"), PIECES)
 
 
 class Bins:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, SPACED, Block, blocks, give_back, lean, runs, span_hashes, table
+from .common import ALNUM, LOWER, SPACED, Block, blocks, drop_caches, give_back, lean, runs, span_hashes, table
 
 #: Labelled documents that the model is fitted on, at most.
 TRAIN_ROWS = 8192
@@ -168,6 +168,7 @@ def scored(spark: SparkSession, model: Model | None):
     sent = spark.sparkContext.broadcast(model)
 
     def score(text: pa.Array) -> pa.Array:
+        drop_caches()
         own = sent.value
         grade, top = [], []
         for block in blocks([pa.RecordBatch.from_arrays([pa.nulls(len(text)), text], ["doc_id", "text"])]):
