@@ -6,10 +6,10 @@ extended by a shift and an AND: the bitmap of its ends, moved on by one, against
 left is the bitmap of the longer phrase, and its popcount the number of occurrences, overlaps included; a shift never passes a
 gap. Shards work depth-first, some first words at a time, so only the bitmaps along the way are held. Popcounts are summed over shards.
 
-Pairs come first, as 64-bit hashes with their counts: those that reach the bar over all shards are sent back to each shard that
-has them (chance collisions let more through, never fewer). Then a shard extends only these, by pairs that may follow,
-and gives the words of its phrases, so all further counts are exact. A key is in a shard once, so the most frequent
-phrase costs a row a shard, summed map-side.
+Pairs come first: a shard sends its pairs' hashes and counts, packed by bucket; a bucket sums those of all shards and tells each shard which of
+its own reach the bar (chance collisions let more through, never fewer). Then a shard extends only these, by pairs
+that may follow, and gives the words of its phrases, so all further counts are exact. A pair is in a shard once, so
+the most frequent one costs an entry a shard.
 
 Defined results: null and empty texts have no words; a null lang is `und`; the doc_id isn't read, so rows without one, and repeated
 rows, count as often as they come; equal scores are ordered by count and then by the phrase's UTF-8 bytes; an empty table gives no rows.
@@ -33,6 +33,8 @@ LEAST, MOST_WORDS, COVERED, TOP = 10, 3, 50, 2000
 NO_LANG = "und"
 #: Text of one shard, and text that a task holds for all its languages.
 SHARD_BYTES, HELD_BYTES = 8 << 20, 16 << 20
+#: Words of the corpus for each bucket of pairs, and shards whose pairs are summed together.
+BUCKET_PAIRS, GROUP_SHARDS = 4 << 20, 1 << 16
 #: Positions of a bitmap's block, and pairs of blocks that are compared at once.
 BLOCK, STEP = 16, 1 << 21
 
@@ -155,26 +157,36 @@ def _popcounts(place: np.ndarray, bits: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(place, np.bitwise_count(bits), n).astype(np.int64)
 
 
-def pair_counts(maps: Bitmaps, lang: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(64-bit hash, popcount) of a shard's pairs."""
+def pair_counts(maps: Bitmaps, lang: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code, popcount) of a shard's pairs, in the order of their codes."""
     h, salt = maps.hashes(), np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    codes, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for a, b, _, bits in extended(maps):
         (a, b), place = _grouped(a, b)
-        yield _pair_hash(h[a], h[b], salt), _popcounts(place, bits, len(a))
+        codes.append(_code(h[a], h[b], salt, buckets))
+        n.append(_popcounts(place, bits, len(a)))
+    return _summed(np.concatenate(codes), np.concatenate(n))
 
 
-def _pair_hash(a: np.ndarray, b: np.ndarray, salt: np.uint64) -> np.ndarray:
-    return mix(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ salt)).view(np.int64)
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    code, place = np.unique(code, return_inverse=True)
+    return code, np.bincount(place, n, len(code)).astype(np.int64)
 
 
-def phrase_counts(maps: Bitmaps, lang: str, allowed: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first, second, third word, popcount) of the pairs whose hashes are allowed, and of the triples that two of them make; third -1: a pair."""
+def _code(a: np.ndarray, b: np.ndarray, salt: np.uint64, buckets: int) -> np.ndarray:
+    """A pair's bucket and 32 bits of its hash besides; buckets grow with the corpus, so the bits that tell pairs apart do, too."""
+    h = mix(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ salt))
+    return ((h >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (h & np.uint64(0xFFFFFFFF))
+
+
+def phrase_counts(maps: Bitmaps, lang: str, allowed: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, second, third word, popcount) of the pairs whose codes are allowed, and of the triples that two of them make; third -1: a pair."""
     h, salt = maps.hashes(), np.uint64(xxhash.xxh64_intdigest(lang.encode()))
     allowed = np.sort(allowed)
     kept = []
     for a, b, block, bits in extended(maps):
         (x, y), place = _grouped(a, b)
-        key = _pair_hash(h[x], h[y], salt)
+        key = _code(h[x], h[y], salt, buckets)
         at = np.minimum(np.searchsorted(allowed, key), len(allowed) - 1) if len(allowed) else np.zeros(len(key), np.int64)
         good = allowed[at] == key if len(allowed) else np.zeros(len(key), bool)
         n = _popcounts(place, bits, len(x))[good]
@@ -242,27 +254,111 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, str, Bitmaps, int]]:
         yield row["shard"], row["lang"], Bitmaps.read(*(row[c] for c in ("vocabulary", "sizes", "at", "bits"))), i
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for shard, lang, maps, _ in _read(batch):
-            for key, n in pair_counts(maps, lang):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), shard)), pa.array(key), pa.array(n)], ["shard", "pair", "n"])
-            give_back()
+def _asking(buckets: int, least: int):
+    """ASK: a shard's pairs, a row a bucket; counts are of no interest beyond the bar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, lang, maps, _ in _read(batch):
+                code, n = pair_counts(maps, lang, buckets)
+                bucket, key, n = code >> np.uint64(32), code.astype(np.uint32), np.minimum(n, least).astype(np.uint16)
+                cut = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets))) if len(code) else np.zeros(0, np.int64)
+                ends = [*cut.tolist()[1:], len(code)]
+                cols = (bucket[cut].astype(np.int64), np.full(len(cut), shard), [key[i:j].tobytes() for i, j in zip(cut, ends)], [n[i:j].tobytes() for i, j in zip(cut, ends)])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["bucket", "shard", "keys", "counts"])
+                give_back()
+
+    return run
+
+
+def _together(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and counts of a bucket's rows, summed."""
+    keys = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint32)
+    return _summed(keys, np.frombuffer(b"".join(part.column("counts").to_pylist()), np.uint16).astype(np.int64))
+
+
+def _merging(least: int):
+    """A bucket's rows of one group as one row."""
+
+    def run(part: pa.Table) -> pa.Table:
+        key, n = _together(part)
+        return pa.table({"bucket": part.column("bucket").slice(0, 1), "keys": [key.tobytes()], "counts": [np.minimum(n, least).astype(np.uint16).tobytes()]})
+
+    return run
+
+
+def _often(least: int):
+    """The keys of a bucket that reach the bar."""
+
+    def run(part: pa.Table) -> pa.Table:
+        key, n = _together(part)
+        return pa.table({"bucket": part.column("bucket").slice(0, 1), "often": [key[n >= least].tobytes()]})
+
+    return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answers(asked: pa.Table, often: np.ndarray) -> pa.Table:
+    """(shard, bucket, keys): what of a shard's own keys reaches the bar."""
+    own = [np.frombuffer(k, np.uint32) for k in asked.column("keys").to_pylist()]
+    hit = np.isin(np.concatenate(own), often, assume_unique=False)
+    cut = np.cumsum([0, *map(len, own)])
+    kept = [k[hit[a:b]].tobytes() for k, a, b in zip(own, cut, cut[1:])]
+    out = pa.table({"shard": asked.column("shard"), "bucket": asked.column("bucket"), "keys": pa.array(kept, pa.binary())})
+    return out.filter(pa.array([len(k) > 0 for k in kept]))
+
+
+def _frequent(shards: DataFrame, least: int, buckets: int, groups: int) -> DataFrame:
+    """(shard, pairs array<struct<bucket, keys>>): the pairs of each shard that occur `least` times over all shards.
+
+    A bucket of all shards' pairs is settled in one task; of very many shards, in groups whose sums are added up first.
+    """
+    sent = shards.mapInArrow(lean(_asking(buckets, least)), "bucket long, shard long, keys binary, counts binary")
+    told = "shard long, bucket long, keys binary"
+    if groups == 1:
+
+        def settle(part: pa.Table) -> pa.Table:
+            key, n = _together(part)
+            return _answers(part, key[n >= least])
+
+        answers = sent.groupBy("bucket").applyInArrow(settle, told)
+    else:
+        sent = materialise(sent.withColumn("grp", F.pmod(F.xxhash64("shard"), F.lit(groups)).cast("long")))
+        sums = sent.groupBy("bucket", "grp").applyInArrow(_merging(least), "bucket long, keys binary, counts binary")
+        often = sums.groupBy("bucket").applyInArrow(_often(least), "bucket long, often binary").withColumn("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+
+        def answer(asked: pa.Table, told_: pa.Table) -> pa.Table:
+            if not len(asked):
+                return asked.select(["shard", "bucket", "keys"])
+            return _answers(asked, np.frombuffer(told_.column("often")[0].as_py(), np.uint32))
+
+        answers = sent.groupBy("bucket", "grp").cogroup(often.groupBy("bucket", "grp")).applyInArrow(answer, told)
+    return answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "keys")).alias("pairs"))
+
+
+def _counting(buckets: int):
+    """(lang, w1, w2, w3, f) of a shard's words and of its frequent phrases."""
     names = ["lang", "w1", "w2", "w3", "f"]
-    for batch in batches:
-        for _, lang, maps, i in _read(batch):
-            text = pa.array(maps.vocabulary, pa.binary()).cast(pa.string(), safe=False)
-            own = batch.column("pairs")[i].values
-            allowed = own.to_numpy(zero_copy_only=False).astype(np.int64) if own is not None else np.zeros(0, np.int64)
-            word = np.arange(len(text))
-            none = np.full(len(text), -1)
-            for a, b, c, n in [(word, none, none, maps.counts()), *phrase_counts(maps, lang, allowed)]:
-                words = [text.take(pa.array(x, pa.int64(), mask=x < 0)) for x in (a, b, c)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(a), pa.string()), *words, pa.array(n, pa.int64())], names)
-            give_back()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, lang, maps, i in _read(batch):
+                text = pa.array(maps.vocabulary, pa.binary()).cast(pa.string(), safe=False)
+                told = batch.column("pairs")[i].as_py() or []
+                allowed = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(t["keys"], np.uint32) | np.uint64(t["bucket"] << 32) for t in told)])
+                word, none = np.arange(len(text)), np.full(len(text), -1)
+                yield from _rows(lang, text, (word, none, none, maps.counts()), names)
+                for found in phrase_counts(maps, lang, allowed, buckets):
+                    yield from _rows(lang, text, found, names)
+                give_back()
+
+    return run
+
+
+def _rows(lang: str, text: pa.Array, found: tuple, names: list[str]) -> Iterator[pa.RecordBatch]:
+    *phrase, n = found
+    for i in range(0, len(n), 100_000):
+        words = [text.take(pa.array(x[i : i + 100_000], pa.int64(), mask=x[i : i + 100_000] < 0)) for x in phrase]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words[0]), pa.string()), *words, pa.array(n[i : i + 100_000], pa.int64())], names)
 
 
 def _score(a: str, l: str, r: str) -> Column:
@@ -271,17 +367,16 @@ def _score(a: str, l: str, r: str) -> Column:
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (a * a), l * r)
 
 
-def mined(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def mined(docs: DataFrame, least: int = LEAST, bucket_pairs: int = BUCKET_PAIRS, group_shards: int = GROUP_SHARDS) -> DataFrame:
     """(lang, w1, w2, w3, f) of all words, and of all phrases of two and three words with f of at least `least`; a written table."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shards = materialise(own.mapInArrow(lean(_sharded), SHARD))
-    asks = materialise(shards.mapInArrow(lean(_pairs), "shard long, pair long, n long"))
-    often = asks.groupBy("pair").agg(F.sum("n").alias("all")).where(F.col("all") >= least).select(F.col("pair").alias("often"))
-    answers = asks.join(often, asks["pair"] == often["often"]).groupBy("shard").agg(F.collect_list("pair").alias("pairs"))
+    words, n = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
+    buckets, groups = max(1, -(-words // bucket_pairs)), max(1, -(-n // group_shards))
+    answers = _frequent(shards.select("shard", "lang", "vocabulary", "sizes", "at", "bits"), least, buckets, groups)
     joined = shards.join(answers.withColumnRenamed("shard", "__of"), F.col("shard") == F.col("__of"), "left")
-    each = joined.select("shard", "lang", "vocabulary", "sizes", "at", "bits", "pairs").mapInArrow(lean(_counted), "lang string, w1 string, w2 string, w3 string, f long")
+    each = joined.select("shard", "lang", "vocabulary", "sizes", "at", "bits", "pairs").mapInArrow(lean(_counting(buckets)), "lang string, w1 string, w2 string, w3 string, f long")
     out = materialise(each.groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f")).where(F.col("w2").isNull() | (F.col("f") >= least)))
-    discard(asks)
     discard(shards)
     return out
 

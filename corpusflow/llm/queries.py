@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, collisions, decontaminate, licenses, lines, mixing, packing, phrases, quality, retrieval, simhash, suffixes
+from . import chunks, collisions, decontaminate, licenses, lines, maintext, mixing, packing, phrases, quality, retrieval, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collisions": collisions.op1_collisions,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_lines": lines.op10_lines,
+    "op11_main_text": maintext.op11_main_text,
     "op12_phrases": phrases.op12_phrases,
     "op13_search": retrieval.op13_search,
 }
