@@ -31,7 +31,7 @@ from . import layouts
 from .common import give_back, lean, table
 
 #: Labelled pages that the model is trained on, and the steps, their rate and the prior's weight.
-TRAIN_PAGES, STEPS, RATE, PRIOR = 1000, 160, 0.15, 0.001
+TRAIN_PAGES, STEPS, RATE, PRIOR = 1000, 200, 0.2, 0.00005
 BITS = 13
 #: Nodes of pages whose messages are passed together.
 FOREST = 100_000
@@ -223,8 +223,9 @@ class Forest:
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+    """log of the sum of exponentials over an axis of two states."""
+    a, b = np.moveaxis(x, axis, 0)
+    return np.logaddexp(a, b)
 
 
 class Model:
@@ -241,7 +242,8 @@ class Model:
         sent = np.zeros_like(up)
         for at in reversed(f.levels[1:]):
             sent[at] = _lse(self.pairs[f.kind[at]] + up[at][:, None, :], 2)
-            np.add.at(up, f.parent[at], sent[at])
+            for y in (0, 1):
+                np.add.at(up[:, y], f.parent[at], sent[at, y])
         down, around = np.zeros_like(up), np.zeros_like(up)
         for at in f.levels[1:]:
             over = f.parent[at]
@@ -269,10 +271,10 @@ class Model:
         weights = np.bincount(f.index, (label - chance)[f.row], len(self.weights))
         inner = np.flatnonzero(f.parent >= 0)
         both = self.pairs[f.kind[inner]] + around[inner][:, :, None] + up[inner][:, None, :]
-        both = np.exp(both - _lse(both.reshape(-1, 4), 1)[:, None, None])
+        both = np.exp(both - _lse(_lse(both, 2), 1)[:, None, None])
         pairs = np.zeros_like(self.pairs)
         np.add.at(pairs, (f.kind[inner], label[f.parent[inner]], label[inner]), 1.0)
-        np.subtract.at(pairs, f.kind[inner], both)
+        pairs -= np.stack([np.bincount(f.kind[inner], x, N_KINDS) for x in both.reshape(-1, 4).T], axis=1).reshape(pairs.shape)
         return weights, pairs
 
     def fit(self, f: Forest, label: np.ndarray, steps: int = STEPS) -> Model:
