@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric, paths, text
 from ..operators import collate, consensus, filters, intervals, manifest, partitioning, profile, scorers
 from ..schema import conformed
-from ..sinks import files, partials, records, versions
+from ..sinks import buckets, files, partials, records, versions
 from ..sinks.scratch import shared_dir
 from ..sources import audio, catalogue
 from ..sources import manifest as stored
@@ -358,6 +358,36 @@ def absorbed_stream(spark, d):
     return stored.load(spark, f"{root}/manifest").select("filepath", "total_duration", "crest_factor")
 
 
+@query("""
+select cast(doc_id as varchar) filepath, n_chars::double total_duration, case when doc_id % 100 = 7 then -1 when doc_id % 2 = 0 then n_chars / 2 else n_chars / 10 end::double crest_factor,
+  case when doc_id % 100 = 7 then lang end note from documents
+""")
+def bucketed_manifest(spark, d):
+    """A manifest in hash buckets: a batch with two rows a clip, the same batch again, and one of a hundredth of the clips with a new column; a null never erases."""
+    root, m = _root(spark), _manifest(spark, d)
+    buckets.merge(m.select("filepath", "total_duration", "crest_factor"), root, buckets=16)
+    n = F.col("filepath").cast("long")
+    part = m.where(n % 2 == 0).select("filepath", (F.col("total_duration") / 2).alias("crest_factor"), F.lit(None).cast("double").alias("total_duration"), F.lit(2).alias("sequence"))
+    part = part.unionByName(part.withColumns({"crest_factor": F.lit(-5.0), "sequence": F.lit(1)}))
+    for _ in range(2):
+        buckets.merge(part, root, order=("sequence",))
+    buckets.merge(m.where(n % 100 == 7).select("filepath", F.lit(-1.0).alias("crest_factor"), F.col("lang").alias("note")), root)
+    return buckets.read(spark, root).select("filepath", "total_duration", "crest_factor", "note")
+
+
+@query("""
+select cast(doc_id as varchar) filepath, n_chars::double total_duration, case when doc_id % 2 = 0 then n_chars else n_chars / 10 end::double crest_factor from documents
+""")
+def bucketed_stream(spark, d):
+    """Partials stream into a manifest in hash buckets, a file a batch; a replayed stream finds its batches taken."""
+    root, m = _root(spark), _manifest(spark, d)
+    buckets.merge(m.select("filepath", "total_duration", "crest_factor"), f"{root}/manifest", buckets=8)
+    part = m.where("cast(filepath as long) % 2 = 0").select("filepath", F.col("total_duration").alias("crest_factor"), F.lit(2).alias("sequence"))
+    part.withColumns({"crest_factor": F.lit(-1.0), "sequence": F.lit(1)}).unionByName(part).repartition(3, "filepath").write.parquet(f"{root}/partials")
+    absorb(spark, f"{root}/partials", part.schema, f"{root}/manifest", f"{root}/checkpoint", files=1, buckets=8).awaitTermination()
+    return buckets.read(spark, f"{root}/manifest").select("filepath", "total_duration", "crest_factor")
+
+
 @query("""
 select 't' || (o_orderkey % 1000) audio_id, count(distinct o_orderkey % 1000)::bigint n from orders group by 1
 """)
