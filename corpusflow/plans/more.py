@@ -281,9 +281,9 @@ select o_orderpriority stage, count(*)::bigint files_in, count(*) filter (where
 """)
 def appended_audit(spark, d):
     root = _root(spark)
-    counts = table(spark, d, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("files_in"), F.count_if(F.col("o_custkey") % 2 == 0).alias("files_out"), F.lit(2.0).alias("hours_in"), F.lit(1.0).alias("hours_out"))
-    for i, r in enumerate(counts.select("o_orderpriority").orderBy("o_orderpriority").limit(100).collect()):  # a stage a row
-        records.append_audit(spark, root, r[0], counts.where(F.col("o_orderpriority") == r[0]), {"stage": r[0], "limit": 3}, i)
+    stage = F.col("o_orderpriority").alias("stage")
+    counts = table(spark, d, "orders").groupBy(stage).agg(F.count("*").alias("files_in"), F.count_if(F.col("o_custkey") % 2 == 0).alias("files_out"), F.lit(2.0).alias("hours_in"), F.lit(1.0).alias("hours_out"))
+    records.append_audits(counts.withColumns({"params": records.json_params(stage=F.col("stage"), limit=F.lit(3)), "sequence": F.lit(0)}), root)
     return stored.audit_log(spark, root).select("stage", "files_in", "files_out", "params")
 
 

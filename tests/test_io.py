@@ -247,3 +247,20 @@ def test_absorbs_once_enough_rows_wait(spark, tmp_path):
     assert absorb_when(*args)
     assert not absorb_when(*args)
     assert stored.load(spark, root).count() == 3
+
+
+def test_reports_are_whole(spark, tmp_path):
+    """1,500 targets, stages and columns, and 150 stages in one audit write: none is left out."""
+    rows = [(f"t{i:04}", 0, 4, 1.0 + i, 2.0, None) for i in range(1500)]
+    report = records.benchmark_report(spark.createDataFrame(rows, "target string, repeat int, samples long, wall_s double, audio_s double, error string"), str(tmp_path / "report.json"))
+    assert [t["target"] for t in report["targets"]] == [r[0] for r in rows]
+    counts = spark.range(1500).select(F.format_string("s%04d", "id").alias("stage"), (F.col("id") + 10).alias("files_in"), F.lit(3).alias("files_out"), F.lit(2.0).alias("hours_in"), F.lit(1.0).alias("hours_out"), F.col("id").alias("sequence"))
+    path = str(tmp_path / "audit")
+    records.append_audits(counts.where("sequence < 150").withColumn("params", records.json_params(b=F.col("sequence"), a=F.lit('q"'))), path)
+    assert spark.read.parquet(path).count() == 150
+    assert spark.read.parquet(path).where("stage = 's0007'").first()["params"] == '{"a": "q\\"", "b": 7}'
+    records.append_audits(counts.where("sequence >= 150").withColumn("params", F.lit("{}")), path)
+    missing = spark.range(1500).select(F.format_string("c%04d", "id").alias("column"), F.col("id").alias("missing"), F.lit(0.5).alias("missing_percent"))
+    text = records.markdown(spark.read.parquet(path), missing)
+    assert sum(line.startswith("| s") for line in text.splitlines()) == 1500
+    assert sum(line.startswith("| c") for line in text.splitlines()) == 1500
