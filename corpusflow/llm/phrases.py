@@ -6,10 +6,10 @@ extended by a shift and an AND: the bitmap of its ends, moved on by one, against
 left is the bitmap of the longer phrase, and its popcount the number of occurrences, overlaps included; a shift never passes a
 gap. Shards work depth-first, some first words at a time, so only the bitmaps along the way are held. Popcounts are summed over shards.
 
-Pairs come first: a shard sends its pairs' hashes and counts, packed by bucket; a bucket sums those of all shards and tells each shard which of
-its own reach the bar (chance collisions let more through, never fewer). Then a shard extends only these, by pairs
-that may follow, and gives the words of its phrases, so all further counts are exact. A pair is in a shard once, so
-the most frequent one costs an entry a shard.
+A shard first sends the hashes and counts of its pairs and triples, packed by bucket; a bucket sums those of all shards and tells each shard
+which of its own reach the bar (chance collisions let more through, never fewer). Then a shard extends only these
+and gives their words, so all further counts are exact. A phrase is in a shard once, so the most frequent one costs an
+entry a shard.
 
 Defined results: null and empty texts have no words; a null lang is `und`; the doc_id isn't read, so rows without one, and repeated
 rows, count as often as they come; equal scores are ordered by count and then by the phrase's UTF-8 bytes; an empty table gives no rows.
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -33,8 +34,8 @@ LEAST, MOST_WORDS, COVERED, TOP = 10, 3, 50, 2000
 NO_LANG = "und"
 #: Text of one shard, and text that a task holds for all its languages.
 SHARD_BYTES, HELD_BYTES = 8 << 20, 16 << 20
-#: Words of the corpus for each bucket of pairs, and shards whose pairs are summed together.
-BUCKET_PAIRS, GROUP_SHARDS = 4 << 20, 1 << 16
+#: Words of the corpus for each bucket of phrases, and shards whose phrases are summed together.
+BUCKET_WORDS, GROUP_SHARDS = 2 << 20, 1 << 16
 #: Positions of a bitmap's block, and pairs of blocks that are compared at once.
 BLOCK, STEP = 16, 1 << 21
 
@@ -141,31 +142,63 @@ def extended(maps: Bitmaps) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
         i = j
 
 
-def _grouped(*keys: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """Distinct rows of the keys, in order, and each row's place among them."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[order[1:]] != k[order[:-1]]
-    place = np.empty(len(order), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return tuple(k[order[new]] for k in keys), place
+def longer(first: np.ndarray, second: np.ndarray, block: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, second, third word, bits) of the triples that pairs' bitmaps make, some first words at a time: a shifted pair meets the pairs that begin with its second word."""
+    if not len(first):
+        return
+    span = int(block.max()) + 2
+    order = np.argsort(first * span + block, kind="stable")
+    first, second, block, bits = first[order], second[order], block[order], bits[order]
+    key = first * span + block
+    i = 0
+    while i < len(first):
+        j = i + STEP // 8
+        j = int(np.searchsorted(first, first[j], side="right")) if j < len(first) else len(first)
+        rows, at, moved = _moved(np.arange(i, j), block[i:j], bits[i:j])
+        probe = second[rows] * span + at
+        for left, right, both in _met(rows, moved, np.searchsorted(key, probe), np.searchsorted(key, probe, side="right"), bits):
+            yield first[left], second[left], second[right], both
+        i = j
+
 
+def _popcounts(key: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, how many bits each has, and each row's place among them."""
+    key, place = np.unique(key, return_inverse=True)
+    return key, np.bincount(place, np.bitwise_count(bits), len(key)).astype(np.int64), place
 
-def _popcounts(place: np.ndarray, bits: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(place, np.bitwise_count(bits), n).astype(np.int64)
 
+class Hashes:
+    """64-bit hashes of a shard's phrases, made word by word, and what of them is sent: a bucket, and 32 bits besides. Buckets grow with the corpus, so
+    the bits that tell phrases apart do, too."""
 
-def pair_counts(maps: Bitmaps, lang: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(code, popcount) of a shard's pairs, in the order of their codes."""
-    h, salt = maps.hashes(), np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-    codes, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for a, b, _, bits in extended(maps):
-        (a, b), place = _grouped(a, b)
-        codes.append(_code(h[a], h[b], salt, buckets))
-        n.append(_popcounts(place, bits, len(a)))
-    return _summed(np.concatenate(codes), np.concatenate(n))
+    def __init__(self, maps: Bitmaps, lang: str, buckets: int):
+        self.word, self.buckets = maps.hashes() ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())), np.uint64(buckets)
+
+    def of(self, *phrase: np.ndarray) -> np.ndarray:
+        h = self.word[phrase[0]]
+        for w in phrase[1:]:
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + self.word[w])
+        return ((h >> np.uint64(32)) * self.buckets & ~np.uint64(0xFFFFFFFF)) | (h & np.uint64(0xFFFFFFFF))
+
+
+def codes(maps: Bitmaps, lang: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code, popcount) of a shard's pairs and triples, in the order of their codes."""
+    v, hashed = len(maps.vocabulary), Hashes(maps, lang, buckets)
+    code, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    pairs = []
+    for a, b, block, bits in extended(maps):
+        pairs.append((a, b, block, bits))
+        key, count, _ = _popcounts(a * v + b, bits)
+        code.append(hashed.of(key // v, key % v))
+        n.append(count)
+    if pairs:
+        for a, b, c, bits in longer(*(np.concatenate(x) for x in zip(*pairs))):
+            two, at = np.unique(a * v + b, return_inverse=True)
+            key, count, _ = _popcounts(at * v + c, bits)
+            two = two[key // v]
+            code.append(hashed.of(two // v, two % v, key % v))
+            n.append(count)
+    return _summed(np.concatenate(code), np.concatenate(n))
 
 
 def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,46 +206,30 @@ def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, np.bincount(place, n, len(code)).astype(np.int64)
 
 
-def _code(a: np.ndarray, b: np.ndarray, salt: np.uint64, buckets: int) -> np.ndarray:
-    """A pair's bucket and 32 bits of its hash besides; buckets grow with the corpus, so the bits that tell pairs apart do, too."""
-    h = mix(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ salt))
-    return ((h >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (h & np.uint64(0xFFFFFFFF))
+def _among(x: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    if not len(allowed):
+        return np.zeros(len(x), bool)
+    return allowed[np.minimum(np.searchsorted(allowed, x), len(allowed) - 1)] == x
 
 
 def phrase_counts(maps: Bitmaps, lang: str, allowed: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first, second, third word, popcount) of the pairs whose codes are allowed, and of the triples that two of them make; third -1: a pair."""
-    h, salt = maps.hashes(), np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    """(words..., popcount) of the pairs whose codes are allowed, and of the triples that they make and that are allowed."""
+    v, hashed = len(maps.vocabulary), Hashes(maps, lang, buckets)
     allowed = np.sort(allowed)
     kept = []
     for a, b, block, bits in extended(maps):
-        (x, y), place = _grouped(a, b)
-        key = _code(h[x], h[y], salt, buckets)
-        at = np.minimum(np.searchsorted(allowed, key), len(allowed) - 1) if len(allowed) else np.zeros(len(key), np.int64)
-        good = allowed[at] == key if len(allowed) else np.zeros(len(key), bool)
-        n = _popcounts(place, bits, len(x))[good]
-        yield x[good], y[good], np.full(len(n), -1), n
+        key, n, place = _popcounts(a * v + b, bits)
+        good = _among(hashed.of(key // v, key % v), allowed)
+        yield key[good] // v, key[good] % v, n[good]
         stay = good[place]
         kept.append((a[stay], b[stay], block[stay], bits[stay]))
-    if not kept:
-        return
-    first, second, block, bits = (np.concatenate(x) for x in zip(*kept))
-    span = int(block.max(initial=0)) + 2
-    # all pairs by their first word and the block of their second, which a phrase's shifted bitmap must meet
-    order = np.argsort(first * span + block, kind="stable")
-    first, second, block, bits = first[order], second[order], block[order], bits[order]
-    key = first * span + block
-    i = 0
-    while i < len(first):
-        j = i + STEP // 8
-        j = int(np.searchsorted(first, first[j], side="right")) if j < len(first) else len(first)
-        rows, at, moved = _moved(np.arange(i, j), block[i:j], bits[i:j])
-        probe = second[rows] * span + at
-        found = list(_met(rows, moved, np.searchsorted(key, probe), np.searchsorted(key, probe, side="right"), bits))
-        if found:
-            left, right, both = (np.concatenate(x) for x in zip(*found))
-            (a, b, c), place = _grouped(first[left], second[left], second[right])
-            yield a, b, c, _popcounts(place, both, len(a))
-        i = j
+    if kept:
+        for a, b, c, bits in longer(*(np.concatenate(x) for x in zip(*kept))):
+            two, at = np.unique(a * v + b, return_inverse=True)
+            key, n, _ = _popcounts(at * v + c, bits)
+            a, b, c = two[key // v] // v, two[key // v] % v, key % v
+            good = _among(hashed.of(a, b, c), allowed)
+            yield a[good], b[good], c[good], n[good]
 
 
 # --- in Spark --------------------------------------------------------------------------------
@@ -255,12 +272,12 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, str, Bitmaps, int]]:
 
 
 def _asking(buckets: int, least: int):
-    """ASK: a shard's pairs, a row a bucket; counts are of no interest beyond the bar."""
+    """A shard's pairs and triples, a row a bucket; counts are of no interest beyond the bar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, lang, maps, _ in _read(batch):
-                code, n = pair_counts(maps, lang, buckets)
+                code, n = codes(maps, lang, buckets)
                 bucket, key, n = code >> np.uint64(32), code.astype(np.uint32), np.minimum(n, least).astype(np.uint16)
                 cut = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets))) if len(code) else np.zeros(0, np.int64)
                 ends = [*cut.tolist()[1:], len(code)]
@@ -308,9 +325,9 @@ def _answers(asked: pa.Table, often: np.ndarray) -> pa.Table:
 
 
 def _frequent(shards: DataFrame, least: int, buckets: int, groups: int) -> DataFrame:
-    """(shard, pairs array<struct<bucket, keys>>): the pairs of each shard that occur `least` times over all shards.
+    """(shard, told array<struct<bucket, keys>>): the codes of each shard's pairs and triples that occur `least` times over all shards.
 
-    A bucket of all shards' pairs is settled in one task; of very many shards, in groups whose sums are added up first.
+    A bucket of all shards is settled in one task; of very many shards, in groups whose sums are added up first.
     """
     sent = shards.mapInArrow(lean(_asking(buckets, least)), "bucket long, shard long, keys binary, counts binary")
     told = "shard long, bucket long, keys binary"
@@ -332,61 +349,54 @@ def _frequent(shards: DataFrame, least: int, buckets: int, groups: int) -> DataF
             return _answers(asked, np.frombuffer(told_.column("often")[0].as_py(), np.uint32))
 
         answers = sent.groupBy("bucket", "grp").cogroup(often.groupBy("bucket", "grp")).applyInArrow(answer, told)
-    return answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "keys")).alias("pairs"))
+    return answers.groupBy("shard").agg(F.collect_list(F.struct("bucket", "keys")).alias("told"))
 
 
 def _counting(buckets: int):
-    """(lang, w1, w2, w3, f) of a shard's words and of its frequent phrases."""
-    names = ["lang", "w1", "w2", "w3", "f"]
+    """(lang, phrase, f) of a shard's words and of its frequent phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, lang, maps, i in _read(batch):
                 text = pa.array(maps.vocabulary, pa.binary()).cast(pa.string(), safe=False)
-                told = batch.column("pairs")[i].as_py() or []
+                told = batch.column("told")[i].as_py() or []
                 allowed = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(t["keys"], np.uint32) | np.uint64(t["bucket"] << 32) for t in told)])
-                word, none = np.arange(len(text)), np.full(len(text), -1)
-                yield from _rows(lang, text, (word, none, none, maps.counts()), names)
-                for found in phrase_counts(maps, lang, allowed, buckets):
-                    yield from _rows(lang, text, found, names)
+                for *phrase, n in [(np.arange(len(text)), maps.counts()), *phrase_counts(maps, lang, allowed, buckets)]:
+                    for at in range(0, len(n), 100_000):
+                        words = [text.take(pa.array(x[at : at + 100_000], pa.int64())) for x in phrase]
+                        joined = pc.binary_join_element_wise(*words, " ") if len(words) > 1 else words[0]
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(joined), pa.string()), joined, pa.array(n[at : at + 100_000], pa.int64())], ["lang", "phrase", "f"])
                 give_back()
 
     return run
 
 
-def _rows(lang: str, text: pa.Array, found: tuple, names: list[str]) -> Iterator[pa.RecordBatch]:
-    *phrase, n = found
-    for i in range(0, len(n), 100_000):
-        words = [text.take(pa.array(x[i : i + 100_000], pa.int64(), mask=x[i : i + 100_000] < 0)) for x in phrase]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words[0]), pa.string()), *words, pa.array(n[i : i + 100_000], pa.int64())], names)
-
-
 def _score(a: str, l: str, r: str) -> Column:
     """floor(1000000 a a / (l r)) in exact decimals: products of counts below 10**15 have at most 37 digits."""
     a, l, r = (F.col(x).cast("decimal(15,0)") for x in (a, l, r))
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (a * a), l * r)
 
 
-def mined(docs: DataFrame, least: int = LEAST, bucket_pairs: int = BUCKET_PAIRS, group_shards: int = GROUP_SHARDS) -> DataFrame:
-    """(lang, w1, w2, w3, f) of all words, and of all phrases of two and three words with f of at least `least`; a written table."""
+def mined(docs: DataFrame, least: int = LEAST, bucket_words: int = BUCKET_WORDS, group_shards: int = GROUP_SHARDS) -> DataFrame:
+    """(lang, phrase, f) of all words, and of all phrases of two and three words with f of at least `least`; a written table."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shards = materialise(own.mapInArrow(lean(_sharded), SHARD))
     words, n = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
-    buckets, groups = max(1, -(-words // bucket_pairs)), max(1, -(-n // group_shards))
-    answers = _frequent(shards.select("shard", "lang", "vocabulary", "sizes", "at", "bits"), least, buckets, groups)
-    joined = shards.join(answers.withColumnRenamed("shard", "__of"), F.col("shard") == F.col("__of"), "left")
-    each = joined.select("shard", "lang", "vocabulary", "sizes", "at", "bits", "pairs").mapInArrow(lean(_counting(buckets)), "lang string, w1 string, w2 string, w3 string, f long")
-    out = materialise(each.groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f")).where(F.col("w2").isNull() | (F.col("f") >= least)))
+    buckets, groups = max(1, -(-words // bucket_words)), max(1, -(-n // group_shards))
+    maps = shards.select("shard", "lang", "vocabulary", "sizes", "at", "bits")
+    answers = _frequent(maps, least, buckets, groups)
+    joined = maps.join(answers.withColumnRenamed("shard", "__of"), F.col("shard") == F.col("__of"), "left")
+    each = joined.select(*maps.columns, "told").mapInArrow(lean(_counting(buckets)), "lang string, phrase string, f long")
+    out = materialise(each.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(~F.contains("phrase", F.lit(" ")) | (F.col("f") >= least)))
     discard(shards)
     return out
 
 
 def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the `top` phrases of each lang."""
-    f = mined(docs, least)
-    word = f.where("w2 is null").select(F.col("lang").alias("wl"), F.col("w1").alias("w"), F.col("f").alias("fw"))
-    pair = f.where("w2 is not null and w3 is null")
-    triple = f.where("w3 is not null")
+    f = mined(docs, least).withColumn("w", F.split("phrase", " "))
+    of = lambda k: f.where(F.size("w") == k).select("lang", *[F.get("w", F.lit(i)).alias(f"w{i + 1}") for i in range(k)], "f")
+    word, pair, triple = of(1).toDF("wl", "w", "fw"), of(2), of(3)
     total = word.groupBy("wl").agg(F.sum("fw").alias("n"))
 
     def with_count(df: DataFrame, column: str, name: str) -> DataFrame:

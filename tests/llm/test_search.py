@@ -171,7 +171,7 @@ def test_phrases_brute_force(spark):
 def test_phrases_summed_in_groups(spark):
     docs = spark.createDataFrame([(t, l) for l, t in AWKWARD * 2], "text string, lang string").repartition(5)
     one = phrases.mined(docs).collect()
-    many = phrases.mined(docs, bucket_pairs=500, group_shards=2).collect()
+    many = phrases.mined(docs, bucket_words=500, group_shards=2).collect()
     assert sorted(map(str, one)) == sorted(map(str, many))
 
 
