@@ -9,6 +9,10 @@ near-dedup to judge; a banner or footer of any number of lines has a witness in
 that witnesses alone spread over MIN_SITES are boilerplate and are cut out of all documents; a line of over LONG bytes, a paragraph
 rather than a banner, must be on LONG_SITES then, for passages are quoted too.
 
+A page may be little but banners: a line or two of its own above a footer. It is a weak witness if it has a line that isn't spread and its spread lines
+have at most BANNER bytes together, which tells it from a near copy of a longer text. Lines that witnesses of both kinds spread over SHORT_SITES
+are boilerplate, too. Near copies of a text of less than BANNER bytes, each with a line of its own, can't be told from such pages and are taken for them.
+
 Blank lines are never boilerplate. Defined results: null text stays null; a null source is a site of its own; documents
 that lose all lines keep an empty text; rows whose doc_id is null, and repeated rows, are treated like others.
 """
@@ -23,6 +27,8 @@ from .common import discard, materialise, table
 MIN_SITES = 5
 #: Bytes of a paragraph, and the sites that it must be on.
 LONG, LONG_SITES = 150, 20
+#: Bytes of the banners that a page without much text of its own may have, and the sites on which such pages count.
+BANNER, SHORT_SITES = 600, 10
 #: A witness has at most this share of its bytes in spread lines.
 SHARE = 0.5
 #: 2**LG_K registers: a relative standard error of about 0.8 / 2**(LG_K / 2).
@@ -70,7 +76,7 @@ def spread(each: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_S
 
 
 def spread_by_row(each: DataFrame, lines: DataFrame) -> DataFrame:
-    """(row, witness, spread array<struct<line, site, size>>) of the rows with spread lines. A written table."""
+    """(row, witness, weak, spread array<struct<line, site, size>>) of the rows with spread lines. A written table."""
     of = lines.select(F.col("line").alias("l"))
     hit = F.col("l").isNotNull()
     rows = each.join(of, each["line"] == of["l"], "left").groupBy("row").agg(
@@ -78,41 +84,52 @@ def spread_by_row(each: DataFrame, lines: DataFrame) -> DataFrame:
         F.sum("size").alias("all"),
         F.collect_set(F.when(hit, F.struct("line", "site", "size"))).alias("spread"),
     )
-    return materialise(rows.where("own > 0").select("row", (F.col("own") <= SHARE * F.col("all")).alias("witness"), "spread"))
-
-
-def remove_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with text cut and the column __removed (lines cut); rows: spread_by_row() of docs; lines: (line)."""
-    bad = lines.select(F.col("line").alias("__l")).distinct()
-    has = rows.select(F.col("row").alias("__r"), F.explode("spread.line").alias("line"))
-    hits = has.join(bad, F.col("line") == F.col("__l")).groupBy("__r").agg(F.collect_set("line").alias("__bad"))
-    keyed = docs.withColumn("__row", row_key())
-    joined = keyed.join(hits, F.col("__row") == F.col("__r"), "left")
+    weak = (F.col("own") < F.col("all")) & (F.col("own") <= BANNER)
+    return materialise(rows.where("own > 0").select("row", (F.col("own") <= SHARE * F.col("all")).alias("witness"), weak.alias("weak"), "spread"))
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, or a longer one, that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def remove_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, removed: str | None = None) -> DataFrame:
+    """docs with text cut and, if it has a name, a last column of the number of lines cut; rows: spread_by_row() of docs; lines: (line)."""
+    bad = lines.select(F.col("line").alias("l")).distinct()
+    has = rows.select("row", F.explode("spread.line").alias("line"))
+    hits = has.join(bad, has["line"] == bad["l"]).groupBy("row").agg(F.collect_set("line").alias("bad"))
+    key, row, gone, kept = (_free(n, docs) for n in ("key", "row", "bad", "kept"))
+    hits = hits.toDF(row, gone)
+    joined = docs.withColumn(key, row_key()).join(hits, F.col(key) == F.col(row), "left")
     split = F.split("text", "\n")
-    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(trimmed(x))))
-    hit = F.col("__bad").isNotNull()
-    out = joined.withColumn("__kept", F.when(hit, kept))
-    text = F.when(hit, F.array_join("__kept", "\n")).otherwise(F.col("text"))
-    removed = F.when(hit, F.size(split) - F.size("__kept")).otherwise(0).cast("long")
-    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], removed.alias("__removed"))
+    hit = F.col(gone).isNotNull()
+    out = joined.withColumn(kept, F.when(hit, F.filter(split, lambda x: ~F.array_contains(F.col(gone), F.xxhash64(trimmed(x))))))
+    text = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text"))
+    count = F.when(hit, F.size(split) - F.size(kept)).otherwise(0).cast("long")
+    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], *([count.alias(removed)] if removed else []))
 
 
-def _cut(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES, lg_k: int = LG_K) -> DataFrame:
+def _cut(docs: DataFrame, removed: str | None = None, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES, short_sites: int = SHORT_SITES, lg_k: int = LG_K) -> DataFrame:
     each = occurrences(docs)
     rows = spread_by_row(each, spread(each, min_sites, min_sites, lg_k))
     discard(each)
-    return remove_lines(docs, rows, spread(rows.where("witness").select(F.explode("spread").alias("x")).select("x.*"), min_sites, long_sites, lg_k))
+    said = lambda by: rows.where(by).select(F.explode("spread").alias("x")).select("x.*")
+    lines = spread(said("witness"), min_sites, long_sites, lg_k).unionByName(spread(said("witness or weak"), short_sites, max(short_sites, long_sites), lg_k))
+    return remove_lines(docs, rows, lines, removed)
 
 
 def deduplicate(docs: DataFrame, **bars) -> DataFrame:
     """docs without their boilerplate lines; all rows and columns stay."""
-    return _cut(docs, **bars).drop("__removed")
+    return _cut(docs, **bars)
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cut(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    out = _cut(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "n_removed")
     text = F.coalesce("text", F.lit(""))
-    return out.select("doc_id", F.col("__removed").alias("n_removed"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_removed", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("kept_sha256"))
 
 
 ORACLE_SQL = rf"""
@@ -125,10 +142,13 @@ with d as (
 ), c as (
   select line from o group by line having count(distinct site) >= {MIN_SITES}
 ), w as (
-  select doc_id from o left join c using (line) group by doc_id having sum(case when c.line is null then 0 else size end) <= {SHARE} * sum(size)
+  select doc_id, sum(case when c.line is null then 0 else size end) own, sum(size) every from o left join c using (line) group by doc_id
 ), b as (
-  select line from o join w using (doc_id) where line in (select line from c)
+  select line from o join w using (doc_id) where line in (select line from c) and own <= {SHARE} * every
   group by line having count(distinct site) >= case when max(size) > {LONG} then {LONG_SITES} else {MIN_SITES} end
+  union
+  select line from o join w using (doc_id) where line in (select line from c) and (own <= {SHARE} * every or own < every and own <= {BANNER})
+  group by line having count(distinct site) >= case when max(size) > {LONG} then {LONG_SITES} else {SHORT_SITES} end
 ), k as (
   select doc_id, string_agg(raw[i], chr(10) order by i) kept, count(*) n
   from (select doc_id, raw, l, unnest(range(1, len(l) + 1)) i from t) where l[i] not in (select line from b) group by doc_id

@@ -186,6 +186,52 @@ def test_blocks_of_lines_go_and_near_copies_stay(spark):
     assert all(out[i] == t for i, t, *_ in [*near, *quoted])
 
 
+def brute_lines(rows):
+    """The rule of lines, row by row."""
+    split = {i: [x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")] for i, t, _ in rows}
+    site = {i: s for i, _, s in rows}
+    size = lambda x: len(x.encode())
+
+    def on(docs, bars):
+        sites = {}
+        for i in docs:
+            for x in split[i]:
+                if x:
+                    sites.setdefault(x, set()).add(site[i])
+        return {x for x, s in sites.items() if len(s) >= bars[size(x) > lines.LONG]}
+
+    every = on(split, (lines.MIN_SITES, lines.MIN_SITES))
+    own = {i: (sum(size(x) for x in v if x in every), sum(map(size, v))) for i, v in split.items()}
+    strong = {i for i, (a, b) in own.items() if a <= lines.SHARE * b}
+    weak = {i for i, (a, b) in own.items() if a < b and a <= lines.BANNER}
+    bad = every & (on(strong, (lines.MIN_SITES, lines.LONG_SITES)) | on(strong | weak, (lines.SHORT_SITES, lines.LONG_SITES)))
+    return {i: "\n".join(x for x, y in zip(t.split("\n"), split[i]) if y not in bad) for i, t, _ in rows}
+
+
+def test_pages_that_are_mostly_boilerplate(spark):
+    """A short line of its own above a footer, on 60 sites and on 12; copies and near copies beside them; columns with any name."""
+    footer = "All about us and our work since then\nWrite to us at any time of day\nCookies and you, and what we keep\nTerms of use"
+    pages = [(i, f"{words(i, 3)}\n{footer}", f"site{i}") for i in range(60)]
+    other = [(100 + i, f"{words(100 + i, 2)}\nTwelve sites have this", f"site{i}") for i in range(12)]
+    few = [(120 + i, f"{words(120 + i, 1)}\nEight sites have this", f"site{i}") for i in range(8)]
+    copies = [(200 + i, words(9000, 20) + "\n" + words(9001, 20), f"site{i}") for i in range(40)]
+    body = [words(3000 + j, 12) for j in range(20)]
+    near = [(300 + i, "\n".join(b if j != i % 20 else words(4000 + i, 12) for j, b in enumerate(body)), f"site{i}") for i in range(40)]
+    long = [(400 + i, f"{words(600 + i, 60)}\n{footer}\n \n", f"site{i % 9}") for i in range(20)]
+    rows = [*pages, *other, *few, *copies, *near, *long, (500, "", "a"), (501, "\n\n", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for c in ("__r", "key", "row", "Bad", "kept", "_kept", "line", "l", "__removed"):
+        df = df.withColumn(c, F.lit(c))
+    cut = lines.deduplicate(df)
+    assert cut.columns == df.columns
+    out = {r.doc_id: r.text for r in cut.collect()}
+    assert out == brute_lines(rows)
+    assert not any(f in out[i] for i, _, _ in pages for f in footer.split("\n"))
+    assert all(out[i] == t for i, t, _ in [*few, *copies, *near])
+    assert not any("Twelve" in out[i] for i, _, _ in other)
+    assert {r.key for r in cut.select("key").collect()} == {"key"}
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
