@@ -747,6 +747,23 @@ def _added(part: pd.DataFrame, of=np.int64) -> pd.DataFrame:
     return _frame([(kind, key, shard, zstandard.compress(_planes(total), 1))])
 
 
+def _tree(rows: DataFrame, n: int, of=np.int64) -> DataFrame:
+    """One sum a (kind, key) of at most n rows each, FAN_IN or so at a time, in as many levels as that takes."""
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        rows = rows.groupBy("kind", "key", F.pmod(F.xxhash64("shard"), F.lit(n))).applyInPandas(lambda part: _added(part, of), GATHERED)
+    return rows.groupBy("kind", "key").applyInPandas(lambda part: _added(part, of), GATHERED)
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets' totals of words, summed in the task."""
+    sums = np.zeros(2, np.int64)
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            sums += np.frombuffer(blob, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(sums[:1]), pa.array(sums[1:])], ["words", "distinct"])
+
+
 def _asked(blobs: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]]:
     """For words, pairs and triples: the distinct ones, which of them each entry is, the entries' counts, and how many entries each blob has."""
     raw = list(map(zstandard.decompress, blobs))
@@ -902,12 +919,12 @@ def score(docs: DataFrame) -> DataFrame:
     # tables of many tasks are summed in levels, so no task takes more than FAN_IN of them
     summed = _answers(gathered, size[1], GROUP)
     tables = Tables()
-    for row in summed.where(F.col("kind") == TABLE).groupBy("kind", "key").applyInPandas(lambda part: _added(part), GATHERED).toLocalIterator():
+    for row in _tree(summed.where(F.col("kind") == TABLE), -(-size[1] // FAN_IN)).toLocalIterator():  # of a fixed size, whatever the corpus
         raw, k, at = zstandard.decompress(row["blob"]), row["key"] >> 40, row["key"] & ((1 << 40) - 1)
         n = _numbers(raw, np.int64, len(raw) // 8, 0).reshape(2, -1)
         tables.n[k][:, at : at + n.shape[1]] = n
-    totals = [np.frombuffer(r["blob"], np.int64) for r in summed.where(F.col("kind") == TOTALS).toLocalIterator()]
-    total, distinct = (int(sum(t[i] for t in totals)) for i in range(2))
+    totals = summed.where(F.col("kind") == TOTALS).select("blob").mapInArrow(_totals, "words long, distinct long")
+    total, distinct = totals.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     model = Model(code, tables.stretch(code), tables.n[LEAVES][0])
     del tables
     answers = summed.where(F.col("kind") == GRAMS).select("shard", "key", "blob")
@@ -923,13 +940,10 @@ def score(docs: DataFrame) -> DataFrame:
     for d in model.deciders.values():
         d.settle()
     second = spark.sparkContext.broadcast(model)
-    salt, sums = F.pmod(F.xxhash64("shard"), F.lit(max(1, -(-size[1] // FAN_IN)))), 0
-    for row in beside("shard >= 0", _learn(second), GATHERED).groupBy(salt).applyInPandas(lambda part: _added(part, np.float64), GATHERED).toLocalIterator():
+    for row in _tree(beside("shard >= 0", _learn(second), GATHERED), size[1], np.float64).collect():  # one row, or none without training documents
         raw = zstandard.decompress(row["blob"])
-        sums = sums + _numbers(raw, np.float64, len(raw) // 8, 0)
+        model.step(_numbers(raw, np.float64, len(raw) // 8, 0))
     second.destroy()
-    if not isinstance(sums, int):
-        model.step(sums)
     return beside("shard >= 0", _score(spark.sparkContext.broadcast(model), total, distinct), SCORED)
 
 
