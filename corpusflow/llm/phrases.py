@@ -132,12 +132,13 @@ def extended(maps: Bitmaps) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
     """Bitmaps (first word, second word, block, bits) of pairs, some first words at a time; bits are where the second word is."""
     order = np.argsort(maps.block, kind="stable")
     word, block, bits = maps.word[order], maps.block[order], maps.bits[order]
+    begins = np.searchsorted(block, np.arange(int(block.max(initial=0)) + 3))
     i, n = 0, len(maps.word)
     while i < n:
         j = i + STEP // 8  # to the end of a word
         j = int(np.searchsorted(maps.word, maps.word[j], side="right")) if j < n else n
         first, at, moved = _moved(maps.word[i:j], maps.block[i:j], maps.bits[i:j])
-        found = [(a, word[r], block[r], both) for a, r, both in _met(first, moved, np.searchsorted(block, at), np.searchsorted(block, at, side="right"), bits)]
+        found = [(a, word[r], block[r], both) for a, r, both in _met(first, moved, begins[at], begins[at + 1], bits)]
         yield tuple(np.concatenate(x) for x in zip(*found))
         i = j
 
@@ -149,14 +150,20 @@ def longer(first: np.ndarray, second: np.ndarray, block: np.ndarray, bits: np.nd
     span = int(block.max()) + 2
     order = np.argsort(first * span + block, kind="stable")
     first, second, block, bits = first[order], second[order], block[order], bits[order]
-    key = first * span + block
+    key, begins = np.unique(first * span + block, return_index=True)
+    begins = np.append(begins, len(first))
     i = 0
     while i < len(first):
         j = i + STEP // 8
         j = int(np.searchsorted(first, first[j], side="right")) if j < len(first) else len(first)
         rows, at, moved = _moved(np.arange(i, j), block[i:j], bits[i:j])
         probe = second[rows] * span + at
-        for left, right, both in _met(rows, moved, np.searchsorted(key, probe), np.searchsorted(key, probe, side="right"), bits):
+        near = np.argsort(probe)  # in order they are found much faster
+        rows, moved, probe = rows[near], moved[near], probe[near]
+        found = np.minimum(np.searchsorted(key, probe), len(key) - 1)
+        hit = np.flatnonzero(key[found] == probe)
+        rows, moved, found = rows[hit], moved[hit], found[hit]
+        for left, right, both in _met(rows, moved, begins[found], begins[found + 1], bits):
             yield first[left], second[left], second[right], both
         i = j
 
