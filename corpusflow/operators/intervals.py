@@ -1,19 +1,20 @@
 """Speaker segments: windows, single-speaker timelines, turn ends, clip metrics, frames and words.
 
-Sources are partitions. Operators are windows over a source's segments, which spill; the timeline, an order-dependent fold, is a
-higher-order function over the segments that overlap one another in a row.
+Sources are partitions. Operators are windows over a source's segments, which spill; the timeline, an order-dependent fold, streams over sorted
+segments and holds only the turns that may still change.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import round_even
 
-SEGMENTS = "array<struct<s:double,e:double,pos:int,spk:int>>"
-
-
 def parse_segments(df: DataFrame, source: str, raw: str) -> DataFrame:
     """(source, pos, seg_start, seg_end, speaker) from an array of "start end speaker_k" texts; what doesn't parse is left out."""
     parts = df.select(source, F.posexplode(raw).alias("pos", "__t")).withColumn("__p", F.split(F.trim("__t"), r"\s+"))
@@ -47,30 +48,12 @@ def timeline(segments: DataFrame, source: str, most: float = 15.0) -> DataFrame:
     overlaps takes over half way, and a turn that half way leaves nothing of is dropped. Turns longer than `most` are cut
     into pieces of it (most <= 0: not).
     """
-    # what starts after all before it has ended opens an island; turns never go over its edge, so islands are folded by themselves
-    w = Window.partitionBy(source).orderBy("seg_start", "seg_end", "pos")
-    ended = F.max("seg_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    apart = segments.withColumn("__new", F.coalesce(F.col("seg_start") > ended, F.lit(True)).cast("int"))
-    apart = apart.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    arrays = apart.groupBy(source, "__island").agg(F.array_sort(F.collect_list(F.struct(F.col("seg_start").alias("s"), F.col("seg_end").alias("e"), "pos", F.col("speaker").alias("spk")))).alias("a"))
-    arrays = arrays.withColumn("a", F.col("a").cast(SEGMENTS))
-
-    def step(turns: Column, x: Column) -> Column:
-        last, n = F.get(turns, F.size(turns) - 1), F.size(turns)
-        before = F.slice(turns, 1, F.greatest(n - 1, F.lit(0)))
-        same = (last["spk"] == x["spk"]) & (x["s"] <= last["e"])
-        over = (last["spk"] != x["spk"]) & (x["s"] < last["e"])
-        middle = (x["s"] + last["e"]) / 2
-        grown = F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"), last["pos"].alias("pos"), last["spk"].alias("spk"))
-        cut = F.struct(last["s"].alias("s"), middle.alias("e"), last["pos"].alias("pos"), last["spk"].alias("spk"))
-        late = F.struct(middle.alias("s"), x["e"].alias("e"), x["pos"].alias("pos"), x["spk"].alias("spk"))
-        kept = F.when(middle <= last["s"], before).otherwise(F.concat(before, F.array(cut)))
-        added = F.when(x["e"] > middle, F.concat(kept, F.array(late))).otherwise(kept)
-        return F.when(n == 0, F.array(x)).when(same, F.concat(before, F.array(grown))).when(over, added).otherwise(F.concat(turns, F.array(x)))
-
-    folded = arrays.select(source, "__island", F.aggregate("a", F.array().cast(SEGMENTS), lambda t, x: step(t, x).cast(SEGMENTS)).alias("t"))
-    turns = folded.select(source, "__island", F.posexplode("t").alias("__at", "x"))
-    turns = turns.withColumn("turn", F.row_number().over(Window.partitionBy(source).orderBy("__island", "__at")) - 1)
+    of = segments.schema[source]
+    own = segments.select(source, F.col("seg_start").cast("double").alias("s"), F.col("seg_end").cast("double").alias("e"), "pos", F.col("speaker").cast("int").alias("spk"))
+    schema = T.StructType([of, *T.StructType.fromDDL("turn int, s double, e double, spk int")])
+    # a source's rows stream through one task, which holds the turns that a later segment can still reach
+    turns = own.repartition(source).sortWithinPartitions(source, "s", "e", "pos").drop("pos").mapInArrow(_fold(source), schema)
+    turns = turns.select(source, "turn", F.struct("s", "e", "spk").alias("x"))
     length = F.col("x.e") - F.col("x.s")
     n = F.greatest(F.ceil(length / most), F.lit(1)).cast("int") if most > 0 else F.lit(1)
     pieces = turns.withColumn("piece", F.explode(F.sequence(F.lit(0), n - 1)))
@@ -79,6 +62,52 @@ def timeline(segments: DataFrame, source: str, most: float = 15.0) -> DataFrame:
     return pieces.select(source, "turn", "piece", start.alias("start"), end.alias("end"), F.col("x.spk").alias("speaker"))
 
 
+def _fold(source: str):
+    """(source, turn, s, e, spk): the turns of sorted segments (source, s, e, spk)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, open_, n = None, [], 0  # the source, its turns that may still change, and how many it has given
+        for batch in batches:
+            keys, out = [], []
+
+            def settle(until: float) -> None:
+                nonlocal n, open_
+                k = 0
+                while k < len(open_) and open_[k][1] < until:
+                    keys.append(now)
+                    out.append((n, *open_[k]))
+                    k, n = k + 1, n + 1
+                open_ = open_[k:]
+
+            for key, s, e, spk in zip(*(batch.column(c).to_pylist() for c in (source, "s", "e", "spk"))):
+                if key != now:
+                    settle(float("inf"))
+                    now, n = key, 0
+                settle(s)  # no segment from here on starts before
+                if open_ and open_[-1][2] == spk and s <= open_[-1][1]:
+                    open_[-1] = (open_[-1][0], max(open_[-1][1], e), spk)
+                elif open_ and open_[-1][2] != spk and s < open_[-1][1]:
+                    start, end, other = open_.pop()
+                    middle = (s + end) / 2
+                    if middle > start:
+                        open_.append((start, middle, other))
+                    if e > middle:
+                        open_.append((middle, e, spk))
+                else:
+                    open_.append((s, e, spk))
+            yield _turns(batch.schema.field(source).type, source, keys, out)
+        rest = [(n + i, *t) for i, t in enumerate(open_)]
+        if rest:
+            yield _turns(batch.schema.field(source).type, source, [now] * len(rest), rest)
+
+    return run
+
+
+def _turns(kind: pa.DataType, source: str, keys: list, rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(keys, kind), *(pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.float64(), pa.float64(), pa.int32())))], [source, "turn", "s", "e", "spk"])
+
+
 def turn_ends(segments: DataFrame, source: str, most: float = 15.0, least: float = 1.0, gap: float = 0.5) -> DataFrame:
     """(source, start, end, speaker): segments merged up to a predicted end of turn.
 

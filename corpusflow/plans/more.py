@@ -7,16 +7,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric, paths, text
-from ..operators import collate, consensus, filters, intervals, manifest, partitioning, profile, scorers
+from ..operators import cache, collate, consensus, filters, intervals, manifest, partitioning, profile, scorers
 from ..schema import conformed
 from ..sinks import buckets, files, partials, records, versions
 from ..sinks.scratch import shared_dir
 from ..sources import audio, catalogue
 from ..sources import manifest as stored
+from ..streaming import sources
 from ..streaming.absorb import absorb
 from ..streaming.ingest import ingest
 from .common import clips, segments, table
@@ -401,5 +403,63 @@ def ingested_once(spark, d):
     return spark.read.schema(o.schema).parquet(f"{root}/out").groupBy("audio_id").agg(F.count("*").alias("n"))
 
 
-#: Queries whose files, models or archives are opaque to the JVM.
-PYTHON = {"tar_round_trip", "wav_durations", "scored_items"}
+def _above_last(kept, queued, chunk):
+    """A linear scorer: how far a frame's first number lies above the mean of the queue, and a tenth of its second."""
+    every = np.concatenate((kept, queued, chunk))
+    mean = queued[:, 0].mean() if len(queued) else 0.0
+    return np.stack((0.5 + (every[:, 0] - mean) / 997, every[:, 1] / 10), axis=1)
+
+
+@query("""
+with f as (select user_id, coalesce(value, 0) v, event_id, row_number() over (partition by user_id order by event_id) - 1 frame from events),
+  c as (select *, frame // 8 chunk from f), m as (select user_id, chunk + 1 chunk, avg(v) a from c group by 1, 2)
+select 'u' || user_id source, chunk::bigint chunk, frame::bigint frame, round(0.5 + (v - coalesce(a, 0)) / 997, 6) above, (event_id % 7) / 10::double other from c left join m using (user_id, chunk)
+""")
+def stateful_chunks(spark, d):
+    """Events as frames of their users, eight a chunk: chunks come in three batches, each with every third of all sources, and are scored in order from the state."""
+    root, e = _root(spark), table(spark, d, "events").where("user_id is not null")
+    frame = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    e = e.withColumn("frame", frame).select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source"), "frame", F.floor(F.col("frame") / 8).alias("chunk"), F.array(F.coalesce("value", F.lit(0.0)), (F.col("event_id") % 7).cast("double")).alias("x"), "ts")
+    x = F.transform(F.array_sort(F.collect_list(F.struct("frame", "x"))), lambda v: v["x"])
+    chunks = e.groupBy("source", "chunk").agg(x.alias("x"), F.max(F.col("ts").cast("timestamp")).alias("ts"))
+    chunks.repartitionByRange(3, 2 - F.col("chunk") % 3).write.parquet(f"{root}/chunks")
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/chunks").withWatermark("ts", "100 years")
+    scored = sources.scored_chunks(stream, _above_last, 2, cache.Rule(size=24, silence=1, speakers=2), 8)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, sources.ROCKS)
+    try:
+        scored.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    out = spark.read.schema(sources.OUTPUT).parquet(f"{root}/out").where("not ended")
+    return out.select("source", "chunk", "frame", F.round(F.get("p", F.lit(0)), 6).alias("above"), F.get("p", F.lit(1)).alias("other"))
+
+
+@query("""
+with f as (select label source, vec_id frame, embedding e from embeddings where embedding is not null and label is not null),
+  p as (select source, frame, unnest([0, 1, 2, 3]) speaker, unnest([0.5 + e[1]::double, 0.5 + e[2]::double, 0.5 + e[3]::double, 0.5 + e[4]::double]) p from f),
+  s as (select *, ln(greatest(p, 0.25)) - ln(greatest(1 - p, 0.25)) + sum(ln(greatest(1 - p, 0.25))) over (partition by source, frame) + ln(2) s0 from p),
+  k as (select *, count(*) filter (where s0 > 0) over (partition by source, speaker) >= 3 enough from s),
+  a as (select *, row_number() over (partition by source, speaker order by s0 desc, frame) r1 from k where p > 0.5 and (s0 > 0 or not enough)),
+  b as (select *, s0 + case when r1 <= 5 then 2 * ln(2) else 0 end s1 from a),
+  c as (select *, row_number() over (partition by source, speaker order by s1 desc, frame) r2 from b),
+  d as (select *, s1 + case when r2 <= 10 then ln(2) else 0 end s2 from c),
+  e as (select *, row_number() over (partition by source order by s2 desc, frame, speaker) r3 from d),
+  own as (select source, speaker, frame, s2 score from e where r3 <= 28),
+  quiet as (select source, unnest([0, 1, 2, 3]) speaker, null::bigint frame, null::double score from (select distinct source from f)),
+  slots as (select * from own union all select * from quiet union all select * from quiet union all select * from quiet),
+  n as (select source, speaker, frame, score, row_number() over (partition by source order by speaker, frame nulls last) - 1 slot from slots),
+  rest as (select source, null::int speaker, null::bigint frame, null::double score, unnest(range(count(*), 40)) slot from n group by source)
+select source, slot::int slot, speaker::int speaker, frame, round(score, 6) score from (select * from n union all select * from rest)
+""")
+def cache_compression(spark, d):
+    """Vectors as frames, labels as sources, four of their numbers as chances of four speakers: what a cache of 40 slots keeps."""
+    e = table(spark, d, "embeddings").where("embedding is not null and label is not null")
+    p = [F.struct(F.lit(i).alias("speaker"), (0.5 + F.get("embedding", F.lit(i)).cast("double")).alias("p")) for i in range(4)]
+    frames = e.select(F.col("label").alias("source"), F.col("vec_id").alias("frame"), F.explode(F.array(*p)).alias("v")).select("source", "frame", "v.*")
+    return cache.compressed(frames, "source", cache.Rule(size=40)).withColumn("score", F.round("score", 6))
+
+
+#: Queries whose files, models, archives or state are opaque to the JVM.
+PYTHON = {"stateful_chunks", "tar_round_trip", "wav_durations", "scored_items"}

@@ -302,3 +302,13 @@ def test_deletions_are_made_by_tasks(spark, tmp_path):
     df = spark.createDataFrame([(str(n), i % 2 == 0) for i, n in enumerate(names)] + [(None, True), (str(names[5]), True)], "filepath string, deleted boolean")
     assert files.delete_flagged(spark, df, confirmed=True) == 3
     assert [n.exists() for n in names] == [False, True, False, True, False, False]
+
+
+def test_one_long_island_streams(spark):
+    """300,000 segments that all overlap the next: one island, folded in passing."""
+    n = 300_000
+    seg = spark.range(n).select(F.lit("one").alias("source_id"), F.col("id").cast("int").alias("pos"), (F.col("id") * 1.0).alias("seg_start"), (F.col("id") + 1.5).alias("seg_end"), (F.col("id") % 2).cast("int").alias("speaker"))
+    out = intervals.timeline(seg, "source_id", most=0)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()  # nothing is collected
+    got = out.agg(F.count("*").alias("n"), F.max("turn").alias("last"), F.sum(F.col("end") - F.col("start")).alias("s"), F.min("start").alias("a"), F.max("end").alias("b")).first()
+    assert tuple(got) == (n, n - 1, n + 0.5, 0.0, n + 0.5)
