@@ -30,43 +30,64 @@ def numbered(df: DataFrame, by: list[str], order: list[str], ranges: int | None
     ranged = materialise(ranged)
     counts = ranged.groupBy("__part", *by).agg(F.sum(n).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row a range and group: written, so that Spark knows its size and sends it to all tasks only if it is small
     offsets = counts.select(F.col("__part").alias("__p"), *[F.col(c).alias(f"__by_{c}") for c in by], before.alias("__before"))
     same = (F.col("__part") == F.col("__p")) & reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by], F.lit(True))
     inside = Window.partitionBy("__part", *by).orderBy(*order)
     rank = F.row_number().over(inside) - 1 if weight is None else F.sum(n).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - n
-    placed = ranged.withColumn("__rank", rank).join(F.broadcast(offsets), same)  # a row a range and group: bounded
+    placed = ranged.withColumn("__rank", rank).join(materialise(offsets), same)
     return placed.withColumn("__row", F.col("__rank") + F.col("__before")).drop("__part", "__p", "__before", "__rank", *[f"__by_{c}" for c in by])
 
 
-#: Rows up to which percentiles are taken in one task a group.
-PERCENTILE_ROWS = 5_000_000
+#: Rows up to which percentiles of all groups, and of one, are taken by Spark's aggregate.
+PERCENTILE_ROWS, GROUP_ROWS = 5_000_000, 100_000
+#: Of quantile sketches: ranks are off by a share of 1 / ACCURACY at most, and brackets reach SLACK times as far.
+ACCURACY, SLACK = 10_000, 3
 
 
-def percentiles(df: DataFrame, by: list[str], value: str, points: list[float], most: int = PERCENTILE_ROWS) -> DataFrame:
+def percentiles(df: DataFrame, by: list[str], value: str, points: list[float], most: int = PERCENTILE_ROWS, group_rows: int = GROUP_ROWS, accuracy: int = ACCURACY) -> DataFrame:
     """(by..., q array<double>): exact percentiles of a number that is not null, interpolated linearly between the two rows around each.
 
-    Up to `most` rows Spark's own aggregate does it, which holds a group's distinct values in one task. Beyond, equal values are counted and
-    the counts summed in ranges, so the rows at each rank are found without any task that sees a whole group. Both give the same.
+    Up to `most` rows in all, and of groups of at most `group_rows` (and `accuracy`) rows, Spark's own aggregate does it, which holds a group's distinct values in one
+    task. Of larger groups mergeable quantile sketches give a bracket around each rank; a second scan counts what lies below each bracket
+    and keeps only the rows inside, a few in ten thousand, among which the ranks are exact. All ways give the same.
     """
     own = df.select(*by, F.col(value).cast("double").alias("__v")).where("__v is not null")
+    exact = F.percentile("__v", F.array(*[F.lit(float(p)) for p in points])).alias("q")
     if own.count() <= most:
-        return own.groupBy(*by).agg(F.percentile("__v", F.array(*[F.lit(float(p)) for p in points])).alias("q"))
-    counted = numbered(own.groupBy(*by, "__v").agg(F.count("*").alias("__n")), by, ["__v"], weight="__n")
-    total = counted.groupBy(*by).agg(F.sum("__n").alias("__total"))
-    wanted = total.select(*[F.col(c).alias(f"__of_{c}") for c in by], "__total", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(points)])).alias("__x"))
-    at = F.col("__x.p") * (F.col("__total") - 1)
-    wanted = wanted.select(*[f"__of_{c}" for c in by], "__x.i", (at - F.floor(at)).alias("__part"), F.explode(F.array(F.struct(F.floor(at).alias("k"), F.lit(False).alias("up")), F.struct(F.ceil(at).alias("k"), F.lit(True).alias("up")))).alias("__r"))
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in by], (F.col("__r.k") >= F.col("__row")) & (F.col("__r.k") < F.col("__row") + F.col("__n")))
-    hit = counted.join(F.broadcast(wanted), same)  # a few rows a group
-    one = hit.groupBy(*by, "i").agg(F.max(F.when(~F.col("__r.up"), F.col("__v"))).alias("a"), F.max(F.when(F.col("__r.up"), F.col("__v"))).alias("b"), F.first("__part").alias("f"))
-    pairs = one.select(*by, "i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("v"))
-    return pairs.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("q"))
+        return own.groupBy(*by).agg(exact)
+    edges = [min(max(p + side * SLACK / accuracy, 0.0), 1.0) for p in points for side in (-1, 1)]
+    sketch = F.when(F.count("*") > max(group_rows, accuracy), F.percentile_approx("__v", edges, accuracy)).alias("__edges")
+    # written, so that Spark knows the size of a row a group and sends it to all tasks only if it is small
+    groups = materialise(own.groupBy(*by).agg(F.count("*").alias("__total"), sketch))
+    beside_rows = beside(own, groups, by)
+    small = beside_rows.where("__edges is null").groupBy(*by).agg(exact)
+    large = beside_rows.where("__edges is not null")
+    edge = lambda i, side: F.get("__edges", F.lit(2 * i + side))
+    lo = [F.lit(float("-inf")) if edges[2 * i] == 0 else edge(i, 0) for i in range(len(points))]
+    hi = [F.lit(float("nan")) if edges[2 * i + 1] == 1 else edge(i, 1) for i in range(len(points))]  # NaN is above all numbers
+    below = large.groupBy(*by, "__total").agg(F.array(*[F.count_if(F.col("__v") < x) for x in lo]).alias("__below"))
+    places = F.array(*[F.when((F.col("__v") >= a) & (F.col("__v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(lo, hi))])
+    inside = large.select(*by, "__v", F.explode(F.array_compact(places)).alias("__i")).groupBy(*by, "__i", "__v").agg(F.count("*").alias("__n"))
+    counted = numbered(inside, [*by, "__i"], ["__v"], weight="__n")
+    counted = beside(counted, below, by)
+    p = F.get(F.array(*[F.lit(float(p)) for p in points]), F.col("__i"))
+    at = p * (F.col("__total") - 1)
+    first = F.get("__below", F.col("__i")) + F.col("__row")  # the rank of the value's first row in its group
+    holds = lambda k: (k >= first) & (k < first + F.col("__n"))
+    one = counted.where(holds(F.floor(at)) | holds(F.ceil(at))).groupBy(*by, "__i").agg(
+        F.max(F.when(holds(F.floor(at)), F.col("__v"))).alias("a"), F.max(F.when(holds(F.ceil(at)), F.col("__v"))).alias("b"), F.first(at - F.floor(at)).alias("f"),
+    )
+    pairs = one.select(*by, "__i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("v"))
+    found = pairs.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "v"))), lambda x: x["v"]).alias("q"))
+    # without groups an aggregate of no rows is a row, too
+    return small.where("q is not null").unionByName(found.where("size(q) > 0"))
 
 
 def beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
-    """a and b, a row a group each, side by side; groups may be null."""
+    """a and b, a row a group of b, side by side; groups may be null."""
     if not by:
-        return a.crossJoin(F.broadcast(b))  # one row each
+        return a.crossJoin(F.broadcast(b))  # b has one row
     b = b.withColumnsRenamed({c: f"__of_{c}" for c in by})
     return a.join(b, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in by])).drop(*[f"__of_{c}" for c in by])
 

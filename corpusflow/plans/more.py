@@ -221,9 +221,9 @@ def padded_batches(spark, d):
 select user_id, count(*)::bigint n, round(quantile_cont(value, 0.1), 6) p10, round(quantile_cont(value, 0.5), 6) p50, round(quantile_cont(value, 0.99), 6) p99 from events where value is not null group by 1
 """)
 def ranked_percentiles(spark, d):
-    """Percentiles by ranks, the way that no task sees a whole group."""
+    """Percentiles by brackets from sketches, the way that no task sees a whole group and few rows are sent."""
     e = table(spark, d, "events").where("value is not null").select("user_id", "value")
-    q = partitioning.percentiles(e, ["user_id"], "value", [0.1, 0.5, 0.99], most=0)
+    q = partitioning.percentiles(e, ["user_id"], "value", [0.1, 0.5, 0.99], most=0, group_rows=0, accuracy=20)
     n = e.groupBy("user_id").agg(F.count("*").alias("n"))
     return n.join(q, "user_id").select("user_id", "n", *[F.round(F.get("q", F.lit(i)), 6).alias(f"p{p}") for i, p in enumerate((10, 50, 99))])
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,3 +313,33 @@ def test_one_long_island_streams(spark):
     assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()  # nothing is collected
     got = out.agg(F.count("*").alias("n"), F.max("turn").alias("last"), F.sum(F.col("end") - F.col("start")).alias("s"), F.min("start").alias("a"), F.max("end").alias("b")).first()
     assert tuple(got) == (n, n - 1, n + 0.5, 0.0, n + 0.5)
+
+
+def test_percentiles_by_brackets(spark):
+    """Ties, infinities, NaN and constant groups, groups large and small: as numpy has them, whatever way is taken."""
+    rng = np.random.default_rng(4)
+    groups = {"a": rng.normal(size=40_000), "b": rng.integers(0, 5, 30_000).astype(float), "c": np.full(20_001, 2.5), "d": rng.normal(size=7), None: rng.exponential(size=15_000), "e": np.array([1.0])}
+    rows = [(g, float(v)) for g, x in groups.items() for v in x] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    points = [0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0]
+    for more in ({"most": 10**9}, {"most": 0, "group_rows": 0}, {"most": 0, "group_rows": 0, "accuracy": 20}, {"most": 0, "group_rows": 10_000, "accuracy": 1000}):
+        got = {r.g: r.q for r in partitioning.percentiles(df, ["g"], "v", points, **more).collect()}
+        assert set(got) == set(groups)
+        for g, x in groups.items():
+            assert got[g] == pytest.approx(np.quantile(x, points), rel=1e-12), (g, more)
+    whole = np.concatenate(list(groups.values()))
+    (one,) = partitioning.percentiles(df, [], "v", points, most=0, group_rows=0).collect()
+    assert one.q == pytest.approx(np.quantile(whole, points), rel=1e-12)
+    assert partitioning.percentiles(df.where("false"), ["g"], "v", points, most=-1).count() == 0
+
+
+def test_few_rows_are_sent(spark):
+    """Of two million rows in one group, under a hundredth lies inside the brackets."""
+    df = spark.range(2_000_000).select(F.lit(1).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(10**12)) / 7).alias("v"))
+    edges = [e for p in (0.05, 0.25, 0.5, 0.75, 0.95) for e in (p - partitioning.SLACK / partitioning.ACCURACY, p + partitioning.SLACK / partitioning.ACCURACY)]
+    got = df.agg(F.percentile_approx("v", edges, partitioning.ACCURACY)).first()[0]
+    inside = df.where(" or ".join(f"v between {a} and {b}" for a, b in zip(got[::2], got[1::2]))).count()
+    assert inside < 20_000
+    q = partitioning.percentiles(df, ["g"], "v", [0.05, 0.25, 0.5, 0.75, 0.95], most=0).first().q
+    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.05, 0.25, 0.5, 0.75, 0.95)]))).first()[0]
+    assert q == pytest.approx(want, rel=1e-12)
