@@ -16,11 +16,16 @@ from ..functions.numeric import percent
 from ..functions.text import consensus_key, is_missing, normalize_transcript
 
 
+def digest(text: Column) -> Column:
+    """128 bits that stand for a text, made where it is read."""
+    return F.unhex(F.md5(F.encode(text, "utf-8")))
+
+
 def agreed(candidates: DataFrame, k: int, key: str = "filepath") -> DataFrame:
     """(key) of clips for which k transcripts or more are the same. k < 1: none."""
     if k < 1:
         return candidates.select(key).limit(0)
-    same = candidates.where(~is_missing(F.col("text"))).groupBy(key, consensus_key(F.col("text")).alias("t")).agg(F.count("*").alias("n"))
+    same = candidates.where(~is_missing(F.col("text"))).groupBy(key, digest(consensus_key(F.col("text"))).alias("t")).agg(F.count("*").alias("n"))
     return same.where(F.col("n") >= k).select(key).distinct()
 
 
@@ -44,8 +49,9 @@ def agreement(columns: Sequence[str]) -> Column:
 
 
 def agreement_of(candidates: DataFrame, key: str = "filepath") -> DataFrame:
-    """(key, asr_consistency_percent) from the long table."""
-    n = candidates.withColumn("t", normalize_transcript(F.col("text"))).where("t <> ''").groupBy(key, "t").agg(F.count("*").alias("n"))
+    """(key, asr_consistency_percent) from the long table; of the texts only digests are sent."""
+    said = candidates.select(key, normalize_transcript(F.col("text")).alias("t")).where("t <> ''")
+    n = said.groupBy(key, digest(F.col("t")).alias("t")).agg(F.count("*").alias("n"))
     return n.groupBy(key).agg(F.when(F.sum("n") >= 2, percent(F.max("n") - 1, F.sum("n") - 1)).alias("asr_consistency_percent"))
 
 

@@ -125,18 +125,50 @@ def turn_ends(segments: DataFrame, source: str, most: float = 15.0, least: float
     return out.where(F.col("end") - F.col("start") >= least).select(source, "start", "end", "speaker")
 
 
-def overlaps(clips: DataFrame, segments: DataFrame, source: str, width: float = 60.0) -> DataFrame:
+#: The shortest bins, in seconds, and levels of bins that are twice as long each: over a year.
+SHORTEST, LEVELS = 0.25, 28
+
+
+def levelled(df: DataFrame, start: str, end: str) -> DataFrame:
+    """df with __level and __bin: each interval on the one level whose bins are no shorter than it, so it lies in two bins at most; a row for each."""
+    length = F.greatest(F.col(end) - F.col(start), F.lit(SHORTEST))
+    level = F.least(F.ceil(F.log2(length / SHORTEST)), F.lit(LEVELS)).cast("int")
+    width = F.pow(F.lit(2.0), F.col("__level")) * SHORTEST
+    bins = F.array_distinct(F.transform(F.array(F.col(start), F.col(end)), lambda x: F.floor(x / width)))
+    # beyond the longest bins an interval may lie in more than two
+    bins = F.when(F.col("__level") < LEVELS, bins).otherwise(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width)))
+    return df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start))).withColumn("__level", level).withColumn("__bin", F.explode(bins))
+
+
+def overlaps(clips: DataFrame, segments: DataFrame, source: str) -> DataFrame:
     """clips with each segment of their source that overlaps (touching doesn't), clipped to the clip as s, e.
 
-    Both sides are spread over bins of `width`, so a source with very many segments is joined bin by bin; a pair
-    counts in the bin where its overlap starts.
+    Both sides lie on levels of bins by their lengths, in two bins at most, whatever the lengths are. A pair meets on the coarser of its levels, so an interval
+    has two rows for its own level and two for each level above it that the other side has. A pair counts in the bin in which its overlap starts.
     """
-    bins = lambda a, b: F.sequence(F.floor(F.col(a) / width), F.floor(F.col(b) / width))
-    c = clips.withColumn("__bin", F.explode(bins("clip_start", "clip_end")))
-    g = segments.withColumn("__sbin", F.explode(bins("seg_start", "seg_end"))).withColumnRenamed(source, "__source")
+    width = F.pow(F.lit(2.0), F.col("__level")) * SHORTEST
+    own = lambda df: df.select("*", F.col("__level").alias("__on"))
+    c, g = levelled(clips, "clip_start", "clip_end"), levelled(segments, "seg_start", "seg_end")
+    have = [d.select("__level").distinct().agg(F.collect_set("__level")).first()[0] for d in (c, g)]  # 29 numbers at most
+
+    def raised(df: DataFrame, start: str, end: str, levels: list[int]) -> DataFrame:
+        """The rows on each of these levels above their own."""
+        up = F.filter(F.array(*[F.lit(x).cast("int") for x in sorted(levels)]), lambda x: x > F.col("__level"))
+        each = df.where(F.col("__bin") == F.floor(F.col(start) / width)).withColumn("__on", F.explode(up))
+        on = F.pow(F.lit(2.0), F.col("__on")) * SHORTEST
+        return each.withColumn("__bin", F.explode(F.array_distinct(F.array(F.floor(F.col(start) / on), F.floor(F.col(end) / on)))))
+
     s, e = F.greatest("clip_start", "seg_start"), F.least("clip_end", "seg_end")
-    joined = c.join(g, (c[source] == g["__source"]) & (F.col("__bin") == F.col("__sbin")) & (s < e))
-    return joined.withColumns({"s": s, "e": e}).where(F.floor(F.col("s") / width) == F.col("__bin")).drop("__bin", "__sbin", "__source")
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        b = b.withColumnsRenamed({source: "__source", "__on": "__son", "__bin": "__sbin"}).drop("__level")
+        on = F.pow(F.lit(2.0), F.col("__on")) * SHORTEST
+        joined = a.drop("__level").join(b, (F.col(source) == F.col("__source")) & (F.col("__on") == F.col("__son")) & (F.col("__bin") == F.col("__sbin")) & (s < e))
+        return joined.withColumns({"s": s, "e": e}).where(F.floor(F.col("s") / on) == F.col("__bin")).drop("__bin", "__sbin", "__source", "__on", "__son")
+
+    # segments no longer than the clip, level by level, and then those that are longer
+    low = met(own(c), own(g).unionByName(raised(g, "seg_start", "seg_end", have[0])))
+    return low.unionByName(met(raised(c, "clip_start", "clip_end", have[1]), own(g)))
 
 
 def clip_metrics(clips: DataFrame, segments: DataFrame, source: str, clip: str) -> DataFrame:

@@ -268,6 +268,21 @@ def appended_partials(spark, d):
     return partials.merged(spark, root).select("filepath", "score", "note")
 
 
+@query("""
+select cast(doc_id as varchar) filepath, (n_chars + doc_id % 40)::varchar score, case when doc_id % 40 >= 20 then lang end note from documents
+""")
+def compacted_partials(spark, d):
+    """Forty runs, of which each clip is in two; they are compacted in levels, two later runs lie beside them."""
+    root, c = _root(spark), table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("filepath"), "doc_id", F.col("n_chars").alias("score"), "lang")
+    partials.append(c.select("filepath", "score"), root)
+    for i in range(40):
+        own = c.where(F.col("doc_id") % 40 == i).select("filepath", (F.col("score") + i).alias("score"), *([F.col("lang").alias("note")] if i >= 20 else []))
+        partials.append(own, root)
+        if i == 37:
+            partials.compact(spark, root, fan=6)
+    return partials.merged(spark, root).select("filepath", "score", "note")
+
+
 @query("""
 select doc_id from documents where doc_id not in (select doc_id from labels)
 """)

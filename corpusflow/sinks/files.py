@@ -152,14 +152,16 @@ def write_tars(samples: DataFrame, root: str, most_bytes: int = SHARD_BYTES, mos
 
         store, where = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
         store.create_dir(where, recursive=True)
-        part = TaskContext.get().partitionId() if TaskContext.get() else 0
+        task = TaskContext.get()
+        part = task.partitionId() if task else 0
+        own = f".{task.taskAttemptId() if task else 0}.tmp"  # two attempts of a task don't write the same file
         shard, open_ = 0, None
 
         def close() -> pa.RecordBatch:
             tar, out, name, n, size = open_
             tar.close()
             out.close()
-            store.move(name + ".tmp", name)
+            store.move(name + own, name)
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([size], pa.int64())], ["path", "samples", "bytes"])
 
         for batch in batches:
@@ -171,7 +173,7 @@ def write_tars(samples: DataFrame, root: str, most_bytes: int = SHARD_BYTES, mos
                     open_, shard = None, shard + 1
                 if not open_:
                     name = f"{where}/shard-{part:05d}-{shard:05d}.tar"
-                    out = store.open_output_stream(name + ".tmp")
+                    out = store.open_output_stream(name + own)
                     open_ = [tarfile.open(fileobj=out, mode="w|"), out, name, 0, 0]  # noqa: SIM115
                 key = row["key"].replace(".", "_")
                 for member, raw in ((f"{key}.{row['ext']}", data), (f"{key}.json", json.dumps(clean(dict(row["meta"] or {})), ensure_ascii=False, allow_nan=False).encode())):

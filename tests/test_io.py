@@ -264,3 +264,27 @@ def test_reports_are_whole(spark, tmp_path):
     text = records.markdown(spark.read.parquet(path), missing)
     assert sum(line.startswith("| s") for line in text.splitlines()) == 1500
     assert sum(line.startswith("| c") for line in text.splitlines()) == 1500
+
+
+def test_partials_in_levels(spark, tmp_path):
+    """Runs of two sets of columns, compacted in levels: the last row of a key wins as without it, and the plan has a few scans."""
+    from corpusflow.sinks import partials
+
+    one, two = f"file://{tmp_path}/one", f"file://{tmp_path}/two"
+    for k in range(30):
+        own = [(f"k{(k * j) % 11}", str(k), "a,\n\"q\"" if j % 2 else None) for j in range(1, 4)]
+        df = spark.createDataFrame(own, "filepath string, a string, b string").coalesce(1)
+        for root in (one, two):
+            partials.append(df if k % 3 else df.drop("b"), root)
+        if k % 4 == 3:
+            partials.compact(spark, two, fan=3)
+    assert partials.rows(spark, one) == partials.rows(spark, two) == 90
+    same = lambda root: sorted(map(str, partials.merged(spark, root).select("filepath", "a", "b").collect()))
+    assert same(one) == same(two)
+    assert len(partials.runs(spark, two)) < 4
+    plan = partials.merged(spark, one)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("Relation[") <= 2
+    assert partials.compact(spark, one, fan=1000) == 0
+    # a table whose inputs aren't recorded yet doesn't count
+    spark.createDataFrame([("k1", "9", "p99999999999999999999", "f", 1)], "filepath string, a string, __run string, __file string, __row long").write.parquet(f"{two}/l1-{9:020d}")
+    assert same(one) == same(two)

@@ -343,3 +343,18 @@ def test_few_rows_are_sent(spark):
     q = partitioning.percentiles(df, ["g"], "v", [0.05, 0.25, 0.5, 0.75, 0.95], most=0).first().q
     want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.05, 0.25, 0.5, 0.75, 0.95)]))).first()[0]
     assert q == pytest.approx(want, rel=1e-12)
+
+
+def test_overlaps_of_all_lengths(spark):
+    """Lengths from a tenth of a second to ten hours, on both sides: the pairs of brute force, and few rows an interval."""
+    rng = np.random.default_rng(8)
+    length = lambda n: np.exp(rng.uniform(np.log(0.1), np.log(36_000), n)).round(2)
+    start = lambda n: rng.uniform(-50_000, 50_000, n).round(2)
+    clips = [(int(i), "s", float(a), float(a + l)) for i, (a, l) in enumerate(zip(start(150), length(150)))] + [(900, "s", 3.0, 3.0), (901, None, 0.0, 9.0), (902, "s", None, 1.0), (903, "s", 1e9, 1e9 + 2e8)]
+    segs_ = [("s", int(i), float(a), float(a + l), 0) for i, (a, l) in enumerate(zip(start(300), length(300)))] + [("s", 900, 1e9 + 5.0, 1e9 + 6.0, 0), ("s", 901, 5.0, 5.0, 0)]
+    c = spark.createDataFrame(clips, "clip int, source_id string, clip_start double, clip_end double")
+    g = spark.createDataFrame(segs_, "source_id string, pos int, seg_start double, seg_end double, speaker int")
+    got = sorted((r.clip, r.pos, r.s, r.e) for r in intervals.overlaps(c, g, "source_id").collect())
+    want = sorted((i, p, max(a, x), min(b, y)) for i, s, a, b in clips if s and a is not None for _, p, x, y, _ in segs_ if max(a, x) < min(b, y))
+    assert got == want
+    assert intervals.levelled(g, "seg_start", "seg_end").groupBy("pos").count().where("count > 2").count() == 0
