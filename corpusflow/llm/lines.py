@@ -102,7 +102,8 @@ def remove_lines(docs: DataFrame, rows: DataFrame, lines: DataFrame, removed: st
     has = rows.select("row", F.explode("spread.line").alias("line"))
     hits = has.join(bad, has["line"] == bad["l"]).groupBy("row").agg(F.collect_set("line").alias("bad"))
     key, row, gone, kept = (_free(n, docs) for n in ("key", "row", "bad", "kept"))
-    hits = hits.toDF(row, gone)
+    # joined the same way at every size: by sorting, so no growing table is sent to all tasks
+    hits = hits.toDF(row, gone).hint("merge")
     joined = docs.withColumn(key, row_key()).join(hits, F.col(key) == F.col(row), "left")
     split = F.split("text", "\n")
     hit = F.col(gone).isNotNull()
