@@ -7,7 +7,8 @@ stretch, its lines, and overlapping windows of it, so neither the length of a pa
 
 The model is trained here on variants of notice templates, on sentences that only sound like licences, and on a bounded sample of
 the corpus's lines as the unknown class. A temperature calibrates it, fitted with whole templates held out; what is
-not likely enough of one family is unknown. A prediction counts only if the words hold enough of the 3-grams of one of the family's
+not likely enough of one family is unknown. Families that share clauses are told apart by a document's words: the title of a whole licence text says whose the
+text below it is, among families that speak of one another, and clauses that BSD licences share count for the one whose own clauses are there. A prediction counts only if the words hold enough of the 3-grams of one of the family's
 templates, or are an excerpt of one. Of confirmed stretches that overlap the one that holds most counts. "All rights reserved" alone
 confirms nothing unless it is the whole paragraph, and nothing beside another family in the document.
 
@@ -78,8 +79,28 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "SPDX-License-Identifier: CC0-1.0"],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
+    "GPL-1.0": ["This work is licensed under the GNU General Public License, version 1.", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989", "SPDX-License-Identifier: GPL-1.0-or-later", "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 1, or (at your option) any later version."],
+    "MPL-1.1": ["Licensed under the Mozilla Public License, version 1.1.", "MOZILLA PUBLIC LICENSE Version 1.1", "SPDX-License-Identifier: MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", "Licensed under the Simplified BSD License.", "SPDX-License-Identifier: BSD-2-Clause"],
+    "Zlib": ["Licensed under the zlib License.", "SPDX-License-Identifier: Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "bzip2-1.0.6": ["Licensed under the bzip2 and libbzip2 License v1.0.6.", "SPDX-License-Identifier: bzip2-1.0.6", "This program, bzip2, the associated library libbzip2, and all documentation, are copyright (C) Julian R Seward. All rights reserved."],
     "Proprietary": ["All rights reserved.", "Copyright, all rights reserved. No part of this work may be reproduced without permission.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
+# How whole licence texts begin, at the start of a line; the first of each family is a template too.
+TITLES = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"), ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("GPL-1.0", "GNU GENERAL PUBLIC LICENSE Version 1, February 1989"),
+    ("LGPL", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"), ("LGPL", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991"), ("LGPL", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"), ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MPL-1.1", "MOZILLA PUBLIC LICENSE Version 1.1"), ("CC0-1.0", "CC0 1.0 Universal"), ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+]
+for _family, _title in TITLES:
+    if _title not in TEMPLATES[_family]:
+        TEMPLATES[_family].append(_title)
+#: Families whose texts speak of one another: below a title only its own counts of them.
+RELATED = [{"GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL", "AGPL-3.0"}, {"Apache-2.0", "MPL-1.1", "MPL-2.0"}, {"MPL-2.0", "GPL-2.0", "LGPL", "AGPL-3.0"}, {"CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"}]
+# Words of a document that tell families with the same clauses apart.
+ORIGIN = "The origin of this software must not be misrepresented"
+CLAUSE_1, CLAUSE_2, CLAUSE_3 = "Redistributions of source code must retain", "Redistributions in binary form must reproduce", ("Neither the name of", "BSD 3 Clause", "may not be used to endorse or promote", "be used to endorse or promote products")
+APACHE = ("Apache License", "Apache Software Foundation", "www apache org", "License Identifier Apache")
 # Sentences that sound like licences and name no family.
 GENERIC = [
     "See the license file for details.", "This product requires a license.", "The license of this work is unknown.", "Licensed to the customer under a separate agreement.", "The driver needs a license, version of the year.",
@@ -288,6 +309,7 @@ def scan_block(block: Block, model: Model) -> Iterator[tuple]:
         return
     hit = np.unique(np.concatenate((at, at3)))
     # stretches of features with fewer than GAP words between, within a paragraph
+    found: list[tuple] = []
     apart = np.flatnonzero((np.diff(hit) > GAP) | (paragraph[hit[1:]] != paragraph[hit[:-1]])) + 1
     for own in np.split(hit, apart):
         a, b = int(own[0]), int(own[-1]) + 2
@@ -300,7 +322,58 @@ def scan_block(block: Block, model: Model) -> Iterator[tuple]:
         whole = (a == 0 or paragraph[a - 1] != paragraph[a]) and (b == len(s) or paragraph[b] != paragraph[a])
         d = int(doc[a])
         for i, j, family, p, contained in _verdicts(model, np.cumsum(sums, axis=0), line[a:b], hashes[a:b], whole):
-            yield d, int(line[a + i] - first_line[d]), family, p, contained
+            found.append((d, int(line[a + i] - first_line[d]), family, p, contained))
+    if found:
+        yield from _told_apart(found, Phrases(hashes, doc, line, first_line))
+
+
+class Phrases:
+    """Where fixed phrases occur in a block of words."""
+
+    def __init__(self, hashes: np.ndarray, doc: np.ndarray, line: np.ndarray, first_line: np.ndarray):
+        self.hashes, self.doc, self.line, self.first_line = hashes, doc, line, first_line
+
+    def at(self, phrase: str) -> np.ndarray:
+        """The first words of a phrase's occurrences within a document."""
+        own = _hashes(phrase)
+        at = np.flatnonzero(self.hashes[: len(self.hashes) - len(own) + 1] == own[0])
+        for k, h in enumerate(own.tolist()):
+            at = at[self.hashes[at + k] == h]
+        return at[self.doc[at] == self.doc[at + len(own) - 1]]
+
+    def docs(self, *phrases: str) -> set[int]:
+        return {d for p in phrases for d in self.doc[self.at(p)].tolist()}
+
+    def titles(self) -> dict[int, list[tuple[int, str]]]:
+        """(line, family) of each document's titles, in order."""
+        out: dict[int, list[tuple[int, str]]] = {}
+        for family, title in TITLES:
+            at = self.at(title)
+            for i in at[(at == 0) | (self.line[at - 1] != self.line[at])].tolist():
+                d = int(self.doc[i])
+                out.setdefault(d, []).append((int(self.line[i] - self.first_line[d]), family))
+        return {d: sorted(x) for d, x in out.items()}
+
+
+def _hashes(text: str) -> np.ndarray:
+    return _block([text])[1][0]
+
+
+def _told_apart(found: list[tuple], phrases: Phrases) -> Iterator[tuple]:
+    """What was found, by what tells families apart that share clauses: a title says whose text follows, and some families ask for words that only they have."""
+    titles = phrases.titles()
+    first, second, third, origin, apache = (phrases.docs(*x) for x in ((CLAUSE_1,), (CLAUSE_2,), CLAUSE_3, (ORIGIN,), APACHE))
+    for d, line, family, p, contained in found:
+        title = next((f for at, f in reversed(titles.get(d, [])) if at <= line), None)
+        if title and family != title and any(title in g and family in g for g in RELATED):
+            continue
+        if family == "Apache-2.0" and d not in apache:
+            continue
+        if family in ("BSD-3-Clause", "BSD-2-Clause") and d in origin and d in first:
+            family = "bzip2-1.0.6"
+        elif family == "BSD-3-Clause" and d in second and d not in third:
+            family = "BSD-2-Clause"
+        yield d, line, family, p, contained
 
 
 def _verdicts(model: Model, sums: np.ndarray, line: np.ndarray, hashes: np.ndarray, whole: bool) -> list[tuple]:
