@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import more, queries
+from .plans import files, more, queries
 
 QUERIES = dict(queries.QUERIES)
 ORACLES = dict(queries.ORACLES)
 #: Queries that need Python workers: files, models, archives and word alignment are opaque to the JVM.
-PYTHON = {"rover_vote", *more.PYTHON}
+PYTHON = {"rover_vote", *more.PYTHON, *files.PYTHON}
