@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent, ratio
+from ..sinks.scratch import materialise
 from .partitioning import beside, numbered, percentiles
 
 # Metrics of a profile in their order, percentiles of its summaries.
@@ -98,31 +101,103 @@ def quantile_grid(df: DataFrame, metrics: Sequence[str], steps: int = 10, digits
     return p.select("metric", F.posexplode("v").alias("i", "v")).select("metric", F.round(F.col("i") / steps, 6).alias("q"), F.round("v", digits).alias("value"))
 
 
-def correlations(df: DataFrame, metrics: Sequence[str], digits: int = 6) -> DataFrame:
-    """(metric_a, metric_b, corr) of pairwise complete rows, for metrics with more than one value; one aggregation."""
-    good = {m: F.when(~F.isnan(F.col(m).cast("double")) & (F.abs(F.col(m).cast("double")) < float("inf")), F.col(m).cast("double")) for m in metrics}
+#: Metrics up to which correlations are one row of aggregates; of more, tasks sum products of whole blocks.
+WIDE = 24
+
+
+def correlations(df: DataFrame, metrics: Sequence[str], digits: int = 6, wide: int = WIDE) -> DataFrame:
+    """(metric_a, metric_b, corr) of pairwise complete rows, for metrics with more than one value.
+
+    Few metrics are one aggregation with an expression a pair. Of more than `wide`, tasks sum the products of batches of rows, as matrices with masks of
+    what is there, around rough means that keep the sums small; a task gives a row a pair. Both give the same.
+    """
+    good = {m: F.when(~F.isnan(F.col(f"`{m}`").cast("double")) & (F.abs(F.col(f"`{m}`").cast("double")) < float("inf")), F.col(f"`{m}`").cast("double")) for m in metrics}
+    own = df.select(*[v.alias(m) for m, v in good.items()])
+    if len(metrics) > wide:
+        return _wide_correlations(own, list(metrics), digits)
     pairs = [(a, b) for i, a in enumerate(metrics) for b in metrics[i:]]
-    one = df.select(*[v.alias(m) for m, v in good.items()]).agg(*[(F.max(m) > F.min(m)).alias(f"v_{m}") for m in metrics], *[_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    one = own.agg(*[(F.max(m) > F.min(m)).alias(f"v_{m}") for m in metrics], *[_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     rows = F.array(*[F.struct(F.lit(x).alias("metric_a"), F.lit(y).alias("metric_b"), (F.col(f"v_{a}") & F.col(f"v_{b}")).alias("ok"), F.col(f"`{a}|{b}`").alias("c")) for a, b in pairs for x, y in dict.fromkeys([(a, b), (b, a)])])
     return one.select(F.explode(rows).alias("x")).where("x.ok").select("x.metric_a", "x.metric_b", F.round("x.c", digits).alias("corr"))
 
 
+def _wide_correlations(own: DataFrame, metrics: list[str], digits: int) -> DataFrame:
+    stats = own.agg(F.array(*[F.avg(f"`{m}`") for m in metrics]).alias("mean"), F.array(*[F.max(f"`{m}`") > F.min(f"`{m}`") for m in metrics]).alias("varies")).first()  # one row
+    middle = np.array([x or 0.0 for x in stats["mean"]])
+    k = len(metrics)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, k, k))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) - middle
+            there = ~np.isnan(x)
+            x[~there] = 0.0
+            m = there.astype(float)
+            for total, more in zip(sums, (m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x)):  # row: the metric that is summed; column: the other, where it is there
+                total += more
+        a, b = np.triu_indices(k)
+        n, s, q, p = sums
+        cols = [a.astype(np.int32), b.astype(np.int32), n[a, b], s[a, b], s[b, a], q[a, b], q[b, a], p[a, b]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [x.split()[0] for x in _SUMS.split(", ")])
+
+    each = own.mapInArrow(run, _SUMS).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    spread = lambda q, s: F.sqrt(F.greatest(F.col(q) - F.col(s) * F.col(s) / F.col("n"), F.lit(0.0)))
+    corr = (F.col("p") - F.col("sa") * F.col("sb") / F.nullif(F.col("n"), F.lit(0.0))) / F.nullif(spread("qa", "sa") * spread("qb", "sb"), F.lit(0.0))
+    name = lambda i: F.get(F.array(*[F.lit(m) for m in metrics]), F.col(i))
+    varies = F.array(*[F.lit(bool(v)) for v in stats["varies"]])
+    some = each.where(F.get(varies, F.col("a")) & F.get(varies, F.col("b"))).select(name("a").alias("x"), name("b").alias("y"), F.round(F.when(F.col("n") > 1, corr), digits).alias("corr"))
+    both = F.array_distinct(F.array(F.struct(F.col("x").alias("metric_a"), F.col("y").alias("metric_b")), F.struct(F.col("y").alias("metric_a"), F.col("x").alias("metric_b"))))
+    return some.select(F.explode(both).alias("m"), "corr").select("m.metric_a", "m.metric_b", "corr")
+
+
+_SUMS = "a int, b int, n double, sa double, sb double, qa double, qb double, p double"
+
+
 def _corr(a: str, b: str) -> Column:
     """Pearson's correlation; null for a constant (corr() divides by zero there)."""
     both = F.stddev_samp(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_samp(F.when(F.col(a).isNotNull(), F.col(b)))
     return F.covar_samp(a, b) / F.nullif(both, F.lit(0.0))
 
 
-def categories(df: DataFrame, columns: Sequence[str], top: int = 50) -> DataFrame:
-    """(column, value, n, percent) of each column's most common values; null is <NA>.
+#: Rows up to which all values are counted; values that a sketch of frequent ones tracks, and its error as a share of the rows times that number.
+CATEGORY_ROWS, TRACKED, SKETCH_ERROR = 5_000_000, 10_000, 3.5
+
+
+def categories(df: DataFrame, columns: Sequence[str], top: int = 50, most: int = CATEGORY_ROWS, tracked: int = TRACKED) -> DataFrame:
+    """(column, value, n, percent, rank) of each column's most common values; null is <NA>, equal counts are ordered by value.
 
-    Counts are partial aggregates; only distinct values reach the ranking.
+    Up to `most` rows all values are counted. Of more, mergeable sketches of frequent values give candidates, a second scan counts these exactly, and only they are
+    sent. A column is settled so if its sketch held all its values, or if its last ranked count is above what any value can have
+    that the sketch lost; of other columns (keys, say) all values are counted.
     """
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("<NA>")).alias("value")) for c in columns])
-    n = df.select(F.explode(rows).alias("x")).groupBy("x.column", "x.value").agg(F.count("*").alias("n"))
-    total = n.groupBy("column").agg(F.sum("n").alias("total")).withColumnRenamed("column", "__c")
-    ranked = n.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))).where(F.col("rank") <= top)
-    return ranked.join(F.broadcast(total), F.col("column") == F.col("__c")).select("column", "value", "n", F.round(percent(F.col("n"), F.col("total")), 3).alias("percent"), "rank")
+    text = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<NA>")) for c in columns}
+    long = lambda cs: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text[c].alias("value")) for c in cs])).alias("x")).select("x.column", "x.value")
+    rows = df.count()
+    if rows <= most:
+        return _ranked_values(long(columns).groupBy("column", "value").agg(F.count("*").alias("n")), rows, top)
+    k = tracked // 3
+    found = df.select(*[v.alias(f"c{i}") for i, v in enumerate(text.values())]).agg(*[F.expr(f"approx_top_k(c{i}, {k}, {tracked})").alias(f"c{i}") for i in range(len(columns))])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), (F.size(f"c{i}") < k).alias("all"), F.transform(f"c{i}", lambda x: x["item"]).alias("items")) for i, c in enumerate(columns)])
+    # at most k values a column; written, so that Spark knows their size and sends them to all tasks only if they are small
+    sketched = materialise(found.select(F.explode(each).alias("x")).select("x.column", "x.all", F.explode("x.items").alias("value")))
+    candidates = sketched.select(F.col("column").alias("__c"), F.col("value").alias("__v"))
+    counted = long(columns).join(candidates, (F.col("column") == F.col("__c")) & (F.col("value") == F.col("__v")), "left_semi").groupBy("column", "value").agg(F.count("*").alias("n"))
+    counted = materialise(counted)
+    ranked = _ranked_values(counted, rows, top)
+    whole = {r[0] for r in sketched.where("all").select("column").distinct().collect()}  # a row a column
+    sure = {r[0] for r in ranked.where((F.col("rank") == top) & (F.col("n") > 2 * SKETCH_ERROR * rows / tracked)).select("column").collect()}
+    rest = [c for c in columns if c not in whole | sure]
+    settled = ranked.where(F.col("column").isin(*sorted(whole | sure))) if whole | sure else ranked.limit(0)
+    return settled.unionByName(_ranked_values(long(rest).groupBy("column", "value").agg(F.count("*").alias("n")), rows, top)) if rest else settled
+
+
+def _ranked_values(counts: DataFrame, rows: int, top: int) -> DataFrame:
+    order = [F.desc("n"), F.asc("value")]
+    # the first of each part are found before one task ranks a column's
+    part = Window.partitionBy("column", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy(*order)
+    some = counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(*order))).where(F.col("rank") <= top)
+    return ranked.select("column", "value", "n", F.round(percent(F.col("n"), F.lit(rows)), 3).alias("percent"), "rank")
 
 
 def quantile_buckets(df: DataFrame, rate: str, buckets: int, values: Sequence[str], digits: int = 6) -> DataFrame:

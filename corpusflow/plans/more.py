@@ -228,6 +228,29 @@ def ranked_percentiles(spark, d):
     return n.join(q, "user_id").select("user_id", "n", *[F.round(F.get("q", F.lit(i)), 6).alias(f"p{p}") for i, p in enumerate((10, 50, 99))])
 
 
+@query("""
+with n as (select 'l_suppkey' "column", coalesce(cast(l_suppkey as varchar), '<NA>') "value", count(*) n from lineitem group by 2 union all select 'l_returnflag', coalesce(l_returnflag, '<NA>'), count(*) from lineitem group by 2
+    union all select 'l_orderkey', coalesce(cast(l_orderkey as varchar), '<NA>'), count(*) from lineitem group by 2),
+  r as (select *, row_number() over (partition by "column" order by n desc, "value") "rank", sum(n) over (partition by "column") t from n)
+select "column", "value", n, round(n * 100.0 / t, 3)::double "percent", "rank" from r where "rank" <= 20
+""")
+def frequent_values(spark, d):
+    """Most common values by sketches of frequent ones and an exact recount: few values, many, and a key, for which all are counted."""
+    return profile.categories(table(spark, d, "lineitem"), ["l_suppkey", "l_returnflag", "l_orderkey"], top=20, most=0, tracked=3000)
+
+
+@query("""
+with e as (select vec_id, unnest(range(64)) i, unnest(embedding)::double v from embeddings where embedding is not null and len(embedding) = 64),
+  f as (select * from e where (vec_id + i) % 11 <> 0)
+select 'e' || a.i metric_a, 'e' || b.i metric_b, round(corr(a.v, b.v), 5) corr from f a join f b using (vec_id) group by 1, 2
+""")
+def wide_correlations(spark, d):
+    """Vectors' 64 numbers as metrics, one in eleven of which is missing: 4,096 correlations from sums of blocks."""
+    e = table(spark, d, "embeddings").where("embedding is not null and size(embedding) = 64")
+    own = e.select(*[F.when((F.col("vec_id") + i) % 11 != 0, F.get("embedding", F.lit(i)).cast("double")).alias(f"e{i}") for i in range(64)])
+    return profile.correlations(own, own.columns, 5)
+
+
 @query("""
 select path, duration from (select 'b/' || doc_id path, n_chars::double duration, doc_id from documents) where duration > 500 and doc_id in (select doc_id from labels) order by path limit 25
 """)

@@ -358,3 +358,29 @@ def test_overlaps_of_all_lengths(spark):
     want = sorted((i, p, max(a, x), min(b, y)) for i, s, a, b in clips if s and a is not None for _, p, x, y, _ in segs_ if max(a, x) < min(b, y))
     assert got == want
     assert intervals.levelled(g, "seg_start", "seg_end").groupBy("pos").count().where("count > 2").count() == 0
+
+
+def test_wide_correlations_are_the_narrow_ones(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 6)) * [1, 1000, 1e-3, 1, 1, 1] + [0, 1e6, 5, 0, 0, 3]
+    x[:, 3] = x[:, 0] * 2 + 1
+    rows = [[None if rng.random() < 0.2 else float("nan") if rng.random() < 0.05 else float("inf") if rng.random() < 0.02 else float(v) for v in line] for line in x]
+    for line in rows:
+        line[5] = 3.0
+    df = spark.createDataFrame(rows, ", ".join(f"m{i} double" for i in range(6))).repartition(3)
+    same = lambda wide: sorted(map(str, profile.correlations(df, df.columns, 6, wide=wide).collect()))
+    assert same(0) == same(100)
+    assert len(same(0)) == 25
+    assert profile.correlations(df.limit(0), df.columns, wide=0).count() == 0
+
+
+def test_frequent_values(spark):
+    """Few values, a long tail, keys, ties and nulls: the sketch's way gives what counting gives."""
+    df = spark.range(60_000).select(
+        (F.col("id") % 9).alias("few"), F.when(F.col("id") % 5 == 0, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(4))).alias("nulls"), F.col("id").alias("key"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") % 16).alias("tail"), F.lit("one").alias("same"),
+    )
+    columns = df.columns
+    same = lambda **more: sorted(map(str, profile.categories(df, columns, top=8, **more).collect()))
+    assert same(most=0, tracked=600) == same(most=0) == same()
+    assert profile.categories(df.limit(0), columns, most=-1).count() == 0
