@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,8 +57,24 @@ class FunctionScorer:
         return self.call(self.model, items)
 
 
-def scored(df: DataFrame, scorer: Scorer, key: str, item: str, batch: int = 64) -> DataFrame:
-    """(key, error, scores...): a batch that fails is halved until it works, an item that fails gives its error."""
+def device(kind: str = "gpu") -> str | None:
+    """The address of the task's own device, for a scorer's load(); None where tasks have none."""
+    task = TaskContext.get()
+    own = task.resources().get(kind) if task else None
+    return own.addresses[0] if own and own.addresses else None
+
+
+def one_device(kind: str = "gpu", share: float = 1.0, cpus: int = 1) -> ResourceProfile:
+    """A profile for tasks that have a device each (or a share of one); executors are as the cluster sets them up."""
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(cpus).resource(kind, share)).build
+
+
+def scored(df: DataFrame, scorer: Scorer, key: str, item: str, batch: int = 64, profile: ResourceProfile | None = None) -> DataFrame:
+    """(key, error, scores...): a batch that fails is halved until it works, an item that fails gives its error.
+
+    profile: what the scoring tasks need, such as one_device(); Spark then runs as many of them at a time as there are devices, and the stages before
+    and after as before.
+    """
     kind = dict(df.dtypes)[key]
     fields = T.StructType.fromDDL(scorer.schema).fields
     schema = f"{key} {kind}, error string, {scorer.schema}"
@@ -81,7 +99,7 @@ def scored(df: DataFrame, scorer: Scorer, key: str, item: str, batch: int = 64)
             cols = list(zip(*rows)) if rows else [()] * (1 + len(types))
             yield pa.RecordBatch.from_arrays([keys, pa.array(cols[0], pa.string()), *[pa.array(c, t) for c, t in zip(cols[1:], types)]], [key, "error", *[f.name for f in fields]])
 
-    return df.select(key, item).mapInArrow(run, schema)
+    return df.select(key, item).mapInArrow(run, schema, profile=profile)
 
 
 def score_pending(work: DataFrame, manifest: DataFrame, scorer: Scorer, columns: Sequence[str], key: str = "filepath", item: str = "content", limit: int | None = None) -> DataFrame:
