@@ -26,7 +26,8 @@ def make():
 def call(model, items):
     began = time.time()
     time.sleep(0.3)
-    return [(str(model), began, time.time()) for _ in items]
+    ended = time.time()
+    return [(str(model), began, ended) for _ in items]
 
 df = spark.range(8).select(F.col("id"), F.col("id").alias("item")).repartition(8, "id")
 rows = scored(df, FunctionScorer("device string, began double, ended double", make, call), "id", "item", profile=one_device()).collect()
