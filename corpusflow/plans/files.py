@@ -14,7 +14,7 @@ from ..functions import paths
 from ..operators import collate, filters, manifest, partitioning, report, scorers
 from ..sinks import files, partials, records
 from ..sinks.scratch import materialise, shared_dir
-from ..sources import audio
+from ..sources import audio, lengths
 from ..sources import manifest as stored
 from .common import audit_log, table
 from .queries import query
@@ -176,5 +176,21 @@ def length_ranges(spark, d):
     return own.where(F.lit(over == 0)).select("o_orderkey", "total_duration")
 
 
+@query("""
+select step, doc_id filepath, n_chars::double duration, case step when 0 then 'rebuild' when 1 then 'hit' when 2 then 'append' when 3 then 'superset' else 'rebuild' end found
+from documents, (select unnest(range(5)) step) where case step when 0 then doc_id % 3 <> 0 when 1 then doc_id % 3 <> 0 when 2 then true when 3 then doc_id % 3 <> 0 else doc_id % 4 = 0 end
+""")
+def cached_lengths(spark, d):
+    """Lengths through the cache: built, hit, appended to, asked for what it had before, and rebuilt after clips are gone."""
+    root, c = _root(spark), table(spark, d, "documents").select(F.col("doc_id").alias("filepath"), F.col("n_chars").cast("double").alias("duration"))
+    probe = lambda new: new.join(c.withColumnRenamed("filepath", "__f"), F.col("filepath") == F.col("__f")).select("filepath", "duration")
+    some = c.where("filepath % 3 <> 0")
+    out = []
+    for step, own in enumerate((some, some.orderBy(F.desc("filepath")), c, some, c.where("filepath % 4 = 0"))):
+        rows, found = lengths.lengths(own, root, probe)
+        out.append(rows.withColumns({"step": F.lit(step).cast("long"), "found": F.lit(found)}))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]).unionByName(out[4]).select("step", "filepath", "duration", "found")
+
+
 #: Queries whose files are opaque to the JVM.
 PYTHON = {"sidecar_scan", "sidecar_read", "discovered_clips", "ensured_durations", "deleted_files"}

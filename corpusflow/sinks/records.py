@@ -46,7 +46,7 @@ def append_audit(spark: SparkSession, path: str, stage: str, counts: DataFrame,
     append_audits(row.coalesce(1), path)
 
 
-def _put(path: str, text: str) -> None:
+def put_text(path: str, text: str) -> None:
     """Write a small text where Spark writes tables; readers see the old one or the new one whole."""
     spark = SparkSession.active()
     fs, make = _fs(spark, path)
@@ -63,7 +63,7 @@ def _put(path: str, text: str) -> None:
 def write_status(folder: str, stage: str, total: int, errors: list[dict]) -> dict:
     """The status of a finished stage; at most 50 errors in detail, all of them counted."""
     status = {"stage": stage, "finished_at": now(), "total": total, "errors": len(errors), "error_details": errors[:ERROR_DETAILS]}
-    _put(f"{folder}/stage_{stage}_status.json", json.dumps(status, ensure_ascii=False, indent=2))
+    put_text(f"{folder}/stage_{stage}_status.json", json.dumps(status, ensure_ascii=False, indent=2))
     return status
 
 
@@ -86,7 +86,7 @@ def benchmark_report(repeats: DataFrame, path: str) -> dict:
         *[f(F.when(F.col("ok"), F.col(c))).alias(f"{c}_{n}") for c in ("rtf", "x_realtime") for n, f in (("avg", F.avg), ("max", F.max), ("min", F.min))],
     )
     report = {"finished_at": now(), "targets": [r.asDict() for r in rows.orderBy("target").toLocalIterator()]}
-    _put(path, json.dumps(report, ensure_ascii=False, indent=2))
+    put_text(path, json.dumps(report, ensure_ascii=False, indent=2))
     return report
 
 

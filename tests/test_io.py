@@ -288,3 +288,29 @@ def test_partials_in_levels(spark, tmp_path):
     # a table whose inputs aren't recorded yet doesn't count
     spark.createDataFrame([("k1", "9", "p99999999999999999999", "f", 1)], "filepath string, a string, __run string, __file string, __row long").write.parquet(f"{two}/l1-{9:020d}")
     assert same(one) == same(two)
+
+
+def test_length_cache(spark, tmp_path):
+    """Four cases, and what is probed in each."""
+    from corpusflow.sources import lengths
+
+    probed = []
+
+    def probe(new):
+        probed.append(sorted(r[0] for r in new.collect()))
+        return new.select("filepath", F.length("filepath").cast("double").alias("duration"))
+
+    def ask(*names):
+        df = spark.createDataFrame([(n,) for n in names], "filepath string")
+        rows, found = lengths.lengths(df, f"{tmp_path}/cache", probe)
+        assert sorted(map(tuple, rows.collect())) == sorted({(n, float(len(n))) for n in names if n})
+        return found
+
+    assert ask("a", "bb") == "rebuild" and probed.pop() == ["a", "bb"]
+    assert ask("bb", "a") == "hit" and not probed
+    assert ask("bb", "ccc", "a") == "append" and probed.pop() == ["ccc"]
+    assert ask("a", "bb") == "superset" and not probed
+    assert ask("ccc", "a", "bb", None) == "hit" and not probed
+    assert ask("ccc", "dddd") == "rebuild" and probed.pop() == ["dddd"]
+    assert ask("ccc") == "rebuild" and probed.pop() == []
+    assert ask("ccc", "ccc", "e") == "rebuild" and probed.pop() == ["e"]
