@@ -6,5 +6,5 @@ from .plans import files, more, queries
 
 QUERIES = dict(queries.QUERIES)
 ORACLES = dict(queries.ORACLES)
-#: Queries that need Python workers: files, models, archives and word alignment are opaque to the JVM.
-PYTHON = {"rover_vote", *more.PYTHON, *files.PYTHON}
+#: Queries that need Python workers: files, models, archives, word alignment, the fold over sorted segments and products of whole blocks are opaque to the JVM.
+PYTHON = {"rover_vote", "single_speaker_timeline", "wide_correlations", *more.PYTHON, *files.PYTHON}
