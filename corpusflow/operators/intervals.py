@@ -174,7 +174,8 @@ def overlaps(clips: DataFrame, segments: DataFrame, source: str) -> DataFrame:
 def clip_metrics(clips: DataFrame, segments: DataFrame, source: str, clip: str) -> DataFrame:
     """(clip, silence_percent, max_silence_duration, n_speakers): speech is the union of the clip's segments.
 
-    No speech: 100 and the whole duration; no duration: zeros. clips: (clip, source, clip_start, clip_end).
+    No speech: 100 and the whole duration; no duration: zeros. clips: (clip, source, clip_start, clip_end); clips of one number count as one, whose bounds
+    are those of its first segment's.
     """
     part = overlaps(clips, segments, source)
     w = Window.partitionBy(clip).orderBy("s", "e")
@@ -182,8 +183,9 @@ def clip_metrics(clips: DataFrame, segments: DataFrame, source: str, clip: str)
     # a gap before each segment is silence; what is left is the end
     part = part.withColumn("__gap", F.greatest(F.col("s") - F.coalesce(before, F.col("clip_start")), F.lit(0.0)))
     sums = part.groupBy(clip).agg(
-        F.sum("__gap").alias("gaps"), F.max("__gap").alias("gap"), F.max("e").alias("last"), F.countDistinct("speaker").alias("n"), F.first("clip_end").alias("ce"), F.first("clip_start").alias("cs"),
+        F.sum("__gap").alias("gaps"), F.max("__gap").alias("gap"), F.max("e").alias("last"), F.countDistinct("speaker").alias("n"), F.min_by(F.struct("clip_start", "clip_end"), F.struct("s", "e")).alias("c"),
     )
+    sums = sums.select(clip, "gaps", "gap", "last", "n", F.col("c.clip_start").alias("cs"), F.col("c.clip_end").alias("ce"))
     sums = sums.withColumn("tail", F.col("ce") - F.col("last"))
     sums = sums.select(F.col(clip).alias("__clip"), ((F.col("gaps") + F.col("tail")) / F.nullif(F.col("ce") - F.col("cs"), F.lit(0.0)) * 100).alias("p"), F.greatest("gap", "tail").alias("g"), "n")
     out = clips.join(sums, clips[clip] == F.col("__clip"), "left")

@@ -80,6 +80,14 @@ def test_clip_metrics(spark, clip, rows, want):
     assert (r.silence_percent, r.max_silence_duration, r.n_speakers) == want
 
 
+def test_clips_of_one_number_have_the_first_segments_bounds(spark):
+    clips = spark.createDataFrame([("s", 1, 0.0, 4.0), ("t", 1, 10.0, 14.0)], ["source_id", "clip", "clip_start", "clip_end"])
+    seg = segs(spark, [(11, 12, 0)], "t").unionByName(segs(spark, [(1, 2, 0)], "s"))
+    for n in (1, 3):
+        rows = intervals.clip_metrics(clips.repartition(n), seg.repartition(n), "source_id", "clip").collect()
+        assert [(r.silence_percent, r.max_silence_duration) for r in rows] == [(50.0, 9.0)] * 2  # gaps of 1 and 9, and the end 8 before the last segment's
+
+
 def test_hysteresis_and_words(spark):
     p = [0.1, 0.5, 0.9, 0.4, 0.6, 0.6]
     f = spark.createDataFrame([("s", i, 0, x) for i, x in enumerate(p)], ["source", "frame", "speaker", "p"])
