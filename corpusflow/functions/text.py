@@ -33,7 +33,7 @@ def strip(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """White space runs as one space, none at the ends."""
-    return strip(F.regexp_replace(text, rf"{BLANK}+", " "))
+    return F.trim(F.regexp_replace(text, rf"{BLANK}+", " "))  # only spaces are left
 
 
 def is_missing(text: Column) -> Column:

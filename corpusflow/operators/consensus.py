@@ -43,9 +43,13 @@ def agreement(columns: Sequence[str]) -> Column:
     if len(columns) < 2:
         return F.lit(None).cast("double")
     texts = F.filter(F.array(*[normalize_transcript(F.col(f"`{c}`")) for c in columns]), lambda t: t != "")
-    most = F.array_max(F.transform(texts, lambda t: F.size(F.filter(texts, lambda u: u == t))))
-    n = F.size(texts)
-    return F.when(n >= 2, percent(most - 1, n - 1))
+
+    def share(x: Column) -> Column:
+        most = F.array_max(F.transform(x, lambda t: F.size(F.filter(x, lambda u: u == t))))
+        return F.when(F.size(x) >= 2, percent(most - 1, F.size(x) - 1))
+
+    # the texts are a lambda's variable, so each is normalised once and not wherever it is named
+    return F.get(F.transform(F.array(texts), share), F.lit(0))
 
 
 def agreement_of(candidates: DataFrame, key: str = "filepath") -> DataFrame:

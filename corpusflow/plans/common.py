@@ -35,13 +35,17 @@ SEGMENTS_SQL = """
 """
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three models' transcripts of each document: its text, the text in lower case with wide spaces, and a text that loses its first word in two of three."""
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three models' transcripts of each document side by side: its text, the text in lower case with wide spaces, and a text that loses its first word in two of three."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filepath"), F.col("text").alias("t"))
     lost = F.when(F.col("filepath") % 3 == 0, F.col("t")).otherwise(F.regexp_replace("t", r"^[^ ]* ", ""))
-    return d.select("filepath", F.explode(F.array(
-        F.struct(F.lit("a").alias("model"), F.col("t").alias("text")), F.struct(F.lit("b").alias("model"), F.lower(F.replace("t", F.lit(" "), F.lit("  "))).alias("text")), F.struct(F.lit("c").alias("model"), lost.alias("text")),
-    )).alias("x")).select("filepath", "x.model", "x.text")
+    return d.select("filepath", F.col("t").alias("a"), F.lower(F.replace("t", F.lit(" "), F.lit("  "))).alias("b"), lost.alias("c"))
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, a row a transcript."""
+    models = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("text")) for m in ("a", "b", "c")])
+    return transcripts(spark, sf_dir).select("filepath", F.explode(models).alias("x")).select("filepath", "x.model", "x.text")
 
 
 #: candidates() in SQL.

@@ -392,3 +392,10 @@ def test_frequent_values(spark):
     same = lambda **more: sorted(map(str, profile.categories(df, columns, top=8, **more).collect()))
     assert same(most=0, tracked=600) == same(most=0) == same()
     assert profile.categories(df.limit(0), columns, most=-1).count() == 0
+
+
+def test_a_text_is_normalised_once_for_agreement(spark):
+    cols = ["m1", "m2", "m3"]
+    d = spark.createDataFrame([("A b", "a  B", "c")], cols)
+    plan = d.select(consensus.agreement(cols).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == len(cols)

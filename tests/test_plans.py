@@ -33,3 +33,14 @@ def test_scans_are_pruned(spark, name, columns):
 
 def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[.*IsNotNull\(value\)", plan(catalog.QUERIES["threshold_preview"](spark, DATA)))
+
+
+def test_agreement_of_columns_shuffles_nothing(spark, tmp_path):
+    from corpusflow.plans import queries
+
+    rows = [(0, "One two"), (1, "one two"), (2, None), (3, " \t"), (4, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.asr_agreement(spark, str(tmp_path))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    # a clip without any words has no row, as in the SQL
+    assert {r[0]: r[1] for r in out.collect()} == {r[0]: r[1] for r in queries.asr_agreement_long(spark, str(tmp_path)).collect()} == {0: 100.0, 1: 50.0, 4: 100.0}
