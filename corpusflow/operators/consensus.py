@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import percent
 from ..functions.text import consensus_key, is_missing, normalize_transcript
@@ -161,37 +162,69 @@ def align(slots: Slots, words: list[str], seen: int) -> Slots:
 
 
 def vote(transcripts: Sequence[str], tokenizer: Callable[[str], list[str]], detokenizer: Callable[[list[str]], str]) -> str:
-    """The words that most transcripts have in each slot; of equals a word before none, then the earliest transcript's."""
+    """The words that most transcripts have in each slot; of equals a word before none, then the earliest transcript's.
+
+    Of three transcripts at most, two that are equal win as they are: the later one fits into the slots without an edit, so each slot
+    has its word twice, or none twice. The same holds where all are equal. Only others are aligned.
+    """
+    said = [tokenizer(t) for t in transcripts]
+    for i, words in enumerate(said):
+        if words in said[i + 1 :] and len(said) <= 3 or said.count(words) == len(said):
+            return detokenizer(words)
+    return detokenizer(_voted(said))
+
+
+def _voted(said: Sequence[list[str]]) -> list[str]:
     slots: Slots = []
-    for seen, text in enumerate(transcripts):
-        words = tokenizer(text)
+    for seen, words in enumerate(said):
         slots = align(slots, words, seen) if seen else [[w] for w in words]
     out = []
     for slot in slots:
         best = max(dict.fromkeys(slot), key=lambda w: (slot.count(w), w is not None, -slot.index(w)))
         if best is not None:
             out.append(best)
-    return detokenizer(out)
+    return out
 
 
 def rover(candidates: DataFrame, key: str = "filepath", tokenizer: Callable[[str], list[str]] = lambda t: t.lower().split(), detokenizer: Callable[[list[str]], str] = " ".join) -> DataFrame:
     """(key, text, error): one voted transcript a clip.
 
     Alignment is an order-dependent dynamic programme over words, which no built-in expression has, so each clip's few
-    transcripts go to Python; a clip that fails gives its error and doesn't stop the others.
+    transcripts go to Python, where sorted clips stream by; a clip that fails gives its error and doesn't stop the others.
     """
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        own = part.sort_values("model", kind="stable")
-        texts = [t for t in own["text"] if isinstance(t, str) and t.strip()]
-        try:
-            text, error = vote(texts, tokenizer, detokenizer), None
-        except Exception as e:  # noqa: BLE001
-            text, error = None, f"{type(e).__name__}: {e}"
-        return pd.DataFrame({key: [part[key].iloc[0]], "text": [text], "error": [error]})
-
-    kind = dict(candidates.dtypes)[key]
-    return candidates.select(key, "model", "text").groupBy(key).applyInPandas(run, f"{key} {kind}, text string, error string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts, rows = None, None, []  # the clip, its transcripts, and what the clips before it gave
+
+        def settle() -> None:
+            if texts is None:
+                return
+            try:
+                rows.append((now, vote(texts, tokenizer, detokenizer), None))
+            except Exception as e:  # noqa: BLE001
+                rows.append((now, None, f"{type(e).__name__}: {e}"))
+
+        def given() -> pa.RecordBatch:
+            out = list(zip(*rows)) or [()] * 3
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (kind, pa.string(), pa.string()))], [key, "text", "error"])
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if texts is None or k != now:
+                    settle()
+                    now, texts = k, []
+                if isinstance(text, str) and text.strip():
+                    texts.append(text)
+            yield given()
+        settle()
+        if rows:
+            yield given()
+
+    schema = T.StructType([candidates.schema[key], *T.StructType.fromDDL("text string, error string")])
+    own = candidates.select(key, "model", "text").repartition(key).sortWithinPartitions(key, F.asc_nulls_last("model"))
+    return own.select(key, "text").mapInArrow(run, schema)
 
 
 def text_candidates(sidecars: DataFrame, kinds: Sequence[str]) -> DataFrame:

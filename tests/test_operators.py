@@ -399,3 +399,24 @@ def test_a_text_is_normalised_once_for_agreement(spark):
     d = spark.createDataFrame([("A b", "a  B", "c")], cols)
     plan = d.select(consensus.agreement(cols).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") == len(cols)
+
+
+def test_equal_transcripts_win_without_alignment(spark, monkeypatch):
+    rng = random.Random(5)
+    for _ in range(400):
+        a, b = ([rng.choice("xyz") for _ in range(rng.randrange(7))] for _ in range(2))
+        for said in ([a, a, b], [a, b, a], [b, a, a], [a, a], [a] * 5, [a]):
+            assert consensus._voted(said) == a
+    # clips that cross batches, null clips and models; only the clip of three different transcripts is aligned
+    rows = [(f"f{i}", m, t) for i in range(500) for m, t in (("b", "One Two"), ("a", "one two"), (None, f"one two {i}"))] + [(None, "a", "left"), ("f0", "0", "three two")]
+    c = spark.createDataFrame(rows, "filepath string, model string, text string").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {r.filepath: (r.text, r.error) for r in consensus.rover(c).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {None: ("left", None), "f0": ("one two", None)} | {f"f{i}": ("one two", None) for i in range(500)}
+    monkeypatch.setattr(consensus, "align", None)
+    assert consensus.vote(["a b", "c", "A  b"], lambda t: t.lower().split(), " ".join) == "a b"
+    assert "InPandas" not in consensus.rover(c)._jdf.queryExecution().optimizedPlan().toString()
