@@ -47,7 +47,8 @@ def drop_text(df: DataFrame, models: Sequence[str] = (), times: bool = True) ->
 
 def pivot(sidecars: DataFrame, kinds: Sequence[str], key: str = "filepath", kind: str = "kind", text: str = "text") -> DataFrame:
     """A row a clip with a column a kind; the kinds are given, so one aggregation does it."""
-    return sidecars.where(F.col(kind).isin(*kinds)).groupBy(key).agg(*[F.max(F.when(F.col(kind) == k, F.col(text))).alias(k) for k in kinds])
+    # dealt by clip first, so texts are sorted once, after the shuffle, and not before it too
+    return sidecars.where(F.col(kind).isin(*kinds)).select(key, kind, text).repartition(key).groupBy(key).agg(*[F.max(F.when(F.col(kind) == k, F.col(text))).alias(k) for k in kinds])
 
 
 def collate(manifest: DataFrame, sidecars: DataFrame, models: Sequence[str], key: str = "filepath") -> DataFrame:

@@ -420,3 +420,12 @@ def test_equal_transcripts_win_without_alignment(spark, monkeypatch):
     monkeypatch.setattr(consensus, "align", None)
     assert consensus.vote(["a b", "c", "A  b"], lambda t: t.lower().split(), " ".join) == "a b"
     assert "InPandas" not in consensus.rover(c)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_pivot_sorts_texts_once(spark):
+    s = spark.createDataFrame([("a", "tone", "hi"), ("a", "tone", "ho"), ("a", "vosk", None), (None, "vosk", "x")], "filepath string, kind string, text string").repartition(3)
+    p = collate.pivot(s, ["tone", "vosk"])
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+    assert plan.count("Exchange hashpartitioning(") == 1
+    assert {tuple(r) for r in p.collect()} == {("a", "ho", None), (None, None, "x")}
