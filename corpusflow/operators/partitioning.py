@@ -49,8 +49,8 @@ def percentiles(df: DataFrame, by: list[str], value: str, points: list[float], m
     """(by..., q array<double>): exact percentiles of a number that is not null, interpolated linearly between the two rows around each.
 
     Up to `most` rows in all, and of groups of at most `group_rows` (and `accuracy`) rows, Spark's own aggregate does it, which holds a group's distinct values in one
-    task. Of larger groups mergeable quantile sketches give a bracket around each rank; a second scan counts what lies below each bracket
-    and keeps only the rows inside, a few in ten thousand, among which the ranks are exact. All ways give the same.
+    task. Of larger groups mergeable quantile sketches give a bracket around each rank; a second scan keeps the values inside the brackets, those of
+    a few rows in ten thousand, and of the rows between two brackets only their number, so ranks are exact. All ways give the same.
     """
     own = df.select(*by, F.col(value).cast("double").alias("__v")).where("__v is not null")
     exact = F.percentile("__v", F.array(*[F.lit(float(p)) for p in points])).alias("q")
@@ -60,28 +60,34 @@ def percentiles(df: DataFrame, by: list[str], value: str, points: list[float], m
     sketch = F.when(F.count("*") > max(group_rows, accuracy), F.percentile_approx("__v", edges, accuracy)).alias("__edges")
     # written, so that Spark knows the size of a row a group and sends it to all tasks only if it is small
     groups = materialise(own.groupBy(*by).agg(F.count("*").alias("__total"), sketch))
-    beside_rows = beside(own, groups, by)
-    small = beside_rows.where("__edges is null").groupBy(*by).agg(exact)
-    large = beside_rows.where("__edges is not null")
+    large = beside(own, groups.where("__edges is not null").select(*by, "__edges"), by)
     edge = lambda i, side: F.get("__edges", F.lit(2 * i + side))
     lo = [F.lit(float("-inf")) if edges[2 * i] == 0 else edge(i, 0) for i in range(len(points))]
     hi = [F.lit(float("nan")) if edges[2 * i + 1] == 1 else edge(i, 1) for i in range(len(points))]  # NaN is above all numbers
-    below = large.groupBy(*by, "__total").agg(F.array(*[F.count_if(F.col("__v") < x) for x in lo]).alias("__below"))
-    places = F.array(*[F.when((F.col("__v") >= a) & (F.col("__v") <= b), F.lit(i)) for i, (a, b) in enumerate(zip(lo, hi))])
-    inside = large.select(*by, "__v", F.explode(F.array_compact(places)).alias("__i")).groupBy(*by, "__i", "__v").agg(F.count("*").alias("__n"))
-    counted = numbered(inside, [*by, "__i"], ["__v"], weight="__n")
-    counted = beside(counted, below, by)
-    p = F.get(F.array(*[F.lit(float(p)) for p in points]), F.col("__i"))
-    at = p * (F.col("__total") - 1)
-    first = F.get("__below", F.col("__i")) + F.col("__row")  # the rank of the value's first row in its group
-    holds = lambda k: (k >= first) & (k < first + F.col("__n"))
-    one = counted.where(holds(F.floor(at)) | holds(F.ceil(at))).groupBy(*by, "__i").agg(
-        F.max(F.when(holds(F.floor(at)), F.col("__v"))).alias("a"), F.max(F.when(holds(F.ceil(at)), F.col("__v"))).alias("b"), F.first(at - F.floor(at)).alias("f"),
+    v = F.col("__v")
+    outside = ~reduce(lambda x, y: x | y, [(v >= a) & (v <= b) for a, b in zip(lo, hi)])
+    # a row outside all brackets counts behind the last bracket below it
+    at = F.when(outside, F.greatest(F.lit(float("-inf")), *[F.when(b < v, b) for b in hi])).otherwise(v)
+    placed = large.select(*by, outside.alias("__outside"), at.alias("__v")).groupBy(*by, "__v", "__outside").agg(F.count("*").alias("__n"))
+    # written: the numbering reads it more than once
+    counted = numbered(materialise(placed), by, ["__v", "__outside"], weight="__n")
+    counted = beside(counted, groups.select(*by, "__total"), by)
+    each = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("__total") - 1)).alias("at")) for i, p in enumerate(points)])
+    holds = lambda k: (k >= F.col("__row")) & (k < F.col("__row") + F.col("__n"))
+    asked = F.filter(each, lambda x: holds(F.floor(x["at"])) | holds(F.ceil(x["at"])))
+    held = counted.select(*by, "__v", "__outside", "__row", "__n", F.explode(asked).alias("__x")).select("*", F.col("__x.i").alias("__i"), F.col("__x.at").alias("__at"))
+    value_ = F.when(F.col("__outside"), F.raise_error(F.lit("a percentile lies outside its bracket"))).otherwise(v)
+    one = held.groupBy(*by, "__i").agg(
+        F.max(F.when(holds(F.floor("__at")), value_)).alias("a"), F.max(F.when(holds(F.ceil("__at")), value_)).alias("b"), F.first(F.col("__at") - F.floor("__at")).alias("f"),
     )
     pairs = one.select(*by, "__i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("v"))
     found = pairs.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "v"))), lambda x: x["v"]).alias("q"))
-    # without groups an aggregate of no rows is a row, too
-    return small.where("q is not null").unionByName(found.where("size(q) > 0"))
+    found = found.where("size(q) > 0")  # without groups an aggregate of no rows is a row, too
+    some = groups.where("__edges is null and __total > 0")
+    if some.isEmpty():
+        return found
+    small = beside(own, some.select(*by), by) if by else own
+    return small.groupBy(*by).agg(exact).where("q is not null").unionByName(found)
 
 
 def beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:

@@ -429,3 +429,17 @@ def test_a_pivot_sorts_texts_once(spark):
     assert plan.count("Sort [") == 1
     assert plan.count("Exchange hashpartitioning(") == 1
     assert {tuple(r) for r in p.collect()} == {("a", "ho", None), (None, None, "x")}
+
+
+def test_percentiles_scan_the_rows_three_times(spark):
+    n, seen = 3_000, spark.sparkContext.accumulator(0)
+
+    def row(i):
+        seen.add(1)
+        return i % 2, float(i * 7919 % n)
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(n), 3).map(row), "g int, v double")
+    q = {r.g: r.q for r in partitioning.percentiles(df, ["g"], "v", [0.0, 0.3, 1.0], most=0, group_rows=0, accuracy=1_000).collect()}
+    assert seen.value <= 3 * n  # counted, sketched, and put inside or between the brackets
+    want = {g: np.quantile([i * 7919 % n for i in range(g, n, 2)], [0.0, 0.3, 1.0]) for g in (0, 1)}
+    assert all(q[g] == pytest.approx(want[g]) for g in want)
