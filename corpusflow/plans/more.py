@@ -15,7 +15,7 @@ from ..functions import numeric, paths, text
 from ..operators import cache, collate, consensus, filters, intervals, manifest, partitioning, profile, scorers
 from ..schema import conformed
 from ..sinks import buckets, files, partials, records, versions
-from ..sinks.scratch import shared_dir
+from ..sinks.scratch import materialise, shared_dir
 from ..sources import audio, catalogue
 from ..sources import manifest as stored
 from ..streaming import sources
@@ -460,8 +460,11 @@ def stateful_chunks(spark, d):
     e = e.withColumn("frame", frame).select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source"), "frame", F.floor(F.col("frame") / 8).alias("chunk"), F.array(F.coalesce("value", F.lit(0.0)), (F.col("event_id") % 7).cast("double")).alias("x"), "ts")
     x = F.transform(F.array_sort(F.collect_list(F.struct("frame", "x"))), lambda v: v["x"])
     chunks = e.groupBy("source", "chunk").agg(x.alias("x"), F.max(F.col("ts").cast("timestamp")).alias("ts"))
-    chunks.repartitionByRange(3, 2 - F.col("chunk") % 3).write.parquet(f"{root}/chunks")
-    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/chunks").withWatermark("ts", "100 years")
+    chunks = materialise(chunks)
+    files = -(-chunks.count() // partitioning.RANGE_ROWS) or 1  # of a batch
+    for third in (2, 1, 0):
+        chunks.where(F.col("chunk") % 3 == third).repartition(files).write.mode("append").parquet(f"{root}/chunks")
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/chunks").withWatermark("ts", "100 years")
     scored = sources.scored_chunks(stream, _above_last, 2, cache.Rule(size=24, silence=1, speakers=2), 8)
     store = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(store)

@@ -112,3 +112,73 @@ def test_chunks_in_any_batching(spark, tmp_path, batches):
     ended = {r.source: (r.chunk, r.waiting) for r in got.where("ended").collect()}
     assert ended == {**{f"s{s}": (9, 0) for s in range(4)}, "gap": (0, 1)}
     assert got.where(F.col("cached") > RULE.size + 4).count() == 0
+
+
+class _States:
+    """A handle whose states are in memory and which counts its calls."""
+
+    def __init__(self):
+        self.calls, self.values = 0, {}
+
+    def state(self, name, *_):
+        own, one = self, self.values
+
+        class State:
+            def __getattr__(self, call):
+                def run(*args):
+                    own.calls += 1
+                    held = one.setdefault(name, {})
+                    if call in ("update", "put"):
+                        one[name] = {"v": args[0]}
+                    elif call == "get":
+                        return held.get("v") if name == "head" else iter(held.get("v", []))
+                    elif call == "exists":
+                        return bool(held)
+                    elif call == "clear":
+                        one[name] = {}
+                    elif call == "containsKey":
+                        return args[0] in held
+                    elif call == "getValue":
+                        return held[args[0]]
+                    elif call == "updateValue":
+                        held[args[0]] = args[1]
+                    elif call == "removeKey":
+                        del held[args[0]]
+                    elif call == "iterator":
+                        return iter(list(held.items()))
+
+                return run
+
+        return State()
+
+    getValueState = getListState = getMapState = state
+
+    def registerTimer(self, _):
+        self.calls += 1
+
+    deleteTimer = registerTimer
+
+
+@pytest.mark.parametrize("held", [0, 3, 1_000])
+def test_few_calls_of_the_state(monkeypatch, held):
+    """Nine chunks in three batches, the first ones last: calls a batch and a chunk that waits, and the results of one batch in order."""
+    import pandas as pd
+
+    chunks = made(n_sources=1)
+    m, want = sources.Memory(2, RULE, 4), []
+    for c in range(9):
+        want += m.take(np.array(chunks["s0", c]), scorer()).tolist()
+    monkeypatch.setattr(sources, "HELD", held, raising=False)
+    handle = _States()
+    own = sources.Chunks(scorer(), 2, RULE, 4, 60.0)
+    own.init(handle)
+    got = []
+    for third in (2, 1, 0):
+        at = [*range(third, 9, 3), third]  # one comes again
+        part = pd.DataFrame({"chunk": at, "x": [chunks["s0", c] for c in at], "ts": pd.Timestamp("2024-01-01")})
+        for out in own.handleInputRows(("s0",), iter([part.iloc[:2], part.iloc[2:]]), None):
+            got += out["p"].tolist()
+    assert got == want
+    assert not handle.values["early"]
+    if held == 1_000:
+        assert handle.calls <= 25  # 66 and more when each step asked the state
