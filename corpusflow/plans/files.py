@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
@@ -28,10 +28,15 @@ def _written(df: DataFrame, root: str, name: str = "name", content: str = "conte
     files.write_binaries(df, root, name, content).write.format("noop").mode("overwrite").save()
 
 
+def _folder(key: str) -> Column:
+    """One of 256 folders, so that none has all files."""
+    return F.concat(F.pmod(F.col(key), F.lit(256)).cast("string"), F.lit("/"))
+
+
 def _texts(spark, d, root: str) -> None:
-    """Of every conversation a text file a turn: `<conv_id>_vosk.txt` for the first, `<conv_id>_t<turn>.txt` for others."""
+    """Of every conversation a text file a turn: `<folder>/<conv_id>_vosk.txt` for the first, `<folder>/<conv_id>_t<turn>.txt` for others."""
     c = table(spark, d, "conversations").where("text is not null")
-    name = F.concat(F.col("conv_id").cast("string"), F.when(F.col("turn") == 0, F.lit("_vosk.txt")).otherwise(F.concat(F.lit("_t"), F.col("turn").cast("string"), F.lit(".txt"))))
+    name = F.concat(_folder("conv_id"), F.col("conv_id").cast("string"), F.when(F.col("turn") == 0, F.lit("_vosk.txt")).otherwise(F.concat(F.lit("_t"), F.col("turn").cast("string"), F.lit(".txt"))))
     _written(c.select(name.alias("name"), F.encode("text", "utf-8").alias("content")), root)
 
 
@@ -62,7 +67,7 @@ def sidecar_read(spark, d):
     """The sidecar of one kind beside each clip, stripped; empty where there is none."""
     root = _root(spark)
     _texts(spark, d, root)
-    clips = table(spark, d, "documents").select("doc_id", F.concat(F.regexp_replace(F.lit(root), "^file:/+", "/"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("filepath"))
+    clips = table(spark, d, "documents").select("doc_id", F.concat(F.regexp_replace(F.lit(root), "^file:/+", "/"), F.lit("/"), _folder("doc_id"), F.col("doc_id").cast("string"), F.lit(".flac")).alias("filepath"))
     return audio.with_sidecar(clips, audio.sidecars(spark, root, ["vosk"]), "vosk").select("doc_id", "vosk")
 
 

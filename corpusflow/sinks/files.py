@@ -102,10 +102,14 @@ def write_binaries(files: DataFrame, root: str, name: str, content: str) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        made = set()
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, where = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-                store.create_dir(where.rsplit("/", 1)[0], recursive=True)
+                folder = where.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(where + ".tmp") as out:
                     out.write(data)
                 store.move(where + ".tmp", where)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import wave
 from collections.abc import Callable, Iterator
+from fnmatch import fnmatchcase
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 
+#: Bytes of texts that a task gives at once, about.
+TEXT_BYTES = 8 << 20
+
 Decoder = Callable[[bytes], tuple[np.ndarray, int]]
 
 
@@ -42,10 +46,54 @@ def listing(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
     return files.select(*cols, *(["content"] if content else []))
 
 
+def _of(path: str):
+    """pyarrow's file system of a path, the path in it, and what stands before that."""
+    from pyarrow import fs
+
+    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    store, where = fs.FileSystem.from_uri(uri)
+    return store, where.rstrip("/"), "" if uri.startswith("file:") else uri[: uri.index(where)] if where in uri else ""
+
+
 def text_files(spark: SparkSession, root: str, postfix: str) -> DataFrame:
-    """(path, text) of text files below root whose name ends so."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{postfix}")
-    return files.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("path"), F.col("value").alias("text"))
+    """(path, text) of text files below root whose name ends so; hidden ones (._) are left out, empty ones are not.
+
+    Tasks list the folders and read the files, so neither all names nor a task for a few files each pass through the driver.
+    """
+    from pyarrow import fs
+
+    store, where, _ = _of(root)
+    folders = [(f.path, True) for f in store.get_file_info(fs.FileSelector(where)) if f.type == fs.FileType.Directory and not f.base_name.startswith((".", "_"))]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    asked = spark.createDataFrame([(where, False), *folders], "folder string, deep boolean").repartition(min(tasks, len(folders) + 1))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = _of(root)[0]
+        for batch in batches:
+            open_ = list(zip(*(c.to_pylist() for c in batch.columns)))
+            while open_:
+                folder, deep = open_.pop()
+                infos = [f for f in store.get_file_info(fs.FileSelector(folder)) if not f.base_name.startswith((".", "_"))]
+                open_ += [(f.path, True) for f in infos if deep and f.type == fs.FileType.Directory]
+                names = [f.path for f in infos if f.type == fs.FileType.File and fnmatchcase(f.base_name, f"*{postfix}")]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["path"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _, prefix = _of(root)
+        for batch in batches:
+            paths_, texts, size = [], [], 0
+            for path in batch.column(0).to_pylist():
+                with store.open_input_stream(path) as f:
+                    texts.append(f.read())
+                paths_.append(prefix + path)
+                size += len(texts[-1])
+                if size > TEXT_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths_, pa.string()), pa.array(texts, pa.binary())], ["path", "text"])
+                    paths_, texts, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(paths_, pa.string()), pa.array(texts, pa.binary())], ["path", "text"])
+
+    files = asked.mapInArrow(found, "path string").repartition(tasks)
+    return files.mapInArrow(read, "path string, text binary").select("path", F.col("text").cast("string").alias("text"))
 
 
 def sidecars(spark: SparkSession, root: str, kinds: list[str]) -> DataFrame:

@@ -314,3 +314,16 @@ def test_length_cache(spark, tmp_path):
     assert ask("ccc", "dddd") == "rebuild" and probed.pop() == ["dddd"]
     assert ask("ccc") == "rebuild" and probed.pop() == []
     assert ask("ccc", "ccc", "e") == "rebuild" and probed.pop() == ["e"]
+
+
+def test_text_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    from corpusflow.sources import audio
+
+    texts = {"a_t1.txt": "one\n\ntwo", "x/b_t2.txt": "", "x/y z/c%20_t3.txt": "Ünï", "x/d.txt": "no", "_x/e_t1.txt": "no", "x/.f_t1.txt": "no", "x/y z/_g_t1.txt": "no"}
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    for root in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}/"):
+        out = audio.text_files(spark, root, "_t*.txt")
+        assert {r.path: r.text for r in out.collect()} == {f"{tmp_path}/{n}": t for n, t in texts.items() if t != "no"}
+        assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
